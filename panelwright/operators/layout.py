@@ -52,12 +52,17 @@ class Frame:
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join that also matches NULL keys; right-hand key columns are dropped."""
+    """Equi-join that also matches NULL keys; right-hand key columns are dropped.
+
+    Without keys the right side is an aggregate of the whole table: one row.
+    """
     if not keys:
-        return left.crossJoin(right)  # right is one row: an aggregate without keys
+        one = F.broadcast(right.withColumn("_one", F.lit(1)))
+        return left.withColumn("_one", F.lit(1)).join(one, "_one", how).drop("_one")
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
+    joined = left.join(renamed, cond, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{k}" for k in keys])
 
 
 def _order_value(df: DataFrame, name: str) -> Column:

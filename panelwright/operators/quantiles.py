@@ -46,7 +46,7 @@ def quantiles(
     long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         by, list(columns), "feature", "x"
     ).where(F.col("x").isNotNull())
-    wanted = exact_ranks(long, groups, "x", probs, accuracy)
+    wanted = exact_ranks(long, groups, "x", probs, accuracy, few_groups=not by)
     cells = [
         F.max(F.when((F.col("feature") == c) & (F.col("_i") == i), F.col("q"))).alias(column_name(c, i))
         for c in columns
@@ -58,8 +58,19 @@ def quantiles(
     return join_on(df.select(*by).distinct(), found, by, "left")  # groups without any value too
 
 
-def exact_ranks(long: DataFrame, groups: Sequence[str], value: str, probs: Sequence[float], accuracy: int) -> DataFrame:
-    """(groups, _i, q): the quantile of ``value`` for the i-th probability."""
+def exact_ranks(
+    long: DataFrame,
+    groups: Sequence[str],
+    value: str,
+    probs: Sequence[float],
+    accuracy: int,
+    few_groups: bool = False,
+) -> DataFrame:
+    """(groups, _i, q): the quantile of ``value`` for the i-th probability.
+
+    ``few_groups`` says that the groups are the columns of a table; only then
+    are the ranges broadcast, else Spark picks the join by their size.
+    """
     groups = list(groups)
     margin = 2.0 / accuracy
     ends = [p for pair in ((max(p - margin, 0.0), min(p + margin, 1.0)) for p in probs) for p in pair]
@@ -82,7 +93,7 @@ def exact_ranks(long: DataFrame, groups: Sequence[str], value: str, probs: Seque
             )
         )
     ranges = sketch.select(*groups, F.array(*ranges).alias("_ranges"))
-    hit = join_on(long, ranges, groups)
+    hit = join_on(long, F.broadcast(ranges) if few_groups else ranges, groups)
     value_col = F.col(value)
     # values are counted once per range: inside by value, below it as one group
     placed = hit.select(
