@@ -197,11 +197,12 @@ def _grid_scores(sums: DataFrame, keys: list[str], max_p: int, max_q: int) -> Da
             if pdf.empty:
                 continue
             g, n = _square(pdf["gram"], size), pdf["n"].to_numpy(float)
+            unit = pdf["_sd"].to_numpy(float) ** 2
             for p in range(max_p + 1):
                 for q in range(max_q + 1):
                     xs = [0, *range(2, 2 + p), *range(2 + max_p, 2 + max_p + q)]
                     coef, rss = _solve(g, 1, xs)
-                    sigma2 = np.maximum(rss / n, 1e-12)
+                    sigma2 = np.maximum(rss / n, 1e-12) * unit
                     fit, params = n * np.log(sigma2), p + q + 2
                     out = pdf[keys].assign(
                         p=p, q=q, n=pdf["n"], sigma2=sigma2, aic=fit + 2 * params, bic=fit + np.log(n) * params,
@@ -225,10 +226,14 @@ def arma_rows(
 
 
 def order_search(rows: DataFrame, spec: SeriesSpec, max_p: int = MAX_P, max_q: int = MAX_Q) -> DataFrame:
-    """(keys, p, q, aic, bic, ...) for the whole grid, from one aggregation."""
+    """(keys, p, q, aic, bic, ...) for the whole grid, from one aggregation.
+
+    Constant and coefficients belong to the standardised series, variance and
+    criteria to the differenced one.
+    """
     keys = list(spec.keys)
     columns = ["w", *[f"w{k}" for k in range(1, max_p + 1)], *[f"e{k}" for k in range(1, max_q + 1)]]
-    return _grid_scores(gram(rows, keys, columns), keys, max_p, max_q)
+    return _grid_scores(gram(rows, [*keys, "_sd"], columns), keys, max_p, max_q)
 
 
 def best_order(scores: DataFrame, keys: Sequence[str], criterion: str = "aic") -> DataFrame:
@@ -357,7 +362,7 @@ def arima_forecast(
             ys = np.nan_to_num(np.stack(pdf["ys"].to_numpy()).astype(float))
             es = np.nan_to_num(np.stack(pdf["es"].to_numpy()).astype(float)) * sd[:, None]
             impulse = np.concatenate([np.ones((size, 1)), np.zeros((size, depth - 1))], axis=1)
-            spread = sd * np.sqrt(pdf["sigma2"].to_numpy(float))
+            spread = np.sqrt(pdf["sigma2"].to_numpy(float))
             variance = np.zeros(size)
             for h in range(1, horizon + 1):
                 variance = variance + (impulse[:, 0] * spread) ** 2

@@ -39,7 +39,8 @@ def _candidates(doc: str = "_doc") -> dict[str, str]:
         r -> named_struct('series', try_variant_get(i, '$.{NAME_KEY}', 'string'), 'record', r))))"""
     first = _object(f"get({items}, 0)")
     is_list = f"NOT array_contains(map_keys({first}), '{ARRAY_KEY}') AND NOT array_contains(map_keys({first}), '{OTHER_ARRAY_KEY}')"
-    known = ", ".join(f"nullif(try_variant_get({doc}, '$.{k}', 'array<variant>'), array())" for k in KNOWN_KEYS)
+    lists = ", ".join(f"try_variant_get({doc}, '$.{k}', 'array<variant>')" for k in KNOWN_KEYS)
+    known = f"get(filter(array({lists}), l -> size(l) > 0), 0)"
     # largest score first, then smallest property name
     scored = f"""array_min(filter(transform(map_entries(_object), e -> named_struct(
         'score', -(size({_list('e.value')}) + IF({_object(f"get({_list('e.value')}, 0)")} IS NOT NULL, {OBJECT_BONUS}, 0)),
@@ -47,7 +48,7 @@ def _candidates(doc: str = "_doc") -> dict[str, str]:
     return {
         "array_of_objects": with_data,
         "direct_list": f"IF({is_list}, {_unnamed(items)}, NULL)",
-        "known_key": _unnamed(f"coalesce({known})"),
+        "known_key": _unnamed(known),
         "best_list": _unnamed(f"try_variant_get(_object[{scored}], '$', 'array<variant>')"),
         "normalise": f"IF({items} IS NOT NULL, {_unnamed(items)}, IF(_object IS NOT NULL, "
         f"array(named_struct('series', CAST(NULL AS STRING), 'record', {doc})), NULL))",
