@@ -24,8 +24,12 @@ def epoch_to_ntz(x: Column, zone: str = "UTC") -> Column:
 
 
 def text_to_ntz(x: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that parses; NULL if none does."""
-    return F.coalesce(*[F.try_to_timestamp(x, F.lit(f)).cast("timestamp_ntz") for f in formats])
+    """First format that parses; NULL if none does. Formats without separators need their exact length."""
+    parsed = []
+    for f in formats:
+        text = x if not f.isalpha() else F.when(x.rlike(f"^[0-9]{{{len(f)}}}$"), x)
+        parsed.append(F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz"))
+    return F.coalesce(*parsed)
 
 
 def any_to_ntz(x: Column, zone: str = "UTC", formats: Sequence[str] = DATE_FORMATS) -> Column:

@@ -31,7 +31,7 @@ def quantiles(
 
     1. a mergeable sketch gives each group a value range that surely encloses
        each wanted rank (its rank error is below 1/accuracy, the range spans
-       two of these on either side);
+       four of these on either side);
     2. one more pass counts the values below each range and collects the
        distinct values inside, a few ten-thousandths of the group;
     3. a running count over those finds the exact neighbours of the rank.
@@ -72,7 +72,9 @@ def exact_ranks(
     are the ranges broadcast, else Spark picks the join by their size.
     """
     groups = list(groups)
-    margin = 2.0 / accuracy
+    # sketch error 1/accuracy, two ranks for the neighbours; groups up to
+    # ``accuracy`` values are ranked whole
+    margin = 4.0 / accuracy
     ends = [p for pair in ((max(p - margin, 0.0), min(p + margin, 1.0)) for p in probs) for p in pair]
     sketch = long.groupBy(*groups).agg(
         F.count(value).alias("_n"),
@@ -80,14 +82,14 @@ def exact_ranks(
         F.max(value).alias("_max"),
         F.percentile_approx(value, ends, accuracy).alias("_ends"),
     )
-    ranges = []
+    ranges, whole = [], F.col("_n") <= accuracy
     for i, p in enumerate(probs):
         at = (F.col("_n") - 1) * F.lit(p)
         ranges.append(
             F.struct(
                 F.lit(i).alias("i"),
-                (F.col("_min") if p - margin <= 0 else F.col("_ends")[2 * i]).alias("lo"),
-                (F.col("_max") if p + margin >= 1 else F.col("_ends")[2 * i + 1]).alias("hi"),
+                (F.col("_min") if p - margin <= 0 else F.when(whole, F.col("_min")).otherwise(F.col("_ends")[2 * i])).alias("lo"),
+                (F.col("_max") if p + margin >= 1 else F.when(whole, F.col("_max")).otherwise(F.col("_ends")[2 * i + 1])).alias("hi"),
                 F.floor(at).cast("long").alias("rank"),
                 (at - F.floor(at)).alias("share"),
             )

@@ -286,7 +286,7 @@ def trajectory(spark: SparkSession, sf: str) -> DataFrame:
     return df.withColumns({c: rounded(F.col(c), 6) for c in ("initial_value", "final_value", "step_volatility", "max_jump")})
 
 
-def _decompose_sql(v: str, source: str, part: str, order: str, ids: str, places: int) -> str:
+def _decompose_sql(v: str, source: str, part: str, order: str, ids: str, places: Sequence[int]) -> str:
     by = f"PARTITION BY {part} ORDER BY {order}" if part else f"ORDER BY {order}"
     key = f"{part}, " if part else ""
     frame = lambda a, b: f"({by} ROWS BETWEEN {a} PRECEDING AND {b} FOLLOWING)"
@@ -298,8 +298,8 @@ def _decompose_sql(v: str, source: str, part: str, order: str, ids: str, places:
              THEN (sum({v}) OVER {frame(6, 5)} + sum({v}) OVER {frame(5, 6)}) / 24 END AS trend FROM known),
       phases AS (SELECT {key}phase, avg({v} - trend) AS m, count(*) AS n FROM trended GROUP BY {key}phase),
       centred AS (SELECT {key}phase, CASE WHEN sum(n) {over_key} >= 24 THEN m - avg(m) {over_key} END AS seasonal FROM phases)
-      SELECT {ids}, round(CASE WHEN seasonal IS NOT NULL THEN trend END, {places}) + 0.0 AS trend,
-             round(seasonal, {places}) + 0.0 AS seasonal, round({v} - trend - seasonal, {places}) + 0.0 AS residual
+      SELECT {ids}, round(CASE WHEN seasonal IS NOT NULL THEN trend END, {places[0]}) + 0.0 AS trend,
+             round(seasonal, {places[1]}) + 0.0 AS seasonal, round({v} - trend - seasonal, {places[2]}) + 0.0 AS residual
       FROM trended JOIN centred {using}"""
 
 
@@ -307,29 +307,30 @@ def _nested(sql: str, *ctes: str) -> str:
     return sql.replace("WITH ", with_ctes("", *ctes).rstrip() + ", ", 1) if ctes else sql
 
 
-def _decomposed(df: DataFrame, ids: Sequence, places: int) -> DataFrame:
-    return df.select(*ids, *[rounded(F.col(c), places).alias(c) for c in ("trend", "seasonal", "residual")])
+def _decomposed(df: DataFrame, ids: Sequence, places: Sequence[int]) -> DataFrame:
+    parts = zip(("trend", "seasonal", "residual"), places)
+    return df.select(*ids, *[rounded(F.col(c), n).alias(c) for c, n in parts])
 
 
-@query("seasonal_decompose", _nested(_decompose_sql("value", "panel", "k", "t", "k, CAST(t AS VARCHAR) AS t", 5), "panel"))
+@query("seasonal_decompose", _nested(_decompose_sql("value", "panel", "k", "t", "k, CAST(t AS VARCHAR) AS t", (6, 5, 4)), "panel"))
 def seasonal_decompose(spark: SparkSession, sf: str) -> DataFrame:
     df = se.decompose(p.nation_panel(spark, sf).select("k", "t", "value"), p.NATION)
-    return _decomposed(df, ["k", F.col("t").cast("string").alias("t")], 5)
+    return _decomposed(df, ["k", F.col("t").cast("string").alias("t")], (6, 5, 4))
 
 
-@query("seasonal_decompose_ticks", _decompose_sql("value", "events", "event_type", "ts, event_id", "event_id", 6))
+@query("seasonal_decompose_ticks", _decompose_sql("value", "events", "event_type", "ts, event_id", "event_id", (6, 6, 6)))
 def seasonal_decompose_ticks(spark: SparkSession, sf: str) -> DataFrame:
     """Blocks of one long series per event type, with six rows of halo on either side."""
-    return _decomposed(se.decompose(p.ticks(spark, sf), p.TICKS), ["event_id"], 6)
+    return _decomposed(se.decompose(p.ticks(spark, sf), p.TICKS), ["event_id"], (6, 6, 6))
 
 
 @query(
     "seasonal_decompose_total",
-    _nested(_decompose_sql("value", "total", "", "t", "CAST(t AS VARCHAR) AS t", 3), "total"),
+    _nested(_decompose_sql("value", "total", "", "t", "CAST(t AS VARCHAR) AS t", (6, 4, 3)), "total"),
 )
 def seasonal_decompose_total(spark: SparkSession, sf: str) -> DataFrame:
     """A single series without keys."""
-    return _decomposed(se.decompose(p.total_series(spark, sf), p.TOTAL), [F.col("t").cast("string").alias("t")], 3)
+    return _decomposed(se.decompose(p.total_series(spark, sf), p.TOTAL), [F.col("t").cast("string").alias("t")], (6, 4, 3))
 
 
 @query(
