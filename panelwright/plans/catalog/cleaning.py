@@ -267,7 +267,7 @@ def export_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 # Each type of event writes its time in another way, and one not at all.
 _DATE_TEXT = """SELECT event_id, ts, CASE event_type
-    WHEN 'click' THEN CAST(epoch_ms(ts) AS VARCHAR)
+    WHEN 'click' THEN CAST(epoch_us(ts) // 1000 AS VARCHAR)
     WHEN 'error' THEN CAST(CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR)
     WHEN 'purchase' THEN strftime(ts, '%Y-%m-%d') WHEN 'signup' THEN strftime(ts, '%d/%m/%Y')
     ELSE 'unknown' END AS written FROM events"""

@@ -312,10 +312,10 @@ def _decomposed(df: DataFrame, ids: Sequence, places: Sequence[int]) -> DataFram
     return df.select(*ids, *[rounded(F.col(c), n).alias(c) for c, n in parts])
 
 
-@query("seasonal_decompose", _nested(_decompose_sql("value", "panel", "k", "t", "k, CAST(t AS VARCHAR) AS t", (6, 5, 4)), "panel"))
+@query("seasonal_decompose", _nested(_decompose_sql("value", "panel", "k", "t", "k, CAST(t AS VARCHAR) AS t", (6, 5, 3)), "panel"))
 def seasonal_decompose(spark: SparkSession, sf: str) -> DataFrame:
     df = se.decompose(p.nation_panel(spark, sf).select("k", "t", "value"), p.NATION)
-    return _decomposed(df, ["k", F.col("t").cast("string").alias("t")], (6, 5, 4))
+    return _decomposed(df, ["k", F.col("t").cast("string").alias("t")], (6, 5, 3))
 
 
 @query("seasonal_decompose_ticks", _decompose_sql("value", "events", "event_type", "ts, event_id", "event_id", (6, 6, 6)))
