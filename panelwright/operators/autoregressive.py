@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from panelwright.functions.stats import z_value
 from panelwright.functions.windowed import lagged
 from panelwright.operators.layout import join_on, over_series
+from panelwright.session import cut_lineage
 from panelwright.spec import SeriesSpec
 
 MAX_P, MAX_D, MAX_Q = 5, 2, 5
@@ -166,6 +167,7 @@ def _innovations(df: DataFrame, spec: SeriesSpec, orders: DataFrame, long_ar: in
     lagged_w = over_series(
         scaled, spec, lambda f: {n: lagged(F.col("w"), k + 1, f) for k, n in enumerate(names)}, before=long_ar
     )
+    lagged_w = cut_lineage(lagged_w, "arma-lags")  # read twice: for the fit and for its residuals
     sums = gram(lagged_w, keys, ["w", *names])
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -221,8 +223,9 @@ def _grid_scores(sums: DataFrame, keys: list[str], max_p: int, max_q: int) -> Da
 def arma_rows(
     df: DataFrame, spec: SeriesSpec, orders: DataFrame, max_p: int = MAX_P, max_q: int = MAX_Q, long_ar: int = LONG_AR
 ) -> DataFrame:
-    """The regression rows of all orders: w, its lags, e and its lags."""
-    return _regressors(_innovations(df, spec, orders, max(long_ar, max_p)), spec, max_q)
+    """The regression rows of all orders: w, its lags, e and its lags; a written table."""
+    rows = _regressors(_innovations(df, spec, orders, max(long_ar, max_p)), spec, max_q)
+    return cut_lineage(rows, "arma-rows")
 
 
 def order_search(rows: DataFrame, spec: SeriesSpec, max_p: int = MAX_P, max_q: int = MAX_Q) -> DataFrame:
@@ -258,7 +261,8 @@ def arima_fit(
     orders = differencing_order(df, spec, max_d)
     rows = arma_rows(df, spec, orders, max_p, max_q, long_ar)
     best = best_order(order_search(rows, spec, max_p, max_q), keys, criterion)
-    return join_on(best, orders, keys), rows
+    d = rows.groupBy(*keys).agg(F.max("d").alias("d"))
+    return cut_lineage(join_on(best, d, keys), "arma-models"), rows
 
 
 def _model_residual(max_p: int, max_q: int) -> Column:

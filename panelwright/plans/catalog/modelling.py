@@ -1 +1,465 @@
-"""."""
+"""Data sets, feature selection, models, scoring."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from panelwright.operators import autoregressive as ar
+from panelwright.operators import dataset, scoring, selection, sequence, trees
+from panelwright.operators import features as fe
+from panelwright.operators import fill
+from panelwright.operators.forecast import ar1_fit, future_calendar
+from panelwright.operators.layout import join_on, over_series
+from panelwright.operators.profile import metrics_long
+from panelwright.functions.windowed import lagged
+from panelwright.plans import panels as p
+from panelwright.plans.catalog import query
+from panelwright.plans.panels import rounded, with_ctes
+from panelwright.session import scratch_path
+from panelwright.sources import models as store
+
+_K = "k, CAST(t AS VARCHAR) AS t"
+
+
+def _text_t(df: DataFrame, **places: int) -> DataFrame:
+    out = df.withColumn("t", F.col("t").cast("string")) if "t" in df.columns else df
+    return out.withColumns({c: rounded(F.col(c), n) for c, n in places.items()})
+
+
+# --- data sets ------------------------------------------------------------------------
+
+
+@query(
+    "align_xy",
+    with_ctes(
+        """SELECT p.k, CAST(p.t AS VARCHAR) AS t, p.n, round(r.annual_rate, 6) + 0.0 AS annual_rate FROM panel p
+           JOIN rates r ON p.k = r.k AND p.t = r.t WHERE p.n >= 8 AND r.annual_rate IS NOT NULL""",
+        "rates",
+    ),
+)
+def align_xy(spark: SparkSession, sf: str) -> DataFrame:
+    x = p.nation_panel(spark, sf).select("k", "t", "n").where("n >= 8")
+    y = p.rate_panel(spark, sf).select("k", "t", "annual_rate").where("annual_rate IS NOT NULL")
+    return _text_t(dataset.align(x, y, p.NATION), annual_rate=6)
+
+
+_TICK_W = "(PARTITION BY event_type ORDER BY ts, event_id)"
+_TICK_SPLIT = f"""SELECT *, CASE WHEN row_number() OVER {_TICK_W}
+    <= floor(count(*) OVER (PARTITION BY event_type) * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS part FROM events"""
+
+
+@query("chrono_split", f"SELECT event_id, part FROM ({_TICK_SPLIT})")
+def chrono_split(spark: SparkSession, sf: str) -> DataFrame:
+    return dataset.chrono_split(p.ticks(spark, sf), p.TICKS).select("event_id", "part")
+
+
+_TICK_STATS = """SELECT event_type, avg(value) AS m, CASE WHEN stddev_pop(value) = 0 THEN 1 ELSE stddev_pop(value) END AS sd
+    FROM split WHERE part = 'train' GROUP BY event_type"""
+
+
+def _tick_scale(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    split = dataset.chrono_split(p.ticks(spark, sf), p.TICKS)
+    stats = dataset.scale_statistics(split.where("part = 'train'"), ["value"], ["event_type"])
+    return split, stats
+
+
+@query(
+    "standardise",
+    f"""WITH split AS ({_TICK_SPLIT}), stats AS ({_TICK_STATS})
+        SELECT event_id, part, round((value - m) / sd, 8) + 0.0 AS value FROM split JOIN stats USING (event_type)""",
+)
+def standardise(spark: SparkSession, sf: str) -> DataFrame:
+    split, stats = _tick_scale(spark, sf)
+    return _text_t(dataset.standardise(split, stats, ["value"], ["event_type"]).select("event_id", "part", "value"), value=8)
+
+
+@query("unstandardise", "SELECT event_id, round(value, 4) + 0.0 AS value FROM events")
+def unstandardise(spark: SparkSession, sf: str) -> DataFrame:
+    split, stats = _tick_scale(spark, sf)
+    scaled = dataset.standardise(split, stats, ["value"], ["event_type"])
+    return _text_t(dataset.unstandardise(scaled, stats, ["value"], ["event_type"]).select("event_id", "value"), value=4)
+
+
+@query(
+    "expanding_folds",
+    f"""SELECT event_id, CAST(fold AS INTEGER) AS fold, CASE WHEN pos <= first THEN 'train' ELSE 'test' END AS part FROM (
+          SELECT event_id, fold, pos, width, size - (6 - fold) * width AS first FROM (
+            SELECT event_id, row_number() OVER {_TICK_W} AS pos, count(*) OVER (PARTITION BY event_type) AS size,
+                   count(*) OVER (PARTITION BY event_type) // 6 AS width FROM events),
+            (SELECT unnest(generate_series(1, 5)) AS fold))
+        WHERE pos <= first + width""",
+)
+def expanding_folds(spark: SparkSession, sf: str) -> DataFrame:
+    return dataset.expanding_folds(p.ticks(spark, sf), p.TICKS).select("event_id", "fold", "part")
+
+
+# --- selection ----------------------------------------------------------------------------
+
+_PICKS = [f"value_lag_{k}" for k in fe.LAGS] + ["value_ma_3", "value_ma_12", "value_std_6"]
+_TICK_FEATURES = f"""SELECT event_id, value, {", ".join(f"lag(value, {k}) OVER {_TICK_W} AS value_lag_{k}" for k in fe.LAGS)},
+    avg(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS 2 PRECEDING) AS value_ma_3,
+    avg(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS 11 PRECEDING) AS value_ma_12,
+    stddev_samp(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS 5 PRECEDING) AS value_std_6 FROM events"""
+_TICK_LONG = f"FROM feats UNPIVOT INCLUDE NULLS (x FOR feature IN ({', '.join(_PICKS)}))"
+
+
+def _tick_features(spark: SparkSession, sf: str) -> DataFrame:
+    df = p.ticks(spark, sf).transform(fe.lags, p.TICKS).transform(fe.rolling, p.TICKS, stats=("ma", "std"))
+    return df.select("event_type", "ts", "event_id", "value", *_PICKS)
+
+
+@query(
+    "select_by_correlation",
+    f"""WITH feats AS ({_TICK_FEATURES}) SELECT feature, round(abs(corr(x, value)), 8) + 0.0 AS r
+        FROM ({_TICK_LONG}) GROUP BY feature HAVING abs(corr(x, value)) > 0.1""",
+)
+def select_by_correlation(spark: SparkSession, sf: str) -> DataFrame:
+    long = selection.long_with_target(_tick_features(spark, sf), _PICKS, "value")
+    return _text_t(selection.by_correlation(long, "value"), r=8)
+
+
+@query(
+    "select_by_variance",
+    f"""WITH feats AS ({_TICK_FEATURES}) SELECT feature, round(variance, 6) + 0.0 AS variance FROM (
+          SELECT *, max(variance) OVER () AS m FROM (SELECT feature, var_samp(x) AS variance FROM ({_TICK_LONG}) GROUP BY 1))
+        WHERE variance > m * 0.01""",
+)
+def select_by_variance(spark: SparkSession, sf: str) -> DataFrame:
+    long = selection.long_with_target(_tick_features(spark, sf), _PICKS, "value")
+    return _text_t(selection.by_variance(long), variance=6)
+
+
+@query(
+    "prune_collinear",
+    f"WITH feats AS ({_TICK_FEATURES}) SELECT f AS feature FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{b}' AS f, " + (" OR ".join(f"abs(corr({a}, {b})) > 0.6" for a in _PICKS[:i]) or "count(*) < 0") + " AS out FROM feats"
+        for i, b in enumerate(_PICKS)
+    )
+    + ") WHERE NOT out",
+)
+def prune_collinear(spark: SparkSession, sf: str) -> DataFrame:
+    return selection.prune_collinear(_tick_features(spark, sf), _PICKS, 0.6)
+
+
+_MI_FEATURES = ("l_quantity", "l_discount", "l_tax")
+_MI_BIN = " + ".join("CAST({c} > q_{c}[%d] AS INTEGER)" % i for i in range(1, 8))
+_MI_SQL = f"""WITH cuts AS (SELECT {", ".join(
+        f"quantile_cont({c}, [{', '.join(f'CAST({i / 8} AS DOUBLE)' for i in range(1, 8))}]) AS q_{c}"
+        for c in (*_MI_FEATURES, "l_extendedprice"))} FROM lineitem),
+    binned AS (SELECT {_MI_BIN.format(c="l_extendedprice")} AS yb, {", ".join(f"{_MI_BIN.format(c=c)} AS {c}" for c in _MI_FEATURES)}
+               FROM lineitem CROSS JOIN cuts),
+    cells AS (SELECT feature, xb, yb, CAST(count(*) AS DOUBLE) AS n
+              FROM (FROM binned UNPIVOT (xb FOR feature IN ({", ".join(_MI_FEATURES)}))) GROUP BY 1, 2, 3),
+    scored AS (SELECT feature, sum(n / total * ln(n * total / (nx * ny))) AS mi FROM (SELECT *,
+                 sum(n) OVER (PARTITION BY feature) AS total, sum(n) OVER (PARTITION BY feature, xb) AS nx,
+                 sum(n) OVER (PARTITION BY feature, yb) AS ny FROM cells) GROUP BY feature)"""
+
+
+@query("binned_mutual_information", f"{_MI_SQL} SELECT feature, round(mi, 8) + 0.0 AS mi FROM scored")
+def binned_mutual_information(spark: SparkSession, sf: str) -> DataFrame:
+    df = selection.mutual_information(p.table(spark, sf, "lineitem"), _MI_FEATURES, "l_extendedprice")
+    return _text_t(df, mi=8)
+
+
+@query(
+    "select_by_mutual_information",
+    f"{_MI_SQL} SELECT feature, round(mi, 8) + 0.0 AS mi FROM scored WHERE mi > (SELECT median(mi) FROM scored)",
+)
+def select_by_mutual_information(spark: SparkSession, sf: str) -> DataFrame:
+    df = selection.by_mutual_information(p.table(spark, sf, "lineitem"), _MI_FEATURES, "l_extendedprice")
+    return _text_t(df, mi=8)
+
+
+# --- autoregression ----------------------------------------------------------------------------
+
+
+@query(
+    "ar1_fit",
+    with_ctes(
+        """SELECT event_type, round(regr_slope(value, y1), 8) + 0.0 AS phi, round(regr_intercept(value, y1), 6) + 0.0 AS intercept,
+             round((regr_syy(value, y1) - regr_slope(value, y1) * regr_sxy(value, y1)) / (regr_count(value, y1) - 2), 4) + 0.0
+               AS sigma2, CAST(regr_count(value, y1) AS BIGINT) AS n
+           FROM lagged GROUP BY event_type""",
+        lagged=f"SELECT event_type, value, lag(value) OVER {_TICK_W} AS y1 FROM events",
+    ),
+)
+def fit_ar1(spark: SparkSession, sf: str) -> DataFrame:
+    return _text_t(ar1_fit(p.ticks(spark, sf), p.TICKS), phi=8, intercept=6, sigma2=4)
+
+
+_ADF = """{key}n, tau, -2.86154 - 2.8903 / n - 4.234 / (n * n) - 40.040 / (n * n * n) AS critical FROM (
+    SELECT {key}CAST(regr_count(dy, y1) AS DOUBLE) AS n, regr_slope(dy, y1) / nullif(sqrt((regr_syy(dy, y1)
+      - regr_slope(dy, y1) * regr_sxy(dy, y1)) / nullif(regr_count(dy, y1) - 2, 0) / nullif(regr_sxx(dy, y1), 0)), 0) AS tau
+    FROM (SELECT {key}{v} - lag({v}) OVER {w} AS dy, lag({v}) OVER {w} AS y1 FROM {source}) GROUP BY {group})"""
+
+
+def _adf_sql(source: str, v: str, key: str = "k", w: str = "(PARTITION BY k ORDER BY t)") -> str:
+    return "SELECT " + _ADF.format(key=f"{key}, ", v=v, w=w, source=source, group=key)
+
+
+@query(
+    "adf_lag0",
+    with_ctes(
+        """SELECT k, CAST(n AS BIGINT) AS n, round(tau, 6) + 0.0 AS tau, round(critical, 6) + 0.0 AS critical,
+             coalesce(tau <= critical, false) AS stationary FROM test""",
+        "panel",
+        test=_adf_sql("panel", "value"),
+    ),
+)
+def adf_lag0(spark: SparkSession, sf: str) -> DataFrame:
+    return _text_t(ar.adf_lag0(p.nation_panel(spark, sf), p.NATION), tau=6, critical=6)
+
+
+@query("adf_lagged")
+def adf_lagged(spark: SparkSession, sf: str) -> DataFrame:
+    return ar.adf(p.ticks(spark, sf), p.TICKS, lags=4)
+
+
+@query(
+    "differencing_order",
+    with_ctes(
+        """SELECT c.k, CAST(CASE WHEN coalesce(a.tau <= a.critical, false) THEN 0 WHEN coalesce(b.tau <= b.critical, false) THEN 1
+             ELSE 2 END AS INTEGER) AS d FROM (SELECT DISTINCT k FROM levels) c LEFT JOIN a USING (k) LEFT JOIN b ON b.k = c.k""",
+        "panel",
+        levels="SELECT k, t, sum(value) OVER (PARTITION BY k ORDER BY t ROWS UNBOUNDED PRECEDING) AS value FROM panel",
+        steps="SELECT k, t, value - lag(value) OVER (PARTITION BY k ORDER BY t) AS value FROM levels",
+        a=_adf_sql("levels", "value"),
+        b=_adf_sql("(SELECT * FROM steps WHERE value IS NOT NULL)", "value"),
+    ),
+)
+def differencing_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the running totals of each nation, which grow and must be differenced."""
+    totals = fill.cumulative(p.nation_panel(spark, sf).select("k", "t", "value"), p.NATION)
+    levels = totals.select("k", "t", F.col("value_cumsum").alias("value"))
+    return ar.differencing_order(levels, p.NATION)
+
+
+_LB_SUMS = ", ".join(f"sum(r * lag{k}) / nullif(sum(r * r), 0) AS rho{k}" for k in range(1, 11))
+_LB_LAGS = ", ".join(f"lag(r, {k}) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS lag{k}" for k in range(1, 11))
+_LB_Q = " + ".join(f"rho{k} * rho{k} / (n - {k})" for k in range(1, 11))
+
+
+@query(
+    "ljung_box",
+    with_ctes(
+        """SELECT event_type, n, round(q, 6) + 0.0 AS ljung_box,
+             round(exp(-q / 2) * (1 + q / 2 + pow(q / 2, 2) / 2 + pow(q / 2, 3) / 6 + pow(q / 2, 4) / 24), 8) + 0.0 AS p_value,
+             round(sd, 6) + 0.0 AS residual_std FROM stat""",
+        fits=f"""SELECT event_type, regr_slope(value, y1) AS phi, regr_intercept(value, y1) AS c
+                 FROM (SELECT event_type, value, lag(value) OVER {_TICK_W} AS y1 FROM events) GROUP BY 1""",
+        resid=f"""SELECT event_type, ts, event_id, value - c - phi * y1 AS e FROM (
+                 SELECT *, lag(value) OVER {_TICK_W} AS y1 FROM events) JOIN fits USING (event_type) WHERE y1 IS NOT NULL""",
+        centred="SELECT *, e - avg(e) OVER (PARTITION BY event_type) AS r FROM resid",
+        lagged=f"SELECT event_type, e, r, {_LB_LAGS} FROM centred",
+        rhos=f"SELECT event_type, count(*) AS n, stddev_samp(e) AS sd, {_LB_SUMS} FROM lagged GROUP BY event_type",
+        stat=f"SELECT event_type, n, sd, CAST(n AS DOUBLE) * (n + 2) * ({_LB_Q}) AS q FROM rhos",
+    ),
+)
+def ljung_box(spark: SparkSession, sf: str) -> DataFrame:
+    """Autocorrelation left in the residuals of a first-order autoregression."""
+    ticks = p.ticks(spark, sf)
+    lag = over_series(ticks, p.TICKS, lambda f: {"y1": lagged(F.col("value"), 1, f)}, before=1)
+    resid = join_on(lag, ar1_fit(ticks, p.TICKS), ["event_type"]).where("y1 IS NOT NULL").select(
+        "event_type", "ts", "event_id", (F.col("value") - F.col("intercept") - F.col("phi") * F.col("y1")).alias("residual")
+    )
+    df = ar.ljung_box(resid, p.TICKS)
+    return _text_t(
+        df.select("event_type", "n", "ljung_box", "p_value", "residual_std"), ljung_box=6, p_value=8, residual_std=6
+    )
+
+
+def _arima(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return ar.arima_fit(p.nation_panel(spark, sf).select("k", "t", "value"), p.NATION)
+
+
+@query("arma_order_search")
+def arma_order_search(spark: SparkSession, sf: str) -> DataFrame:
+    """All 36 orders of each event type's series, from one aggregation."""
+    ticks = p.ticks(spark, sf)
+    rows = ar.arma_rows(ticks, p.TICKS, ar.differencing_order(ticks, p.TICKS))
+    return ar.order_search(rows, p.TICKS).select("event_type", "p", "q", "n", "aic", "bic")
+
+
+@query("arima_fit")
+def arima_fit(spark: SparkSession, sf: str) -> DataFrame:
+    return _arima(spark, sf)[0]
+
+
+@query("arima_diagnostics")
+def arima_diagnostics(spark: SparkSession, sf: str) -> DataFrame:
+    models, rows = _arima(spark, sf)
+    return ar.diagnostics(models, rows, p.NATION)
+
+
+@query("arima_forecast")
+def arima_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    models, rows = _arima(spark, sf)
+    ahead = ar.arima_forecast(models, rows, p.NATION)
+    return join_on(future_calendar(p.nation_panel(spark, sf), p.NATION), ahead, ["k", "step"])
+
+
+# --- trees and sequences ----------------------------------------------------------------------------
+
+_FOREST = {"numTrees": 20, "maxDepth": 6}
+
+
+def _learning_table(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
+    """Lagged values and calendar columns of every nation with the part of the split."""
+    df = fe.lags(p.nation_panel(spark, sf).select("k", "t", "value"), p.NATION)
+    df = df.transform(fe.calendar_parts, "t").transform(fe.cyclical, "t").transform(fe.season_flags, "t")
+    names = [f"value_lag_{k}" for k in fe.LAGS] + ["month", "quarter", "month_sin", "month_cos", "is_summer", "is_christmas"]
+    spec = replace(p.NATION, values=(*names, "value"))
+    return dataset.chrono_split(fill.prepare_matrix(df, spec, "value"), p.NATION), names
+
+
+def _forest(spark: SparkSession, sf: str):
+    df, names = _learning_table(spark, sf)
+    return trees.fit_forest(df.where("part = 'train'"), names, "value", **_FOREST), df, names
+
+
+@query("forest_scores")
+def forest_scores(spark: SparkSession, sf: str) -> DataFrame:
+    model, df, _ = _forest(spark, sf)
+    scored = trees.score(model, df.where("part = 'test'")).withColumn("model", F.lit("random_forest"))
+    return scoring.forecast_metrics(scored, ["k", "model"])
+
+
+@query("forest_importance")
+def forest_importance(spark: SparkSession, sf: str) -> DataFrame:
+    return trees.importance_table(_forest(spark, sf)[0], spark, 5)
+
+
+@query("forest_selection")
+def forest_selection(spark: SparkSession, sf: str) -> DataFrame:
+    df, names = _learning_table(spark, sf)
+    picked = trees.select_by_forest(df, names, "value", **_FOREST)
+    return spark.createDataFrame([(n,) for n in picked], "feature string")
+
+
+@query("forest_interval")
+def forest_interval(spark: SparkSession, sf: str) -> DataFrame:
+    """Forecasts of the last twelve known rows with percentiles over the trees, on future dates."""
+    model, df, _ = _forest(spark, sf)
+    scored = trees.tree_interval(model, trees.score_last(model, df, p.NATION))
+    dated = trees.with_dates(scored, future_calendar(df, p.NATION), p.NATION)
+    return dated.select("k", "t", "step", "prediction", "lower", "upper", "level")
+
+
+@query("forest_cross_validation")
+def forest_cross_validation(spark: SparkSession, sf: str) -> DataFrame:
+    df, names = _learning_table(spark, sf)
+    grid = trees.parameter_grid(numTrees=(5, 10), maxDepth=(3, 5))
+    scores = trees.cross_validate(df, p.NATION, names, "value", grid, folds=3)
+    return trees.cv_table(scores)
+
+
+@query("model_reload")
+def model_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of a forest that was saved and loaded again by name."""
+    model, df, _ = _forest(spark, sf)
+    root = scratch_path(spark, "models")
+    store.save_model(model, root, "random_forest", "RandomForest", spark, _FOREST)
+    return trees.score(store.load_model(spark, root, "random_forest"), df.where("part = 'test'")).select("k", "t", "prediction")
+
+
+@query("sequence_model")
+def sequence_model(spark: SparkSession, sf: str) -> DataFrame:
+    """Twelve values predict the next one; trained on the events of all types, scored on the newest fifth."""
+    split = dataset.chrono_split(p.ticks(spark, sf), p.TICKS)
+    rows, stats = sequence.training_sequences(split, p.TICKS)
+    scored = sequence.score_test(sequence.fit_sequence_model(rows, p.TICKS), rows, stats, p.TICKS)
+    return scoring.forecast_metrics(scored.withColumn("model", F.lit("sequence")), ["event_type", "model"])
+
+
+@query("sequence_forecast")
+def sequence_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    split = dataset.chrono_split(p.nation_panel(spark, sf).select("k", "t", "value"), p.NATION)
+    rows, stats = sequence.training_sequences(split, p.NATION)
+    model = sequence.fit_sequence_model(rows, p.NATION)
+    ahead = sequence.recursive_forecast(model, sequence.last_sequences(split, p.NATION, stats), stats, p.NATION)
+    return join_on(ahead, future_calendar(split, p.NATION), ["k", "step"])
+
+
+# --- forecasts and scores ------------------------------------------------------------------------------
+
+
+@query(
+    "future_calendar",
+    with_ctes("SELECT k, CAST(step AS INTEGER) AS step, CAST(t AS VARCHAR) AS t FROM calendar", "calendar"),
+)
+def calendar_ahead(spark: SparkSession, sf: str) -> DataFrame:
+    return _text_t(future_calendar(p.price_panel(spark, sf), p.RATE))
+
+
+@query(
+    "baseline_forecasts",
+    with_ctes(f"SELECT {_K}, model, round(prediction, 8) + 0.0 AS prediction FROM forecasts", "forecasts"),
+)
+def baseline(spark: SparkSession, sf: str) -> DataFrame:
+    return _text_t(p.forecasts(spark, sf).drop("step"), prediction=8)
+
+
+_ROUNDED_METRICS = "round(mae, 8) + 0.0 AS mae, round(rmse, 8) + 0.0 AS rmse, round(mape, 4) + 0.0 AS mape"
+
+
+@query("forecast_metrics", with_ctes(f"SELECT k, model, {_ROUNDED_METRICS}, n_test FROM metrics", "metrics"))
+def forecast_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return _text_t(p.backtest(spark, sf)[1], mae=8, rmse=8, mape=4)
+
+
+@query(
+    "evaluate_models",
+    with_ctes(
+        f"""SELECT k, model, {_ROUNDED_METRICS}, n_test, CASE WHEN mae IS NULL THEN 'failed' ELSE 'success' END AS status
+            FROM (SELECT k, 'sequence' AS model FROM split GROUP BY k UNION ALL SELECT k, model FROM metrics) LEFT JOIN metrics
+            USING (k, model)""",
+        "metrics",
+    ),
+)
+def evaluate_models(spark: SparkSession, sf: str) -> DataFrame:
+    """A model that gave no scores is listed as failed."""
+    metrics = p.backtest(spark, sf)[1]
+    missing = metrics.groupBy("k").agg(F.lit("sequence").alias("model"))
+    everyone = metrics.select("k", "model").unionByName(missing)
+    return _text_t(scoring.evaluate(join_on(everyone, metrics, ["k", "model"], "left")), mae=8, rmse=8, mape=4)
+
+
+@query("best_model", with_ctes("SELECT k, model, round(best_score, 8) + 0.0 AS best_score, candidates FROM best", "best"))
+def best_model(spark: SparkSession, sf: str) -> DataFrame:
+    return _text_t(scoring.best_model(p.backtest(spark, sf)[1], ["k"]), best_score=8)
+
+
+@query(
+    "best_per_metric",
+    with_ctes(
+        """SELECT k, metric, min(model) AS model, round(min(score), 4) + 0.0 AS score FROM (
+             SELECT *, min(score) OVER (PARTITION BY k, metric) AS least
+             FROM (FROM metrics UNPIVOT (score FOR metric IN (mae, rmse, mape)))) WHERE score = least GROUP BY k, metric""",
+        "metrics",
+    ),
+)
+def best_per_metric(spark: SparkSession, sf: str) -> DataFrame:
+    return _text_t(scoring.best_per_metric(p.backtest(spark, sf)[1], ["k"]), score=4)
+
+
+@query(
+    "metrics_chart",
+    with_ctes(
+        "SELECT k, model, metric, round(score, 4) + 0.0 AS score FROM (FROM metrics UNPIVOT (score FOR metric IN (mae, rmse, mape)))",
+        "metrics",
+    ),
+)
+def metrics_chart(spark: SparkSession, sf: str) -> DataFrame:
+    return _text_t(metrics_long(p.backtest(spark, sf)[1].drop("n_test"), ["k", "model"]), score=4)
+
+
+@query(
+    "model_routing",
+    with_ctes(f"SELECT {_K}, model, round(prediction, 8) + 0.0 AS prediction FROM chosen", "chosen"),
+)
+def model_routing(spark: SparkSession, sf: str) -> DataFrame:
+    return _text_t(p.chosen_forecast(spark, sf)[0].select("k", "t", "model", "prediction"), prediction=8)

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelwright.functions.stats import z_value
 from panelwright.operators import features as fe
-from panelwright.operators import fill
+from panelwright.operators import fill, intervals, scoring
+from panelwright.operators.dataset import chrono_split
+from panelwright.operators.forecast import baseline_forecasts, future_calendar, test_grid
+from panelwright.operators.layout import join_on
 from panelwright.spec import SeriesSpec
 
 MONEY = "decimal(18,2)"
@@ -94,13 +98,10 @@ def rate_panel(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def price_panel(spark: SparkSession, sf: str) -> DataFrame:
-    """(k, t, rate): year-on-year change of the average price per item shipped, per return flag and month.
-
-    A slow series of the size of an inflation rate.
-    """
+    """(k, t, rate): year-on-year change of the average price per item shipped, per flags and month."""
     monthly = (
         table(spark, sf, "lineitem")
-        .groupBy(F.col("l_returnflag").alias("k"), month_of("l_shipdate").alias("t"))
+        .groupBy(F.concat("l_returnflag", "l_linestatus").alias("k"), month_of("l_shipdate").alias("t"))
         .agg(
             F.sum(F.col("l_extendedprice").cast(MONEY)).cast("double").alias("_money"),
             F.sum(F.col("l_quantity").cast("long")).cast("double").alias("_items"),
@@ -124,8 +125,34 @@ def gap_ticks(spark: SparkSession, sf: str) -> DataFrame:
     return events.select("event_type", "event_id", "ts", F.when(counter >= 30, F.col("value")).alias("value"))
 
 
+def backtest(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(tested, metrics) of the baseline models on the newest fifth of the price panel."""
+    split = chrono_split(price_panel(spark, sf), RATE)
+    train = split.where(F.col("part") == "train").drop("part")
+    tested = baseline_forecasts(test_grid(split, RATE), train, RATE)
+    return tested, scoring.forecast_metrics(tested, ["k", "model"], "rate")
+
+
+def forecasts(spark: SparkSession, sf: str) -> DataFrame:
+    """(k, step, t, model, prediction) of the baseline models for the next twelve months."""
+    prices = price_panel(spark, sf)
+    return baseline_forecasts(future_calendar(prices, RATE), prices, RATE)
+
+
+def chosen_forecast(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(forecast with interval of each key's best model, metrics of all models)."""
+    metrics = backtest(spark, sf)[1]
+    banded = intervals.normal_interval(
+        join_on(forecasts(spark, sf), metrics.select("k", "model", "rmse"), ["k", "model"], "left")
+    )
+    best = scoring.best_model(metrics, ["k"])
+    return scoring.route(banded, best, ["k"]), metrics
+
+
 # --- the same in SQL -----------------------------------------------------------------
 
+Z95 = f"CAST('{z_value(0.95)!r}' AS DOUBLE)"
+
 CTES = {
     "panel": """
         SELECT c_nationkey AS k, CAST(date_trunc('month', o_orderdate) AS DATE) AS t,
@@ -157,7 +184,7 @@ CTES = {
     "prices": """
         SELECT k, t, rate FROM (
           SELECT k, t, (value - lag(value, 12) OVER w) / nullif(lag(value, 12) OVER w, 0) * 100 AS rate
-          FROM (SELECT l_returnflag AS k, CAST(date_trunc('month', l_shipdate) AS DATE) AS t,
+          FROM (SELECT l_returnflag || l_linestatus AS k, CAST(date_trunc('month', l_shipdate) AS DATE) AS t,
                        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE)
                          / CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) AS value
                 FROM lineitem GROUP BY 1, 2)
@@ -169,7 +196,54 @@ CTES = {
                CASE WHEN CAST(json_extract(props, '$.k') AS INTEGER) >= 30 THEN value END AS value
         FROM events""",
 }
+# Backtest and forecast of the price panel with the baseline models.
+_FIT = """SELECT k, max_by(rate, t) AS last_value, avg(rate) AS mean_value, max(t) AS last_t,
+       regr_slope(rate, y1) AS phi, regr_intercept(rate, y1) AS c
+    FROM (SELECT *, lag(rate) OVER (PARTITION BY k ORDER BY t) AS y1 FROM {source}) GROUP BY k"""
+_MODELS = """SELECT {ids}, 'random_walk' AS model, last_value AS prediction FROM {source}
+    UNION ALL SELECT {ids}, 'historic_mean', mean_value FROM {source}
+    UNION ALL SELECT {ids}, 'ar1', c * (1 - pow(phi, step)) / (1 - phi) + pow(phi, step) * last_value FROM {source}"""
+CTES |= {
+    "split": """
+        SELECT *, CASE WHEN row_number() OVER (PARTITION BY k ORDER BY t)
+                    <= floor(count(*) OVER (PARTITION BY k) * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS part
+        FROM prices""",
+    "fits": _FIT.format(source="(SELECT * FROM split WHERE part = 'train')"),
+    "grid": """
+        SELECT k, t, rate, row_number() OVER (PARTITION BY k ORDER BY t) AS step, last_value, mean_value, phi, c
+        FROM split JOIN fits USING (k) WHERE part = 'test'""",
+    "tested": _MODELS.format(ids="k, t, rate, step", source="grid"),
+    "metrics": """
+        SELECT k, model, avg(abs(rate - prediction)) AS mae, sqrt(avg((rate - prediction) * (rate - prediction))) AS rmse,
+               avg(abs((rate - prediction) / nullif(rate, 0))) * 100 AS mape, count(rate - prediction) AS n_test
+        FROM tested GROUP BY k, model""",
+    "best": """
+        SELECT k, min(model) AS model, min(mae) AS best_score, max(candidates) AS candidates
+        FROM (SELECT *, min(mae) OVER (PARTITION BY k) AS least, count(*) OVER (PARTITION BY k) AS candidates FROM metrics)
+        WHERE mae = least GROUP BY k""",
+    "ahead": _FIT.format(source="prices"),
+    "calendar": """
+        SELECT k, step, CAST(date_trunc('month', last_t) + to_months(CAST(step AS INTEGER)) AS DATE) AS t,
+               last_value, mean_value, phi, c
+        FROM ahead, (SELECT unnest(generate_series(1, 12)) AS step)""",
+    "forecasts": _MODELS.format(ids="k, t, step", source="calendar"),
+    "banded": f"""
+        SELECT f.*, prediction - {Z95} * coalesce(rmse, 0.1) AS lower, prediction + {Z95} * coalesce(rmse, 0.1) AS upper
+        FROM forecasts f LEFT JOIN metrics USING (k, model)""",
+    "chosen": "SELECT b.* FROM banded b JOIN best USING (k, model)",
+}
 NEEDS = {"gaps": ["panel"], "rates": ["panel"]}
+NEEDS["split"] = ["prices"]
+NEEDS["fits"] = [*NEEDS["split"], "split"]
+NEEDS["grid"] = [*NEEDS["fits"], "fits"]
+NEEDS["tested"] = [*NEEDS["grid"], "grid"]
+NEEDS["metrics"] = [*NEEDS["tested"], "tested"]
+NEEDS["best"] = [*NEEDS["metrics"], "metrics"]
+NEEDS["ahead"] = ["prices"]
+NEEDS["calendar"] = ["prices", "ahead"]
+NEEDS["forecasts"] = [*NEEDS["calendar"], "calendar"]
+NEEDS["banded"] = [*NEEDS["metrics"], "metrics", *NEEDS["forecasts"], "forecasts"]
+NEEDS["chosen"] = [*NEEDS["banded"], "best", "banded"]
 
 
 def with_ctes(body: str, *names: str, **extra: str) -> str:
