@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.operators.dataset import scale_statistics, standardise
 from panelwright.operators.layout import join_on
 from panelwright.operators.seasonal import sequences, tail
+from panelwright.session import cut_lineage
 from panelwright.spec import SeriesSpec
 
 LENGTH = 12
@@ -61,23 +62,43 @@ def last_sequences(df: DataFrame, spec: SeriesSpec, stats: DataFrame, length: in
     )
 
 
-def recursive_forecast(model, last: DataFrame, stats: DataFrame, spec: SeriesSpec, horizon: int = 12) -> DataFrame:
-    """(keys, step, prediction): each step feeds its prediction back into the sequence.
+def _linear_path(model, horizon: int) -> Column:
+    """The sequence with ``horizon`` predictions appended, as one expression."""
+    weights = F.array(*[F.lit(float(c)) for c in model.coefficients])
+    size = len(model.coefficients)
 
-    The frame has one row per series, so the ``horizon`` rounds are narrow.
-    """
-    (v,) = spec.values
-    state = last.withColumn("_path", F.array().cast("array<double>"))
+    def step(path: Column, _: Column) -> Column:
+        recent = F.slice(path, F.size(path) - size + 1, F.lit(size))
+        terms = F.zip_with(recent, weights, lambda x, c: x * c)
+        ahead = F.aggregate(terms, F.lit(float(model.intercept)), lambda total, x: total + x)
+        return F.concat(path, F.array(ahead))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.col("sequence"), step)
+
+
+def _stepwise_path(model, last: DataFrame, horizon: int) -> DataFrame:
+    """The same for any regressor: one round per step on one row per series, written in between."""
+    state = last.withColumn("_path", F.col("sequence"))
     for _ in range(horizon):
-        state = (
-            model.transform(state.withColumn("features", array_to_vector("sequence")))
-            .withColumn("sequence", F.concat(F.slice("sequence", 2, F.size("sequence") - 1), F.array("prediction")))
+        scored = model.transform(state.withColumn("features", array_to_vector("sequence")))
+        state = cut_lineage(
+            scored.withColumn("sequence", F.concat(F.slice("sequence", 2, F.size("sequence") - 1), F.array("prediction")))
             .withColumn("_path", F.concat("_path", F.array("prediction")))
-            .drop("features", "prediction")
+            .drop("features", "prediction"),
+            "recursive",
         )
-    out = join_on(state, stats, spec.keys)
-    return out.select(
-        *spec.keys, f"sd_{v}", f"mean_{v}", F.posexplode("_path").alias("_i", "_z")
-    ).select(
-        *spec.keys, (F.col("_i") + 1).alias("step"), (F.col("_z") * F.col(f"sd_{v}") + F.col(f"mean_{v}")).alias("prediction")
-    )
+    return state
+
+
+def recursive_forecast(model, last: DataFrame, stats: DataFrame, spec: SeriesSpec, horizon: int = 12) -> DataFrame:
+    """(keys, step, prediction): each step feeds its prediction back into the sequence."""
+    (v,) = spec.values
+    if isinstance(model, LinearRegressionModel):
+        state = last.withColumn("_path", _linear_path(model, horizon))
+    else:
+        state = _stepwise_path(model, last, horizon)
+    ahead = F.slice("_path", F.size("_path") - horizon + 1, F.lit(horizon))
+    out = join_on(state.withColumn("_path", ahead), stats, spec.keys)
+    steps = out.select(*spec.keys, f"sd_{v}", f"mean_{v}", F.posexplode("_path").alias("_i", "_z"))
+    value = F.col("_z") * F.col(f"sd_{v}") + F.col(f"mean_{v}")
+    return steps.select(*spec.keys, (F.col("_i") + 1).alias("step"), value.alias("prediction"))
