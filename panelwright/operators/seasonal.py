@@ -118,7 +118,9 @@ def trailing_comparison(df: DataFrame, spec: SeriesSpec, n: int = 12) -> DataFra
 def trajectory(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """First and last value, direction, deviation and largest size of the steps, per key."""
     (v,) = spec.values
-    stepped = over_series(df, spec, lambda f: {"step": F.col(v) - w.lagged(F.col(v), 1, f)}, before=1)
+    name = f"{v}_step"
+    ordered = df.select(*spec.keys, *spec.order, v)
+    stepped = over_series(ordered, spec, lambda f: {name: F.col(v) - w.lagged(F.col(v), 1, f)}, before=1)
     at = F.struct(*spec.order)
     first, last = F.min_by(v, at), F.max_by(v, at)
     return stepped.groupBy(*spec.keys).agg(
@@ -127,6 +129,6 @@ def trajectory(df: DataFrame, spec: SeriesSpec) -> DataFrame:
         F.when(last > first, "increasing").when(F.count(F.lit(1)) > 1, "decreasing").otherwise("stable").alias(
             "overall_trend"
         ),
-        F.coalesce(F.stddev_pop("step"), F.lit(0.0)).alias("step_volatility"),
-        F.coalesce(F.max(F.abs("step")), F.lit(0.0)).alias("max_jump"),
+        F.coalesce(F.stddev_pop(name), F.lit(0.0)).alias("step_volatility"),
+        F.coalesce(F.max(F.abs(name)), F.lit(0.0)).alias("max_jump"),
     )
