@@ -8,11 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.operators.layout import join_on
-from panelwright.operators.profile import (
-    historical_statistics, prediction_buckets, prediction_statistics, regime_counts,
-)
+from panelwright.operators.profile import bucket_aggs, historical_statistics, prediction_aggs
 from panelwright.operators.scoring import best_model
-from panelwright.operators.seasonal import trailing_comparison, trajectory
+from panelwright.operators.seasonal import trailing_comparison, trajectory_aggs, with_steps
 from panelwright.spec import SeriesSpec
 
 # Limits of the rules.
@@ -141,24 +139,14 @@ def rule_inputs(history: DataFrame, forecast: DataFrame, spec: SeriesSpec) -> Da
     """One row per key with everything the rules look at."""
     keys = list(spec.keys)
     ahead = SeriesSpec(spec.keys, spec.time, ("prediction",), spec.freq)
-    past = historical_statistics(history, spec, "hist_")
-    stats = prediction_statistics(forecast, ahead).select(
-        *keys,
-        F.col("mean_prediction").alias("pred_mean"),
-        F.col("min_prediction").alias("pred_min"),
-        F.col("max_prediction").alias("pred_max"),
-        F.col("std_prediction").alias("pred_std"),
-        "prediction_count",
-        "mean_width",
-        "confidence_trend",
+    rows = forecast.select(*keys, *ahead.order, "prediction", "lower", "upper")
+    stats = with_steps(rows, ahead).groupBy(*keys).agg(
+        *prediction_aggs(ahead), *bucket_aggs(), *trajectory_aggs(ahead)
     )
-    out = join_on(past, stats, keys)
-    for part in (
-        trajectory(forecast, ahead), prediction_buckets(forecast, ahead),
-        trailing_comparison(history, spec), regime_counts(history, spec),
-    ):
-        out = join_on(out, part, keys)
-    return out
+    short = {"mean_prediction": "pred_mean", "min_prediction": "pred_min", "max_prediction": "pred_max", "std_prediction": "pred_std"}
+    past = historical_statistics(history, spec, "hist_", regimes=True)
+    out = join_on(past, stats.drop("start_date", "end_date").withColumnsRenamed(short), keys)
+    return join_on(out, trailing_comparison(history, spec), keys)
 
 
 def analyse(history: DataFrame, forecast: DataFrame, metrics: DataFrame, spec: SeriesSpec) -> DataFrame:

@@ -64,6 +64,17 @@ def _solve(g: np.ndarray, y: int, xs: Sequence[int]) -> tuple[np.ndarray, np.nda
     return coef, np.maximum(g[:, y, y] - np.einsum("bi,bi->b", coef, b), 0.0)
 
 
+def _stable(coef: np.ndarray) -> np.ndarray:
+    """Whether all roots of the lag polynomial with these coefficients lie inside the unit circle, per key."""
+    size = coef.shape[1]
+    if size == 0:
+        return np.ones(len(coef), bool)
+    companion = np.zeros((len(coef), size, size))
+    companion[:, 0, :] = coef
+    companion[:, range(1, size), range(size - 1)] = 1.0
+    return np.abs(np.linalg.eigvals(companion)).max(axis=1) < 1.0
+
+
 # --- stationarity ----------------------------------------------------------------
 
 
@@ -191,7 +202,7 @@ def _regressors(rows: DataFrame, spec: SeriesSpec, max_q: int) -> DataFrame:
 
 
 def _grid_scores(sums: DataFrame, keys: list[str], max_p: int, max_q: int) -> DataFrame:
-    """All (p, q) models of a key from one matrix of sums."""
+    """All (p, q) models of a key from one matrix of sums; only stationary, invertible ones are kept."""
     size = 2 + max_p + max_q
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -211,7 +222,8 @@ def _grid_scores(sums: DataFrame, keys: list[str], max_p: int, max_q: int) -> Da
                         loglik=-0.5 * n * (np.log(2 * pi * sigma2) + 1),
                         const=coef[:, 0], ar=list(coef[:, 1 : 1 + p]), ma=list(coef[:, 1 + p :]),
                     )
-                    yield out[n > len(xs) + 1]
+                    sound = _stable(coef[:, 1 : 1 + p]) & _stable(-coef[:, 1 + p :])
+                    yield out[sound & (n > len(xs) + 1)]
 
     rest = (
         "p int, q int, n long, sigma2 double, aic double, bic double, loglik double, const double, "

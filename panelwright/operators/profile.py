@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.stats import sample_kurtosis, sample_skewness
 from panelwright.operators.layout import join_on
-from panelwright.operators.quantiles import column_name, quantiles
+from panelwright.operators.quantiles import aggregate_with_quantiles, column_name, quantiles
 from panelwright.spec import SeriesSpec
 
 MAX_PAIRWISE_COLUMNS = 30
@@ -161,16 +161,16 @@ def rate_statistics(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Per key: location, spread and the periods above target or below zero."""
     (v,) = spec.values
     x = F.col(v)
-    moments = df.groupBy(*spec.keys).agg(
+    moments = [
         F.avg(x).alias("mean_rate"),
         F.stddev_samp(x).alias("std_rate"),
         F.min(x).alias("min_rate"),
         F.max(x).alias("max_rate"),
         F.count_if(x > TARGET_RATE).alias("periods_above_2_percent"),
         F.count_if(x < 0).alias("periods_deflation"),
-    )
-    median = quantiles(df, spec.keys, [v], [0.5], bounded=spec.bounded)
-    return join_on(moments, median, spec.keys).withColumnRenamed(column_name(v, 0), "median_rate")
+    ]
+    out = aggregate_with_quantiles(df, spec.keys, moments, v, [0.5], spec.bounded)
+    return out.withColumnRenamed(column_name(v, 0), "median_rate")
 
 
 def download_summary(df: DataFrame, time: str, columns: Sequence[str]) -> DataFrame:
@@ -231,20 +231,33 @@ def feature_summary(long: DataFrame) -> DataFrame:
     )
 
 
-def historical_statistics(df: DataFrame, spec: SeriesSpec, prefix: str = "") -> DataFrame:
-    """Per key: mean, median, population deviation, extremes, count and dispersion."""
+def _regime_aggs(x: Column) -> list[Column]:
+    return [
+        F.count_if(x > HIGH_RATE).alias("high_inflation_periods"),
+        F.count_if(x < LOW_RATE).alias("low_inflation_periods"),
+        F.count_if(x < 0).alias("deflation_periods"),
+        F.count_if((x >= LOW_RATE) & (x <= HIGH_RATE)).alias("stable_periods"),
+    ]
+
+
+def regime_counts(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    return df.groupBy(*spec.keys).agg(*_regime_aggs(F.col(spec.values[0])))
+
+
+def historical_statistics(df: DataFrame, spec: SeriesSpec, prefix: str = "", regimes: bool = False) -> DataFrame:
+    """Per key: mean, median, population deviation, extremes, count and dispersion; on request regime counts."""
     (v,) = spec.values
     x = F.col(v)
-    moments = df.groupBy(*spec.keys).agg(
+    moments = [
         F.avg(x).alias("mean"),
         F.stddev_pop(x).alias("std"),
         F.min(x).alias("min"),
         F.max(x).alias("max"),
         F.count(x).alias("count"),
-    )
-    quart = quantiles(df, spec.keys, [v], (0.25, 0.5, 0.75), bounded=spec.bounded)
+    ]
+    counts = _regime_aggs(x) if regimes else []
+    out = aggregate_with_quantiles(df, spec.keys, [*moments, *counts], v, (0.25, 0.5, 0.75), spec.bounded)
     q1, q2, q3 = (F.col(column_name(v, i)) for i in range(3))
-    out = join_on(moments, quart, spec.keys)
     stats = {
         "mean": F.col("mean"), "median": q2, "std": F.col("std"), "min": F.col("min"), "max": F.col("max"),
         "count": F.col("count"),
@@ -252,26 +265,15 @@ def historical_statistics(df: DataFrame, spec: SeriesSpec, prefix: str = "") ->
         "range": F.col("max") - F.col("min"),
         "iqr": q3 - q1,
     }
-    return out.select(*spec.keys, *[c.alias(prefix + n) for n, c in stats.items()])
+    names = ["high_inflation_periods", "low_inflation_periods", "deflation_periods", "stable_periods"]
+    return out.select(*spec.keys, *[c.alias(prefix + n) for n, c in stats.items()], *(names if regimes else []))
 
 
-def regime_counts(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    x = F.col(spec.values[0])
-    return df.groupBy(*spec.keys).agg(
-        F.count_if(x > HIGH_RATE).alias("high_inflation_periods"),
-        F.count_if(x < LOW_RATE).alias("low_inflation_periods"),
-        F.count_if(x < 0).alias("deflation_periods"),
-        F.count_if((x >= LOW_RATE) & (x <= HIGH_RATE)).alias("stable_periods"),
-    )
-
-
-def prediction_statistics(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Per key: forecast statistics and interval widths. Forecasts are a few rows per key."""
-    keys, p = list(spec.keys), F.col("prediction")
-    width = F.col("upper") - F.col("lower")
+def prediction_aggs(spec: SeriesSpec) -> list[Column]:
+    p, width = F.col("prediction"), F.col("upper") - F.col("lower")
     at = F.struct(*spec.order)
     first, last = F.min_by(width, at), F.max_by(width, at)
-    return df.groupBy(*keys).agg(
+    return [
         F.count(p).alias("prediction_count"),
         F.min(spec.time).alias("start_date"),
         F.max(spec.time).alias("end_date"),
@@ -287,17 +289,26 @@ def prediction_statistics(df: DataFrame, spec: SeriesSpec) -> DataFrame:
         F.when(last > first, "increasing").when(F.count(F.lit(1)) > 1, "decreasing").otherwise("stable").alias(
             "confidence_trend"
         ),
-    )
+    ]
 
 
-def prediction_buckets(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+def prediction_statistics(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Per key: forecast statistics and interval widths. Forecasts are a few rows per key."""
+    return df.groupBy(*spec.keys).agg(*prediction_aggs(spec))
+
+
+def bucket_aggs() -> list[Column]:
     p = F.col("prediction")
-    return df.groupBy(*spec.keys).agg(
+    return [
         F.count_if(p > HIGH_RATE).alias("high_inflation_months"),
         F.count_if((p >= LOW_RATE) & (p <= HIGH_RATE)).alias("moderate_inflation_months"),
         F.count_if((p >= 0) & (p < LOW_RATE)).alias("low_inflation_months"),
         F.count_if(p < 0).alias("deflation_months"),
-    )
+    ]
+
+
+def prediction_buckets(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    return df.groupBy(*spec.keys).agg(*bucket_aggs())
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20, by: Sequence[str] = ()) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.operators.layout import join_on
@@ -58,6 +58,17 @@ def quantiles(
     return join_on(df.select(*by).distinct(), found, by, "left")  # groups without any value too
 
 
+def aggregate_with_quantiles(
+    df: DataFrame, by: Sequence[str], aggs: Sequence[Column], column: str, probs: Sequence[float], bounded: bool
+) -> DataFrame:
+    """Aggregates and quantiles of one column side by side; one aggregation where groups are bounded."""
+    by = list(by)
+    if not bounded:
+        return join_on(df.groupBy(*by).agg(*aggs), quantiles(df, by, [column], probs), by)
+    cells = [F.percentile(column, F.lit(float(p))).alias(column_name(column, i)) for i, p in enumerate(probs)]
+    return df.groupBy(*by).agg(*aggs, *cells)
+
+
 def exact_ranks(
     long: DataFrame,
     groups: Sequence[str],

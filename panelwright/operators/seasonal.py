@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions import windowed as w
@@ -115,20 +115,27 @@ def trailing_comparison(df: DataFrame, spec: SeriesSpec, n: int = 12) -> DataFra
     )
 
 
-def trajectory(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """First and last value, direction, deviation and largest size of the steps, per key."""
+def with_steps(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Adds ``{v}_step``, the change from the row before."""
+    (v,) = spec.values
+    return over_series(df, spec, lambda f: {f"{v}_step": F.col(v) - w.lagged(F.col(v), 1, f)}, before=1)
+
+
+def trajectory_aggs(spec: SeriesSpec) -> list[Column]:
     (v,) = spec.values
-    name = f"{v}_step"
-    ordered = df.select(*spec.keys, *spec.order, v)
-    stepped = over_series(ordered, spec, lambda f: {name: F.col(v) - w.lagged(F.col(v), 1, f)}, before=1)
-    at = F.struct(*spec.order)
+    at, step = F.struct(*spec.order), F.col(f"{v}_step")
     first, last = F.min_by(v, at), F.max_by(v, at)
-    return stepped.groupBy(*spec.keys).agg(
+    trend = F.when(last > first, "increasing").when(F.count(F.lit(1)) > 1, "decreasing").otherwise("stable")
+    return [
         first.alias("initial_value"),
         last.alias("final_value"),
-        F.when(last > first, "increasing").when(F.count(F.lit(1)) > 1, "decreasing").otherwise("stable").alias(
-            "overall_trend"
-        ),
-        F.coalesce(F.stddev_pop(name), F.lit(0.0)).alias("step_volatility"),
-        F.coalesce(F.max(F.abs(name)), F.lit(0.0)).alias("max_jump"),
-    )
+        trend.alias("overall_trend"),
+        F.coalesce(F.stddev_pop(step), F.lit(0.0)).alias("step_volatility"),
+        F.coalesce(F.max(F.abs(step)), F.lit(0.0)).alias("max_jump"),
+    ]
+
+
+def trajectory(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """First and last value, direction, deviation and largest size of the steps, per key."""
+    (v,) = spec.values
+    return with_steps(df.select(*spec.keys, *spec.order, v), spec).groupBy(*spec.keys).agg(*trajectory_aggs(spec))

@@ -12,7 +12,7 @@ from panelwright.plans import pipeline
 from panelwright.plans.catalog import query
 from panelwright.plans.catalog.cleaning import _LINEAR, _points
 from panelwright.plans.panels import Z95, rounded, with_ctes
-from panelwright.session import scratch_path
+from panelwright.session import cut_lineage, scratch_path
 from panelwright.sources import sinks
 
 _K = "k, CAST(t AS VARCHAR) AS t"
@@ -259,7 +259,9 @@ _RECOMMENDATIONS = _list(
 
 
 def _rules(spark: SparkSession, sf: str) -> DataFrame:
-    return analysis.rule_inputs(p.price_panel(spark, sf), _chosen(spark, sf), p.RATE)
+    """The rules read history and forecast several times, so both are written once."""
+    history = cut_lineage(p.price_panel(spark, sf), "history")
+    return analysis.rule_inputs(history, cut_lineage(_chosen(spark, sf), "forecast"), p.RATE)
 
 
 def _rule_sql(cells: str) -> str:
@@ -349,8 +351,10 @@ def conclusions(spark: SparkSession, sf: str) -> DataFrame:
 def analyse(spark: SparkSession, sf: str) -> DataFrame:
     """The whole analysis of every key, written as JSON and read back."""
     forecast, metrics = p.chosen_forecast(spark, sf)
+    history, metrics = cut_lineage(p.price_panel(spark, sf), "history"), cut_lineage(metrics, "metrics")
     path = scratch_path(spark, "analysis")
-    sinks.write_analysis(analysis.analyse(p.price_panel(spark, sf), forecast, metrics, p.RATE), path)
+    forecast = cut_lineage(forecast.drop("step"), "forecast")
+    sinks.write_analysis(analysis.analyse(history, forecast, metrics, p.RATE), path)
     schema = """k string, historical_regime string, predicted_regime string, outlook string, recommendations array<string>,
         reliability string, pred_mean double, hist_mean double"""
     df = spark.read.schema(schema).json(path).withColumn("recommendations", _joined(F.col("recommendations")))
