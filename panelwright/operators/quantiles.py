@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,8 +33,8 @@ def quantiles(
     1. a mergeable sketch gives each group a value range that surely encloses
        each wanted rank (its rank error is below 1/accuracy, the range spans
        four of these on either side);
-    2. one more pass counts the values below each range and collects the
-       distinct values inside, a few ten-thousandths of the group;
+    2. one more pass counts the values below each range and keeps the distinct
+       values inside with their counts, a few ten-thousandths of the group;
     3. a running count over those finds the exact neighbours of the rank.
     """
     by, probs = list(by), [float(p) for p in probs]
@@ -93,53 +94,42 @@ def exact_ranks(
         F.max(value).alias("_max"),
         F.percentile_approx(value, ends, accuracy).alias("_ends"),
     )
-    ranges, whole = [], F.col("_n") <= accuracy
-    for i, p in enumerate(probs):
-        at = (F.col("_n") - 1) * F.lit(p)
-        ranges.append(
-            F.struct(
-                F.lit(i).alias("i"),
-                (F.col("_min") if p - margin <= 0 else F.when(whole, F.col("_min")).otherwise(F.col("_ends")[2 * i])).alias("lo"),
-                (F.col("_max") if p + margin >= 1 else F.when(whole, F.col("_max")).otherwise(F.col("_ends")[2 * i + 1])).alias("hi"),
-                F.floor(at).cast("long").alias("rank"),
-                (at - F.floor(at)).alias("share"),
-            )
-        )
-    ranges = sketch.select(*groups, F.array(*ranges).alias("_ranges"))
-    hit = join_on(long, F.broadcast(ranges) if few_groups else ranges, groups)
-    value_col = F.col(value)
-    # values are counted once per range: inside by value, below it as one group
-    placed = hit.select(
+    whole, ids = F.col("_n") <= accuracy, range(len(probs))
+    low = lambda i: whole if probs[i] - margin > 0 else F.lit(True)
+    high = lambda i: whole if probs[i] + margin < 1 else F.lit(True)
+    ranges = sketch.select(
         *groups,
-        value_col,
-        F.explode(
-            F.transform(
-                F.filter("_ranges", lambda r: value_col <= r["hi"]),
-                lambda r: F.struct(r.alias("r"), (value_col < r["lo"]).alias("below")),
-            )
-        ).alias("_at"),
+        "_n",
+        *[F.when(low(i), F.col("_min")).otherwise(F.col("_ends")[2 * i]).alias(f"_lo{i}") for i in ids],
+        *[F.when(high(i), F.col("_max")).otherwise(F.col("_ends")[2 * i + 1]).alias(f"_hi{i}") for i in ids],
     )
+    if few_groups:
+        ranges = F.broadcast(ranges)
+    x = F.col(value)
+    inside = reduce(lambda a, b: a | b, [x.between(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in ids])
     counted = (
-        placed.select(
-            *groups,
-            F.col("_at.r").alias("_r"),
-            F.when(~F.col("_at.below"), value_col).alias("_x"),
-        )
-        .groupBy(*groups, "_r", "_x")
-        .agg(F.count(F.lit(1)).alias("_c"))
+        join_on(long, ranges.drop("_n"), groups)
+        .groupBy(*groups, F.when(inside, x).alias("_x"))
+        .agg(F.count(F.lit(1)).alias("_c"), *[F.count_if(x < F.col(f"_lo{i}")).alias(f"_b{i}") for i in ids])
     )
-    upto = (
-        Window.partitionBy(*groups, F.col("_r.i"))
-        .orderBy(F.col("_x").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranked = counted.withColumn("_upto", F.sum("_c").over(upto))
-    rank, x = F.col("_r.rank"), F.col("_x")
-    found = ranked.groupBy(*groups, F.col("_r.i").alias("_i")).agg(
-        F.max("_r.share").alias("_share"),
-        F.min(F.when((F.col("_upto") > rank) & x.isNotNull(), x)).alias("_a"),
-        F.min(F.when((F.col("_upto") > rank + 1) & x.isNotNull(), x)).alias("_b"),
-        F.coalesce(F.max(F.when(x.isNull(), F.col("_c") > rank)), F.lit(False)).alias("_missed"),
+    below = counted.groupBy(*groups).agg(*[F.sum(f"_b{i}").alias(f"_below{i}") for i in ids])
+    known = join_on(ranges, below, groups)
+    places = []
+    for i, p in enumerate(probs):
+        at = (F.col("_n") - 1) * F.lit(p)
+        cells = {"i": F.lit(i), "lo": F.col(f"_lo{i}"), "hi": F.col(f"_hi{i}"), "below": F.col(f"_below{i}")}
+        cells |= {"rank": F.floor(at).cast("long"), "share": at - F.floor(at)}
+        places.append(F.struct(*[c.alias(n) for n, c in cells.items()]))
+    known = known.select(*groups, F.explode(F.array(*places)).alias("_r"))
+    candidates = join_on(counted.where(F.col("_x").isNotNull()).select(*groups, "_x", "_c"), known, groups)
+    candidates = candidates.where(F.col("_x").between(F.col("_r.lo"), F.col("_r.hi"))).select(*groups, "_r.*", "_x", "_c")
+    upto = Window.partitionBy(*groups, "i").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = candidates.withColumn("_upto", F.col("below") + F.sum("_c").over(upto))
+    found = ranked.groupBy(*groups, F.col("i").alias("_i")).agg(
+        F.max("share").alias("_share"),
+        F.max(F.col("below") > F.col("rank")).alias("_missed"),
+        F.min(F.when(F.col("_upto") > F.col("rank"), F.col("_x"))).alias("_a"),
+        F.min(F.when(F.col("_upto") > F.col("rank") + 1, F.col("_x"))).alias("_b"),
     )
     a, b, share = F.col("_a"), F.col("_b"), F.col("_share")
     exact = F.when(share == 0, a).otherwise(a + (b - a) * share)
