@@ -56,11 +56,12 @@ def inflation_rates(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return over_series(df, spec, build, before=year)
 
 
-def lags(df: DataFrame, spec: SeriesSpec, steps: Sequence[int] = LAGS, **layout) -> DataFrame:
-    def build(f: Frame):
-        return _all(spec.values, lambda v, c: {f"{v}_lag_{k}": w.lagged(c, k, f) for k in steps})
+def _lag_columns(spec: SeriesSpec, f: Frame, steps: Sequence[int] = LAGS) -> dict[str, Column]:
+    return _all(spec.values, lambda v, c: {f"{v}_lag_{k}": w.lagged(c, k, f) for k in steps})
 
-    return over_series(df, spec, build, before=max(steps), **layout)
+
+def lags(df: DataFrame, spec: SeriesSpec, steps: Sequence[int] = LAGS, **layout) -> DataFrame:
+    return over_series(df, spec, lambda f: _lag_columns(spec, f, steps), before=max(steps), **layout)
 
 
 def check_lags(df: DataFrame, spec: SeriesSpec, steps: Sequence[int] = LAGS) -> DataFrame:
@@ -89,18 +90,29 @@ def check_lags(df: DataFrame, spec: SeriesSpec, steps: Sequence[int] = LAGS) ->
 _ROLLING = {"ma": w.rolling_mean, "std": w.rolling_std, "min": w.rolling_min, "max": w.rolling_max}
 
 
+def _rolling_columns(
+    spec: SeriesSpec, f: Frame, windows: Sequence[int] = WINDOWS, stats: Sequence[str] = tuple(_ROLLING)
+) -> dict[str, Column]:
+    return _all(
+        spec.values, lambda v, c: {f"{v}_{s}_{n}": _ROLLING[s](c, n, f) for n in windows for s in stats}
+    )
+
+
+def lags_and_rolling(df: DataFrame, spec: SeriesSpec, stats: Sequence[str] = tuple(_ROLLING), **layout) -> DataFrame:
+    """Both column sets from one layout of the series."""
+    return over_series(
+        df, spec, lambda f: _lag_columns(spec, f) | _rolling_columns(spec, f, stats=stats),
+        before=max(*LAGS, *WINDOWS), **layout,
+    )
+
+
 def rolling(
     df: DataFrame, spec: SeriesSpec, windows: Sequence[int] = WINDOWS, stats: Sequence[str] = tuple(_ROLLING), **layout
 ) -> DataFrame:
     """Moving statistics; windows at the start of a series hold the rows there are."""
-
-    def build(f: Frame):
-        return _all(
-            spec.values,
-            lambda v, c: {f"{v}_{s}_{n}": _ROLLING[s](c, n, f) for n in windows for s in stats},
-        )
-
-    return over_series(df, spec, build, before=max(windows), **layout)
+    return over_series(
+        df, spec, lambda f: _rolling_columns(spec, f, windows, stats), before=max(windows), **layout
+    )
 
 
 def rolling_full(df: DataFrame, spec: SeriesSpec, window: int = 12, **layout) -> DataFrame:
@@ -131,51 +143,40 @@ def trends(df: DataFrame, spec: SeriesSpec, windows: Sequence[int] = TREND_WINDO
     return over_series(df, spec, build, before=max(windows), **layout)
 
 
-def indicators(df: DataFrame, spec: SeriesSpec, **layout) -> DataFrame:
-    """Trend, momentum, volatility, position and deviation columns of each value.
-
-    Every window column is computed once; ratios are plain projections of
-    them, so the whole set needs one shuffle and one sort.
-    """
+def _indicator_stages(spec: SeriesSpec, f: Frame) -> list[dict[str, Column]]:
+    """Window columns, each computed once, then slopes and plain projections of them."""
     ma_windows = sorted({*CV_WINDOWS, *DEVIATION_WINDOWS})
     sd_windows = sorted({*VOLATILITY_WINDOWS, *CV_WINDOWS, *DEVIATION_WINDOWS})
 
-    def base(f: Frame):
-        def make(v, c):
-            out = {f"_c_{v}": w.running_count(c, f), f"{v}_acceleration": w.second_difference(c, f)}
-            out |= {f"{v}_roc_{k}": w.pct_change(c, k, f) for k in ROC_PERIODS}
-            out |= {f"_ma{n}_{v}": w.rolling_mean(c, n, f) for n in ma_windows}
-            out |= {f"_sd{n}_{v}": w.rolling_std(c, n, f) for n in sd_windows}
-            out |= {f"_lo{n}_{v}": w.rolling_min(c, n, f) for n in POSITION_WINDOWS}
-            out |= {f"_hi{n}_{v}": w.rolling_max(c, n, f) for n in POSITION_WINDOWS}
-            return out
-
-        return _all(spec.values, make)
-
-    def derived(f: Frame):
-        def make(v, c):
-            part = lambda p, n: F.col(f"_{p}{n}_{v}")
-            out = {f"{v}_trend_{n}": w.trend_slope(c, F.col(f"_c_{v}"), n, f) for n in TREND_WINDOWS}
-            out |= {f"{v}_volatility_{n}": part("sd", n) for n in VOLATILITY_WINDOWS}
-            out |= {f"{v}_cv_{n}": F.try_divide(part("sd", n), part("ma", n)) for n in CV_WINDOWS}
-            out |= {
-                f"{v}_position_{n}": w.position_in_range(c, part("lo", n), part("hi", n)) for n in POSITION_WINDOWS
-            }
-            for n in DEVIATION_WINDOWS:
-                out[f"{v}_ma_deviation_{n}"] = c - part("ma", n)
-                out[f"{v}_zscore_{n}"] = w.zscore(c, part("ma", n), part("sd", n))
-            return out
-
-        return _all(spec.values, make)
+    def base(v: str, c: Column) -> dict[str, Column]:
+        out = {f"_c_{v}": w.running_count(c, f), f"{v}_acceleration": w.second_difference(c, f)}
+        out |= {f"{v}_roc_{k}": w.pct_change(c, k, f) for k in ROC_PERIODS}
+        out |= {f"_ma{n}_{v}": w.rolling_mean(c, n, f) for n in ma_windows}
+        out |= {f"_sd{n}_{v}": w.rolling_std(c, n, f) for n in sd_windows}
+        out |= {f"_lo{n}_{v}": w.rolling_min(c, n, f) for n in POSITION_WINDOWS}
+        out |= {f"_hi{n}_{v}": w.rolling_max(c, n, f) for n in POSITION_WINDOWS}
+        return out
 
-    return over_series(
-        df, spec, lambda f: [base(f), derived(f)], before=max(*TREND_WINDOWS, *ROC_PERIODS), **layout
-    )
+    def derived(v: str, c: Column) -> dict[str, Column]:
+        part = lambda p, n: F.col(f"_{p}{n}_{v}")
+        out = {f"{v}_trend_{n}": w.trend_slope(c, F.col(f"_c_{v}"), n, f) for n in TREND_WINDOWS}
+        out |= {f"{v}_volatility_{n}": part("sd", n) for n in VOLATILITY_WINDOWS}
+        out |= {f"{v}_cv_{n}": F.try_divide(part("sd", n), part("ma", n)) for n in CV_WINDOWS}
+        out |= {f"{v}_position_{n}": w.position_in_range(c, part("lo", n), part("hi", n)) for n in POSITION_WINDOWS}
+        for n in DEVIATION_WINDOWS:
+            out[f"{v}_ma_deviation_{n}"] = c - part("ma", n)
+            out[f"{v}_zscore_{n}"] = w.zscore(c, part("ma", n), part("sd", n))
+        return out
+
+    return [_all(spec.values, base), _all(spec.values, derived)]
 
 
-def indicator_columns(df: DataFrame, spec: SeriesSpec) -> list[str]:
-    """Names the operator above adds, in order."""
-    return [c for c in indicators(df, spec).columns if c not in df.columns]
+INDICATOR_REACH = max(*TREND_WINDOWS, *ROC_PERIODS)
+
+
+def indicators(df: DataFrame, spec: SeriesSpec, **layout) -> DataFrame:
+    """Trend, momentum, volatility, position and deviation columns of each value, in one sort."""
+    return over_series(df, spec, lambda f: _indicator_stages(spec, f), before=INDICATOR_REACH, **layout)
 
 
 def difference(df: DataFrame, spec: SeriesSpec, order: int = 1, **layout) -> DataFrame:
@@ -195,13 +196,6 @@ def difference(df: DataFrame, spec: SeriesSpec, order: int = 1, **layout) -> Dat
     return out.where(F.col("series_pos") > order).drop("series_pos")
 
 
-def step_lag_diff(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Change to the next row of the series, per value column."""
-    return over_series(
-        df, spec, lambda f: _all(spec.values, lambda v, c: {f"{v}_step": c - w.lagged(c, 1, f)}), before=1
-    )
-
-
 # --- calendar -----------------------------------------------------------------
 
 # Months that carry their own flag.
@@ -265,7 +259,7 @@ def cascade_long(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     The wide form needs a column per combination (thousands). Here the first
     level is unpivoted and the indicators run once over (keys, feature).
     """
-    first = df.transform(lags, spec).transform(rolling, spec)
+    first = lags_and_rolling(df, spec)
     ids = [*spec.keys, *spec.order]
     columns = [c for c in first.columns if c not in ids]
     long = to_long(first, ids, columns)
@@ -273,11 +267,12 @@ def cascade_long(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return indicators(long, inner)
 
 
-def feature_matrix(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Lags, moving statistics, calendar columns and indicators of the base values, side by side."""
-    return (
-        df.transform(lags, spec)
-        .transform(rolling, spec)
-        .transform(seasonal_features, spec.time)
-        .transform(indicators, spec)
-    )
+def feature_matrix(df: DataFrame, spec: SeriesSpec, **layout) -> DataFrame:
+    """Lags, moving statistics, indicators and calendar columns of the base values, side by side."""
+
+    def build(f: Frame) -> list[dict[str, Column]]:
+        base, derived = _indicator_stages(spec, f)
+        return [_lag_columns(spec, f) | _rolling_columns(spec, f) | base, derived]
+
+    reach = max(INDICATOR_REACH, *LAGS, *WINDOWS)
+    return over_series(df, spec, build, before=reach, **layout).transform(seasonal_features, spec.time)

@@ -11,6 +11,7 @@ windows ran. No task ever sees more than one block plus its halo of a series.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from math import ceil
 
 from pyspark.ml.feature import Bucketizer
@@ -95,6 +96,13 @@ def slice_bounds(df: DataFrame, spec: SeriesSpec, slice_rows: int = SLICE_ROWS)
     return sorted({c for c in cuts if c != float("-inf")})
 
 
+def with_cuts(df: DataFrame, spec: SeriesSpec, slice_rows: int = SLICE_ROWS) -> SeriesSpec:
+    """The spec with cut points of ``df``, so that operators on derived tables need not look for them again."""
+    if spec.bounded or spec.cuts is not None:
+        return spec
+    return replace(spec, cuts=tuple(slice_bounds(df, spec, slice_rows)))
+
+
 def number_rows(df: DataFrame, spec: SeriesSpec, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Adds ``_pos``: the 1-based position of each row in its series.
 
@@ -104,7 +112,7 @@ def number_rows(df: DataFrame, spec: SeriesSpec, slice_rows: int = SLICE_ROWS) -
     keys = list(spec.keys)
     if spec.bounded:
         return df.withColumn(POS, F.row_number().over(Frame(keys, spec.order).ordered).cast("long"))
-    cuts = slice_bounds(df, spec, slice_rows)
+    cuts = with_cuts(df, spec, slice_rows).cuts
     if not cuts:  # the whole table is smaller than one slice
         return df.withColumn(POS, F.row_number().over(Frame(keys, spec.order).ordered).cast("long"))
     sliced = Bucketizer(

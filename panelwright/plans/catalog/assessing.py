@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.operators import analysis, checks, intervals, profile
-from panelwright.operators.layout import join_on
 from panelwright.plans import panels as p
 from panelwright.plans import pipeline
 from panelwright.plans.catalog import query
@@ -32,8 +31,8 @@ def _joined(codes: Column) -> Column:
 
 
 def _with_rmse(spark: SparkSession, sf: str) -> DataFrame:
-    metrics = p.backtest(spark, sf)[1].select("k", "model", "rmse")
-    return join_on(p.forecasts(spark, sf), metrics, ["k", "model"], "left")
+    prices = p.written_prices(spark, sf)
+    return p.with_rmse(prices, p.backtest(prices)[1])
 
 
 @query("interval_normal", with_ctes(f"SELECT {_K}, model, {_BAND} FROM banded", "banded"))
@@ -48,7 +47,7 @@ _SPREAD = f"""SELECT {_K}, model, round(prediction - {Z95} * sd, 6) + 0.0 AS low
 
 @query("interval_spread", with_ctes(_SPREAD, "forecasts"))
 def interval_spread(spark: SparkSession, sf: str) -> DataFrame:
-    df = intervals.spread_interval(p.forecasts(spark, sf), ["k", "model"])
+    df = intervals.spread_interval(p.forecasts(p.written_prices(spark, sf)), ["k", "model"])
     return _out(df, "k", "t", "model", lower=6, upper=6)
 
 
@@ -139,8 +138,8 @@ def check_summary(spark: SparkSession, sf: str) -> DataFrame:
 # --- forecast profiles and chart tables -----------------------------------------------------------
 
 
-def _chosen(spark: SparkSession, sf: str) -> DataFrame:
-    return p.chosen_forecast(spark, sf)[0].select("k", "t", "prediction", "lower", "upper", "model")
+def _chosen(prices: DataFrame) -> DataFrame:
+    return p.chosen_forecast(prices)[0].select("k", "t", "prediction", "lower", "upper", "model")
 
 
 @query(
@@ -155,7 +154,7 @@ def _chosen(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def prediction_statistics(spark: SparkSession, sf: str) -> DataFrame:
-    df = profile.prediction_statistics(_chosen(spark, sf), p.RATE)
+    df = profile.prediction_statistics(_chosen(p.written_prices(spark, sf)), p.RATE)
     df = df.withColumns({c: F.col(c).cast("string") for c in ("start_date", "end_date")})
     names = ("mean_prediction", "median_prediction", "std_prediction", "min_prediction", "max_prediction", "mean_width")
     return _out(df, "k", "prediction_count", "start_date", "end_date", **{n: 6 for n in names})
@@ -172,7 +171,7 @@ def prediction_statistics(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def prediction_buckets(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.prediction_buckets(_chosen(spark, sf), p.RATE)
+    return profile.prediction_buckets(_chosen(p.written_prices(spark, sf)), p.RATE)
 
 
 @query(
@@ -184,7 +183,8 @@ def prediction_buckets(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def history_and_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    df = profile.history_and_forecast(p.price_panel(spark, sf), _chosen(spark, sf), p.RATE)
+    prices = p.written_prices(spark, sf)
+    df = profile.history_and_forecast(prices, _chosen(prices), p.RATE)
     return _out(df, "k", "t", "series", value=6, lower=6, upper=6)
 
 
@@ -197,7 +197,7 @@ def history_and_forecast(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def interval_widths(spark: SparkSession, sf: str) -> DataFrame:
-    return _out(profile.interval_widths(_chosen(spark, sf), p.RATE), "k", "t", width=6, mean_width=6)
+    return _out(profile.interval_widths(_chosen(p.written_prices(spark, sf)), p.RATE), "k", "t", width=6, mean_width=6)
 
 
 # --- rules -------------------------------------------------------------------------------------------
@@ -260,8 +260,8 @@ _RECOMMENDATIONS = _list(
 
 def _rules(spark: SparkSession, sf: str) -> DataFrame:
     """The rules read history and forecast several times, so both are written once."""
-    history = cut_lineage(p.price_panel(spark, sf), "history")
-    return analysis.rule_inputs(history, cut_lineage(_chosen(spark, sf), "forecast"), p.RATE)
+    prices = p.written_prices(spark, sf)
+    return analysis.rule_inputs(prices, cut_lineage(_chosen(prices), "forecast"), p.RATE)
 
 
 def _rule_sql(cells: str) -> str:
@@ -320,7 +320,7 @@ _GRADE = """CASE WHEN mae < 0.5 AND mape < 10 THEN 'excellent' WHEN mae < 1 AND
     ),
 )
 def model_reliability(spark: SparkSession, sf: str) -> DataFrame:
-    df = analysis.model_reliability(p.backtest(spark, sf)[1], ["k"])
+    df = analysis.model_reliability(p.backtest(p.written_prices(spark, sf))[1], ["k"])
     return _out(df, "k", "best_model", "reliability", mae=6, rmse=6, mape=4)
 
 
@@ -350,8 +350,9 @@ def conclusions(spark: SparkSession, sf: str) -> DataFrame:
 )
 def analyse(spark: SparkSession, sf: str) -> DataFrame:
     """The whole analysis of every key, written as JSON and read back."""
-    forecast, metrics = p.chosen_forecast(spark, sf)
-    history, metrics = cut_lineage(p.price_panel(spark, sf), "history"), cut_lineage(metrics, "metrics")
+    history = p.written_prices(spark, sf)
+    forecast, metrics = p.chosen_forecast(history)
+    metrics = cut_lineage(metrics, "metrics")
     path = scratch_path(spark, "analysis")
     forecast = cut_lineage(forecast.drop("step"), "forecast")
     sinks.write_analysis(analysis.analyse(history, forecast, metrics, p.RATE), path)

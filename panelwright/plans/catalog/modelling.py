@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,13 +13,13 @@ from panelwright.operators import dataset, scoring, selection, sequence, trees
 from panelwright.operators import features as fe
 from panelwright.operators import fill
 from panelwright.operators.forecast import ar1_fit, future_calendar
-from panelwright.operators.layout import join_on, over_series
+from panelwright.operators.layout import join_on, over_series, with_cuts
 from panelwright.operators.profile import metrics_long
 from panelwright.functions.windowed import lagged
 from panelwright.plans import panels as p
 from panelwright.plans.catalog import query
 from panelwright.plans.panels import rounded, with_ctes
-from panelwright.session import scratch_path
+from panelwright.session import cut_lineage, scratch_path
 from panelwright.sources import models as store
 
 _K = "k, CAST(t AS VARCHAR) AS t"
@@ -107,7 +108,7 @@ _TICK_LONG = f"FROM feats UNPIVOT INCLUDE NULLS (x FOR feature IN ({', '.join(_P
 
 
 def _tick_features(spark: SparkSession, sf: str) -> DataFrame:
-    df = p.ticks(spark, sf).transform(fe.lags, p.TICKS).transform(fe.rolling, p.TICKS, stats=("ma", "std"))
+    df = fe.lags_and_rolling(p.ticks(spark, sf), p.TICKS, stats=("ma", "std"))
     return df.select("event_type", "ts", "event_id", "value", *_PICKS)
 
 
@@ -262,26 +263,28 @@ _LB_Q = " + ".join(f"rho{k} * rho{k} / (n - {k})" for k in range(1, 11))
 def ljung_box(spark: SparkSession, sf: str) -> DataFrame:
     """Autocorrelation left in the residuals of a first-order autoregression."""
     ticks = p.ticks(spark, sf)
-    lag = over_series(ticks, p.TICKS, lambda f: {"y1": lagged(F.col("value"), 1, f)}, before=1)
-    resid = join_on(lag, ar1_fit(ticks, p.TICKS), ["event_type"]).where("y1 IS NOT NULL").select(
+    spec = with_cuts(ticks, p.TICKS)
+    lag = over_series(ticks, spec, lambda f: {"y1": lagged(F.col("value"), 1, f)}, before=1)
+    resid = join_on(lag, ar1_fit(ticks, spec), ["event_type"]).where("y1 IS NOT NULL").select(
         "event_type", "ts", "event_id", (F.col("value") - F.col("intercept") - F.col("phi") * F.col("y1")).alias("residual")
     )
-    df = ar.ljung_box(resid, p.TICKS)
+    df = ar.ljung_box(resid, spec)
     return _text_t(
         df.select("event_type", "n", "ljung_box", "p_value", "residual_std"), ljung_box=6, p_value=8, residual_std=6
     )
 
 
 def _arima(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return ar.arima_fit(p.nation_panel(spark, sf).select("k", "t", "value"), p.NATION)
+    return ar.arima_fit(cut_lineage(p.nation_panel(spark, sf).select("k", "t", "value"), "panel"), p.NATION)
 
 
 @query("arma_order_search")
 def arma_order_search(spark: SparkSession, sf: str) -> DataFrame:
     """All 36 orders of each event type's series, from one aggregation."""
     ticks = p.ticks(spark, sf)
-    rows = ar.arma_rows(ticks, p.TICKS, ar.differencing_order(ticks, p.TICKS))
-    return ar.order_search(rows, p.TICKS).select("event_type", "p", "q", "n", "aic", "bic")
+    spec = with_cuts(ticks, p.TICKS)
+    rows = ar.arma_rows(ticks, spec, ar.differencing_order(ticks, spec))
+    return ar.order_search(rows, spec).select("event_type", "p", "q", "n", "aic", "bic")
 
 
 @query("arima_fit")
@@ -313,7 +316,7 @@ def _learning_table(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]
     df = df.transform(fe.calendar_parts, "t").transform(fe.cyclical, "t").transform(fe.season_flags, "t")
     names = [f"value_lag_{k}" for k in fe.LAGS] + ["month", "quarter", "month_sin", "month_cos", "is_summer", "is_christmas"]
     spec = replace(p.NATION, values=(*names, "value"))
-    return dataset.chrono_split(fill.prepare_matrix(df, spec, "value"), p.NATION), names
+    return cut_lineage(dataset.chrono_split(fill.prepare_matrix(df, spec, "value"), p.NATION), "learning"), names
 
 
 def _forest(spark: SparkSession, sf: str):
@@ -369,15 +372,17 @@ def model_reload(spark: SparkSession, sf: str) -> DataFrame:
 @query("sequence_model")
 def sequence_model(spark: SparkSession, sf: str) -> DataFrame:
     """Twelve values predict the next one; trained on the events of all types, scored on the newest fifth."""
-    split = dataset.chrono_split(p.ticks(spark, sf), p.TICKS)
-    rows, stats = sequence.training_sequences(split, p.TICKS)
-    scored = sequence.score_test(sequence.fit_sequence_model(rows, p.TICKS), rows, stats, p.TICKS)
+    ticks = p.ticks(spark, sf)
+    spec = with_cuts(ticks, p.TICKS)
+    rows, stats = sequence.training_sequences(dataset.chrono_split(ticks, spec), spec)
+    rows = cut_lineage(rows.drop("features"), "sequences").withColumn("features", array_to_vector("sequence"))
+    scored = sequence.score_test(sequence.fit_sequence_model(rows, spec), rows, stats, spec)
     return scoring.forecast_metrics(scored.withColumn("model", F.lit("sequence")), ["event_type", "model"])
 
 
 @query("sequence_forecast")
 def sequence_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    split = dataset.chrono_split(p.nation_panel(spark, sf).select("k", "t", "value"), p.NATION)
+    split = cut_lineage(dataset.chrono_split(p.nation_panel(spark, sf).select("k", "t", "value"), p.NATION), "split")
     rows, stats = sequence.training_sequences(split, p.NATION)
     model = sequence.fit_sequence_model(rows, p.NATION)
     ahead = sequence.recursive_forecast(model, sequence.last_sequences(split, p.NATION, stats), stats, p.NATION)
@@ -400,7 +405,7 @@ def calendar_ahead(spark: SparkSession, sf: str) -> DataFrame:
     with_ctes(f"SELECT {_K}, model, round(prediction, 8) + 0.0 AS prediction FROM forecasts", "forecasts"),
 )
 def baseline(spark: SparkSession, sf: str) -> DataFrame:
-    return _text_t(p.forecasts(spark, sf).drop("step"), prediction=8)
+    return _text_t(p.forecasts(p.written_prices(spark, sf)).drop("step"), prediction=8)
 
 
 _ROUNDED_METRICS = "round(mae, 8) + 0.0 AS mae, round(rmse, 8) + 0.0 AS rmse, round(mape, 4) + 0.0 AS mape"
@@ -408,7 +413,7 @@ _ROUNDED_METRICS = "round(mae, 8) + 0.0 AS mae, round(rmse, 8) + 0.0 AS rmse, ro
 
 @query("forecast_metrics", with_ctes(f"SELECT k, model, {_ROUNDED_METRICS}, n_test FROM metrics", "metrics"))
 def forecast_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return _text_t(p.backtest(spark, sf)[1], mae=8, rmse=8, mape=4)
+    return _text_t(p.backtest(p.written_prices(spark, sf))[1], mae=8, rmse=8, mape=4)
 
 
 @query(
@@ -422,7 +427,7 @@ def forecast_metrics(spark: SparkSession, sf: str) -> DataFrame:
 )
 def evaluate_models(spark: SparkSession, sf: str) -> DataFrame:
     """A model that gave no scores is listed as failed."""
-    metrics = p.backtest(spark, sf)[1]
+    metrics = p.backtest(p.written_prices(spark, sf))[1]
     missing = metrics.groupBy("k").agg(F.lit("sequence").alias("model"))
     everyone = metrics.select("k", "model").unionByName(missing)
     return _text_t(scoring.evaluate(join_on(everyone, metrics, ["k", "model"], "left")), mae=8, rmse=8, mape=4)
@@ -430,7 +435,7 @@ def evaluate_models(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("best_model", with_ctes("SELECT k, model, round(best_score, 8) + 0.0 AS best_score, candidates FROM best", "best"))
 def best_model(spark: SparkSession, sf: str) -> DataFrame:
-    return _text_t(scoring.best_model(p.backtest(spark, sf)[1], ["k"]), best_score=8)
+    return _text_t(scoring.best_model(p.backtest(p.written_prices(spark, sf))[1], ["k"]), best_score=8)
 
 
 @query(
@@ -443,7 +448,7 @@ def best_model(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def best_per_metric(spark: SparkSession, sf: str) -> DataFrame:
-    return _text_t(scoring.best_per_metric(p.backtest(spark, sf)[1], ["k"]), score=4)
+    return _text_t(scoring.best_per_metric(p.backtest(p.written_prices(spark, sf))[1], ["k"]), score=4)
 
 
 @query(
@@ -454,7 +459,7 @@ def best_per_metric(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def metrics_chart(spark: SparkSession, sf: str) -> DataFrame:
-    return _text_t(metrics_long(p.backtest(spark, sf)[1].drop("n_test"), ["k", "model"]), score=4)
+    return _text_t(metrics_long(p.backtest(p.written_prices(spark, sf))[1].drop("n_test"), ["k", "model"]), score=4)
 
 
 @query(
@@ -462,4 +467,4 @@ def metrics_chart(spark: SparkSession, sf: str) -> DataFrame:
     with_ctes(f"SELECT {_K}, model, round(prediction, 8) + 0.0 AS prediction FROM chosen", "chosen"),
 )
 def model_routing(spark: SparkSession, sf: str) -> DataFrame:
-    return _text_t(p.chosen_forecast(spark, sf)[0].select("k", "t", "model", "prediction"), prediction=8)
+    return _text_t(p.chosen_forecast(p.written_prices(spark, sf))[0].select("k", "t", "model", "prediction"), prediction=8)

@@ -187,7 +187,7 @@ _SUMMARY_STATS = ", ".join(
     ),
 )
 def feature_summary(spark: SparkSession, sf: str) -> DataFrame:
-    df = p.gap_ticks(spark, sf).transform(fe.lags, p.TICKS).transform(fe.rolling, p.TICKS)
+    df = fe.lags_and_rolling(p.gap_ticks(spark, sf), p.TICKS)
     df = df.withColumn("month", F.month("ts"))
     names = [c for c in df.columns if c not in ("event_type", "event_id", "ts")]
     return profile.feature_summary(fe.to_long(df, ["event_id"], names))

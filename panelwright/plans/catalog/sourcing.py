@@ -267,7 +267,7 @@ _EXPORTED = """SELECT k, CAST(t AS VARCHAR) AS t, round(prediction, 4) + 0.0 AS
 
 
 def _forecast(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    forecast, metrics = p.chosen_forecast(spark, sf)
+    forecast, metrics = p.chosen_forecast(p.written_prices(spark, sf))
     return forecast.select("k", "t", "prediction", "lower", "upper", "model", "level"), metrics
 
 

@@ -437,7 +437,7 @@ _TICK_CELLS: dict[str, tuple[int, str]] = {f"value_lag_{k}": (2, f"lag(value, {k
     "SELECT event_id, " + ", ".join(f"round({e}, {n}) + 0.0 AS {c}" for c, (n, e) in _TICK_CELLS.items()) + " FROM events",
 )
 def lag_rolling_ticks(spark: SparkSession, sf: str) -> DataFrame:
-    df = p.ticks(spark, sf).transform(fe.lags, p.TICKS).transform(fe.rolling, p.TICKS)
+    df = fe.lags_and_rolling(p.ticks(spark, sf), p.TICKS)
     return df.select("event_id", *[rounded(F.col(c), n).alias(c) for c, (n, _) in _TICK_CELLS.items()])
 
 

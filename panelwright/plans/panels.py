@@ -11,6 +11,7 @@ from panelwright.operators import fill, intervals, scoring
 from panelwright.operators.dataset import chrono_split
 from panelwright.operators.forecast import baseline_forecasts, future_calendar, test_grid
 from panelwright.operators.layout import join_on
+from panelwright.session import cut_lineage
 from panelwright.spec import SeriesSpec
 
 MONEY = "decimal(18,2)"
@@ -125,26 +126,32 @@ def gap_ticks(spark: SparkSession, sf: str) -> DataFrame:
     return events.select("event_type", "event_id", "ts", F.when(counter >= 30, F.col("value")).alias("value"))
 
 
-def backtest(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def written_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """The price panel, computed once: models and forecasts read it many times."""
+    return cut_lineage(price_panel(spark, sf), "prices")
+
+
+def backtest(prices: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(tested, metrics) of the baseline models on the newest fifth of the price panel."""
-    split = chrono_split(price_panel(spark, sf), RATE)
+    split = chrono_split(prices, RATE)
     train = split.where(F.col("part") == "train").drop("part")
     tested = baseline_forecasts(test_grid(split, RATE), train, RATE)
     return tested, scoring.forecast_metrics(tested, ["k", "model"], "rate")
 
 
-def forecasts(spark: SparkSession, sf: str) -> DataFrame:
+def forecasts(prices: DataFrame) -> DataFrame:
     """(k, step, t, model, prediction) of the baseline models for the next twelve months."""
-    prices = price_panel(spark, sf)
     return baseline_forecasts(future_calendar(prices, RATE), prices, RATE)
 
 
-def chosen_forecast(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def with_rmse(prices: DataFrame, metrics: DataFrame) -> DataFrame:
+    return join_on(forecasts(prices), metrics.select("k", "model", "rmse"), ["k", "model"], "left")
+
+
+def chosen_forecast(prices: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(forecast with interval of each key's best model, metrics of all models)."""
-    metrics = backtest(spark, sf)[1]
-    banded = intervals.normal_interval(
-        join_on(forecasts(spark, sf), metrics.select("k", "model", "rmse"), ["k", "model"], "left")
-    )
+    metrics = backtest(prices)[1]
+    banded = intervals.normal_interval(with_rmse(prices, metrics))
     best = scoring.best_model(metrics, ["k"])
     return scoring.route(banded, best, ["k"]), metrics
 

@@ -20,6 +20,10 @@ class SeriesSpec:
     ``operators.layout``).
 
     ``tiebreak`` names the columns that order rows of equal ``time``.
+
+    ``cuts`` are cut points of the time column for numbering rows in parallel
+    (``operators.layout.with_cuts`` finds them once for a table and what is
+    derived from it); they balance the work and never change a result.
     """
 
     keys: tuple[str, ...] = ()
@@ -27,6 +31,7 @@ class SeriesSpec:
     values: tuple[str, ...] = ("value",)
     freq: str | None = None
     tiebreak: tuple[str, ...] = ()
+    cuts: tuple[float, ...] | None = None
 
     def __post_init__(self) -> None:
         for name in ("keys", "values", "tiebreak"):
