@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.operators.layout import BLOCK, BLOCK_ROWS, HALO, POS, SLICE_ROWS, Frame, in_blocks, join_on, with_carry
+from panelwright.operators.layout import BLOCK, CARRY_BLOCK_ROWS, HALO, POS, SLICE_ROWS, Frame, in_blocks, join_on, with_carry
 from panelwright.spec import SeriesSpec
 
 
 def _points(
-    df: DataFrame, spec: SeriesSpec, block_rows: int = BLOCK_ROWS, slice_rows: int = SLICE_ROWS
+    df: DataFrame, spec: SeriesSpec, block_rows: int = CARRY_BLOCK_ROWS, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Adds, per value column, the nearest known point before and after each row.
 
@@ -100,7 +100,7 @@ def regularise(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return joined.select(*[named.get(c, F.col(c)).alias(c) for c in df.columns])
 
 
-def cumulative(df: DataFrame, spec: SeriesSpec, block_rows: int = BLOCK_ROWS, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def cumulative(df: DataFrame, spec: SeriesSpec, block_rows: int = CARRY_BLOCK_ROWS, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Running total of each value as ``{v}_cumsum``; totals of earlier blocks are carried in."""
     laid = in_blocks(df, spec, block_rows=block_rows, slice_rows=slice_rows).drop(HALO)
     if not spec.bounded:
