@@ -66,6 +66,10 @@ def select_by_forest(df: DataFrame, features: Sequence[str], target: str, **para
     return [n for n, v in ranked if v >= middle]
 
 
+def label(params: Mapping) -> str:
+    return ",".join(f"{k}={v}" for k, v in sorted(params.items()))
+
+
 def cross_validate(
     df: DataFrame, spec: SeriesSpec, features: Sequence[str], target: str, grid: Sequence[Mapping], folds: int = 5,
     parallelism: int = 4,
@@ -82,8 +86,7 @@ def cross_validate(
         fold, params = job
         part = split.where(F.col("fold") == fold)
         model = fit_forest(part.where(F.col("part") == "train"), features, target, **params)
-        label = ",".join(f"{k}={v}" for k, v in sorted(params.items()))
-        return label, fold, float(mae.evaluate(model.transform(part.where(F.col("part") == "test"))))
+        return label(params), fold, float(mae.evaluate(model.transform(part.where(F.col("part") == "test"))))
 
     try:
         with ThreadPoolExecutor(parallelism) as pool:
@@ -104,6 +107,16 @@ def parameter_grid(**choices) -> list[dict]:
     return [dict(zip(choices, combo)) for combo in product(*choices.values())]
 
 
+def tune(
+    df: DataFrame, spec: SeriesSpec, features: Sequence[str], target: str, grid: Sequence[Mapping], folds: int = 5
+) -> tuple[PipelineModel, dict, DataFrame]:
+    """(model, parameters, table): the set with the smallest mean error, fitted again on all rows of ``df``."""
+    table = cv_table(cross_validate(df, spec, features, target, grid, folds))
+    best = table.orderBy("cv_mae_mean", "model").first()["model"]  # one row per parameter set
+    params = next(dict(g) for g in grid if label(g) == best)
+    return fit_forest(df, features, target, **params), params, table
+
+
 def tree_interval(model: PipelineModel, scored: DataFrame, level: float = 0.95) -> DataFrame:
     """``lower`` and ``upper``: percentiles over the predictions of the single trees."""
     out = scored

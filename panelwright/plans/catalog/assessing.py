@@ -412,6 +412,17 @@ def train_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline.train(p.price_panel(spark, sf), p.RATE, _SMALL_FOREST).metrics
 
 
+@query(
+    "forecast_pipeline",
+    with_ctes(f"SELECT {_K}, model, round(prediction, 6) + 0.0 AS prediction, {_BAND} FROM chosen", "chosen"),
+)
+def forecast_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """The winner of the backtest carried twelve months ahead, with its interval."""
+    prices = p.written_prices(spark, sf)
+    df = pipeline.forecast(prices, p.RATE, p.backtest(prices)[1]).forecast
+    return _out(df, "k", "t", "model", prediction=6, lower=6, upper=6)
+
+
 @query("end_to_end")
 def end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     """Clean, train, forecast and analyse the yearly rate of the order value of every nation."""

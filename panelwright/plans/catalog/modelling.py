@@ -355,11 +355,21 @@ def forest_interval(spark: SparkSession, sf: str) -> DataFrame:
 @query("forest_cross_validation")
 def forest_cross_validation(spark: SparkSession, sf: str) -> DataFrame:
     df, names = _learning_table(spark, sf)
-    grid = trees.parameter_grid(numTrees=(5, 10), maxDepth=(3, 5))
+    grid = trees.parameter_grid(numTrees=(5, 10), minInstancesPerNode=(2, 4))
     scores = trees.cross_validate(df.drop("part"), p.NATION, names, "value", grid, folds=3)
     return trees.cv_table(scores)
 
 
+@query("forest_grid_search")
+def forest_grid_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Test scores of the parameter set that did best on expanding windows of the training rows."""
+    df, names = _learning_table(spark, sf)
+    train = df.where("part = 'train'").drop("part")
+    model, params, _ = trees.tune(train, p.NATION, names, "value", trees.parameter_grid(numTrees=(10,), maxDepth=(3, 6)), 2)
+    scored = trees.score(model, df.where("part = 'test'")).withColumn("model", F.lit(trees.label(params)))
+    return scoring.forecast_metrics(scored, ["k", "model"])
+
+
 @query("model_reload")
 def model_reload(spark: SparkSession, sf: str) -> DataFrame:
     """Scores of a forest that was saved and loaded again by name."""
