@@ -137,9 +137,22 @@ def trend_slope(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("k", F.col("t").cast("string").alias("t"), *cols)
 
 
+_LAG_ROWS = f"""SELECT event_type, value, row_number() OVER w AS pos,
+    {", ".join(f"lag(value, {k}) OVER w AS value_lag_{k}" for k in fe.LAGS)}
+    FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)"""
+
+
 @query(
     "lag_validation",
-    "SELECT * FROM (VALUES " + ", ".join(f"('value_lag_{k}', 0, 0)" for k in fe.LAGS) + ") v(feature, early_values, mismatches)",
+    with_ctes(
+        " UNION ALL ".join(
+            f"""SELECT 'value_lag_{k}' AS feature, count(*) FILTER (a.pos <= {k} AND a.value_lag_{k} IS NOT NULL) AS early_values,
+                count(*) FILTER (a.pos > {k} AND a.value_lag_{k} IS DISTINCT FROM b.value) AS mismatches
+                FROM laid a LEFT JOIN laid b ON a.event_type = b.event_type AND b.pos = a.pos - {k}"""
+            for k in fe.LAGS
+        ),
+        laid=_LAG_ROWS,
+    ),
 )
 def lag_validation(spark: SparkSession, sf: str) -> DataFrame:
     return fe.check_lags(fe.lags(p.ticks(spark, sf), p.TICKS), p.TICKS)

@@ -62,16 +62,14 @@ def _choose(df: DataFrame, json: str, strategies: Sequence[str]) -> DataFrame:
         .withColumn("_items", F.expr(_list("_doc")))
         .withColumn("_object", F.expr(_object("_doc")))
     )
+    # coalesce stops at the first strategy that finds records, the rest is not evaluated
     expressions = _candidates()
-    parsed = parsed.withColumns({f"_{s}": F.expr(expressions[s]) for s in strategies})
-    fits = {s: F.col(f"_{s}").isNotNull() & (F.size(f"_{s}") > 0) for s in strategies}
-    name, records = F.lit(None).cast("string"), F.lit(None)
-    for s in reversed(strategies):
-        name = F.when(fits[s], F.lit(s)).otherwise(name)
-        records = F.when(fits[s], F.col(f"_{s}")).otherwise(records)
-    return parsed.withColumns({"strategy": name, "_records": records}).drop(
-        "_doc", "_items", "_object", *[f"_{s}" for s in strategies]
-    )
+    options = [
+        f"get(filter(array(named_struct('strategy', '{s}', 'records', {expressions[s]})), c -> size(c.records) > 0), 0)"
+        for s in strategies
+    ]
+    found = parsed.withColumn("_found", F.expr(f"coalesce({', '.join(options)})"))
+    return found.select(*df.columns, F.col("_found.strategy").alias("strategy"), F.col("_found.records").alias("_records"))
 
 
 def parse_documents(
