@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.operators.layout import POS, join_on, number_rows
+from panelwright.operators.layout import POS, join_on, number_rows, settled
 from panelwright.spec import SeriesSpec
 
 TEST_SIZE = 0.2
@@ -22,6 +22,7 @@ def _sized(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Adds the position of each row and the length of its series."""
     keys = list(spec.keys)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    sizes = sizes if spec.bounded else settled(sizes, "sizes")
     return join_on(number_rows(df, spec), sizes, keys)
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelwright.session import cut_lineage
 from panelwright.spec import SeriesSpec
 
 POS, BLOCK, HALO, SLICE = "_pos", "_block", "_halo", "_slice"
@@ -27,6 +28,7 @@ CARRY_BLOCK_ROWS = 262_144  # blocks that hand one row on: few blocks, so short
 SLICE_ROWS = 100_000
 MAX_SLICES = 16_384
 CUT_SAMPLE_ROWS = 5_000_000
+BROADCAST_ROWS = 100_000
 
 Stage = dict[str, Column]
 
@@ -68,6 +70,17 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{k}" for k in keys])
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """An aggregate written once, to be joined to the rows it came from.
+
+    Counted and broadcast up to ``BROADCAST_ROWS`` rows, so that the large side
+    is not shuffled; a longer table is joined as Spark sees fit. Written also
+    because a second evaluation of a sketch may differ from the first.
+    """
+    written = cut_lineage(df, name)
+    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
+
+
 def _order_value(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
     col = F.col(name)
@@ -132,7 +145,7 @@ def number_rows(df: DataFrame, spec: SeriesSpec, slice_rows: int = SLICE_ROWS) -
     )
     ranked = sliced.withColumn("_rank", F.row_number().over(Frame([*keys, SLICE], spec.order).ordered))
     return (
-        join_on(ranked, offsets, [*keys, SLICE])
+        join_on(ranked, settled(offsets, "offsets"), [*keys, SLICE])
         .withColumn(POS, F.col("_offset") + F.col("_rank"))
         .drop("_offset", "_rank", SLICE)
     )
@@ -224,4 +237,4 @@ def with_carry(
     earlier = over.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     later = over.orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(*keys, BLOCK, *[c.alias(n) for n, c in carry(earlier, later).items()])
-    return join_on(df, carried, [*keys, BLOCK])
+    return join_on(df, settled(carried, "carried"), [*keys, BLOCK])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwright.functions.times import strict_date, text_to_ntz
-from panelwright.operators.layout import join_on
+from panelwright.operators.layout import join_on, settled
 from panelwright.operators.quantiles import column_name, quantiles
 from panelwright.spec import SeriesSpec
 
@@ -47,7 +47,8 @@ def outlier_bounds(df: DataFrame, spec: SeriesSpec) -> DataFrame:
 
 def outlier_flags(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Adds ``{v}_iqr_outlier`` and ``{v}_z_outlier``; rows are flagged, never removed."""
-    flagged = join_on(df, outlier_bounds(df, spec), spec.keys)
+    bounds = outlier_bounds(df, spec)
+    flagged = join_on(df, bounds if spec.bounded else settled(bounds, "bounds"), spec.keys)
     cols: list[Column] = []
     for v in spec.values:
         x = F.col(v)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.operators.layout import join_on
+from panelwright.operators.layout import join_on, settled
 
 ACCURACY = 10_000
 
@@ -47,7 +47,7 @@ def quantiles(
     long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         by, list(columns), "feature", "x"
     ).where(F.col("x").isNotNull())
-    wanted = exact_ranks(long, groups, "x", probs, accuracy, few_groups=not by)
+    wanted = exact_ranks(long, groups, "x", probs, accuracy)
     cells = [
         F.max(F.when((F.col("feature") == c) & (F.col("_i") == i), F.col("q"))).alias(column_name(c, i))
         for c in columns
@@ -76,13 +76,8 @@ def exact_ranks(
     value: str,
     probs: Sequence[float],
     accuracy: int,
-    few_groups: bool = False,
 ) -> DataFrame:
-    """(groups, _i, q): the quantile of ``value`` for the i-th probability.
-
-    ``few_groups`` says that the groups are the columns of a table; only then
-    are the ranges broadcast, else Spark picks the join by their size.
-    """
+    """(groups, _i, q): the quantile of ``value`` for the i-th probability."""
     groups = list(groups)
     # sketch error 1/accuracy, two ranks for the neighbours; groups up to
     # ``accuracy`` values are ranked whole
@@ -103,8 +98,7 @@ def exact_ranks(
         *[F.when(low(i), F.col("_min")).otherwise(F.col("_ends")[2 * i]).alias(f"_lo{i}") for i in ids],
         *[F.when(high(i), F.col("_max")).otherwise(F.col("_ends")[2 * i + 1]).alias(f"_hi{i}") for i in ids],
     )
-    if few_groups:
-        ranges = F.broadcast(ranges)
+    ranges = settled(ranges, "ranges")
     x = F.col(value)
     inside = reduce(lambda a, b: a | b, [x.between(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in ids])
     counted = (

@@ -117,9 +117,13 @@ _nation(
 )
 
 
-def _slopes(v: str, source: str, part: str, order: str, ids: str, windows: Sequence[int], places: int) -> str:
-    """Slopes over the running count of known values; one point has none."""
-    counted = f"SELECT *, count({v}) OVER (PARTITION BY {part} ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS c FROM {source}"
+def _counted(v: str, source: str, part: str, order: str) -> str:
+    """The source with a running count of known values as ``c``."""
+    return f"(SELECT *, count({v}) OVER (PARTITION BY {part} ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS c FROM {source})"
+
+
+def _slopes(v: str, part: str, order: str, windows: Sequence[int], places: int) -> str:
+    """Slopes over ``c``; a single known value has none."""
     cells = []
     for n in windows:
         w = trailing(n, part, order)
@@ -127,10 +131,17 @@ def _slopes(v: str, source: str, part: str, order: str, ids: str, windows: Seque
             f"CASE WHEN count({v}) OVER {w} >= 2 THEN round(regr_slope({v}, c) OVER {w}, {places}) + 0.0 END "
             f"AS {v}_trend_{n}"
         )
-    return f"SELECT {ids}, {', '.join(cells)} FROM ({counted})"
+    return ", ".join(cells)
 
 
-@query("trend_slope", with_ctes(_slopes("value", "gaps", "k", "t", "k, CAST(t AS VARCHAR) AS t", fe.TREND_WINDOWS, 5), "gaps"))
+@query(
+    "trend_slope",
+    with_ctes(
+        f"SELECT k, CAST(t AS VARCHAR) AS t, {_slopes('value', 'k', 't', fe.TREND_WINDOWS, 5)} "
+        f"FROM {_counted('value', 'gaps', 'k', 't')}",
+        "gaps",
+    ),
+)
 def trend_slope(spark: SparkSession, sf: str) -> DataFrame:
     df = fe.trends(p.gap_panel(spark, sf), p.NATION)
     cols = [rounded(F.col(f"value_trend_{n}"), 5).alias(f"value_trend_{n}") for n in fe.TREND_WINDOWS]
@@ -385,7 +396,7 @@ def tail_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- whole feature sets over raw rows, in blocks --------------------------------------------
 
-_SHIP_ORDER = "l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey"
+_SHIP_ORDER = "l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
 _SHIP_IDS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
 
@@ -413,10 +424,8 @@ _INDICATORS: dict[str, tuple[int, str]] = (
     "indicators_shipments",
     f"SELECT {_SHIP_IDS}, "
     + ", ".join(f"round({e}, {n}) + 0.0 AS {c}" for c, (n, e) in _INDICATORS.items())
-    + ", "
-    + ", ".join(f"{_X}_trend_{n}" for n in fe.TREND_WINDOWS)
-    + f" FROM lineitem JOIN ({_slopes(_X, 'lineitem', 'l_returnflag', _SHIP_ORDER, _SHIP_IDS, fe.TREND_WINDOWS, 5)}) "
-    f"USING ({_SHIP_IDS})",
+    + f", {_slopes(_X, 'l_returnflag', _SHIP_ORDER, fe.TREND_WINDOWS, 5)}"
+    + f" FROM {_counted(_X, 'lineitem', 'l_returnflag', _SHIP_ORDER)}",
 )
 def indicators_shipments(spark: SparkSession, sf: str) -> DataFrame:
     """All indicators of the price of every shipped line, in order of shipping, per return flag.

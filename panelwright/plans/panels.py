@@ -22,8 +22,9 @@ TOTAL = SeriesSpec((), "t", "value", "month")
 CUSTOMER = SeriesSpec("k", "t", "value", "month")
 TICKS = SeriesSpec("event_type", "ts", "value", None, "event_id")
 SHIPMENTS = SeriesSpec(
-    "l_returnflag", "l_shipdate", ("l_extendedprice",), None, ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-)
+    "l_returnflag", "l_shipdate", "l_extendedprice", None,
+    ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"),
+)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
