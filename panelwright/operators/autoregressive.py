@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.stats import z_value
 from panelwright.functions.windowed import lagged
-from panelwright.operators.layout import join_on, over_series, with_cuts
+from panelwright.operators.layout import join_on, over_series, settled, with_cuts
 from panelwright.session import cut_lineage
 from panelwright.spec import SeriesSpec
 
@@ -173,7 +173,7 @@ def _innovations(df: DataFrame, spec: SeriesSpec, orders: DataFrame, long_ar: in
     u = F.when(F.col("d") == 0, F.col("u0")).when(F.col("d") == 1, F.col("u1")).otherwise(F.col("u2"))
     laid = laid.withColumn("u", u).drop("u1", "u2")
     scale = laid.groupBy(*keys).agg(F.avg("u").alias("_m"), F.stddev_pop("u").alias("_sd"))
-    scaled = join_on(laid, scale, keys)
+    scaled = join_on(laid, scale if spec.bounded else settled(scale, "scales"), keys)
     scaled = scaled.withColumn("w", F.try_divide(F.col("u") - F.col("_m"), F.col("_sd")))
     names = [f"w{k}" for k in range(1, long_ar + 1)]
     lagged_w = over_series(
@@ -314,6 +314,7 @@ def ljung_box(df: DataFrame, spec: SeriesSpec, column: str = "residual", lags: i
     """(keys, n, residual_mean, residual_std, ljung_box, p_value, autocorrelated)."""
     keys = list(spec.keys)
     mean = df.groupBy(*keys).agg(F.avg(column).alias("_mean"))
+    mean = mean if spec.bounded else settled(mean, "means")
     centred = join_on(df, mean, keys).withColumn("_r", F.col(column) - F.col("_mean"))
     r = F.col("_r")
     laid = over_series(

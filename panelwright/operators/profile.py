@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions.stats import sample_kurtosis, sample_skewness
-from panelwright.operators.layout import join_on
+from panelwright.operators.layout import join_on, settled
 from panelwright.operators.quantiles import aggregate_with_quantiles, column_name, quantiles
 from panelwright.spec import SeriesSpec
 
@@ -324,7 +324,7 @@ def histogram(df: DataFrame, column: str, bins: int = 20, by: Sequence[str] = ()
         F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"),
     )
     share = (F.col(column) - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
-    placed = join_on(known, ends, by).withColumn("bin", F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int"))
+    placed = join_on(known, settled(ends, "ends") if by else ends, by).withColumn("bin", F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     return (
         placed.groupBy(*by, "bin", "_lo", "_hi")
@@ -344,7 +344,7 @@ def boxplot(df: DataFrame, column: str, by: Sequence[str] = (), bounded: bool =
     by = list(by)
     quart = quantiles(df, by, [column], (0.25, 0.5, 0.75), bounded=bounded)
     quart = quart.withColumnsRenamed({column_name(column, i): n for i, n in enumerate(("q1", "median", "q3"))})
-    joined = join_on(df.select(*by, column), quart, by)
+    joined = join_on(df.select(*by, column), quart if bounded else settled(quart, "quartiles"), by)
     x, spread = F.col(column), F.col("q3") - F.col("q1")
     inside = (x >= F.col("q1") - 1.5 * spread) & (x <= F.col("q3") + 1.5 * spread)
     return joined.groupBy(*by, "q1", "median", "q3").agg(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions import windowed as w
-from panelwright.operators.layout import Frame, join_on, over_series
+from panelwright.operators.layout import Frame, join_on, over_series, settled
 from panelwright.spec import SeriesSpec
 
 
@@ -51,6 +51,7 @@ def decompose(df: DataFrame, spec: SeriesSpec, period: int = 12, **layout) -> Da
         "_phase",
         F.when(F.sum("_n").over(whole) >= 2 * period, F.col("_mean") - F.avg("_mean").over(whole)).alias("seasonal"),
     )
+    centred = centred if spec.bounded else settled(centred, "phases")
     out = join_on(phased, centred, [*keys, "_phase"])
     enough = F.col("seasonal").isNotNull()
     return out.select(

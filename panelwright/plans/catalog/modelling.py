@@ -13,7 +13,7 @@ from panelwright.operators import dataset, scoring, selection, sequence, trees
 from panelwright.operators import features as fe
 from panelwright.operators import fill
 from panelwright.operators.forecast import ar1_fit, future_calendar
-from panelwright.operators.layout import join_on, over_series, with_cuts
+from panelwright.operators.layout import join_on, over_series, settled, with_cuts
 from panelwright.operators.profile import metrics_long
 from panelwright.functions.windowed import lagged
 from panelwright.plans import panels as p
@@ -64,7 +64,7 @@ _TICK_STATS = """SELECT event_type, avg(value) AS m, CASE WHEN stddev_pop(value)
 def _tick_scale(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     split = dataset.chrono_split(p.ticks(spark, sf), p.TICKS)
     stats = dataset.scale_statistics(split.where("part = 'train'"), ["value"], ["event_type"])
-    return split, stats
+    return split, settled(stats, "scales")
 
 
 @query(
