@@ -25,7 +25,7 @@ from panelwright.spec import SeriesSpec
 POS, BLOCK, HALO, SLICE = "_pos", "_block", "_halo", "_slice"
 BLOCK_ROWS = 4096  # blocks with a halo: small next to memory, large next to the halo
 CARRY_BLOCK_ROWS = 262_144  # blocks that hand one row on: few blocks, so short carry windows
-SLICE_ROWS = 100_000
+SLICE_ROWS = 1_000_000
 MAX_SLICES = 16_384
 CUT_SAMPLE_ROWS = 5_000_000
 BROADCAST_ROWS = 100_000
