@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = {
     "op2_exact_dedup": "block_naming",
     "op4_mixing": "mixing",
+    "op5_best_fit_packing": "packing",
+    "op6_token_files": "token_files",
 }
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
