@@ -12,6 +12,7 @@ MODULES = {
     "op4_mixing": "mixing",
     "op5_best_fit_packing": "packing",
     "op6_token_files": "token_files",
+    "op7_minhash": "minhash",
 }
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
