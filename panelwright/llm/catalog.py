@@ -13,6 +13,7 @@ MODULES = {
     "op5_best_fit_packing": "packing",
     "op6_token_files": "token_files",
     "op7_minhash": "minhash",
+    "op8_cotraining": "cotraining",
     "op9_sentence_spans": "sentence_spans",
 }
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
