@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 MODULES = {
     "op2_exact_dedup": "block_naming",
+    "op3_prefix_forest": "prefix_forest",
     "op4_mixing": "mixing",
     "op5_best_fit_packing": "packing",
     "op6_token_files": "token_files",
