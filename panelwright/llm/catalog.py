@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 MODULES = {
+    "op1_subword_lattice": "subword_lattice",
     "op2_exact_dedup": "block_naming",
     "op3_prefix_forest": "prefix_forest",
     "op4_mixing": "mixing",
