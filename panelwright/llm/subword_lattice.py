@@ -1,8 +1,8 @@
 """Subword lattice likelihood: the probability of a text over all segmentations of its words.
 
 A vocabulary that exists already (the pieces of a public tokenizer) gets unigram scores from the training documents: how
-often each piece occurs when the tokenizer splits the training words, all of them, weighted by their counts. Words seen
-in training are entries of the lattice too. A word's probability is the sum over every way to write it as entries,
+often each piece occurs when the tokenizer splits all distinct training words. A word counts once, since the pieces serve
+to write words that were not seen, which are like rare words. Words seen in training are entries of the lattice too. A word's probability is the sum over every way to write it as entries,
 
     P(word) = (1 - novel) c / N  +  novel * (sum over segmentations of the product of the piece probabilities) * P(end of word)
 
@@ -37,7 +37,6 @@ FOLDS = 10
 BLOCK_CHARS = 8_000_000
 ADDED = 0.1
 LONGEST_PIECE = 16
-SLICE_BYTES = 256
 
 
 def vocabulary(tokenizer_path: str) -> dict[bytes, int]:
@@ -129,7 +128,7 @@ def streamed(per_group):
 
 
 def piece_scores(words: DataFrame, tokenizer_path: str) -> tuple[dict[bytes, float], float]:
-    """Logarithms of the piece probabilities and of the end of a word, from ``words`` (word, c)."""
+    """Logarithms of the piece probabilities and of the end of a word, from the distinct ``words``."""
     pieces = vocabulary(tokenizer_path)
     size = max(pieces.values(), default=0) + 1
     schema = pa.schema([("piece", pa.int32()), ("n", pa.int64())])
@@ -139,17 +138,14 @@ def piece_scores(words: DataFrame, tokenizer_path: str) -> tuple[dict[bytes, flo
         total = np.zeros(size, dtype=np.int64)
         ends = 0
         for batch in batches:
-            found, counts = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            ids = [np.frombuffer(known[w], dtype="<u4") for w in found]
-            if ids:
-                each = np.repeat(counts, [len(i) for i in ids])
-                total += np.bincount(np.concatenate(ids), weights=each, minlength=size).astype(np.int64)[:size]
-                ends += int(counts.sum())
+            ids = b"".join(known[w] for w in batch.column(0).to_pylist())
+            total += np.bincount(np.frombuffer(ids, dtype="<u4"), minlength=size)[:size]
+            ends += batch.num_rows
             known.clear()
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array([*at, -1], pa.int32()), pa.array([*total[at], ends], pa.int64())], schema=schema)
 
-    counted = words.where("c > 0 and word <> X''").select("word", "c").mapInArrow(split, "piece int, n long")
+    counted = words.where("c > 0 and word <> X''").select("word").mapInArrow(split, "piece int, n long")
     n = {r["piece"]: r["n"] for r in counted.groupBy("piece").agg(F.sum("n").alias("n")).collect()}
     whole = sum(n.values()) + ADDED * (len(pieces) + 1)
     log = lambda i: math.log((n.get(i, 0) + ADDED) / whole)
