@@ -17,6 +17,7 @@ MODULES = {
     "op7_minhash": "minhash",
     "op8_cotraining": "cotraining",
     "op9_sentence_spans": "sentence_spans",
+    "op10_suffix_arrays": "suffix_arrays",
 }
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
