@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import matched, text_or_empty, without_white
+from panelwright.llm.common import matched, text_or_empty, whole_row, without_white
 from panelwright.session import cut_lineage
 
 BLOCK_CHARS = 2048
@@ -125,17 +125,17 @@ def drop_duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFram
     """The rows of ``docs`` that stay, with all their columns."""
     found = cut_lineage(exact_duplicates(docs, block_chars), "naming-found").withColumn("sha", F.unhex("text_sha256"))
     gone = found.groupBy(*KEY).agg(F.max(F.col("kept").cast("int")).alias("_stays"), F.max("copies").alias("_copies"))
-    own = docs.withColumns(
-        {"_n": F.length(text_or_empty()).cast("long"), "_sha": F.unhex(F.sha2(without_white(text_or_empty()).cast("binary"), 256))}
+    own = docs.select(
+        whole_row(docs), "doc_id", F.length(text_or_empty()).cast("long").alias("_n"), F.unhex(F.sha2(without_white(text_or_empty()).cast("binary"), 256)).alias("_sha")
     )
     match = lambda right: [F.col(a).eqNullSafe(right[b]) for a, b in (("doc_id", "_d"), ("_n", "_p"), ("_sha", "_s"))]
     renamed = gone.toDF("_d", "_p", "_s", "_stays", "_copies")
     dropped, several = renamed.where("_stays = 0"), renamed.where("_stays = 1 and _copies > 1")
     single = own.join(dropped, match(dropped), "left_anti")
     if several.isEmpty():
-        return single.drop("_n", "_sha")
+        return single.select("_row.*")
     once = own.join(several, match(several), "left_semi").dropDuplicates(["doc_id", "_n", "_sha"])
-    return single.join(several, match(several), "left_anti").unionByName(once).drop("_n", "_sha")
+    return single.join(several, match(several), "left_anti").unionByName(once).select("_row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

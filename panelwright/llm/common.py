@@ -20,6 +20,11 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns in one, so that none clashes with the columns an operator adds; ``select("_row.*")`` undoes it."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+
+
 def without_white(text: Column) -> Column:
     return F.translate(text, WHITE, "")
 

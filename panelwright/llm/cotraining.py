@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import matched, text_or_empty
+from panelwright.llm.common import text_or_empty
 from panelwright.session import cut_lineage
 
 WORD_BITS = 14
@@ -192,36 +192,50 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", labelled_
     return {r["name"]: np.frombuffer(bytes(r["model"])) for r in fitted}
 
 
+def _probabilities(models: dict[str, np.ndarray] | float):
+    """A function from the columns text, lang, source, n_chars to (text, meta, combined) probabilities of each row."""
+
+    def rows(text, lang, source, n_chars):
+        for t, a, b, n in zip(text, lang, source, n_chars, strict=True):
+            if isinstance(models, float):
+                yield models, models, models
+                continue
+            index, weight, shape = text_features(t.as_py() or "")
+            model, behind = models["text"], 1 << WORD_BITS
+            x = weight @ model[index] + shape @ model[behind : behind + SHAPE] + model[-1]
+            y = models["meta"][meta_features(a.as_py(), b.as_py(), n.as_py())].sum() + models["meta"][-1]
+            both = models["both"]
+            yield float(sigmoid(x)), float(sigmoid(y)), float(sigmoid(both[0] * x + both[1] * y + both[2]))
+
+    return rows
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, target: str = "quality", threshold: float = THRESHOLD, **sizes) -> DataFrame:
     """(doc_id, text_score, meta_score, score, kept) of every row; scores are probabilities of good quality."""
-    own = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"), "lang", "source", F.col("n_chars").cast("long"))
-    models = train(docs, labels, target, **sizes)
-    if isinstance(models, float):
-        same = F.lit(models)
-        return own.select("doc_id", same.alias("text_score"), same.alias("meta_score"), same.alias("score"), (same >= threshold).alias("kept"))
+    own = docs.select(F.col("doc_id").cast("long"), "text", "lang", "source", F.col("n_chars").cast("long"))
+    probabilities = _probabilities(train(docs, labels, target, **sizes))
     schema = pa.schema([("doc_id", pa.int64()), *[(c, pa.float64()) for c in ("text_score", "meta_score", "score")], ("kept", pa.bool_())])
 
     def score(batches):
-        text_model, meta_model, both = models["text"], models["meta"], models["both"]
-        behind = 1 << WORD_BITS
         for batch in batches:
-            out = []
-            for doc_id, text, lang, source, n_chars in zip(*(c if i == 1 else c.to_pylist() for i, c in enumerate(batch.columns)), strict=True):
-                index, weight, shape = text_features(text.as_py())
-                a = weight @ text_model[index] + shape @ text_model[behind : behind + SHAPE] + text_model[-1]
-                b = meta_model[meta_features(lang, source, n_chars)].sum() + meta_model[-1]
-                p = float(sigmoid(both[0] * a + both[1] * b + both[2]))
-                out.append((doc_id, float(sigmoid(a)), float(sigmoid(b)), p, p >= threshold))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+            found = list(probabilities(*batch.columns[1:]))
+            columns = list(zip(*found, strict=True)) or [[], [], []]
+            kept = [x >= threshold for x in columns[2]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.float64()) for c in columns], pa.array(kept, pa.bool_())], schema=schema)
 
     return own.mapInArrow(score, "doc_id long, text_score double, meta_score double, score double, kept boolean")
 
 
-def good_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def good_documents(docs: DataFrame, labels: DataFrame, target: str = "quality", threshold: float = THRESHOLD, **sizes) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, with all their columns."""
-    rejected = quality_scores(docs, labels, **options).where("not kept").select("doc_id", F.lit(1).alias("_one")).distinct().drop("_one")
-    return matched(docs, cut_lineage(rejected, "quality-rejected"), ["doc_id"], "left_anti")
+    probabilities = _probabilities(train(docs, labels, target, **sizes))
+    at = [docs.columns.index(c) for c in ("text", "lang", "source", "n_chars")]
+
+    def keep(batches):
+        for batch in batches:
+            yield batch.filter(pa.array([p >= threshold for _, _, p in probabilities(*(batch.column(i) for i in at))], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -23,10 +23,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import matched, mix64, text_or_empty
+from panelwright.llm.common import matched, mix64, text_or_empty, whole_row
 from panelwright.llm.components import components
 from panelwright.session import cut_lineage
 
@@ -35,6 +35,7 @@ COLLECTION = 12
 BAND_ROWS = 2
 NUMERATOR, DENOMINATOR = 80, 100
 CHUNK = 1 << 14
+SECOND = np.uint64(0x5851F42D4C957F2D)
 SPREAD_ROUNDS = 2
 
 
@@ -76,7 +77,7 @@ def signatures(docs: DataFrame, words: int, collection: int, band_rows: int) ->
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 own = shingle_set(text.as_py(), words)
-                s1, s2 = own.sum(dtype=np.uint64), mix64(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
+                s1, s2 = own.sum(dtype=np.uint64), mix64(own ^ SECOND).sum(dtype=np.uint64)
                 bands = []
                 if len(own):
                     low = minima(own, factors, terms).reshape(2 * collection, band_rows)
@@ -201,7 +202,8 @@ def near_duplicates(
     collection: int = COLLECTION,
     band_rows: int = BAND_ROWS,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+    """(doc_id, n_shingles, component_id, kept, s1, s2, component) for every row of ``docs``; s1 and s2 identify its
+    shingle set, ``component`` its component also where several have equal smallest ids."""
     signed = cut_lineage(signatures(docs, words, collection, band_rows), "minhash-signatures")
     key = ["n_shingles", "s1", "s2"]
     sets = signed.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("low"), F.first("bands").alias("bands"))
@@ -212,11 +214,37 @@ def near_duplicates(
     labels = _rounds(rows.select("key", "sid", "n_shingles"), numerator, denominator, lambda pairs: confirmed(pairs, texts, words, numerator, denominator))
     labelled = sets.select("sid", "low", *key).join(labels.toDF("sid", "label"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     lows = labelled.groupBy("label").agg(F.min("low").alias("component_id"))
-    by_set = cut_lineage(labelled.join(lows, "label").select(*key, "component_id"), "minhash-components")
+    by_set = cut_lineage(labelled.join(lows, "label").select(*key, "component_id", F.col("label").alias("component")), "minhash-components")
     out = signed.join(by_set, key, "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "s1", "s2", "component")
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 5, **options) -> DataFrame:
+    """The rows of ``docs`` of which one per component stays, with all columns: the one with the smallest ``doc_id``.
+
+    Of several rows with that ``doc_id`` in one component, the one with the first text stays.
+    """
+    found = cut_lineage(near_duplicates(docs, words, **options), "minhash-found")
+    several = cut_lineage(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "minhash-several")
+    once = matched(docs, found.where("not kept").select("doc_id").distinct(), ["doc_id"], "left_anti")
+    if several.isEmpty():
+        return once
+
+    @F.udf("struct<s1: bigint, s2: bigint>")
+    def set_of(text):
+        own = shingle_set(text, words)
+        return int(own.sum(dtype=np.uint64).astype(np.int64)), int(mix64(own ^ SECOND).sum(dtype=np.uint64).astype(np.int64))
+
+    own = matched(docs.select(whole_row(docs), "doc_id", "text"), several, ["doc_id"], "left_semi")
+    own = own.withColumn("_set", set_of(text_or_empty())).select("_row", "doc_id", "text", "_set.s1", "_set.s2")
+    stay = found.where("kept").groupBy("doc_id", "s1", "s2").agg(F.max("n_shingles").alias("n"), F.max("component").alias("component"))
+    own = matched(own, stay, ["doc_id", "s1", "s2"])
+    # Texts without words are linked with nothing: each stays.
+    own = own.withColumn("rank", F.row_number().over(Window.partitionBy("doc_id", "component").orderBy("text")))
+    own = own.where("rank = 1 or n = 0").select("_row.*")
+    return matched(once, several, ["doc_id"], "left_anti").unionByName(own)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("s1", "s2", "component")

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import WORD, matched, text_or_empty
+from panelwright.llm.common import WORD, matched, text_or_empty, whole_row
 from panelwright.session import cut_lineage
 
 BLOCK_WORDS = 4096
@@ -175,7 +175,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """
     key = ["doc_id", "source", "_size"]
     taken = mix(docs).withColumnRenamed("size", "_size").groupBy(*key).agg(F.sort_array(F.collect_list("taken")).alias("_taken"))
-    own = docs.withColumn("_size", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long"))
+    own = docs.select(whole_row(docs), "doc_id", "source", "text", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("_size"))
     same = Window.partitionBy(*key).orderBy(text_or_empty())
     rows = matched(own.withColumn("_at", F.row_number().over(same)), taken, key)
     rows = rows.withColumn("_words", F.element_at("_taken", F.col("_at"))).where("_words > 0")
@@ -185,11 +185,11 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     )
     rows = rows.withColumn("_part", F.explode(copies))
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    text = F.when(F.col("_part") < 0, F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("_part"), F.lit(1)).cast("int")), " "))
-    out = rows.withColumn("text", text)
+    first_words = F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("_part"), F.lit(1)).cast("int")), " ")
+    short = F.col("_row").withField("text", first_words)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_part") < 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+        short = short.withField("n_chars", F.length(first_words).cast(docs.schema["n_chars"].dataType))
+    return rows.select(F.when(F.col("_part") < 0, F.col("_row")).otherwise(short).alias("_row")).select("_row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

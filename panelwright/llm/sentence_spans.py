@@ -23,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from panelwright.llm.common import WHITE, matched, text_or_empty
+from panelwright.llm.common import WHITE, matched, text_or_empty, whole_row
 from panelwright.session import cut_lineage
 
 SPAN = 3
@@ -34,8 +35,7 @@ KEY = ["doc_id", "_text_hash"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    own = docs.withColumn("_text", text_or_empty())
-    return own.withColumn("_text_hash", F.xxhash64("_text"))
+    return docs.select(whole_row(docs), "doc_id", text_or_empty().alias("_text")).withColumn("_text_hash", F.xxhash64("_text"))
 
 
 def spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
@@ -95,18 +95,16 @@ def repeated_sentences(docs: DataFrame, span: int = SPAN) -> DataFrame:
 
 def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     """``docs`` with their repeated sentences taken out of ``text``; all other columns as they are."""
-    rows = _marked(docs, span).drop("_text_hash", "text")
-    at = {c: i for i, c in enumerate(rows.columns)}
-    names = [c for c in rows.columns if not c.startswith("_") and c != "starts"]
+    rows = _marked(docs, span).select("_row", "_text", "starts", "_again")
 
     def cut(batches):
         for batch in batches:
-            text, starts, again = (batch.column(at[c]) for c in ("_text", "starts", "_again"))
+            row, text, starts, again = batch.columns
             kept = ["".join(_kept(t.as_py(), s, a, span)[0]) for t, s, a in zip(text, starts.to_pylist(), again.to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(at[c]) for c in names), pa.array(kept, pa.string())], names=[*names, "text"])
+            yield pa.RecordBatch.from_arrays([row, pa.array(kept, pa.string())], names=["_row", "_kept"])
 
-    ddl = ", ".join(f"`{c}` {t}" for c, t in rows.select(*names).dtypes) + ", text string"
-    return rows.mapInArrow(cut, ddl).select(*docs.columns)
+    schema = T.StructType([rows.schema["_row"], T.StructField("_kept", T.StringType())])
+    return rows.mapInArrow(cut, schema).select(F.col("_row").withField("text", F.col("_kept")).alias("_row")).select("_row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
