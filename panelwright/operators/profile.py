@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +14,9 @@ from panelwright.operators.layout import join_on, settled
 from panelwright.operators.quantiles import aggregate_with_quantiles, column_name, quantiles
 from panelwright.spec import SeriesSpec
 
-MAX_PAIRWISE_COLUMNS = 30
+CORRELATION_BLOCK = 64
+CORRELATION_HELD = 4_000_000
+SUMS = ("_n", "_sx", "_sy", "_sxx", "_syy", "_sxy")
 
 
 def _tidy(row: DataFrame, structs: Sequence[Column]) -> DataFrame:
@@ -72,39 +73,78 @@ def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), boun
     return both.select(*by, F.inline(F.array(*rows)))
 
 
-def correlations(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by, a, b, r) for every pair of columns, over the rows where both have a value."""
-    if len(columns) > MAX_PAIRWISE_COLUMNS:
-        raise ValueError("too many columns for one aggregate; use correlations_wide")
-    pairs = list(combinations(columns, 2))
-    row = df.groupBy(*by).agg(
-        *[
-            F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_r{i}")
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    return row.select(
-        *by,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"_r{i}").alias("r"))
-                    for i, (a, b) in enumerate(pairs)
-                ]
-            )
-        ),
-    )
+def _known_sums(columns: Sequence[str], by: Sequence[str]):
+    """Sums over the rows where both columns of a pair are known, per group, for one Arrow batch after the other.
 
+    Columns come centred, so that the sums of squares keep their digits. Pairs are added up as products of blocks of
+    ``CORRELATION_BLOCK`` columns; what has been added up is passed on whenever it exceeds ``CORRELATION_HELD`` numbers.
+    """
+    size, k = CORRELATION_BLOCK, len(columns)
+    spans = [range(i, min(i + size, k)) for i in range(0, k, size)]
+    blocks = [(x, y) for i, x in enumerate(spans) for y in spans[i:]]
+
+    def rows(sums, keys):
+        out = []
+        for (group, n), parts in sums.items():
+            x, y = blocks[n]
+            at = [(i, j) for i in range(len(x)) for j in range(len(y)) if x[i] < y[j]]
+            pick = tuple(np.array(at, dtype=np.int64).reshape(-1, 2).T)
+            frame = pd.DataFrame({c: [v] * len(at) for c, v in zip(by, keys.get(group, ()), strict=False)} | {"_a": [x[i] for i, _ in at], "_b": [y[j] for _, j in at]})
+            out.append(frame.assign(**{name: part[pick] for name, part in zip(SUMS, parts, strict=True)}))
+        return pd.concat(out, ignore_index=True) if out else None
+
+    def add(batches):
+        sums: dict = {}
+        keys: dict = {}
+        held = 0
+        for batch in batches:
+            groups = batch.groupby(list(by), dropna=False, sort=False).indices.items() if by else [((), np.arange(len(batch)))]
+            values = batch[list(columns)].to_numpy(dtype=np.float64, na_value=np.nan)
+            for name, at in groups:
+                first = batch[list(by)].iloc[at[0]].tolist() if by else []
+                group = tuple(None if v is None or v != v else v for v in first)
+                keys[group] = first
+                part = values[at]
+                known = ~np.isnan(part)
+                x, m = np.where(known, part, 0.0), known.astype(np.float64)
+                for n, (p, q) in enumerate(blocks):
+                    p, q = slice(p.start, p.stop), slice(q.start, q.stop)
+                    new = (m[:, p].T @ m[:, q], x[:, p].T @ m[:, q], m[:, p].T @ x[:, q], (x[:, p] ** 2).T @ m[:, q], m[:, p].T @ x[:, q] ** 2, x[:, p].T @ x[:, q])
+                    if (group, n) in sums:
+                        sums[group, n] = [u + v for u, v in zip(sums[group, n], new, strict=True)]
+                    else:
+                        sums[group, n] = list(new)
+                        held += 6 * new[0].size
+                if held > CORRELATION_HELD:
+                    yield rows(sums, keys)
+                    sums, keys, held = {}, {}, 0
+        last = rows(sums, keys)
+        if last is not None:
+            yield last
+
+    return add
 
-def correlations_wide(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The same for many columns: one distributed Gramian over the complete rows."""
-    complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="_x").transform(complete)
-    matrix = Correlation.corr(vectors.select("_x"), "_x").first()[0].toArray()
-    rows = [
-        (a, b, float(matrix[i, j])) for (i, a), (j, b) in combinations(enumerate(columns), 2)
-    ]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+
+def correlations(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by, a, b, r) for every pair of columns, over the rows where both have a value; NULL where r is not defined.
+
+    One way for any number of columns: tasks add up products of column blocks, Spark adds up the tasks' sums per pair.
+    NaN counts as no value.
+    """
+    by, k = list(by), len(columns)
+    named = {f"_x{i}": F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for i, c in enumerate(columns)}
+    wide = df.select(*by, *[c.alias(n) for n, c in named.items()])
+    middle = wide.agg(*[F.coalesce(F.avg(n), F.lit(0.0)).alias(f"_m{i}") for i, n in enumerate(named)])
+    centred = join_on(wide, middle, []).select(*by, *[(F.col(f"_x{i}") - F.col(f"_m{i}")).alias(f"_x{i}") for i in range(k)])
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in wide.select(*by).schema) + "_a int, _b int, " + ", ".join(f"{s} double" for s in SUMS)
+    parts = centred.mapInPandas(_known_sums(list(named), by), schema)
+    total = parts.groupBy(*by, "_a", "_b").agg(*[F.sum(s).alias(s) for s in SUMS])
+    n, x, y, xx, yy, xy = (F.col(s) for s in SUMS)
+    spread = F.sqrt(F.greatest(n * xx - x * x, F.lit(0.0))) * F.sqrt(F.greatest(n * yy - y * y, F.lit(0.0)))
+    r = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), (n * xy - x * y) / F.nullif(spread, F.lit(0.0))))
+    names = F.array(*[F.lit(c) for c in columns])
+    pick = lambda i: F.element_at(names, F.col(i) + 1)
+    return total.select(*by, pick("_a").alias("a"), pick("_b").alias("b"), F.when((n > 1) & (spread > 0), r).alias("r"))
 
 
 def shape(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

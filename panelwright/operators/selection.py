@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.operators.features import to_long
-from panelwright.operators.profile import MAX_PAIRWISE_COLUMNS, correlations, correlations_wide
+from panelwright.operators.profile import correlations
 from panelwright.operators.quantiles import column_name, quantiles
 
 MIN_CORRELATION = 0.1
@@ -72,8 +72,7 @@ def by_mutual_information(df: DataFrame, features: Sequence[str], target: str, b
 
 def prune_collinear(df: DataFrame, features: Sequence[str], threshold: float = MAX_CORRELATION) -> DataFrame:
     """(feature) without those that correlate above the threshold with any earlier one."""
-    table = correlations if len(features) <= MAX_PAIRWISE_COLUMNS else correlations_wide
-    drop = table(df, features).where(F.abs("r") > threshold).select(F.col("b").alias("feature")).distinct()
+    drop = correlations(df, features).where(F.abs("r") > threshold).select(F.col("b").alias("feature")).distinct()
     names = df.sparkSession.createDataFrame([(f,) for f in features], "feature string")
     return names.join(drop, "feature", "left_anti")
 

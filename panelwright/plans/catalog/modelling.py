@@ -146,6 +146,28 @@ def prune_collinear(spark: SparkSession, sf: str) -> DataFrame:
     return selection.prune_collinear(_tick_features(spark, sf), _PICKS, 0.6)
 
 
+_WIDE = [
+    f"CASE WHEN (l_orderkey + {i}) % {5 + i % 4} = 0 THEN NULL ELSE CAST({c} AS DOUBLE) * {1 + i % 3} + {i} * (l_partkey % 11) END AS {c[2:]}_{i}"
+    for i in range(9)
+    for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+] + ["CAST(NULL AS DOUBLE) AS nothing"]
+_WIDE_NAMES = [c.rsplit(" ", 1)[1] for c in _WIDE]
+
+
+@query(
+    "prune_collinear_wide",
+    f"WITH feats AS (SELECT {', '.join(_WIDE)} FROM lineitem) SELECT f AS feature FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{b}' AS f, " + (" OR ".join(f"coalesce(abs(corr({a}, {b})), 0) > 0.93" for a in _WIDE_NAMES[:i]) or "count(*) < 0") + " AS out FROM feats"
+        for i, b in enumerate(_WIDE_NAMES)
+    )
+    + ") WHERE NOT out",
+)
+def prune_collinear_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """More columns than any pairwise limit, with gaps and a column that is never known."""
+    return selection.prune_collinear(p.table(spark, sf, "lineitem").selectExpr(*_WIDE), _WIDE_NAMES, 0.93)
+
+
 _MI_FEATURES = ("l_quantity", "l_discount", "l_tax")
 _MI_BIN = " + ".join("CAST({c} > q_{c}[%d] AS INTEGER)" % i for i in range(1, 8))
 _MI_SQL = f"""WITH cuts AS (SELECT {", ".join(

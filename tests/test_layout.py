@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelwright import SeriesSpec
 from panelwright.operators import features as fe
-from panelwright.operators import fill, layout, quantiles
+from panelwright.operators import fill, layout, profile, quantiles, selection
 from panelwright.operators import seasonal as se
 
 PLAIN = SeriesSpec("k", "t", "value", "day", "id")
@@ -106,6 +106,26 @@ def test_exact_quantiles(spark, accuracy):
                 np.testing.assert_allclose(np.array(have, float), np.array(want, float), rtol=1e-12)
 
 
+def test_correlations_do_not_depend_on_the_number_of_columns(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(1e6, 3, (400, 1))
+    values = np.concatenate([base + rng.normal(0, 1, (400, 30)), np.full((400, 1), np.nan)], axis=1)
+    values[rng.random(values.shape) < 0.2] = np.nan
+    pdf = pd.DataFrame(values, columns=[f"c{i}" for i in range(31)]).assign(k=np.where(np.arange(400) % 3, "a", None))
+    df = spark.createDataFrame(pdf)
+    names = list(pdf.columns[:31])
+    for columns in (names[:5], names[:30], names):
+        got = {(r["a"], r["b"]): r["r"] for r in profile.correlations(df, columns).collect()}
+        want = pdf[columns].corr(min_periods=2)
+        assert len(got) == len(columns) * (len(columns) - 1) // 2
+        assert all((r is None and np.isnan(want[a][b])) or abs(r - want[a][b]) < 1e-9 for (a, b), r in got.items())
+    by = {(r["k"], r["a"], r["b"]): r["r"] for r in profile.correlations(df, names[:3], ["k"]).collect()}
+    assert len(by) == 6
+    assert abs(by[(None, "c0", "c2")] - pdf[pdf.k.isna()][["c0", "c2"]].corr().iloc[0, 1]) < 1e-9
+    pruned = [{r["feature"] for r in selection.prune_collinear(df, c, 0.9).collect()} for c in (names[:30], names)]
+    assert pruned[1] - {"c30"} == pruned[0]
+
+
 def test_seasonal_parts_add_up(table):
     df = se.decompose(table, OPEN, **SMALL).where("residual IS NOT NULL")
     assert df.where(F.abs(F.col("trend") + F.col("seasonal") + F.col("residual") - F.col("value")) > 1e-9).count() == 0
