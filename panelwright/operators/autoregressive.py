@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.stats import z_value
 from panelwright.functions.windowed import lagged
-from panelwright.operators.layout import join_on, over_series, settled, with_cuts
+from panelwright.operators.layout import join_on, over_series, settled, with_slices
 from panelwright.session import cut_lineage
 from panelwright.spec import SeriesSpec
 
@@ -145,7 +145,7 @@ def differencing_order(df: DataFrame, spec: SeriesSpec, max_d: int = MAX_D, lags
     """(keys, d): the first difference order up to ``max_d`` the unit-root test calls stationary."""
     keys = list(spec.keys)
     (v,) = spec.values
-    spec = with_cuts(df, spec)
+    spec = with_slices(df, spec)
     laid = _differences(df, spec, v)
     found = None
     for d in range(max_d):
@@ -271,7 +271,7 @@ def arima_fit(
     Keys too short for the grid have no model row.
     """
     keys = list(spec.keys)
-    spec = with_cuts(df, spec)
+    spec = with_slices(df, spec)
     orders = differencing_order(df, spec, max_d)
     rows = arma_rows(df, spec, orders, max_p, max_q, long_ar)
     best = best_order(order_search(rows, spec, max_p, max_q), keys, criterion)

@@ -1,7 +1,7 @@
 """How the rows of a series are spread over tasks.
 
-A calendar series (``spec.freq`` set) has few rows per key: its windows are
-partitioned by the keys and cost one shuffle. Any other series may be one key
+A calendar series (``spec.freq`` set), or one declared ``short``, has few rows
+per key: its windows are partitioned by the keys and cost one shuffle. Any other series may be one key
 with a third of the table, so it is cut into blocks of ``block_rows``
 consecutive rows. A block also receives copies of the rows next to it (its
 halo), as many as the widest frame needs; the copies are dropped after the
@@ -14,10 +14,8 @@ from collections.abc import Callable, Sequence
 from dataclasses import replace
 from math import ceil
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelwright.session import cut_lineage
 from panelwright.spec import SeriesSpec
@@ -25,10 +23,7 @@ from panelwright.spec import SeriesSpec
 POS, BLOCK, HALO, SLICE = "_pos", "_block", "_halo", "_slice"
 BLOCK_ROWS = 4096  # blocks with a halo: small next to memory, large next to the halo
 CARRY_BLOCK_ROWS = 262_144  # blocks that hand one row on: few blocks, so short carry windows
-SLICE_ROWS = 1_000_000
-MAX_SLICES = 16_384
-CUT_SAMPLE_ROWS = 5_000_000
-BROADCAST_ROWS = 100_000
+SLICE_ROWS = 200_000
 
 Stage = dict[str, Column]
 
@@ -73,71 +68,45 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
 def settled(df: DataFrame, name: str) -> DataFrame:
     """An aggregate written once, to be joined to the rows it came from.
 
-    Counted and broadcast up to ``BROADCAST_ROWS`` rows, so that the large side
-    is not shuffled; a longer table is joined as Spark sees fit. Written also
-    because a second evaluation of a sketch may differ from the first.
+    Spark knows the size of a written table and broadcasts it below its own limit, so that the large side is not
+    shuffled; beyond, both sides are plain exchanges, which it splits where a key is frequent. Written also because a
+    second evaluation of a sketch may differ from the first.
     """
-    written = cut_lineage(df, name)
-    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
-
-
-def _order_value(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    col = F.col(name)
-    if isinstance(kind, T.DateType):
-        col = F.unix_date(col)
-    elif isinstance(kind, T.TimestampType):
-        col = F.unix_micros(col)
-    elif isinstance(kind, T.TimestampNTZType):
-        col = F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', `{name}`)")
-    elif not isinstance(kind, T.NumericType):
-        raise ValueError(f"order column {name} must be a date, a timestamp or a number")
-    return F.coalesce(col.cast("double"), F.lit(float("-inf")))
-
-
-def slice_bounds(df: DataFrame, spec: SeriesSpec, slice_rows: int = SLICE_ROWS) -> list[float]:
-    """Cut points of the order column that leave about ``slice_rows`` rows per slice.
-
-    Quantiles, so bursts in time get narrow slices. They are taken from a
-    sample of a very large table: cut points balance the work and do not touch
-    the result, every row is numbered. At most ``MAX_SLICES`` numbers reach the
-    driver.
-    """
-    timed = df.select(_order_value(df, spec.time).alias("x"))
-    rows = timed.count()
-    parts = min(MAX_SLICES, ceil(rows / slice_rows))
-    if parts <= 1:
-        return []
-    if rows > CUT_SAMPLE_ROWS:
-        timed = timed.sample(CUT_SAMPLE_ROWS / rows, seed=1)
-    probs = [i / parts for i in range(1, parts)]
-    cuts = timed.approxQuantile("x", probs, 1 / (4 * parts))
-    return sorted({c for c in cuts if c != float("-inf")})
-
-
-def with_cuts(df: DataFrame, spec: SeriesSpec, slice_rows: int = SLICE_ROWS) -> SeriesSpec:
-    """The spec with cut points of ``df``, so that operators on derived tables need not look for them again."""
-    if spec.bounded or spec.cuts is not None:
+    return cut_lineage(df, name)
+
+
+def slice_count(df: DataFrame, slice_rows: int = SLICE_ROWS) -> int:
+    """Slices of about ``slice_rows`` rows, and as many as there are shuffle partitions at least."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, ceil(df.select(F.lit(1)).count() / slice_rows))
+
+
+def with_slices(df: DataFrame, spec: SeriesSpec, slice_rows: int = SLICE_ROWS) -> SeriesSpec:
+    """The spec with the number of slices of ``df``, so that operators on derived tables need not count again."""
+    if spec.bounded or spec.slices is not None:
         return spec
-    return replace(spec, cuts=tuple(slice_bounds(df, spec, slice_rows)))
+    return replace(spec, slices=slice_count(df, slice_rows))
+
+
+def in_slices(df: DataFrame, spec: SeriesSpec, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Adds ``_slice``: rows dealt out by ranges of (keys, time, tiebreak), at every size.
+
+    Written, so that the slice a row is in does not change. Only rows that agree in all those columns have to be in one.
+    """
+    slices = with_slices(df, spec, slice_rows).slices
+    ranged = df.repartitionByRange(slices, *[F.col(c) for c in (*spec.keys, *spec.order)])
+    return cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
 
 
 def number_rows(df: DataFrame, spec: SeriesSpec, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Adds ``_pos``: the 1-based position of each row in its series.
 
-    Rows are ranked inside (keys, time slice) and shifted by the row counts of
-    the earlier slices, which are added up over at most ``MAX_SLICES`` rows per key.
+    Rows are ranked inside their slice and shifted by the row counts of the earlier slices of the key.
     """
     keys = list(spec.keys)
     if spec.bounded:
         return df.withColumn(POS, F.row_number().over(Frame(keys, spec.order).ordered).cast("long"))
-    cuts = with_cuts(df, spec, slice_rows).cuts
-    if not cuts:  # the whole table is smaller than one slice
-        return df.withColumn(POS, F.row_number().over(Frame(keys, spec.order).ordered).cast("long"))
-    sliced = Bucketizer(
-        splits=[float("-inf"), *cuts, float("inf")], inputCol="_x", outputCol=SLICE, handleInvalid="keep"
-    ).transform(df.withColumn("_x", _order_value(df, spec.time)))
-    sliced = sliced.drop("_x")
+    sliced = in_slices(df, spec, slice_rows)
     counts = sliced.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

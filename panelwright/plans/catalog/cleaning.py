@@ -86,7 +86,7 @@ def ffill_bfill_categories(spark: SparkSession, sf: str) -> DataFrame:
     """The priority of a customer's order, or of the order before (after) where it was not specified."""
     known = F.when(~F.col("o_orderpriority").startswith("4"), F.col("o_orderpriority"))
     orders = p.table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", known.alias("value"))
-    spec = p.SeriesSpec("o_custkey", "o_orderdate", "value", None, "o_orderkey")
+    spec = p.SeriesSpec("o_custkey", "o_orderdate", "value", None, "o_orderkey", short=True)
     return fill.fill_neighbours(orders, spec).select("o_orderkey", "value")
 
 

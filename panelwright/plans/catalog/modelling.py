@@ -13,7 +13,7 @@ from panelwright.operators import dataset, scoring, selection, sequence, trees
 from panelwright.operators import features as fe
 from panelwright.operators import fill
 from panelwright.operators.forecast import ar1_fit, future_calendar
-from panelwright.operators.layout import join_on, over_series, settled, with_cuts
+from panelwright.operators.layout import join_on, over_series, settled, with_slices
 from panelwright.operators.profile import metrics_long
 from panelwright.functions.windowed import lagged
 from panelwright.plans import panels as p
@@ -285,7 +285,7 @@ _LB_Q = " + ".join(f"rho{k} * rho{k} / (n - {k})" for k in range(1, 11))
 def ljung_box(spark: SparkSession, sf: str) -> DataFrame:
     """Autocorrelation left in the residuals of a first-order autoregression."""
     ticks = p.ticks(spark, sf)
-    spec = with_cuts(ticks, p.TICKS)
+    spec = with_slices(ticks, p.TICKS)
     lag = over_series(ticks, spec, lambda f: {"y1": lagged(F.col("value"), 1, f)}, before=1)
     resid = join_on(lag, ar1_fit(ticks, spec), ["event_type"]).where("y1 IS NOT NULL").select(
         "event_type", "ts", "event_id", (F.col("value") - F.col("intercept") - F.col("phi") * F.col("y1")).alias("residual")
@@ -304,7 +304,7 @@ def _arima(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 def arma_order_search(spark: SparkSession, sf: str) -> DataFrame:
     """All 36 orders of each event type's series, from one aggregation."""
     ticks = p.ticks(spark, sf)
-    spec = with_cuts(ticks, p.TICKS)
+    spec = with_slices(ticks, p.TICKS)
     rows = ar.arma_rows(ticks, spec, ar.differencing_order(ticks, spec))
     return ar.order_search(rows, spec).select("event_type", "p", "q", "n", "aic", "bic")
 
@@ -405,7 +405,7 @@ def model_reload(spark: SparkSession, sf: str) -> DataFrame:
 def sequence_model(spark: SparkSession, sf: str) -> DataFrame:
     """Twelve values predict the next one; trained on the events of all types, scored on the newest fifth."""
     ticks = p.ticks(spark, sf)
-    spec = with_cuts(ticks, p.TICKS)
+    spec = with_slices(ticks, p.TICKS)
     rows, stats = sequence.training_sequences(dataset.chrono_split(ticks, spec), spec)
     rows = cut_lineage(rows.drop("features"), "sequences").withColumn("features", array_to_vector("sequence"))
     scored = sequence.score_test(sequence.fit_sequence_model(rows, spec), rows, stats, spec)

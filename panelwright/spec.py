@@ -21,9 +21,12 @@ class SeriesSpec:
 
     ``tiebreak`` names the columns that order rows of equal ``time``.
 
-    ``cuts`` are cut points of the time column for numbering rows in parallel
-    (``operators.layout.with_cuts`` finds them once for a table and what is
-    derived from it); they balance the work and never change a result.
+    ``short`` says that every series is short although it has no frequency, as
+    the orders of one customer are: its windows take a whole key at a time.
+
+    ``slices`` is the number of ranges for numbering rows in parallel
+    (``operators.layout.with_slices`` finds it once for a table and what is
+    derived from it); it balances the work and never changes a result.
     """
 
     keys: tuple[str, ...] = ()
@@ -31,7 +34,8 @@ class SeriesSpec:
     values: tuple[str, ...] = ("value",)
     freq: str | None = None
     tiebreak: tuple[str, ...] = ()
-    cuts: tuple[float, ...] | None = None
+    short: bool = False
+    slices: int | None = None
 
     def __post_init__(self) -> None:
         for name in ("keys", "values", "tiebreak"):
@@ -42,7 +46,7 @@ class SeriesSpec:
 
     @property
     def bounded(self) -> bool:
-        return self.freq is not None
+        return self.short or self.freq is not None
 
     @property
     def order(self) -> list[str]:

@@ -1,5 +1,6 @@
 """Blocks, halos and carried values give what one window per key gives."""
 
+import re
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -7,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from panelwright import SeriesSpec
 from panelwright.operators import features as fe
 from panelwright.operators import fill, layout, profile, quantiles, selection
@@ -14,6 +16,7 @@ from panelwright.operators import seasonal as se
 
 PLAIN = SeriesSpec("k", "t", "value", "day", "id")
 OPEN = SeriesSpec("k", "t", "value", None, "id")
+SF = "/root/testdata/sf0.001"
 SMALL = {"block_rows": 40, "slice_rows": 150}
 
 
@@ -72,6 +75,20 @@ def test_no_task_sees_more_than_a_block_and_its_halo(table):
     assert sizes.agg(F.max("count")).first()[0] <= 40 + 24 + 6
 
 
+def test_one_key_and_one_moment_are_spread(spark):
+    """A burst in one series is cut by the tiebreak."""
+    burst = spark.range(3000).select(F.lit("hot").alias("k"), F.lit(datetime(2024, 1, 1)).alias("t"), F.col("id"), F.col("id").cast("double").alias("value"))
+    sliced = layout.in_slices(burst, OPEN, slice_rows=300).groupBy("_slice").count().toPandas()["count"]
+    assert len(sliced) >= 8 and sliced.max() <= 900
+    got = layout.number_rows(burst, OPEN, slice_rows=300)
+    assert got.where("_pos <> id + 1").count() == 0
+
+
+def test_blocks_are_exchanged_by_default(spark):
+    plan = entry.queries()["indicators_shipments"](spark, SF)._jdf.queryExecution().toString()
+    assert re.search(r"Exchange hashpartitioning\(l_returnflag#\d+, _block#\d+L", plan)
+
+
 def test_one_key_alone_gives_the_same(table):
     alone = fe.indicators(table.where("k = 'k1'"), OPEN, **SMALL)
     same(alone, fe.indicators(table, OPEN, **SMALL).where("k = 'k1'"))
