@@ -48,8 +48,10 @@ def ar1_fit(train: DataFrame, spec: SeriesSpec, **layout) -> DataFrame:
 
 
 def ar1_path(start: Column, phi: Column, intercept: Column, steps: Column) -> Column:
-    """Value ``steps`` periods ahead, one step after the other."""
-    return F.aggregate(F.sequence(F.lit(1), steps), start, lambda acc, _: intercept + phi * acc)
+    """Value ``steps`` periods ahead: the sum of the geometric series that stepping makes."""
+    power = F.pow(phi, steps)
+    carried = F.when(phi == 1, intercept * steps).otherwise(intercept * (1 - power) / F.nullif(1 - phi, F.lit(0.0)))
+    return power * start + carried
 
 
 def baseline_forecasts(grid: DataFrame, train: DataFrame, spec: SeriesSpec) -> DataFrame:

@@ -48,6 +48,15 @@ def feature_names(features: DataFrame, spec: SeriesSpec, target: str) -> list[st
     return [c for c in (*past, *calendar) if c in features.columns and c not in taken]
 
 
+def _forest_rows(rows: DataFrame, spec: SeriesSpec) -> tuple[DataFrame, list[str]]:
+    """The rows with what a forest may learn from, and the names of these columns."""
+    (v,) = spec.values
+    lagged = fe.lags(rows, spec).transform(fe.calendar_parts, spec.time).transform(fe.cyclical, spec.time)
+    lagged = lagged.transform(fe.season_flags, spec.time)
+    names = feature_names(lagged, spec, v)
+    return fill.prepare_matrix(lagged, replace(spec, values=(*names, v)), v), names
+
+
 MODELS = ("random_walk", "historic_mean", "ar1", "arima", "random_forest", "sequence")
 
 
@@ -81,10 +90,7 @@ def train(panel: DataFrame, spec: SeriesSpec, forest_params: dict | None = None)
         join_on(grid, ahead, [*keys, "step"]).withColumn("model", F.lit("arima")).select(*columns)
     )
 
-    lagged = fe.lags(split, spec).transform(fe.calendar_parts, spec.time).transform(fe.cyclical, spec.time)
-    lagged = lagged.transform(fe.season_flags, spec.time)
-    names = feature_names(lagged, spec, v)
-    matrix = fill.prepare_matrix(lagged, replace(spec, values=(*names, v)), v)
+    matrix, names = _forest_rows(split, spec)
     forest = trees.fit_forest(matrix.where(F.col("part") == "train"), names, v, **(forest_params or {}))
     scored = trees.score(forest, matrix.where(F.col("part") == "test"))
     tested = tested.unionByName(scored.withColumn("model", F.lit("random_forest")).select(*columns))
@@ -109,21 +115,42 @@ class Forecasted:
     summary: DataFrame
 
 
-def forecast(panel: DataFrame, spec: SeriesSpec, metrics: DataFrame, horizon: int = HORIZON) -> Forecasted:
-    """The best baseline or ARIMA model of each key carried ``horizon`` periods ahead."""
+def forecast(panel: DataFrame, spec: SeriesSpec, metrics: DataFrame, horizon: int = HORIZON, forest_params: dict | None = None) -> Forecasted:
+    """The best model of each key, of whatever type, carried ``horizon`` periods ahead.
+
+    Only types that win for some key are fitted again, on all known rows. A forest scores the last ``horizon`` rows of a
+    key for the periods ahead and takes its interval from its trees; a sequence model feeds its predictions back.
+    """
     keys, (v,) = list(spec.keys), spec.values
-    known = panel.select(*keys, *spec.order, v).where(F.col(v).isNotNull())
-    calendar = future_calendar(known, spec, horizon)
-    base = baseline_forecasts(calendar, known, spec)
-    models, rows = ar.arima_fit(known, spec)
-    arima = join_on(calendar, ar.arima_forecast(models, rows, spec, horizon), [*keys, "step"])
-    usable = metrics.where(F.col("model").isin("random_walk", "historic_mean", "ar1", "arima"))
-    best = scoring.best_model(usable, keys)
-    with_error = join_on(base, metrics.select(*keys, "model", "rmse"), [*keys, "model"], "left")
-    banded = normal_interval(with_error)
+    known = cut_lineage(panel.select(*keys, *spec.order, v).where(F.col(v).isNotNull()), "known")
+    calendar = cut_lineage(future_calendar(known, spec, horizon), "calendar")
+    best = cut_lineage(scoring.best_model(metrics, keys), "best")
+    winners = {r["model"] for r in best.select("model").distinct().collect()}  # at most one name per type
     columns = [*keys, spec.time, "prediction", "lower", "upper", "model", "level"]
-    both = banded.select(*columns).unionByName(arima.withColumn("model", F.lit("arima")).select(*columns))
-    chosen = cut_lineage(scoring.route(both, best, keys), "forecast")
+    errors = metrics.select(*keys, "model", "rmse")
+
+    def banded(predictions: DataFrame) -> DataFrame:
+        return normal_interval(join_on(predictions, errors, [*keys, "model"], "left")).select(*columns)
+
+    parts = [banded(baseline_forecasts(calendar, known, spec))]
+    if "arima" in winners:
+        models, rows = ar.arima_fit(known, spec)
+        arima = join_on(calendar, ar.arima_forecast(models, rows, spec, horizon), [*keys, "step"])
+        parts.append(arima.withColumn("model", F.lit("arima")).select(*columns))
+    if "random_forest" in winners:
+        matrix, names = _forest_rows(known, spec)
+        forest = trees.fit_forest(matrix, names, v, **(forest_params or {}))
+        last = trees.tree_interval(forest, trees.score_last(forest, matrix, spec, horizon))
+        parts.append(trees.with_dates(last, calendar, spec).withColumn("model", F.lit("random_forest")).select(*columns))
+    if "sequence" in winners:
+        rows, stats = sequence.training_sequences(known.withColumn("part", F.lit("train")), spec)
+        model = sequence.fit_sequence_model(rows, spec)
+        path = sequence.recursive_forecast(model, sequence.last_sequences(known, spec, stats), stats, spec, horizon)
+        parts.append(banded(join_on(calendar, path, [*keys, "step"]).withColumn("model", F.lit("sequence"))))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    chosen = cut_lineage(scoring.route(every, best, keys), "forecast")
     checks = forecast_checks(chosen, keys, spec.time)
     return Forecasted(chosen, checks, check_summary(checks, keys))
 
@@ -136,7 +163,7 @@ def run(panel: DataFrame, spec: SeriesSpec, forest_params: dict | None = None) -
     rates = spec.with_values(target)
     known = cut_lineage(cleaned.panel.where(F.col(target).isNotNull()), "rates")
     trained = train(known, rates, forest_params)
-    ahead = forecast(known, rates, trained.metrics)
+    ahead = forecast(known, rates, trained.metrics, forest_params=forest_params)
     return {
         "panel": cleaned.panel,
         "outliers": cleaned.outliers,
