@@ -37,12 +37,12 @@ def _text_t(df: DataFrame, **places: int) -> DataFrame:
     "align_xy",
     with_ctes(
         """SELECT p.k, CAST(p.t AS VARCHAR) AS t, p.n, round(r.annual_rate, 6) + 0.0 AS annual_rate FROM panel p
-           JOIN rates r ON p.k = r.k AND p.t = r.t WHERE p.n >= 8 AND r.annual_rate IS NOT NULL""",
+           JOIN rates r ON p.k = r.k AND p.t = r.t WHERE r.annual_rate IS NOT NULL""",
         "rates",
     ),
 )
 def align_xy(spark: SparkSession, sf: str) -> DataFrame:
-    x = p.nation_panel(spark, sf).select("k", "t", "n").where("n >= 8")
+    x = p.nation_panel(spark, sf).select("k", "t", "n")
     y = p.rate_panel(spark, sf).select("k", "t", "annual_rate").where("annual_rate IS NOT NULL")
     return _text_t(dataset.align(x, y, p.NATION), annual_rate=6)
 

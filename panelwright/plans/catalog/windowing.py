@@ -501,7 +501,7 @@ def customer_features(spark: SparkSession, sf: str) -> DataFrame:
         + ", ".join(f"lag(value, {k}) OVER {W} AS value_lag_{k}" for k in fe.LAGS)
         + ", "
         + ", ".join(
-            f"{_AGG[s][1]}(value) OVER {trailing(n)} AS value_{s}_{n}" for n in fe.WINDOWS for s in ("ma", "min", "max")
+            f"{_AGG[s][1]}(value) OVER {trailing(n)} AS value_{s}_{n}" for n in fe.WINDOWS for s in ("ma", "std", "min", "max")
         )
         + " FROM panel",
         long="SELECT * FROM (FROM wide UNPIVOT INCLUDE NULLS (x FOR feature IN (COLUMNS(* EXCLUDE (k, t)))))",
@@ -510,7 +510,7 @@ def customer_features(spark: SparkSession, sf: str) -> DataFrame:
 def feature_cascade(spark: SparkSession, sf: str) -> DataFrame:
     """Indicators of lags and moving statistics, in the long layout."""
     panel = p.nation_panel(spark, sf).select("k", "t", "value")
-    df = fe.cascade_long(panel, p.NATION).where(~F.col("feature").contains("_std_"))
+    df = fe.cascade_long(panel, p.NATION)
     return df.select(
         "k",
         F.col("t").cast("string").alias("t"),
