@@ -191,7 +191,7 @@ def _innovations(df: DataFrame, spec: SeriesSpec, orders: DataFrame, long_ar: in
             yield pdf[keys].assign(_a=list(coef))
 
     fits = sums.where(F.col("n") > 2 * (long_ar + 1)).mapInPandas(solve, _schema(df, keys, "_a array<double>"))
-    rows = join_on(lagged_w, fits, keys)
+    rows = join_on(lagged_w, fits, keys, "left")  # a series too short for it has no innovations
     fitted = F.col("_a")[0] + sum(F.col("_a")[k + 1] * F.col(n) for k, n in enumerate(names))
     return rows.withColumn("e", F.col("w") - fitted).drop("_a")
 
@@ -262,19 +262,45 @@ def best_order(scores: DataFrame, keys: Sequence[str], criterion: str = "aic") -
     return best.select(*keys, *[F.col(f"_b.{c}").alias(c) for c in fields])
 
 
+def fallback_models(rows: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """The model rows of a first-order autoregression, or of a constant where that is not stationary, for every key.
+
+    They need no innovations, so a few rows are enough.
+    """
+    y, x = F.col("w"), F.col("w1")
+    sums = rows.groupBy(*spec.keys).agg(
+        F.regr_slope(y, x).alias("phi"), F.regr_intercept(y, x).alias("icept"), F.regr_count(y, x).alias("pairs"),
+        (F.regr_syy(y, x) - F.regr_slope(y, x) * F.regr_sxy(y, x)).alias("rss"),
+        F.count(y).alias("rows"), F.avg(y).alias("mean"), F.var_pop(y).alias("var"), F.max("_sd").alias("sd"),
+    )
+    one = F.coalesce((F.col("pairs") > 3) & (F.abs("phi") < 1), F.lit(False))
+    n = F.greatest(F.when(one, F.col("pairs")).otherwise(F.col("rows")), F.lit(1))
+    spread = F.when(one, F.col("rss") / F.greatest(F.col("pairs"), F.lit(1))).otherwise(F.col("var")) * F.col("sd") ** 2
+    made = sums.withColumns({"p": F.when(one, 1).otherwise(0), "q": F.lit(0), "n": n, "sigma2": F.greatest(F.coalesce(spread, F.lit(0.0)), F.lit(1e-12))})
+    fit, params = F.col("n") * F.log("sigma2"), F.col("p") + 2
+    none = F.array().cast("array<double>")
+    return made.select(
+        *spec.keys, "p", "q", "n", "sigma2", (fit + 2 * params).alias("aic"), (fit + F.log("n") * params).alias("bic"),
+        (-0.5 * F.col("n") * (F.log(2 * pi * F.col("sigma2")) + 1)).alias("loglik"),
+        F.coalesce(F.when(one, F.col("icept")).otherwise(F.col("mean")), F.lit(0.0)).alias("const"),
+        F.when(one, F.array("phi")).otherwise(none).alias("ar"), none.alias("ma"),
+    )
+
+
 def arima_fit(
     df: DataFrame, spec: SeriesSpec, max_p: int = MAX_P, max_d: int = MAX_D, max_q: int = MAX_Q,
     criterion: str = "aic", long_ar: int = LONG_AR,
 ) -> tuple[DataFrame, DataFrame]:
     """(models, rows): per key the chosen order and coefficients, and the regression rows.
 
-    Keys too short for the grid have no model row.
+    Keys too short for the grid get the small model of ``fallback_models``.
     """
     keys = list(spec.keys)
     spec = with_slices(df, spec)
     orders = differencing_order(df, spec, max_d)
     rows = arma_rows(df, spec, orders, max_p, max_q, long_ar)
-    best = best_order(order_search(rows, spec, max_p, max_q), keys, criterion)
+    best = cut_lineage(best_order(order_search(rows, spec, max_p, max_q), keys, criterion), "arma-best")
+    best = best.unionByName(join_on(fallback_models(rows, spec), best, keys, "left_anti").select(best.columns))
     d = rows.groupBy(*keys).agg(F.max("d").alias("d"))
     return cut_lineage(join_on(best, d, keys), "arma-models"), rows
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelwright.operators import autoregressive as ar
@@ -329,7 +329,7 @@ def arima_forecast(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- trees and sequences ----------------------------------------------------------------------------
 
-_FOREST = {"numTrees": 20, "maxDepth": 6}
+_FOREST: dict = {}  # the library's parameters
 
 
 def _learning_table(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
@@ -378,7 +378,7 @@ def forest_interval(spark: SparkSession, sf: str) -> DataFrame:
 def forest_cross_validation(spark: SparkSession, sf: str) -> DataFrame:
     df, names = _learning_table(spark, sf)
     grid = trees.parameter_grid(numTrees=(5, 10), minInstancesPerNode=(2, 4))
-    scores = trees.cross_validate(df.drop("part"), p.NATION, names, "value", grid, folds=3)
+    scores = trees.cross_validate(df.drop("part"), p.NATION, names, "value", grid)
     return trees.cv_table(scores)
 
 
@@ -387,7 +387,7 @@ def forest_grid_search(spark: SparkSession, sf: str) -> DataFrame:
     """Test scores of the parameter set that did best on expanding windows of the training rows."""
     df, names = _learning_table(spark, sf)
     train = df.where("part = 'train'").drop("part")
-    model, params, _ = trees.tune(train, p.NATION, names, "value", trees.parameter_grid(numTrees=(10,), maxDepth=(3, 6)), 2)
+    model, params, _ = trees.tune(train, p.NATION, names, "value", trees.parameter_grid(numTrees=(10,), maxDepth=(3, 6)))
     scored = trees.score(model, df.where("part = 'test'")).withColumn("model", F.lit(trees.label(params)))
     return scoring.forecast_metrics(scored, ["k", "model"])
 
@@ -421,6 +421,59 @@ def sequence_forecast(spark: SparkSession, sf: str) -> DataFrame:
     return join_on(ahead, future_calendar(split, p.NATION), ["k", "step"])
 
 
+# --- what SQL can say about learned models ---------------------------------------------------------------
+
+# Twelve months after a nation's last one; with what must hold for every row.
+_AHEAD = """SELECT k, CAST(CAST(last + INTERVAL (s) MONTH AS DATE) AS VARCHAR) AS t, CAST(s AS INTEGER) AS step, true AS holds
+    FROM (SELECT k, date_trunc('month', max(t)) AS last FROM panel GROUP BY k), range(1, 13) AS r(s)"""
+
+
+def _held(df: DataFrame, holds: Column) -> DataFrame:
+    return df.select("k", F.col("t").cast("date").cast("string").alias("t"), F.col("step").cast("int").alias("step"), holds.alias("holds"))
+
+
+@query("forest_interval_order", with_ctes(_AHEAD, "panel"))
+def forest_interval_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The forest's prediction lies between the percentiles of its trees, on twelve future dates."""
+    return _held(forest_interval(spark, sf), (F.col("lower") <= F.col("prediction")) & (F.col("prediction") <= F.col("upper")) & (F.col("lower") < F.col("upper")))
+
+
+@query("arima_forecast_order", with_ctes(_AHEAD, "panel"))
+def arima_forecast_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Every nation has a model; its intervals hold their prediction and never get narrower."""
+    ahead = arima_forecast(spark, sf)
+    width = F.col("upper") - F.col("lower")
+    wider = F.coalesce(width >= F.lag(width).over(Window.partitionBy("k").orderBy("step")) - 1e-9 * width, F.lit(True))
+    return _held(ahead.withColumn("_wider", wider), F.col("_wider") & (F.col("lower") <= F.col("prediction")) & (F.col("prediction") <= F.col("upper")))
+
+
+@query("sequence_forecast_calendar", with_ctes(_AHEAD, "panel"))
+def sequence_forecast_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    """Twelve finite predictions for every nation."""
+    x = F.col("prediction")
+    return _held(sequence_forecast(spark, sf), x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+
+
+@query(
+    "model_reload_difference",
+    with_ctes(
+        """SELECT k, CAST(count(*) AS BIGINT) AS n, CAST(0 AS DOUBLE) AS difference
+           FROM (SELECT k, row_number() OVER (PARTITION BY k ORDER BY t) AS r, count(*) OVER (PARTITION BY k) AS n FROM panel)
+           WHERE r > floor(n * CAST(0.8 AS DOUBLE)) GROUP BY k""",
+        "panel",
+    ),
+)
+def model_reload_difference(spark: SparkSession, sf: str) -> DataFrame:
+    """A forest read back from the store predicts what the saved one does, on the newest fifth of each nation."""
+    model, df, _ = _forest(spark, sf)
+    root = scratch_path(spark, "models")
+    store.save_model(model, root, "random_forest", "RandomForest", spark, _FOREST)
+    test = df.where("part = 'test'")
+    again = trees.score(store.load_model(spark, root, "random_forest"), test).select("k", "t", F.col("prediction").alias("again"))
+    both = join_on(trees.score(model, test), again, ["k", "t"])
+    return both.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("prediction") - F.col("again"))).alias("difference"))
+
+
 # --- forecasts and scores ------------------------------------------------------------------------------
 
 

@@ -135,6 +135,18 @@ def approx_distinct(spark: SparkSession, sf: str) -> DataFrame:
     return profile.approx_distinct(p.table(spark, sf, "orders"), _CATEGORIES)
 
 
+@query(
+    "approx_distinct_error",
+    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS exact_distinct, true AS within FROM orders" for c in _CATEGORIES),
+)
+def approx_distinct_error(spark: SparkSession, sf: str) -> DataFrame:
+    """The sketch stays within four of its standard errors of the exact number."""
+    orders = p.table(spark, sf, "orders")
+    exact = orders.agg(*[F.count_distinct(c).alias(c) for c in _CATEGORIES]).unpivot([], list(_CATEGORIES), "column", "exact_distinct")
+    near = F.abs(F.col("approx_distinct") - F.col("exact_distinct")) <= 4 * 0.02 * F.col("exact_distinct")
+    return profile.approx_distinct(orders, _CATEGORIES, 0.02).join(exact, "column").select("column", "exact_distinct", near.alias("within"))
+
+
 @query(
     "rate_statistics",
     with_ctes(
