@@ -4,14 +4,15 @@ Two collections of ``collection`` short bands are computed per document, each ba
 functions. A table key combines band i of the first collection with band j of the second: ``collection`` squared tables
 of twice the rows out of ``2 * collection * band_rows`` hash functions, where independent tables would need
 ``collection`` squared times as many. Two sets of similarity s meet in some table with probability
-(1 - (1 - s^band_rows)^collection)^2: with 12 bands of two rows, a pair exactly at 0.8 is missed once in 100 000.
+(1 - (1 - s^band_rows)^collection)^2: with 10 bands of two rows, a pair exactly at 0.8 is missed 7 times in 100 000.
 
 Equal sets are one node from the start, so copies cost nothing. Buckets with the same members count once. Candidates are
 confirmed on their whole texts and joined to components in rounds: first every set against the smallest set it shares a
-bucket with, then, in buckets that still hold several components, one set of the rarest component against one of each
-other, and at last every pair of sets of the same bucket that are in different components and close enough in size. A
-bucket whose members are connected needs no further pairs, so a large group of near copies makes about as many pairs as
-it has members.
+bucket with, then, in buckets that still hold several components, the members in a few random orders, each against the
+next. At last come all pairs of different components that share a bucket, have sizes that allow the similarity and agree
+in enough bands; each pair once. A bucket whose members are connected needs no further pairs, and the members of its
+largest component are not compared with each other, so a large group of near copies makes about as many pairs as it has
+members, but for those that are linked to few.
 
 Documents with fewer words than a shingle have one shingle, their words. Documents without words, also NULL texts, have
 none and are linked with nothing. Repeated rows have the same result. A NULL ``doc_id`` is never the smallest of others;
@@ -31,12 +32,14 @@ from panelwright.llm.components import components
 from panelwright.session import cut_lineage
 
 SHINGLE_WORDS = 4
-COLLECTION = 12
+COLLECTION = 10
 BAND_ROWS = 2
 NUMERATOR, DENOMINATOR = 80, 100
 CHUNK = 1 << 14
 SECOND = np.uint64(0x5851F42D4C957F2D)
-SPREAD_ROUNDS = 2
+SPREAD_ROUNDS = 4
+PARTNERS = 4
+CHUNK_MEMBERS = 1000
 
 
 def shingle_set(text: str, words: int) -> np.ndarray:
@@ -95,19 +98,24 @@ def signatures(docs: DataFrame, words: int, collection: int, band_rows: int) ->
 
 
 def table_keys(collection: int):
-    """All pairs of a band of the first collection and one of the second."""
+    """(key, table) of all pairs of a band of the first collection and one of the second."""
     one = F.slice("bands", 1, collection)
     two = F.slice("bands", collection + 1, collection)
-    return F.flatten(F.transform(one, lambda a, i: F.transform(two, lambda b, j: F.xxhash64(i, j, a, b))))
+    return F.flatten(F.transform(one, lambda a, i: F.transform(two, lambda b, j: F.struct(F.xxhash64(i, j, a, b).alias("key"), (i * collection + j).alias("table")))))
 
 
-def buckets(sets: DataFrame, collection: int) -> DataFrame:
-    """(key, sid, n_shingles) of the tables' buckets with several members; of buckets with equal members, one."""
-    keyed = sets.select("sid", "n_shingles", F.explode(table_keys(collection)).alias("key"))
+def buckets(sets: DataFrame, collection: int) -> tuple[DataFrame, DataFrame]:
+    """Buckets with several members: their rows (key, sid), and (key, tables) with the tables that have these members.
+
+    Buckets with equal members are one.
+    """
+    keyed = sets.select("sid", F.explode(table_keys(collection)).alias("_k")).select("_k.key", "_k.table", "sid")
+    shared = cut_lineage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "minhash-shared")
+    rows = cut_lineage(keyed.join(shared, "key", "left_semi"), "minhash-shared-rows")
     members = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("sid")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(7), "sid")).alias("x2")]
-    shared = keyed.groupBy("key").agg(*members).where("n > 1")
-    chosen = cut_lineage(shared.groupBy("n", "x1", "x2").agg(F.min("key").alias("key")).select("key"), "minhash-keys")
-    return cut_lineage(keyed.join(chosen, "key", "left_semi"), "minhash-buckets")
+    same = rows.groupBy("key").agg(*members, F.first("table").alias("table")).groupBy("n", "x1", "x2")
+    chosen = cut_lineage(same.agg(F.min("key").alias("key"), F.collect_list("table").alias("tables")).select("key", "tables"), "minhash-keys")
+    return cut_lineage(rows.join(chosen, "key", "left_semi").select("key", "sid"), "minhash-buckets"), chosen
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, numerator: int, denominator: int) -> DataFrame:
@@ -148,50 +156,95 @@ def _texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return found.mapInArrow(same, "sid long, text string").dropDuplicates(["sid"])
 
 
-def _rounds(rows: DataFrame, numerator: int, denominator: int, confirm) -> DataFrame:
-    """(node, label) for the sets of ``rows`` (key, sid, n_shingles) that are linked to another."""
-    labels = None
+class Rounds:
+    """Finds the links among the members of buckets until every bucket's components are settled."""
+
+    def __init__(self, rows: DataFrame, chosen: DataFrame, sets: DataFrame, collection: int, numerator: int, denominator: int, confirm):
+        self.rows, self.chosen, self.confirm, self.collection = rows, chosen, confirm, collection
+        self.numerator, self.denominator = numerator, denominator
+        self.info = cut_lineage(sets.join(rows.select("sid").distinct(), "sid", "left_semi").select("sid", F.col("n_shingles").alias("n"), "bands"), "minhash-info")
+        self.labels: DataFrame | None = None
+
+    def plausible(self, n, m, a, b):
+        """Sizes that allow the similarity, and as many equal bands as a similar pair has but once in 100 000 times."""
+        fits = F.lit(self.denominator) * F.least(n, m) >= F.lit(self.numerator) * F.greatest(n, m)
+        equal = sum((F.get(a, F.lit(i)) == F.get(b, F.lit(i))).cast("int") for i in range(2 * self.collection))
+        return fits & (equal >= self.collection // 2)
 
-    def merge(labels, pairs):
-        links = confirm(pairs)
+    def merge(self, pairs: DataFrame) -> None:
+        links, labels = self.confirm(pairs), self.labels
         if labels is not None:
             as_u, as_v = labels.toDF("u", "_u"), labels.toDF("v", "_v")
             links = links.join(as_u, "u", "left").join(as_v, "v", "left").select(F.coalesce("_u", "u").alias("u"), F.coalesce("_v", "v").alias("v"))
         new = components(links)
         if labels is None:
-            return new
-        moved = labels.join(new.toDF("label", "_to"), "label", "left").select("node", F.coalesce("_to", "label").alias("label"))
-        return cut_lineage(moved.unionByName(new.join(moved, "node", "left_anti")), "minhash-labels")
-
-    def active(labels):
-        """The rows of buckets that hold several components."""
-        marked = rows.join(labels.toDF("sid", "label"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-        several = marked.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("key")
-        return cut_lineage(marked.join(several, "key", "left_semi"), "minhash-active")
-
-    fits = lambda a, b: (F.lit(denominator) * F.least(a, b)) >= F.lit(numerator) * F.greatest(a, b)
-    first = rows.groupBy("key").agg(F.min("sid").alias("low"))
-    lowest = rows.join(first, "key").groupBy("sid").agg(F.min("low").alias("low")).where("low < sid")
-    labels = merge(None, lowest.select(F.col("low").alias("u"), F.col("sid").alias("v")))
-
-    for turn in range(SPREAD_ROUNDS):
-        left = active(labels)
-        if left.isEmpty():
-            return labels
-        # One set of each component in each bucket: another one in every bucket and turn.
-        pick = F.min(F.struct(F.xxhash64(F.lit(turn), "key", "sid").alias("h"), F.col("sid"), F.col("n_shingles").alias("n")))
-        each = left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("size"), pick.alias("own"))
-        rarest = each.groupBy("key").agg(F.min(F.struct("size", "label", "own")).alias("_rarest")).select("key", "_rarest.label", "_rarest.own").toDF("key", "_label", "_own")
-        pairs = each.join(rarest, "key").where((F.col("label") != F.col("_label")) & fits(F.col("own.n"), F.col("_own.n")))
-        pairs = pairs.select(F.least("own.sid", "_own.sid").alias("u"), F.greatest("own.sid", "_own.sid").alias("v")).distinct()
-        labels = merge(labels, pairs)
-
-    left = active(labels)
-    if left.isEmpty():
-        return labels
-    other = left.toDF(*[f"_{c}" if c != "key" else c for c in left.columns])
-    pairs = left.join(other, "key").where((F.col("sid") < F.col("_sid")) & (F.col("label") != F.col("_label")) & fits(F.col("n_shingles"), F.col("_n_shingles")))
-    return merge(labels, pairs.select(F.col("sid").alias("u"), F.col("_sid").alias("v")).distinct())
+            self.labels = new
+        else:
+            moved = labels.join(new.toDF("label", "_to"), "label", "left").select("node", F.coalesce("_to", "label").alias("label"))
+            self.labels = cut_lineage(moved.unionByName(new.join(labels, "node", "left_anti")), "minhash-labels")
+
+    def active(self) -> DataFrame:
+        """The rows of buckets that hold several components, with these."""
+        marked = self.rows.join(self.labels.toDF("sid", "label"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+        several = marked.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("size")).where("a < b").select("key", "size")
+        return cut_lineage(marked.join(several, "key"), "minhash-active")
+
+    def filtered(self, pairs: DataFrame) -> DataFrame:
+        both = pairs.join(self.info.toDF("u", "_n", "_a"), "u").join(self.info.toDF("v", "_m", "_b"), "v")
+        return both.where(self.plausible(F.col("_n"), F.col("_m"), F.col("_a"), F.col("_b"))).select("u", "v")
+
+    def smallest(self) -> None:
+        """Every set against the smallest set it shares a bucket with."""
+        first = self.rows.groupBy("key").agg(F.min("sid").alias("low"))
+        lowest = self.rows.join(first, "key").groupBy("sid").agg(F.min("low").alias("low")).where("low < sid")
+        self.merge(self.filtered(lowest.select(F.col("low").alias("u"), F.col("sid").alias("v"))))
+
+    def spread(self, left: DataFrame, turn: int) -> None:
+        """Members of a bucket in a new random order, each against the next; at most a few pairs for a set."""
+        part = F.pmod(F.xxhash64(F.lit(turn), "sid"), F.col("size") / CHUNK_MEMBERS + 1).cast("int")
+        order = Window.partitionBy("key", "part").orderBy(F.xxhash64(F.lit(turn), "key", "sid"), "sid")
+        nexts = left.withColumn("part", part).withColumns({"_sid": F.lead("sid").over(order), "_label": F.lead("label").over(order)})
+        pairs = nexts.where(F.col("label") != F.col("_label")).select(F.least("sid", "_sid").alias("u"), F.greatest("sid", "_sid").alias("v")).distinct()
+        rank = lambda c: F.row_number().over(Window.partitionBy(c).orderBy(F.xxhash64(F.lit(turn), "u", "v")))
+        few = self.filtered(pairs).withColumns({"_ru": rank("u"), "_rv": rank("v")})
+        self.merge(few.where((F.col("_ru") <= PARTNERS) | (F.col("_rv") <= PARTNERS)).select("u", "v"))
+
+    def rest(self, left: DataFrame) -> None:
+        """Every plausible pair of different components in a bucket, each pair in one bucket only.
+
+        One side leaves out the bucket's largest component, so its members are not compared with each other.
+        """
+        counts = left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max(F.struct("c", "label")).alias("_most"))
+        marked = left.join(self.info, "sid").join(counts.select("key", F.col("_most.label").alias("_main")), "key").drop("size")
+        small = marked.where(F.col("label") != F.col("_main")).join(self.chosen, "key")
+        other = marked.toDF(*[f"_{c}" if c != "key" else c for c in marked.columns])
+        once = (F.col("_label") == F.col("_main")) | (F.col("sid") < F.col("_sid"))
+        a, b = F.col("bands"), F.col("_bands")
+
+        def first(start):
+            found = F.lit(-1)
+            for i in reversed(range(self.collection)):
+                found = F.when(F.get(a, F.lit(start + i)) == F.get(b, F.lit(start + i)), F.lit(i)).otherwise(found)
+            return found
+
+        table = first(0) * self.collection + first(self.collection)  # the first table that the two share
+        likely = self.plausible(F.col("n"), F.col("_n"), a, b)
+        cross = [small["key"] == other["key"], F.col("label") != F.col("_label"), once, likely, F.array_contains("tables", table)]
+        pairs = small.join(other, cross).select(F.least("sid", "_sid").alias("u"), F.greatest("sid", "_sid").alias("v"))
+        self.merge(pairs)
+
+    def run(self) -> DataFrame:
+        """(node, label) for the sets that are linked to another."""
+        self.smallest()
+        for turn in range(SPREAD_ROUNDS):
+            left = self.active()
+            if left.isEmpty():
+                return self.labels
+            self.spread(left, turn)
+        left = self.active()
+        if not left.isEmpty():
+            self.rest(left)
+        return self.labels
 
 
 def near_duplicates(
@@ -208,10 +261,10 @@ def near_duplicates(
     key = ["n_shingles", "s1", "s2"]
     sets = signed.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("low"), F.first("bands").alias("bands"))
     sets = cut_lineage(sets.withColumn("sid", F.monotonically_increasing_id()), "minhash-sets")
-    rows = buckets(sets, collection)
+    rows, chosen = buckets(sets, collection)
     wanted = sets.join(rows.select("sid").distinct(), "sid", "left_semi").select("sid", "low", "s1", "n_shingles")
     texts = cut_lineage(_texts(docs, wanted, words), "minhash-texts")
-    labels = _rounds(rows.select("key", "sid", "n_shingles"), numerator, denominator, lambda pairs: confirmed(pairs, texts, words, numerator, denominator))
+    labels = Rounds(rows, chosen, sets, collection, numerator, denominator, lambda pairs: confirmed(pairs, texts, words, numerator, denominator)).run()
     labelled = sets.select("sid", "low", *key).join(labels.toDF("sid", "label"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     lows = labelled.groupBy("label").agg(F.min("low").alias("component_id"))
     by_set = cut_lineage(labelled.join(lows, "label").select(*key, "component_id", F.col("label").alias("component")), "minhash-components")
