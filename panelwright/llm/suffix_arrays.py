@@ -158,7 +158,7 @@ def _repeating(found: DataFrame, hot: DataFrame) -> DataFrame:
     sums that are joined back, so that no task holds all rows of such an anchor.
     """
     place = F.struct("d", "th", "place")
-    rare = found.join(F.broadcast(hot), "h", "left_anti")
+    rare = found.join(F.broadcast(hot), "h", "left_anti").repartition("h")  # one exchange for all windows
     rare = rare.withColumns(
         {
             "first": F.min(place).over(Window.partitionBy("h", "seg")),
@@ -167,7 +167,9 @@ def _repeating(found: DataFrame, hot: DataFrame) -> DataFrame:
         }
     )
     rare = rare.withColumn("kinds", F.max("_kind").over(Window.partitionBy("h"))).where("_n > 1").drop("_kind", "_n")
-    often = found.join(F.broadcast(hot), "h", "left_semi")
+    if hot.isEmpty():
+        return rare
+    often = cut_lineage(found.join(F.broadcast(hot), "h", "left_semi"), "suffix-often")
     each = cut_lineage(often.groupBy("h", "seg").agg(F.min(place).alias("first")), "suffix-hot")
     each = cut_lineage(each.join(each.groupBy("h").agg(F.count(F.lit(1)).cast("int").alias("kinds")), "h"), "suffix-hot")
     return rare.unionByName(often.join(each, ["h", "seg"]))
