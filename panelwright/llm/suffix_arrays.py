@@ -151,11 +151,13 @@ def all_segments(sources: DataFrame, length: int, gram: int) -> DataFrame:
     return sources.select("text", "d", "th").mapInArrow(find, "h long, seg long, d long, th int, place long")
 
 
-def _repeating(found: DataFrame, hot: DataFrame) -> DataFrame:
-    """Segments whose anchor repeats, with the first place of an equal segment and the number of different ones (kinds).
+def _repeating(found: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of segments whose anchor repeats: later ones that equal an earlier one (d, th, place), and the first of each kind
+    where there are several kinds (h, seg, d, th, place, kinds).
 
-    The rows of a rare anchor are compared in one pass; those of frequent ones (``hot``, fewer than a thousand or so) by
-    sums that are joined back, so that no task holds all rows of such an anchor.
+    The rows of a rare anchor are compared in one pass. Those of frequent ones (``hot``, fewer than a thousand or so) are
+    reduced to the first place of each kind by sums; the later places are all rows but these, told apart by grouping on
+    the whole row, so that no task holds all rows of such an anchor.
     """
     place = F.struct("d", "th", "place")
     rare = found.join(F.broadcast(hot), "h", "left_anti").repartition("h")  # one exchange for all windows
@@ -167,12 +169,17 @@ def _repeating(found: DataFrame, hot: DataFrame) -> DataFrame:
         }
     )
     rare = rare.withColumn("kinds", F.max("_kind").over(Window.partitionBy("h"))).where("_n > 1").drop("_kind", "_n")
+    rare = cut_lineage(rare.withColumn("is_first", F.col("first") == place).drop("first"), "suffix-repeating")
+    copies = rare.where("not is_first").select("d", "th", "place")
+    contested = rare.where("is_first and kinds > 1").select("h", "seg", "d", "th", "place", "kinds")
     if hot.isEmpty():
-        return rare
+        return copies, contested
     often = cut_lineage(found.join(F.broadcast(hot), "h", "left_semi"), "suffix-often")
-    each = cut_lineage(often.groupBy("h", "seg").agg(F.min(place).alias("first")), "suffix-hot")
-    each = cut_lineage(each.join(each.groupBy("h").agg(F.count(F.lit(1)).cast("int").alias("kinds")), "h"), "suffix-hot")
-    return rare.unionByName(often.join(each, ["h", "seg"]))
+    first = cut_lineage(often.groupBy("h", "seg").agg(F.min(place).alias("f")).select("h", "seg", "f.*"), "suffix-first")
+    rows = often.withColumn("is_first", F.lit(0)).unionByName(first.withColumn("is_first", F.lit(1)))
+    later = rows.groupBy("h", "seg", "d", "th", "place").agg(F.max("is_first").alias("is_first")).where("is_first = 0")
+    many = first.groupBy("h").agg(F.count(F.lit(1)).cast("int").alias("kinds")).where("kinds > 1")
+    return copies.unionByName(later.select("d", "th", "place")), contested.unionByName(first.join(many, "h").select(contested.columns))
 
 
 # --- suffix arrays of a shard --------------------------------------------------------------------------------------
@@ -380,10 +387,9 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
     total = counts.agg(F.sum("n")).first()[0] or 0
     # Which way an anchor goes does not change the result; it is decided on a sample of the documents.
     hot = cut_lineage(counts.where((F.col("n") * HOT_SHARE > total) & (F.col("n") > HOT_SAMPLE)).select("h"), "suffix-frequent")
-    repeating = cut_lineage(_repeating(found, hot), "suffix-repeating")
-    is_first = F.col("first") == F.struct("d", "th", "place")
-    copies = repeating.where(~is_first).select("d", "th", F.shiftright("place", 16).alias("start"), F.col("place").bitwiseAND(0xFF).alias("n"))
-    contested = repeating.where(is_first & (F.col("kinds") > 1)).select("h", "seg", "d", "th", "place", F.col("kinds").cast("int"))
+    later, contested = _repeating(found, hot)
+    copies = later.select("d", "th", F.shiftright("place", 16).alias("start"), F.col("place").bitwiseAND(0xFF).alias("n"))
+    contested = contested.withColumn("kinds", F.col("kinds").cast("int"))
     shards = max(1, -(-contested.count() // shard_segments))
     parts = F.ceil(F.col("kinds") / shard_segments).cast("int")
     large = F.col("kinds") > shard_segments
