@@ -10,9 +10,9 @@ Equal sets are one node from the start, so copies cost nothing. Buckets with the
 confirmed on their whole texts and joined to components in rounds: first every set against the smallest set it shares a
 bucket with, then, in buckets that still hold several components, the members in a few random orders, each against the
 next. At last come all pairs of different components that share a bucket, have sizes that allow the similarity and agree
-in enough bands; each pair once. A bucket whose members are connected needs no further pairs, and the members of its
-largest component are not compared with each other, so a large group of near copies makes about as many pairs as it has
-members, but for those that are linked to few.
+in most of 256 further minima; each pair once. A bucket whose members are connected needs no further pairs, and the
+members of its largest component are not compared with each other, so a large group of near copies makes about as many
+pairs as it has members, but for those that come close to many and are linked to few.
 
 Documents with fewer words than a shingle have one shingle, their words. Documents without words, also NULL texts, have
 none and are linked with nothing. Repeated rows have the same result. A NULL ``doc_id`` is never the smallest of others;
@@ -40,6 +40,8 @@ SECOND = np.uint64(0x5851F42D4C957F2D)
 SPREAD_ROUNDS = 4
 PARTNERS = 4
 CHUNK_MEMBERS = 1000
+BLOCK_MEMBERS = 2000
+SKETCH = 256
 
 
 def shingle_set(text: str, words: int) -> np.ndarray:
@@ -70,6 +72,11 @@ def minima(shingles: np.ndarray, factors: np.ndarray, terms: np.ndarray) -> np.n
     return low
 
 
+def agreements(similarity: float) -> int:
+    """How many of ``SKETCH`` minima a pair of this similarity shares at least, but for one time in 100 000."""
+    return int(SKETCH * similarity - 4.4 * (SKETCH * similarity * (1 - similarity)) ** 0.5)
+
+
 def signatures(docs: DataFrame, words: int, collection: int, band_rows: int) -> DataFrame:
     """(doc_id, n_shingles, s1, s2, bands): s1 and s2 identify the set, bands has both collections."""
     factors, terms = hash_functions(2 * collection * band_rows)
@@ -159,8 +166,8 @@ def _texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 class Rounds:
     """Finds the links among the members of buckets until every bucket's components are settled."""
 
-    def __init__(self, rows: DataFrame, chosen: DataFrame, sets: DataFrame, collection: int, numerator: int, denominator: int, confirm):
-        self.rows, self.chosen, self.confirm, self.collection = rows, chosen, confirm, collection
+    def __init__(self, rows: DataFrame, chosen: DataFrame, sets: DataFrame, texts: DataFrame, words: int, collection: int, numerator: int, denominator: int):
+        self.rows, self.chosen, self.texts, self.words, self.collection = rows, chosen, texts, words, collection
         self.numerator, self.denominator = numerator, denominator
         self.info = cut_lineage(sets.join(rows.select("sid").distinct(), "sid", "left_semi").select("sid", F.col("n_shingles").alias("n"), "bands"), "minhash-info")
         self.labels: DataFrame | None = None
@@ -172,7 +179,7 @@ class Rounds:
         return fits & (equal >= self.collection // 2)
 
     def merge(self, pairs: DataFrame) -> None:
-        links, labels = self.confirm(pairs), self.labels
+        links, labels = confirmed(pairs, self.texts, self.words, self.numerator, self.denominator), self.labels
         if labels is not None:
             as_u, as_v = labels.toDF("u", "_u"), labels.toDF("v", "_v")
             links = links.join(as_u, "u", "left").join(as_v, "v", "left").select(F.coalesce("_u", "u").alias("u"), F.coalesce("_v", "v").alias("v"))
@@ -210,28 +217,92 @@ class Rounds:
         self.merge(few.where((F.col("_ru") <= PARTNERS) | (F.col("_rv") <= PARTNERS)).select("u", "v"))
 
     def rest(self, left: DataFrame) -> None:
-        """Every plausible pair of different components in a bucket, each pair in one bucket only.
+        """Every likely pair of different components in a bucket, each pair in one bucket only.
 
-        One side leaves out the bucket's largest component, so its members are not compared with each other.
+        One side leaves out the bucket's largest component, so its members are not compared with each other. Likely are
+        pairs whose sketches agree as often as those of a similar pair do but once in 100 000 times. Large buckets are
+        compared in blocks of bounded size.
         """
-        counts = left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max(F.struct("c", "label")).alias("_most"))
-        marked = left.join(self.info, "sid").join(counts.select("key", F.col("_most.label").alias("_main")), "key").drop("size")
-        small = marked.where(F.col("label") != F.col("_main")).join(self.chosen, "key")
-        other = marked.toDF(*[f"_{c}" if c != "key" else c for c in marked.columns])
-        once = (F.col("_label") == F.col("_main")) | (F.col("sid") < F.col("_sid"))
-        a, b = F.col("bands"), F.col("_bands")
-
-        def first(start):
-            found = F.lit(-1)
-            for i in reversed(range(self.collection)):
-                found = F.when(F.get(a, F.lit(start + i)) == F.get(b, F.lit(start + i)), F.lit(i)).otherwise(found)
-            return found
-
-        table = first(0) * self.collection + first(self.collection)  # the first table that the two share
-        likely = self.plausible(F.col("n"), F.col("_n"), a, b)
-        cross = [small["key"] == other["key"], F.col("label") != F.col("_label"), once, likely, F.array_contains("tables", table)]
-        pairs = small.join(other, cross).select(F.least("sid", "_sid").alias("u"), F.greatest("sid", "_sid").alias("v"))
-        self.merge(pairs)
+        most = left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max(F.struct("c", "label")).alias("m"), F.sum("c").alias("all"))
+        blocks = lambda c: F.ceil(c / BLOCK_MEMBERS).cast("int")
+        main = most.select("key", F.col("m.label").alias("main"), blocks(F.col("all") - F.col("m.c")).alias("few"), blocks(F.col("all")).alias("many"))
+        marked = left.drop("size").join(self.info, "sid").join(self.sketches(left), "sid").join(main.join(self.chosen, "key"), "key")
+        marked = marked.withColumn("is_main", F.col("label") == F.col("main"))
+        deal = lambda c: F.pmod(F.xxhash64("sid"), F.col(c).cast("long")).cast("int")
+        every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+        small = marked.where("not is_main").withColumns({"side": F.lit(0), "i": deal("few")}).withColumn("j", every("many"))
+        other = marked.withColumns({"side": F.lit(1), "j": deal("many")}).withColumn("i", every("few"))
+        columns = ["key", "i", "j", "side", "sid", "label", "is_main", "n", "bands", "sketch", "tables"]
+        both = small.select(columns).unionByName(other.withColumn("tables", F.lit(None).cast("array<int>")).select(columns))
+        dealt = both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
+        self.merge(dealt.mapInArrow(self.comparison(), "u long, v long"))
+
+    def sketches(self, left: DataFrame) -> DataFrame:
+        """(sid, sketch): a byte of each of ``SKETCH`` more minima."""
+        factors, terms = hash_functions(SKETCH)
+        words = self.words
+
+        def draw(batches):
+            for batch in batches:
+                low = [minima(shingle_set(t.as_py(), words), factors, terms) for t in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([(x & np.uint64(255)).astype(np.uint8).tobytes() for x in low], pa.binary())], names=["sid", "sketch"])
+
+        wanted = self.texts.join(left.select("sid").distinct(), "sid", "left_semi")
+        return cut_lineage(wanted.select("sid", "text").mapInArrow(draw, "sid long, sketch binary"), "minhash-sketches")
+
+    def comparison(self):
+        """Compares the two sides of each block; a block's rows come one after the other, the smaller side first."""
+        least = agreements(self.numerator / self.denominator)
+        numerator, denominator, width = self.numerator, self.denominator, self.collection
+
+        def pairs_of(at, end, sides, sid, label, main, n, bands, sketch, tables):
+            cut = at + int(np.searchsorted(sides[at:end], 1))
+            left, right = slice(at, cut), slice(cut, end)
+            if at == cut or cut == end:
+                return
+            known = set(tables[at].as_py())
+            a, b = n[left][:, None], n[right][None, :]
+            open_ = (label[left][:, None] != label[right][None, :]) & (main[right][None, :] | (sid[left][:, None] < sid[right][None, :]))
+            i, j = np.nonzero(open_ & (denominator * np.minimum(a, b) >= numerator * np.maximum(a, b)))
+            for start in range(0, len(i), 100_000):
+                x, y = i[start : start + 100_000] + at, j[start : start + 100_000] + cut
+                near = (sketch[x] == sketch[y]).sum(axis=1) >= least
+                x, y = x[near], y[near]
+                same = bands[x] == bands[y]
+                table = same[:, :width].argmax(axis=1) * width + same[:, width:].argmax(axis=1)  # the first that they share
+                mine = np.fromiter((t in known for t in table.tolist()), dtype=bool, count=len(table))
+                yield sid[x[mine]], sid[y[mine]]
+
+        def compare(batches):
+            held = None
+            for batch in batches:
+                table = pa.Table.from_batches([batch])
+                held = table if held is None else pa.concat_tables([held, table])
+                if len(held) >= BLOCK_MEMBERS:
+                    held = yield from work(held, False)
+            if held is not None and len(held):
+                yield from work(held, True)
+
+        def work(table, last):
+            """The pairs of all blocks in ``table`` but the last one, which may go on; returns that one's rows."""
+            table = table.combine_chunks()
+            column = lambda c: table.column(c).combine_chunks()
+            key, i, j, sides, sid, label, n = (column(c).to_numpy() for c in ("key", "i", "j", "side", "sid", "label", "n"))
+            main = column("is_main").to_numpy(zero_copy_only=False)
+            new = np.ones(len(key), dtype=bool)
+            new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+            begins = [*np.flatnonzero(new).tolist(), len(key)]
+            done = begins[-1] if last else begins[-2]
+            if done:
+                bands = column("bands").flatten().to_numpy().reshape(len(key), -1)
+                sketch = np.frombuffer(b"".join(column("sketch").to_pylist()), dtype=np.uint8).reshape(len(key), -1)
+                found = [p for at, end in zip(begins, begins[1:]) if end <= done for p in pairs_of(at, end, sides, sid, label, main, n, bands, sketch, column("tables"))]
+                u = np.concatenate([np.minimum(x, y) for x, y in found]) if found else np.zeros(0, dtype=np.int64)
+                v = np.concatenate([np.maximum(x, y) for x, y in found]) if found else np.zeros(0, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+            return table.slice(done)
+
+        return compare
 
     def run(self) -> DataFrame:
         """(node, label) for the sets that are linked to another."""
@@ -264,7 +335,7 @@ def near_duplicates(
     rows, chosen = buckets(sets, collection)
     wanted = sets.join(rows.select("sid").distinct(), "sid", "left_semi").select("sid", "low", "s1", "n_shingles")
     texts = cut_lineage(_texts(docs, wanted, words), "minhash-texts")
-    labels = Rounds(rows, chosen, sets, collection, numerator, denominator, lambda pairs: confirmed(pairs, texts, words, numerator, denominator)).run()
+    labels = Rounds(rows, chosen, sets, texts, words, collection, numerator, denominator).run()
     labelled = sets.select("sid", "low", *key).join(labels.toDF("sid", "label"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     lows = labelled.groupBy("label").agg(F.min("low").alias("component_id"))
     by_set = cut_lineage(labelled.join(lows, "label").select(*key, "component_id", F.col("label").alias("component")), "minhash-components")

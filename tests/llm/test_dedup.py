@@ -105,7 +105,11 @@ def chained(seed=11, n=70):
     return out
 
 
-def test_near_duplicates_of_near_duplicates(spark):
+@pytest.mark.parametrize(("rounds", "members"), [(4, 2000), (0, 3)])
+def test_near_duplicates_of_near_duplicates(spark, monkeypatch, rounds, members):
+    """Also when all is left to the last comparison, in small blocks."""
+    monkeypatch.setattr(minhash, "SPREAD_ROUNDS", rounds)
+    monkeypatch.setattr(minhash, "BLOCK_MEMBERS", members)
     want, _, _ = jaccard_components(chained(), 4)
     got = minhash.near_duplicates(fixtures.documents(spark, chained())).select("doc_id", "n_shingles", "component_id").collect()
     assert Counter(map(tuple, got)) == Counter(want)
