@@ -191,7 +191,8 @@ def read_tokens(files: DataFrame, with_ids: bool = False) -> DataFrame:
     def frame(rows):
         return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
-    each = files.select("path", "start").repartition(F.col("path"))
+    # A number, since Spark would put a small table of paths into one task; there is a row per file.
+    each = files.select("path", "start").repartition(max(1, files.count()), "path")
     return each.mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids)
 
 
