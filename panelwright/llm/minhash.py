@@ -37,7 +37,7 @@ BAND_ROWS = 2
 NUMERATOR, DENOMINATOR = 80, 100
 CHUNK = 1 << 14
 SECOND = np.uint64(0x5851F42D4C957F2D)
-SPREAD_ROUNDS = 4
+SPREAD_ROUNDS = 2
 PARTNERS = 4
 CHUNK_MEMBERS = 1000
 BLOCK_MEMBERS = 2000
@@ -213,8 +213,8 @@ class Rounds:
         nexts = left.withColumn("part", part).withColumns({"_sid": F.lead("sid").over(order), "_label": F.lead("label").over(order)})
         pairs = nexts.where(F.col("label") != F.col("_label")).select(F.least("sid", "_sid").alias("u"), F.greatest("sid", "_sid").alias("v")).distinct()
         rank = lambda c: F.row_number().over(Window.partitionBy(c).orderBy(F.xxhash64(F.lit(turn), "u", "v")))
-        few = self.filtered(pairs).withColumns({"_ru": rank("u"), "_rv": rank("v")})
-        self.merge(few.where((F.col("_ru") <= PARTNERS) | (F.col("_rv") <= PARTNERS)).select("u", "v"))
+        few = pairs.withColumns({"_ru": rank("u"), "_rv": rank("v")}).where((F.col("_ru") <= PARTNERS) | (F.col("_rv") <= PARTNERS))
+        self.merge(self.filtered(few.select("u", "v")))
 
     def rest(self, left: DataFrame) -> None:
         """Every likely pair of different components in a bucket, each pair in one bucket only.

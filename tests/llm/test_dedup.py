@@ -105,7 +105,7 @@ def chained(seed=11, n=70):
     return out
 
 
-@pytest.mark.parametrize(("rounds", "members"), [(4, 2000), (0, 3)])
+@pytest.mark.parametrize(("rounds", "members"), [(2, 2000), (0, 3)])
 def test_near_duplicates_of_near_duplicates(spark, monkeypatch, rounds, members):
     """Also when all is left to the last comparison, in small blocks."""
     monkeypatch.setattr(minhash, "SPREAD_ROUNDS", rounds)
