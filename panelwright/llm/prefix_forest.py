@@ -29,6 +29,7 @@ SHARD_ROWS = 8192
 GROUP_ROWS = 4096
 CANDIDATES = 3072
 NEAREST = 5
+EXACT_ROWS = 1024
 
 
 def usable(embedding: Column) -> Column:
@@ -109,9 +110,11 @@ class Forest:
                 if len(rows) > nearest:  # ties at the border stay
                     keep = score >= np.partition(score, -nearest)[-nearest] - 1e-9
                     rows, score = rows[keep], score[keep]
-                # The exact measure once more, summed in the order of the components.
-                exact = [float(np.cumsum(self.vectors[r] * part[i])[-1] / (own[r] * norms[start + i])) for r in rows] if len(rows) <= 4 * nearest else score
-                best = np.lexsort((self.ids[rows], -np.asarray(exact)))[:nearest]
+                # The exact measure once more for all that are left, summed in the order of the components.
+                blocks = [rows[k : k + EXACT_ROWS] for k in range(0, len(rows), EXACT_ROWS)]
+                sums = [np.cumsum(self.vectors[block] * part[i], axis=1)[:, -1] for block in blocks]
+                exact = np.concatenate([score[:0], *sums]) / (own[rows] * norms[start + i])
+                best = np.lexsort((self.ids[rows], -exact))[:nearest]
                 for b in best:
                     yield int(query_ids[start + i]), int(self.ids[rows[b]]), float(exact[b])
 

@@ -287,6 +287,30 @@ def test_nearest_neighbours(spark):
     assert hits >= 0.9 * total
 
 
+def test_ties_among_hundreds_of_equal_vectors(spark):
+    rng = np.random.default_rng(8)
+    copy = rng.standard_normal(64).astype(np.float32)
+    rows = [(i, rng.standard_normal(64).astype(np.float32).tolist()) for i in range(600)]
+    rows += [(i, copy.tolist()) for i in range(1000, 1300)]
+    rows += [(2000 + i, (copy + 0.05 * rng.standard_normal(64)).astype(np.float32).tolist()) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    got = defaultdict(list)
+    asked = df.where("vec_id >= 2000 or vec_id = 1100")
+    for r in prefix_forest.nearest_neighbours(df, asked, shard_rows=230, candidates=200).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    assert len(got) == 21
+    held = {i: np.array(v) for i, v in rows}
+    for q, found in got.items():
+        own = held[q]
+        for i, s in found:
+            v = held[i]
+            assert s == float(np.cumsum(v * own)[-1] / (np.sqrt((v**2).sum()) * np.sqrt((own**2).sum())))
+        copies = [i for i, _ in found if 1000 <= i < 1300]
+        assert copies == list(range(1000, 1000 + len(copies)))
+        assert len({s for i, s in found if 1000 <= i < 1300}) == 1
+    assert [i for i, _ in got[1100]] == [1000, 1001, 1002, 1003, 1004]
+
+
 def test_neighbours_among_few(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (50, [1.0, 1.0]), (7, [0.0, 1.0])], "vec_id long, embedding array<float>")
     got = [tuple(r)[:3] for r in prefix_forest.nearest_neighbours(df, df.where("vec_id % 50 = 0")).orderBy("query_id", "rank").collect()]
