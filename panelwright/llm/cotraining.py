@@ -8,9 +8,8 @@ and combines them, so a view that says little weighs little. A document is rejec
 good quality is below ``threshold``.
 
 The models are fitted on bounded samples, chosen by a hash: ``labelled_rows`` labelled documents and ``pool_rows``
-unlabelled ones, at most, with at most ``features_per_text`` different hashed words of each (the shape of a text, and
-every score, are computed from whole texts and all words). All documents are scored. Scores do not depend on how rows
-are spread over tasks.
+unlabelled ones, at most, each with all its hashed words, of which there are ``2**WORD_BITS`` at most. All documents are
+scored on whole texts. Scores do not depend on how rows are spread over tasks.
 
 NULL texts count as empty; NULL languages, sources or lengths are values of their own. Labels with a NULL ``quality`` or
 ``doc_id`` are ignored, of several labels of a document the lowest counts. With labels of one class only, every document
@@ -35,7 +34,6 @@ WORD_BITS = 14
 META_BITS = 10
 LABELLED_ROWS = 8_000
 POOL_ROWS = 4_000
-FEATURES_PER_TEXT = 400
 ROUNDS = 3
 EXCHANGED = 200
 CONFIDENT = 0.95
@@ -161,9 +159,6 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", labelled_
             out = []
             for doc_id, text, lang, source, n_chars, y, fold in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 index, weight, shape = text_features(text)
-                if len(index) > FEATURES_PER_TEXT:
-                    keep = np.sort(np.argsort(-weight, kind="stable")[:FEATURES_PER_TEXT])
-                    index, weight = index[keep], weight[keep]
                 out.append((doc_id, y, fold, index.astype(np.int32).tobytes(), weight.astype(np.float32).tobytes(), shape.tobytes(), meta_features(lang, source, n_chars).tobytes()))
             names = ["doc_id", "y", "fold", "i", "w", "shape", "meta"]
             kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 4]

@@ -254,6 +254,20 @@ def test_classifier(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted([i for i, r in got.items() if r["kept"]] + [1])
 
 
+def test_classifier_learns_every_word_of_long_texts(spark):
+    rng = np.random.default_rng(6)
+    place = lambda w: int(cotraining.text_features(w)[0][0])
+    names = sorted({place(f"w{i}"): f"w{i}" for i in range(60_000)}.items())
+    good, bad = names[-1][1], names[-2][1]  # hashed above all other words
+    data = []
+    for i in range(120):
+        own = [names[k][1] for k in rng.choice(len(names) - 2, 700, replace=False)]
+        data.append((i, " ".join([*own, good if i % 2 else bad]), "en", "a", 1))
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(120)], "doc_id long, quality int, toxic int")
+    model = cotraining.train(fixtures.documents(spark, data), labels)["text"]
+    assert model[place(good)] > 0 > model[place(bad)]
+
+
 def test_classifier_without_two_classes(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert cotraining.good_documents(docs, none).count() == docs.count()
