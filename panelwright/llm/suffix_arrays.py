@@ -21,7 +21,7 @@ runs, cut by the windows' place relative to the anchor and by a hash; runs that
 search of each run in the union of the others.
 
 NULL texts count as empty; documents shorter than ``length`` lose nothing. A NULL ``doc_id`` comes after all others.
-Rows with the same ``doc_id`` and different texts are ordered by a hash of the text; of equal rows one counts as the
+Rows with the same ``doc_id`` and different texts are ordered by two 64-bit hashes of the text; of equal rows one counts as the
 first and the others as its repetitions. Extra columns are ignored. An empty table gives an empty result.
 """
 
@@ -34,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.llm.common import mix64, text_or_empty
@@ -47,7 +47,7 @@ SHARD_SEGMENTS = 12_000
 HOT_SHARE = 1000
 HOT_SAMPLE = 16
 LAST = (1 << 63) - 1
-KEY = ["d", "th"]
+KEY = ["d", "th", "tu"]
 
 
 # --- anchors -------------------------------------------------------------------------------------------------------
@@ -130,36 +130,41 @@ def _segments_of(texts: list[bytes], length: int, gram: int):
         yield rows, start, count, anchor - first, h, seg + (anchor - first).astype(np.uint64)
 
 
+def _text_hashes(text: Column) -> list[Column]:
+    """Two 64-bit hashes, which tell apart texts of one ``doc_id`` (all rows without one among them)."""
+    return [F.xxhash64(text).alias("th"), F.xxhash64(F.lit(2), text).alias("tu")]
+
+
 def _sources(docs: DataFrame) -> DataFrame:
     text = text_or_empty()
-    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), F.hash(text).alias("th"))
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), *_text_hashes(text))
 
 
 def all_segments(sources: DataFrame, length: int, gram: int) -> DataFrame:
-    """(h, seg, d, th, place) of every segment; ``place`` holds its start, its anchor's place and its number of windows."""
-    schema = pa.schema([("h", pa.int64()), ("seg", pa.int64()), ("d", pa.int64()), ("th", pa.int32()), ("place", pa.int64())])
+    """(h, seg, d, th, tu, place) of every segment; ``place`` holds its start, its anchor's place and its number of windows."""
+    schema = pa.schema([("h", pa.int64()), ("seg", pa.int64()), ("d", pa.int64()), ("th", pa.int64()), ("tu", pa.int64()), ("place", pa.int64())])
 
     def find(batches):
         for batch in batches:
             texts = [t.as_py().encode() for t in batch.column(0)]
-            d, th = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            d, th, tu = (c.to_numpy() for c in batch.columns[1:])
             for row, start, count, anchor, h, seg in _segments_of(texts, length, gram):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(seg.view(np.int64)), pa.array(d[row]), pa.array(th[row], pa.int32()), pa.array(start << 16 | anchor << 8 | count)], schema=schema
+                    [pa.array(h.view(np.int64)), pa.array(seg.view(np.int64)), pa.array(d[row]), pa.array(th[row]), pa.array(tu[row]), pa.array(start << 16 | anchor << 8 | count)], schema=schema
                 )
 
-    return sources.select("text", "d", "th").mapInArrow(find, "h long, seg long, d long, th int, place long")
+    return sources.select("text", *KEY).mapInArrow(find, "h long, seg long, d long, th long, tu long, place long")
 
 
 def _repeating(found: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of segments whose anchor repeats: later ones that equal an earlier one (d, th, place), and the first of each kind
-    where there are several kinds (h, seg, d, th, place, kinds).
+    """Of segments whose anchor repeats: later ones that equal an earlier one (d, th, tu, place), and the first of each kind
+    where there are several kinds (h, seg, d, th, tu, place, kinds).
 
     The rows of a rare anchor are compared in one pass. Those of frequent ones (``hot``, fewer than a thousand or so) are
     reduced to the first place of each kind by sums; the later places are all rows but these, told apart by grouping on
     the whole row, so that no task holds all rows of such an anchor.
     """
-    place = F.struct("d", "th", "place")
+    place = F.struct(*KEY, "place")
     rare = found.join(F.broadcast(hot), "h", "left_anti").repartition("h")  # one exchange for all windows
     rare = rare.withColumns(
         {
@@ -170,16 +175,16 @@ def _repeating(found: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     rare = rare.withColumn("kinds", F.max("_kind").over(Window.partitionBy("h"))).where("_n > 1").drop("_kind", "_n")
     rare = cut_lineage(rare.withColumn("is_first", F.col("first") == place).drop("first"), "suffix-repeating")
-    copies = rare.where("not is_first").select("d", "th", "place")
-    contested = rare.where("is_first and kinds > 1").select("h", "seg", "d", "th", "place", "kinds")
+    copies = rare.where("not is_first").select(*KEY, "place")
+    contested = rare.where("is_first and kinds > 1").select("h", "seg", *KEY, "place", "kinds")
     if hot.isEmpty():
         return copies, contested
     often = cut_lineage(found.join(F.broadcast(hot), "h", "left_semi"), "suffix-often")
     first = cut_lineage(often.groupBy("h", "seg").agg(F.min(place).alias("f")).select("h", "seg", "f.*"), "suffix-first")
     rows = often.withColumn("is_first", F.lit(0)).unionByName(first.withColumn("is_first", F.lit(1)))
-    later = rows.groupBy("h", "seg", "d", "th", "place").agg(F.max("is_first").alias("is_first")).where("is_first = 0")
+    later = rows.groupBy("h", "seg", *KEY, "place").agg(F.max("is_first").alias("is_first")).where("is_first = 0")
     many = first.groupBy("h").agg(F.count(F.lit(1)).cast("int").alias("kinds")).where("kinds > 1")
-    return copies.unionByName(later.select("d", "th", "place")), contested.unionByName(first.join(many, "h").select(contested.columns))
+    return copies.unionByName(later.select(*KEY, "place")), contested.unionByName(first.join(many, "h").select(contested.columns))
 
 
 # --- suffix arrays of a shard --------------------------------------------------------------------------------------
@@ -278,24 +283,24 @@ def repeated_windows(bodies: list[bytes], places: np.ndarray, length: int) -> tu
 
 # --- the job -------------------------------------------------------------------------------------------------------
 
-RESULT = "d long, th int, start long, n long, h long, o int, r int, keys binary, docs binary, starts binary"
+RESULT = "d long, th long, tu long, start long, n long, h long, o int, r int, keys binary, docs binary, starts binary"
 
 
 def _bodies(sources: DataFrame, contested: DataFrame, length: int) -> DataFrame:
-    """``contested`` (h, seg, d, th, place, kinds) with the bytes of each segment."""
+    """``contested`` (h, seg, d, th, tu, place, kinds) with the bytes of each segment."""
     wanted = contested.groupBy(*KEY).agg(F.collect_list(F.struct("h", "seg", "place", "kinds")).alias("wanted"))
-    names = ["h", "seg", "d", "th", "place", "kinds", "body"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+    names = ["h", "seg", *KEY, "place", "kinds", "body"]
+    kinds = [*[pa.int64()] * 6, pa.int32(), pa.binary()]
 
     def cut(batches):
         for batch in batches:
             rows, size = [], 0
-            for text, d, th, own in zip(*(c if i in (0, 3) else c.to_pylist() for i, c in enumerate(batch.columns)), strict=True):
+            for text, d, th, tu, own in zip(*(c if i in (0, 4) else c.to_pylist() for i, c in enumerate(batch.columns)), strict=True):
                 raw = text.as_py().encode()
                 for x in own.as_py():
                     start, n = x["place"] >> 16, x["place"] & 0xFF
                     body = raw[start : start + n + length - 1]
-                    rows.append((x["h"], x["seg"], d, th, x["place"], x["kinds"], body))
+                    rows.append((x["h"], x["seg"], d, th, tu, x["place"], x["kinds"], body))
                     size += len(body)
                 if size > 4_000_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
@@ -304,7 +309,7 @@ def _bodies(sources: DataFrame, contested: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     joined = sources.select("text", *KEY).join(wanted, KEY).select("text", *KEY, "wanted")
-    return joined.mapInArrow(cut, "h long, seg long, d long, th int, place long, kinds int, body binary")
+    return joined.mapInArrow(cut, "h long, seg long, d long, th long, tu long, place long, kinds int, body binary")
 
 
 def _runs(owner: np.ndarray, start: np.ndarray):
@@ -319,15 +324,15 @@ def _shard(length: int):
     """Suffix array, common prefixes and repeated windows of one shard."""
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates(["h", "seg", "d", "th", "place"]).sort_values(["d", "th", "place"], kind="stable").reset_index(drop=True)
-        d, th, place = (rows[c].to_numpy() for c in ("d", "th", "place"))
+        rows = rows.drop_duplicates(["h", "seg", *KEY, "place"]).sort_values([*KEY, "place"], kind="stable").reset_index(drop=True)
+        d, th, tu, place = (rows[c].to_numpy() for c in (*KEY, "place"))
         start = place >> 16
-        doc = np.cumsum(np.append(False, (d[1:] != d[:-1]) | (th[1:] != th[:-1])))
+        doc = np.cumsum(np.append(False, (d[1:] != d[:-1]) | (th[1:] != th[:-1]) | (tu[1:] != tu[:-1])))
         segment, offset, label, where, again = repeated_windows(rows["body"].tolist(), (doc << 40) + start, length)
         by = np.lexsort((offset[again], segment[again]))
         s, at = segment[again][by], (start[segment] + offset)[again][by]
         first, n = _runs(s, at)
-        out = [pd.DataFrame({"d": d[s[first]], "th": th[s[first]], "start": at[first], "n": n})]
+        out = [pd.DataFrame({"d": d[s[first]], "th": th[s[first]], "tu": tu[s[first]], "start": at[first], "n": n})]
         if rows["part"].iat[0] >= 0:  # an anchor spread over several shards: runs of its windows, in sorted order
             keep = np.flatnonzero(~again)
             keep = keep[np.unique(label[keep], return_index=True)[1]]
@@ -335,14 +340,14 @@ def _shard(length: int):
             keys = [bodies[a][b : b + length] for a, b in zip(segment[keep].tolist(), offset[keep].tolist(), strict=True)]
             o = ((place[segment[keep]] >> 8) & 0xFF) - offset[keep]
             r = np.array([xxhash.xxh3_64_intdigest(k) % parts for k in keys], dtype=np.int64)
-            pairs = np.stack([d[segment[keep]], th[segment[keep]].astype(np.int64)], axis=1)
+            pairs = np.stack([x[segment[keep]] for x in (d, th, tu)], axis=1)
             starts = start[segment[keep]] + offset[keep]
             for cell in np.unique(np.stack([o, r], axis=1), axis=0):
                 own = np.flatnonzero((o == cell[0]) & (r == cell[1]))
                 run = {"h": h, "o": cell[0], "r": cell[1], "keys": b"".join(keys[i] for i in own), "docs": pairs[own].tobytes(), "starts": starts[own].tobytes()}
                 out.append(pd.DataFrame([run]))
         names = [x.strip().split(" ")[0] for x in RESULT.split(",")]
-        kinds = {"d": "Int64", "th": "Int32", "start": "Int64", "n": "Int64", "h": "Int64", "o": "Int32", "r": "Int32"}
+        kinds = {"d": "Int64", "th": "Int64", "tu": "Int64", "start": "Int64", "n": "Int64", "h": "Int64", "o": "Int32", "r": "Int32"}
         return pd.concat([x.reindex(columns=names).astype(kinds) for x in out], ignore_index=True)
 
     return work
@@ -355,7 +360,7 @@ def _merge(length: int):
         union, held, found = np.zeros(0, dtype=f"S{length}"), [], []
         for keys, docs, starts in sorted(zip(rows["keys"], rows["docs"], rows["starts"], strict=True)):
             run = np.frombuffer(keys, dtype=f"S{length}")
-            places = [(*p, s) for p, s in zip(np.frombuffer(docs, dtype=np.int64).reshape(-1, 2).tolist(), np.frombuffer(starts, dtype=np.int64).tolist(), strict=True)]
+            places = [(*p, s) for p, s in zip(np.frombuffer(docs, dtype=np.int64).reshape(-1, 3).tolist(), np.frombuffer(starts, dtype=np.int64).tolist(), strict=True)]
             at = np.searchsorted(union, run)
             same = np.zeros(len(run), dtype=bool)
             inside = at < len(union)
@@ -372,23 +377,23 @@ def _merge(length: int):
                 k = at[i]
                 merged.append(places[i])
             held = merged + held[k:]
-        return pd.DataFrame([(p[0], p[1], p[2], 1) for p in found], columns=["d", "th", "start", "n"]).astype({"d": "int64", "th": "int32", "start": "int64", "n": "int64"})
+        return pd.DataFrame([(*p, 1) for p in found], columns=[*KEY, "start", "n"]).astype("int64")
 
     return work
 
 
 def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
-    """(d, th, start, n): from ``start`` on, ``n`` consecutive windows that also start earlier. ``d`` is ``doc_id``, the
-    largest long for NULL; ``th`` a hash of the text."""
+    """(d, th, tu, start, n): from ``start`` on, ``n`` consecutive windows that also start earlier. ``d`` is ``doc_id``, the
+    largest long for NULL; ``th`` and ``tu`` are hashes of the text."""
     sources = _sources(docs)
     found = all_segments(sources, length, gram)
-    sample = all_segments(sources.where(F.pmod(F.xxhash64(F.lit(11), "d", "th"), F.lit(HOT_SAMPLE)) == 0), length, gram)
+    sample = all_segments(sources.where(F.pmod(F.xxhash64(F.lit(11), *KEY), F.lit(HOT_SAMPLE)) == 0), length, gram)
     counts = cut_lineage(sample.groupBy("h").agg(F.count(F.lit(1)).alias("n")), "suffix-sample")
     total = counts.agg(F.sum("n")).first()[0] or 0
     # Which way an anchor goes does not change the result; it is decided on a sample of the documents.
     hot = cut_lineage(counts.where((F.col("n") * HOT_SHARE > total) & (F.col("n") > HOT_SAMPLE)).select("h"), "suffix-frequent")
     later, contested = _repeating(found, hot)
-    copies = later.select("d", "th", F.shiftright("place", 16).alias("start"), F.col("place").bitwiseAND(0xFF).alias("n"))
+    copies = later.select(*KEY, F.shiftright("place", 16).alias("start"), F.col("place").bitwiseAND(0xFF).alias("n"))
     contested = contested.withColumn("kinds", F.col("kinds").cast("int"))
     shards = max(1, -(-contested.count() // shard_segments))
     parts = F.ceil(F.col("kinds") / shard_segments).cast("int")
@@ -401,8 +406,8 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
         }
     )
     inside = cut_lineage(bodies.groupBy("shard", "part").applyInPandas(_shard(length), RESULT), "suffix-shards")
-    across = inside.where("keys is not null").groupBy("h", "o", "r").applyInPandas(_merge(length), "d long, th int, start long, n long")
-    return copies.unionByName(inside.where("keys is null").select("d", "th", "start", "n")).unionByName(across)
+    across = inside.where("keys is not null").groupBy("h", "o", "r").applyInPandas(_merge(length), "d long, th long, tu long, start long, n long")
+    return copies.unionByName(inside.where("keys is null").select(*KEY, "start", "n")).unionByName(across)
 
 
 def _marked(docs: DataFrame, length: int, **options) -> DataFrame:

@@ -196,6 +196,15 @@ def test_repeated_bytes_with_frequent_anchors_and_periods(spark, monkeypatch):
     assert got == brute_bytes(data, 100)
 
 
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_repeated_bytes_of_texts_with_equal_short_hashes(spark, doc_id):
+    pairs = [(22177, 266647), (178584, 299207), (76950, 110747)]
+    data = [(doc_id, f"{i:08d}" * 14, "en", "a", 1) for pair in pairs for i in pair]
+    df = fixtures.documents(spark, data)
+    assert df.selectExpr("hash(text) AS x").distinct().count() == len(pairs)
+    assert Counter(map(tuple, suffix_arrays.repeated_bytes(df).collect())) == brute_bytes(data, 100)
+
+
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(1)
     parts = [rng.integers(0, 2, n).astype(np.int16) for n in (1, 40, 200, 7, 200)]
