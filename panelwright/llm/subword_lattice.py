@@ -36,7 +36,6 @@ from panelwright.session import cut_lineage
 FOLDS = 10
 BLOCK_CHARS = 8_000_000
 ADDED = 0.1
-LONGEST_PIECE = 16
 
 
 def vocabulary(tokenizer_path: str) -> dict[bytes, int]:
@@ -53,7 +52,7 @@ class Lattice:
 
     def __init__(self, scores: dict[bytes, float]):
         """``scores``: natural logarithms of the piece probabilities."""
-        self.scores = {p: s for p, s in scores.items() if len(p) <= LONGEST_PIECE}
+        self.scores = scores
         self.prefixes = {p[:k] for p in self.scores for k in range(1, len(p) + 1)}
 
     def log_probability(self, word: bytes) -> float:

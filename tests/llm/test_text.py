@@ -82,6 +82,20 @@ def test_lattice_probabilities_add_up():
     assert math.isclose(math.exp(both.log_probability(b"aaa")), 0.125 + 2 * 0.125)
 
 
+def test_lattice_weighs_pieces_of_any_length():
+    pieces = subword_lattice.vocabulary(default_path("byte_bpe_50k.json"))
+    total = sum(range(1, len(pieces) + 1))
+    p = {b: (i % len(pieces) + 1) / total for b, i in pieces.items()}
+    lattice = subword_lattice.Lattice({b: math.log(x) for b, x in p.items()})
+    longest = max(pieces, key=lambda b: (len(b), b))
+    assert len(longest) > 16
+    for word in (longest, b"-" * 40, b"=" * 33 + b"x", b"word"):
+        ways = [1.0] + [0.0] * len(word)
+        for j in range(1, len(word) + 1):
+            ways[j] = sum(ways[i] * p.get(word[i:j], 0.0) for i in range(j))
+        assert math.isclose(lattice.log_probability(word), math.log(ways[-1]), rel_tol=1e-12)
+
+
 def test_packing(spark, docs):
     encode = Tokenizer.from_file(default_path("byte_bpe_50k.json"))
     encode.encode_special_tokens = True
