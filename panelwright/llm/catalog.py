@@ -18,6 +18,7 @@ MODULES = {
     "op8_cotraining": "cotraining",
     "op9_sentence_spans": "sentence_spans",
     "op10_suffix_arrays": "suffix_arrays",
+    "op11_relational_phrases": "relational_phrases",
 }
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
