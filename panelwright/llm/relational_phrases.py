@@ -10,7 +10,8 @@ occurs ``least`` times or more in its language. From one length to the next:
 * *semi-join*: only the occurrences of frequent groups are written as the next relation.
 
 The relation is stored by chunks: the places of about ``CHUNK_WORDS`` words of one language as two sorted arrays, in which
-places of one piece are consecutive numbers and a new piece leaves a gap. A piece is never cut. Spark joins, shuffles and
+places of one piece are consecutive numbers and a new piece leaves a gap; both are written compressed, the places as their
+differences. A piece is never cut. Spark joins, shuffles and
 counts one row per chunk and group, so a phrase that is everywhere costs a row a chunk, not a row an occurrence. Groups are
 named by the frequent table's own numbers, not by hashes: two phrases are never confused.
 
@@ -24,8 +25,11 @@ by score, count and the phrase's bytes, so the order is total. An empty table, o
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,6 +46,19 @@ PLAIN = bytes.maketrans(UPPER + PIECE_ENDS + b"\t", LOWER + b"." * len(PIECE_END
 RELATION = "chunk long, places binary, groups binary"
 
 
+@lru_cache(maxsize=1)
+def _codec() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def pack(values: np.ndarray) -> bytes:
+    return _codec()[0].compress(np.ascontiguousarray(values).tobytes())
+
+
+def unpack(packed: pa.BinaryScalar, kind) -> np.ndarray:
+    return np.frombuffer(_codec()[1].decompress(packed.as_py()), dtype=kind)
+
+
 # --- occurrences of single words -------------------------------------------------------------------------------------
 
 
@@ -95,7 +112,7 @@ def chunks(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
             own = open_.pop(lang)
             made += 1
             codes = np.concatenate(own.parts)
-            row = [(task << 24) + made], [lang], [int((codes > 0).sum())], [codes.tobytes()], [b"\n".join(own.codes)]
+            row = [(task << 24) + made], [lang], [int((codes > 0).sum())], [pack(codes)], [b"\n".join(own.codes)]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
@@ -122,7 +139,7 @@ def word_counts(chunked: DataFrame) -> DataFrame:
     def count(batches):
         for batch in batches:
             for chunk, lang, codes, words in zip(*(batch.column(i) for i in range(4)), strict=True):
-                n = np.bincount(np.frombuffer(codes.as_buffer(), dtype=np.int32))
+                n = np.bincount(unpack(codes, np.int32))
                 names = pa.array(words.as_py().split(b"\n"), pa.binary()).cast(pa.string())[1 : len(n)]
                 if len(names):
                     k = len(names)
@@ -136,13 +153,13 @@ def word_counts(chunked: DataFrame) -> DataFrame:
 
 
 def _relation(chunk: int, places: np.ndarray, groups: np.ndarray) -> pa.Table:
-    rows = [(chunk, places.astype(np.int32).tobytes(), groups.astype(np.int64).tobytes())] if len(places) else []
+    rows = [(chunk, pack(np.diff(places.astype(np.int32), prepend=np.int32(0))), pack(groups.astype(np.int64)))] if len(places) else []
     columns = list(zip(*rows, strict=True)) or [[], [], []]
     return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["chunk", "places", "groups"])
 
 
-def _numbers(table: pa.Table, column: str, kind) -> np.ndarray:
-    return np.frombuffer(table.column(column)[0].as_buffer(), dtype=kind)
+def _occurrences(places: pa.BinaryScalar, groups: pa.BinaryScalar) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(unpack(places, np.int32), dtype=np.int32), unpack(groups, np.int64)
 
 
 def single_words(chunked: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -151,7 +168,7 @@ def single_words(chunked: DataFrame, frequent: DataFrame) -> DataFrame:
     def keep(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
             return _relation(0, np.zeros(0), np.zeros(0))
-        codes = _numbers(left, "codes", np.int32)
+        codes = unpack(left.column("codes")[0], np.int32)
         name = np.full(int(codes.max()) + 1, -1, dtype=np.int64)
         name[right.column("code").to_numpy()] = right.column("id").to_numpy()
         groups = name[codes]
@@ -177,7 +194,7 @@ def pair_counts(relation: DataFrame) -> DataFrame:
     def count(batches):
         for batch in batches:
             for chunk, places, groups in zip(*batch.columns, strict=True):
-                _, u, v, which = merge_join(np.frombuffer(places.as_buffer(), dtype=np.int32), np.frombuffer(groups.as_buffer(), dtype=np.int64))
+                _, u, v, which = merge_join(*_occurrences(places, groups))
                 if len(u):
                     n = np.bincount(which, minlength=len(u)).astype(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.repeat(chunk, len(u)), pa.array(u), pa.array(v), pa.array(n)], schema=schema)
@@ -191,7 +208,7 @@ def longer(relation: DataFrame, frequent: DataFrame) -> DataFrame:
     def keep(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
             return _relation(0, np.zeros(0), np.zeros(0))
-        places, groups = _numbers(left, "places", np.int32), _numbers(left, "groups", np.int64)
+        places, groups = _occurrences(left.column("places")[0], left.column("groups")[0])
         at, u, v, which = merge_join(places, groups)
         known = {(a, b): c for a, b, c in zip(*(right.column(x).to_pylist() for x in ("u", "v", "id")), strict=True)}
         name = np.fromiter((known.get(p, -1) for p in zip(u.tolist(), v.tolist(), strict=True)), dtype=np.int64, count=len(u))
