@@ -19,6 +19,8 @@ MODULES = {
     "op9_sentence_spans": "sentence_spans",
     "op10_suffix_arrays": "suffix_arrays",
     "op11_relational_phrases": "relational_phrases",
+    "op12_filter_audit": "filter_audit",
+    "op13_contextual_pii": "contextual_pii",
 }
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

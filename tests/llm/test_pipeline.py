@@ -20,7 +20,7 @@ def test_query_agrees_with_sql(spark, name):
 
 
 def test_everything_is_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in catalog.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in catalog.QUERIES}
     assert set(catalog.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
