@@ -9,7 +9,7 @@ keys at once.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from math import pi
+from math import comb, pi
 
 import numpy as np
 import pandas as pd
@@ -24,6 +24,7 @@ from panelwright.spec import SeriesSpec
 
 MAX_P, MAX_D, MAX_Q = 5, 2, 5
 LONG_AR = 8
+MAX_LAGS = 8
 # 5 % critical value of the unit-root test with a constant, as a
 # polynomial in 1/n.
 ADF_CRITICAL = (-2.86154, -2.8903, -4.234, -40.040)
@@ -130,6 +131,108 @@ def adf(df: DataFrame, spec: SeriesSpec, lags: int, column: str | None = None) -
     )
 
 
+def _difference_row(order: int, shift: int, size: int) -> np.ndarray:
+    """The weights of a series and its lags in the difference of this order, ``shift`` periods ago."""
+    row = np.zeros(size)
+    for j in range(order + 1):
+        row[shift + j] = (-1) ** j * comb(order, j)
+    return row
+
+
+def _ols(g: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(t value of the second regressor, residual sum of squares); ``g``: cross products of y, 1, x, ..."""
+    inverse = np.linalg.pinv(g[:, 1:, 1:], hermitian=True)
+    coef = np.einsum("bij,bj->bi", inverse, g[:, 1:, 0])
+    rss = np.maximum(g[:, 0, 0] - np.einsum("bi,bi->b", coef, g[:, 1:, 0]), 0.0)
+    free = n - (g.shape[1] - 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        tau = coef[:, 1] / np.sqrt(inverse[:, 1, 1] * rss / np.where(free > 0, free, np.nan))
+    return np.where(np.isfinite(tau), tau, np.nan), rss
+
+
+def _lag_sums(df: DataFrame, spec: SeriesSpec, v: str, depth: int) -> DataFrame:
+    """(keys, _all, _sums): cross products of 1, the series and ``depth`` lags, apart for rows with 0, 1, ... known lags.
+
+    Values are centred and scaled per key, which no t value sees. Only a key's first rows, and those behind gaps, have
+    fewer lags, so that a key has ``depth`` + 1 entries at most and every regression can take all rows that it may.
+    """
+    keys = list(spec.keys)
+    scale = df.groupBy(*keys).agg(F.avg(v).alias("_m"), F.stddev_pop(v).alias("_sd"), F.count(v).alias("_all"))
+    scaled = join_on(df.select(*keys, *spec.order, F.col(v).cast("double").alias("_v")), scale if spec.bounded else settled(scale, "scales"), keys)
+    scaled = scaled.withColumn("w0", (F.col("_v") - F.col("_m")) / F.when(F.col("_sd") > 0, F.col("_sd")).otherwise(1.0))
+    names = [f"w{k}" for k in range(depth + 1)]
+    laid = over_series(scaled, spec, lambda f: {n: lagged(F.col("w0"), k, f) for k, n in enumerate(names) if k}, before=depth)
+    known = F.coalesce(*[F.when(F.col(n).isNull(), k - 1) for k, n in enumerate(names) if k], F.lit(depth))
+    rows = laid.where("w0 IS NOT NULL").select(*keys, "_all", known.alias("_known"), *[F.coalesce(n, F.lit(0.0)).alias(n) for n in names])
+    sums = gram(rows, [*keys, "_all", "_known"], names)
+    return sums.groupBy(*keys, "_all").agg(F.collect_list(F.struct("_known", "n", "gram")).alias("_sums"))
+
+
+def unit_root_sweep(df: DataFrame, spec: SeriesSpec, column: str | None = None, max_lags: int = MAX_LAGS, max_d: int = MAX_D) -> DataFrame:
+    """(keys, d, lags, n, tau, aic, chosen): unit-root tests of the d-th difference with up to ``max_lags`` lagged differences.
+
+    All of a key's regressions are linear in the same cross products, which one aggregation yields for every d and every
+    number of lags. As usual the number of lags goes up to 12 (n / 100)^(1/4), is chosen by Akaike's criterion over the
+    rows that all have, and each test takes all rows it can.
+    """
+    v, keys = column or spec.values[0], list(spec.keys)
+    depth = max_lags + max_d
+    size = depth + 2
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            g, n = np.zeros((len(pdf), depth + 1, size, size)), np.zeros((len(pdf), depth + 1))
+            rows, cols = np.triu_indices(size)
+            for i, parts in enumerate(pdf["_sums"]):
+                for part in parts:
+                    g[i, part["_known"], rows, cols] = g[i, part["_known"], cols, rows] = part["gram"]
+                    n[i, part["_known"]] = part["n"]
+            g, n = (np.flip(np.cumsum(np.flip(x, axis=1), axis=1), axis=1) for x in (g, n))  # rows with so many lags or more
+            total = pdf["_all"].to_numpy(float)
+            for d in range(max_d):
+                length = np.maximum(total - d, 0)
+                most = np.minimum(np.ceil(12 * (length / 100) ** 0.25), np.maximum(length // 2 - 2, 0)).clip(0, max_lags).astype(int)
+                one = np.eye(1, size)[0]
+                wide = np.stack([_difference_row(d + 1, 1, size), one, _difference_row(d, 2, size), *[_difference_row(d + 1, 1 + k, size) for k in range(1, max_lags + 1)]])
+                aic = np.full((len(pdf), max_lags + 1), np.inf)
+                tests = []
+                for lags in range(max_lags + 1):
+                    a = wide[: lags + 3]
+                    at = lags + d + 1
+                    tau, _ = _ols(a @ g[:, at] @ a.T, n[:, at])
+                    tests.append((tau, n[:, at]))
+                    common = np.minimum(most + d + 1, depth)
+                    own, rows_of = g[np.arange(len(pdf)), common], n[np.arange(len(pdf)), common]
+                    _, rss = _ols(a @ own @ a.T, rows_of)
+                    fits = (lags <= most) & (rows_of > lags + 2)
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        score = rows_of * np.log(np.maximum(rss, 1e-300) / rows_of) + 2 * (lags + 2)
+                    aic[fits, lags] = score[fits]
+                best = np.where(np.isfinite(aic).any(axis=1), aic.argmin(axis=1), 0)
+                for lags, (tau, rows_of) in enumerate(tests):
+                    here = (lags <= most) & (rows_of > 0)
+                    out = pdf[keys].assign(d=d, lags=lags, n=rows_of.astype("int64"), tau=tau, aic=np.where(np.isfinite(aic[:, lags]), aic[:, lags], np.nan), chosen=best == lags)
+                    yield out[here]
+
+    sums = _lag_sums(df, spec, v, depth)
+    out = sums.mapInPandas(solve, _schema(sums, keys, "d int, lags int, n long, tau double, aic double, chosen boolean"))
+    null = F.lit(None).cast("double")
+    return out.withColumns({"tau": F.nanvl("tau", null), "aic": F.nanvl("aic", null)})
+
+
+def differencing_order(df: DataFrame, spec: SeriesSpec, max_d: int = MAX_D, max_lags: int = MAX_LAGS) -> DataFrame:
+    """(keys, d): the first difference order below ``max_d`` that the unit-root test calls stationary, else ``max_d``."""
+    keys = list(spec.keys)
+    tests = unit_root_sweep(df, spec, None, max_lags, max_d).where("chosen")
+    stationary = F.coalesce(F.col("tau") <= adf_critical(F.col("n")), F.lit(False))
+    found = tests.groupBy(*keys).agg(F.coalesce(F.min(F.when(stationary, F.col("d"))), F.lit(max_d)).alias("d"))
+    if not keys:
+        return found
+    return join_on(df.select(*keys).distinct(), found, keys, "left").withColumn("d", F.coalesce("d", F.lit(max_d)))
+
+
 def _differences(df: DataFrame, spec: SeriesSpec, v: str) -> DataFrame:
     """Adds the value and its first and second difference as u0, u1, u2."""
 
@@ -141,24 +244,6 @@ def _differences(df: DataFrame, spec: SeriesSpec, v: str) -> DataFrame:
     return over_series(df, spec, build, before=2)
 
 
-def differencing_order(df: DataFrame, spec: SeriesSpec, max_d: int = MAX_D, lags: int = 0) -> DataFrame:
-    """(keys, d): the first difference order up to ``max_d`` the unit-root test calls stationary."""
-    keys = list(spec.keys)
-    (v,) = spec.values
-    spec = with_slices(df, spec)
-    laid = _differences(df, spec, v)
-    found = None
-    for d in range(max_d):
-        part = laid.where(F.col(f"u{d}").isNotNull())
-        test = adf_lag0(part, spec, f"u{d}") if lags == 0 else adf(part, spec, lags, f"u{d}")
-        test = test.select(*keys, F.col("stationary").alias(f"_s{d}"))
-        found = test if found is None else join_on(found, test, keys, "left")
-    d = F.lit(max_d)
-    for i in reversed(range(max_d)):
-        d = F.when(F.col(f"_s{i}"), F.lit(i)).otherwise(d)
-    return found.select(*keys, d.alias("d"))
-
-
 # --- ARMA by two regressions ------------------------------------------------------
 
 

@@ -16,7 +16,8 @@ from panelwright.spec import SeriesSpec
 
 CORRELATION_BLOCK = 64
 CORRELATION_HELD = 4_000_000
-SUMS = ("_n", "_sx", "_sy", "_sxx", "_syy", "_sxy")
+MOMENTS = ("_n", "_mx", "_my", "_xx", "_yy", "_xy")
+NARROW_COLUMNS = 6
 
 
 def _tidy(row: DataFrame, structs: Sequence[Column]) -> DataFrame:
@@ -73,78 +74,112 @@ def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), boun
     return both.select(*by, F.inline(F.array(*rows)))
 
 
-def _known_sums(columns: Sequence[str], by: Sequence[str]):
-    """Sums over the rows where both columns of a pair are known, per group, for one Arrow batch after the other.
+def _merged(one: Sequence[np.ndarray], two: Sequence[np.ndarray]) -> list[np.ndarray]:
+    """The moments of two sets of rows together; each is (n, means of x and y, centred squares of x and y, centred product)."""
+    n, shift = one[0] + two[0], [b - a for a, b in zip(one[1:3], two[1:3], strict=True)]
+    share = two[0] / np.maximum(n, 1.0)
+    both = one[0] * share
+    dx, dy = shift
+    return [n, one[1] + dx * share, one[2] + dy * share, one[3] + two[3] + dx * dx * both, one[4] + two[4] + dy * dy * both, one[5] + two[5] + dx * dy * both]
 
-    Columns come centred, so that the sums of squares keep their digits. Pairs are added up as products of blocks of
-    ``CORRELATION_BLOCK`` columns; what has been added up is passed on whenever it exceeds ``CORRELATION_HELD`` numbers.
+
+def _block_moments(values: np.ndarray, p: slice, q: slice) -> list[np.ndarray]:
+    """The moments of each column in p with each in q, over the rows where both are known."""
+    known = ~np.isnan(values)
+    middle = np.where(known.any(axis=0), np.where(known, values, 0.0).sum(axis=0) / np.maximum(known.sum(axis=0), 1), 0.0)
+    z, m = np.where(known, values - middle, 0.0), known.astype(np.float64)
+    n = m[:, p].T @ m[:, q]
+    sx, sy = z[:, p].T @ m[:, q], m[:, p].T @ z[:, q]
+    least = np.maximum(n, 1.0)
+    squares = [(z[:, p] ** 2).T @ m[:, q] - sx * sx / least, m[:, p].T @ z[:, q] ** 2 - sy * sy / least]
+    return [n, middle[p][:, None] + sx / least, middle[q][None, :] + sy / least, *squares, z[:, p].T @ z[:, q] - sx * sy / least]
+
+
+def _known_moments(columns: Sequence[str], by: Sequence[str]):
+    """Centred moments of every pair of columns, per group, for one Arrow batch after the other.
+
+    Pairs are worked out as products of blocks of ``CORRELATION_BLOCK`` columns. A batch is centred on its own means and
+    merged pairwise, so values far from zero, or groups far from each other, keep their digits. What has been gathered is
+    passed on whenever it exceeds ``CORRELATION_HELD`` numbers.
     """
     size, k = CORRELATION_BLOCK, len(columns)
     spans = [range(i, min(i + size, k)) for i in range(0, k, size)]
     blocks = [(x, y) for i, x in enumerate(spans) for y in spans[i:]]
 
-    def rows(sums, keys):
+    def rows(held, keys):
         out = []
-        for (group, n), parts in sums.items():
+        for (group, n), parts in held.items():
             x, y = blocks[n]
             at = [(i, j) for i in range(len(x)) for j in range(len(y)) if x[i] < y[j]]
             pick = tuple(np.array(at, dtype=np.int64).reshape(-1, 2).T)
             frame = pd.DataFrame({c: [v] * len(at) for c, v in zip(by, keys.get(group, ()), strict=False)} | {"_a": [x[i] for i, _ in at], "_b": [y[j] for _, j in at]})
-            out.append(frame.assign(**{name: part[pick] for name, part in zip(SUMS, parts, strict=True)}))
+            out.append(frame.assign(**{name: part[pick] for name, part in zip(MOMENTS, parts, strict=True)}))
         return pd.concat(out, ignore_index=True) if out else None
 
     def add(batches):
-        sums: dict = {}
+        held: dict = {}
         keys: dict = {}
-        held = 0
+        numbers = 0
         for batch in batches:
             groups = batch.groupby(list(by), dropna=False, sort=False).indices.items() if by else [((), np.arange(len(batch)))]
             values = batch[list(columns)].to_numpy(dtype=np.float64, na_value=np.nan)
-            for name, at in groups:
-                first = batch[list(by)].iloc[at[0]].tolist() if by else []
+            for _, at in groups:
+                first = batch[list(by)].iloc[at[0]].tolist() if by and len(at) else []
                 group = tuple(None if v is None or v != v else v for v in first)
                 keys[group] = first
-                part = values[at]
-                known = ~np.isnan(part)
-                x, m = np.where(known, part, 0.0), known.astype(np.float64)
                 for n, (p, q) in enumerate(blocks):
-                    p, q = slice(p.start, p.stop), slice(q.start, q.stop)
-                    new = (m[:, p].T @ m[:, q], x[:, p].T @ m[:, q], m[:, p].T @ x[:, q], (x[:, p] ** 2).T @ m[:, q], m[:, p].T @ x[:, q] ** 2, x[:, p].T @ x[:, q])
-                    if (group, n) in sums:
-                        sums[group, n] = [u + v for u, v in zip(sums[group, n], new, strict=True)]
-                    else:
-                        sums[group, n] = list(new)
-                        held += 6 * new[0].size
-                if held > CORRELATION_HELD:
-                    yield rows(sums, keys)
-                    sums, keys, held = {}, {}, 0
-        last = rows(sums, keys)
+                    new = _block_moments(values[at], slice(p.start, p.stop), slice(q.start, q.stop))
+                    numbers += 0 if (group, n) in held else 6 * new[0].size
+                    held[group, n] = _merged(held[group, n], new) if (group, n) in held else new
+                if numbers > CORRELATION_HELD:
+                    yield rows(held, keys)
+                    held, keys, numbers = {}, {}, 0
+        last = rows(held, keys)
         if last is not None:
             yield last
 
     return add
 
 
+def _wide_correlations(named: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(by, _a, _b, r) of many columns: tasks gather moments, which Spark merges about their common mean."""
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in named.select(*by).schema) + "_a int, _b int, " + ", ".join(f"{s} double" for s in MOMENTS)
+    parts = settled(named.mapInPandas(_known_moments(columns, by), schema).where("_n > 0"), "moments")
+    keys = [*by, "_a", "_b"]
+    n, mx, my = (F.col(c) for c in MOMENTS[:3])
+    middle = parts.groupBy(*keys).agg((F.sum(n * mx) / F.sum(n)).alias("_ux"), (F.sum(n * my) / F.sum(n)).alias("_uy"))
+    dx, dy = mx - F.col("_ux"), my - F.col("_uy")
+    total = join_on(parts, settled(middle, "moment-means"), keys).groupBy(*keys).agg(
+        F.sum(n).alias("_n"), F.sum(F.col("_xx") + n * dx * dx).alias("_xx"), F.sum(F.col("_yy") + n * dy * dy).alias("_yy"), F.sum(F.col("_xy") + n * dx * dy).alias("_xy")
+    )
+    spread = F.sqrt("_xx") * F.sqrt("_yy")
+    r = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.col("_xy") / F.nullif(spread, F.lit(0.0))))
+    return total.select(*keys, F.when((F.col("_n") > 1) & (spread > 0), r).alias("r"))
+
+
 def correlations(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by, a, b, r) for every pair of columns, over the rows where both have a value; NULL where r is not defined.
 
-    One way for any number of columns: tasks add up products of column blocks, Spark adds up the tasks' sums per pair.
-    NaN counts as no value.
+    Both ways keep mergeable centred moments (counts, means, squares and products about the means): Spark's own aggregate
+    for a few columns, products of column blocks for many. NaN counts as no value.
     """
     by, k = list(by), len(columns)
-    named = {f"_x{i}": F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for i, c in enumerate(columns)}
-    wide = df.select(*by, *[c.alias(n) for n, c in named.items()])
-    middle = wide.agg(*[F.coalesce(F.avg(n), F.lit(0.0)).alias(f"_m{i}") for i, n in enumerate(named)])
-    centred = join_on(wide, middle, []).select(*by, *[(F.col(f"_x{i}") - F.col(f"_m{i}")).alias(f"_x{i}") for i in range(k)])
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in wide.select(*by).schema) + "_a int, _b int, " + ", ".join(f"{s} double" for s in SUMS)
-    parts = centred.mapInPandas(_known_sums(list(named), by), schema)
-    total = parts.groupBy(*by, "_a", "_b").agg(*[F.sum(s).alias(s) for s in SUMS])
-    n, x, y, xx, yy, xy = (F.col(s) for s in SUMS)
-    spread = F.sqrt(F.greatest(n * xx - x * x, F.lit(0.0))) * F.sqrt(F.greatest(n * yy - y * y, F.lit(0.0)))
-    r = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), (n * xy - x * y) / F.nullif(spread, F.lit(0.0))))
+    named = df.select(*by, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"_x{i}") for i, c in enumerate(columns)])
     names = F.array(*[F.lit(c) for c in columns])
     pick = lambda i: F.element_at(names, F.col(i) + 1)
-    return total.select(*by, pick("_a").alias("a"), pick("_b").alias("b"), F.when((n > 1) & (spread > 0), r).alias("r"))
+    if k <= NARROW_COLUMNS:
+        pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
+        row = named.groupBy(*by).agg(*[F.corr(f"_x{i}", f"_x{j}").alias(f"_r{i}_{j}") for i, j in pairs])
+        cells = [F.struct(F.lit(i).alias("_a"), F.lit(j).alias("_b"), F.nanvl(f"_r{i}_{j}", F.lit(None).cast("double")).alias("r")) for i, j in pairs]
+        found = row.select(*by, F.inline(F.array(*cells)))
+    else:
+        found = _wide_correlations(named, by, [f"_x{i}" for i in range(k)])
+        if by:  # pairs without a row in common too
+            every = df.select(*by).distinct().select("*", F.explode(F.sequence(F.lit(0), F.lit(k - 2))).alias("_a")).select("*", F.explode(F.sequence(F.col("_a") + 1, F.lit(k - 1))).alias("_b"))
+        else:
+            every = df.sparkSession.range(k - 1).select(F.col("id").cast("int").alias("_a")).select("*", F.explode(F.sequence(F.col("_a") + 1, F.lit(k - 1))).alias("_b"))
+        found = join_on(every, found, [*by, "_a", "_b"], "left")
+    return found.select(*by, pick("_a").alias("a"), pick("_b").alias("b"), "r")
 
 
 def shape(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

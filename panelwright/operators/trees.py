@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Window
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from panelwright.operators.dataset import expanding_folds
 from panelwright.operators.layout import join_on
 from panelwright.operators.seasonal import tail
+from panelwright.session import cut_lineage
 from panelwright.spec import SeriesSpec
 
 # Forest parameters and the search grid (depth 30 is Spark's limit).
@@ -68,29 +68,51 @@ def label(params: Mapping) -> str:
     return ",".join(f"{k}={v}" for k, v in sorted(params.items()))
 
 
+def growing_forests(grid: Sequence[Mapping]) -> list[tuple[dict, list[int]]]:
+    """The grid by everything but the number of trees: (other parameters, numbers of trees in ascending order)."""
+    grown: dict = {}
+    for params in grid:
+        rest = {k: v for k, v in params.items() if k != "numTrees"}
+        grown.setdefault(label(rest), (rest, set()))[1].add(params.get("numTrees", FOREST["numTrees"]))
+    return [(rest, sorted(sizes)) for rest, sizes in grown.values()]
+
+
+def prefix_errors(train: DataFrame, test: DataFrame, features: Sequence[str], target: str, sizes: Sequence[int], **params) -> list[float]:
+    """The mean absolute error of a forest at each of the growing ``sizes``.
+
+    The trees of a forest do not depend on each other, so the first trees of a large one are a smaller one: only the trees
+    that are new at each size are fitted, and one pass over the test rows scores all sizes.
+    """
+    scored, total, errors = test, F.lit(0.0), []
+    for i, (before, size) in enumerate(zip([0, *sizes], sizes)):
+        seed = params.get("seed", FOREST["seed"]) + i
+        model = fit_forest(train, features, target, **{**params, "numTrees": size - before, "seed": seed})
+        scored = model.transform(scored).withColumnRenamed("prediction", f"_p{i}").drop("features")
+        total = total + (size - before) * F.col(f"_p{i}")
+        errors.append(F.avg(F.abs(total / size - F.col(target))).alias(f"_e{i}"))
+    return [float(x) if x is not None else float("nan") for x in scored.agg(*errors).first()]
+
+
 def cross_validate(
     df: DataFrame, spec: SeriesSpec, features: Sequence[str], target: str, grid: Sequence[Mapping], folds: int = 5,
     parallelism: int = 4,
 ) -> DataFrame:
     """(model, fold, mae) of every parameter set on expanding windows.
 
-    Fits run as concurrent Spark jobs; the driver holds one number per fit.
+    The folds are written once. Sets that differ in the number of trees share their trees. Fits run as concurrent Spark
+    jobs; the driver holds one number per set and fold.
     """
     spark = df.sparkSession
-    split = expanding_folds(df, spec, folds).select("fold", "part", target, *features).persist()
-    mae = RegressionEvaluator(labelCol=target, metricName="mae")
+    split = cut_lineage(expanding_folds(df, spec, folds).select("fold", "part", target, *features), "forest-folds")
 
     def run(job):
-        fold, params = job
-        part = split.where(F.col("fold") == fold)
-        model = fit_forest(part.where(F.col("part") == "train"), features, target, **params)
-        return label(params), fold, float(mae.evaluate(model.transform(part.where(F.col("part") == "test"))))
-
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            rows = list(pool.map(run, product(range(1, folds + 1), grid)))
-    finally:
-        split.unpersist()
+        fold, (rest, sizes) = job
+        train, test = (split.where((F.col("fold") == fold) & (F.col("part") == p)) for p in ("train", "test"))
+        errors = prefix_errors(train, test, features, target, sizes, **rest)
+        return [(label({**rest, "numTrees": n}), fold, e) for n, e in zip(sizes, errors, strict=True)]
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        rows = [r for part in pool.map(run, product(range(1, folds + 1), growing_forests(grid))) for r in part]
     return spark.createDataFrame(rows, "model string, fold int, mae double")
 
 
@@ -111,7 +133,7 @@ def tune(
     """(model, parameters, table): the set with the smallest mean error, fitted again on all rows of ``df``."""
     table = cv_table(cross_validate(df, spec, features, target, grid, folds))
     best = table.orderBy("cv_mae_mean", "model").first()["model"]  # one row per parameter set
-    params = next(dict(g) for g in grid if label(g) == best)
+    params = next(dict(g) for g in grid if label({"numTrees": FOREST["numTrees"], **g}) == best)
     return fit_forest(df, features, target, **params), params, table
 
 
@@ -138,3 +160,30 @@ def tree_interval(model: PipelineModel, scored: DataFrame, level: float = 0.95)
 def with_dates(scored: DataFrame, calendar: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Moves scored steps onto the future periods of the calendar."""
     return join_on(scored, calendar, [*spec.keys, "step"])
+
+
+def recursive_forecast(
+    model: PipelineModel, df: DataFrame, calendar: DataFrame, spec: SeriesSpec, lags: Sequence[int],
+    parts: Callable[[DataFrame, str], DataFrame], lag_name: str = "{value}_lag_{k}", horizon: int = 12,
+) -> DataFrame:
+    """(keys, time, step, prediction): every step's prediction is the newest value of the next one.
+
+    The state is one row per key: its last values, newest first. A step reads the lags from them, takes the date of its
+    step from ``calendar`` (keys, step, time), adds the other features by ``parts``, scores, and puts the prediction in
+    front. States are written in between, so a step scores each key once. Keys with fewer values than the longest lag
+    have none for the missing ones and are left out, as in training.
+    """
+    (v,), keys, depth = spec.values, list(spec.keys), max(lags)
+    at = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in spec.order]))
+    recent = tail(df.select(*keys, *spec.order, v).where(F.col(v).isNotNull()), spec, depth).withColumn("_at", at)
+    newest = F.transform(F.array_sort(F.collect_list(F.struct("_at", F.col(v).cast("double").alias("_v")))), lambda x: x["_v"])
+    state = recent.groupBy(*keys).agg(newest.alias("_values")).where(F.size("_values") >= depth).withColumn("_made", F.array().cast("array<double>"))
+    state = cut_lineage(state, "forest-state")
+    for step in range(1, horizon + 1):
+        dated = join_on(state, calendar.where(F.col("step") == step).select(*keys, spec.time), keys)
+        lagged = dated.select("*", *[F.get("_values", F.lit(k - 1)).alias(lag_name.format(value=v, k=k)) for k in lags])
+        scored = score(model, parts(lagged, spec.time))
+        pushed = F.concat(F.array("prediction"), F.slice("_values", 1, depth - 1)) if depth > 1 else F.array("prediction")
+        state = cut_lineage(scored.select(*keys, pushed.alias("_values"), F.concat("_made", F.array("prediction")).alias("_made")), "forest-state")
+    made = state.select(*keys, F.posexplode("_made").alias("_i", "prediction")).select(*keys, (F.col("_i") + 1).alias("step"), "prediction")
+    return join_on(made, calendar, [*keys, "step"]).select(*keys, spec.time, "step", "prediction")

@@ -242,23 +242,55 @@ def adf_lagged(spark: SparkSession, sf: str) -> DataFrame:
     return ar.adf(p.ticks(spark, sf), p.TICKS, lags=4)
 
 
+def _sweep_ctes(source: str) -> dict[str, str]:
+    """The unit-root tests of a series and its difference with no and with one lagged difference, in closed form."""
+    return {
+        "u": f"""SELECT k, t, 0 AS d, value AS u FROM {source} UNION ALL
+            SELECT k, t, 1 AS d, value - lag(value) OVER (PARTITION BY k ORDER BY t) AS u FROM {source}""",
+        "r": """SELECT k, d, u - lag(u) OVER w AS y, lag(u) OVER w AS x, lag(u) OVER w - lag(u, 2) OVER w AS z FROM u
+            WINDOW w AS (PARTITION BY k, d ORDER BY t)""",
+        "zero": """SELECT k, d, CAST(regr_count(y, x) AS BIGINT) AS n, regr_slope(y, x)
+              / sqrt((regr_syy(y, x) - regr_slope(y, x) * regr_sxy(y, x)) / (regr_count(y, x) - 2) / regr_sxx(y, x)) AS tau
+            FROM r GROUP BY k, d""",
+        "s": """SELECT k, d, CAST(regr_count(y, x) AS BIGINT) AS n, regr_syy(y, x) AS yy, regr_sxx(y, x) AS xx, regr_sxy(y, x) AS xy,
+              regr_sxx(y, z) AS zz, regr_sxy(y, z) AS zy, regr_sxy(x, z) AS xz
+            FROM r WHERE x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL GROUP BY k, d""",
+        "f": "SELECT *, xx * zz - xz * xz AS det, (zz * xy - xz * zy) / (xx * zz - xz * xz) AS b, (xx * zy - xz * xy) / (xx * zz - xz * xz) AS c FROM s",
+        "o": "SELECT *, yy - b * xy - c * zy AS rss, n * ln((yy - xy * xy / xx) / n) + 4 AS aic0, n * ln((yy - b * xy - c * zy) / n) + 6 AS aic1 FROM f",
+        "tests": """SELECT zero.k, zero.d, 0 AS lags, zero.n, zero.tau, aic0 <= aic1 AS chosen FROM zero JOIN o ON o.k = zero.k AND o.d = zero.d
+            UNION ALL SELECT k, d, 1 AS lags, n, b / sqrt(rss / (n - 3) * zz / det) AS tau, aic1 < aic0 AS chosen FROM o""",
+    }
+
+
+@query(
+    "unit_root_lags",
+    with_ctes(
+        "SELECT k, CAST(d AS INTEGER) AS d, CAST(lags AS INTEGER) AS lags, n, round(tau, 4) + 0.0 AS tau, chosen FROM tests",
+        "panel",
+        **_sweep_ctes("panel"),
+    ),
+)
+def unit_root_lags(spark: SparkSession, sf: str) -> DataFrame:
+    """Every nation's tests with no and one lagged difference, and which one Akaike's criterion takes."""
+    tests = ar.unit_root_sweep(p.nation_panel(spark, sf), p.NATION, "value", max_lags=1)
+    return _text_t(tests.select("k", "d", "lags", "n", "tau", "chosen"), tau=4)
+
+
 @query(
     "differencing_order",
     with_ctes(
-        """SELECT c.k, CAST(CASE WHEN coalesce(a.tau <= a.critical, false) THEN 0 WHEN coalesce(b.tau <= b.critical, false) THEN 1
-             ELSE 2 END AS INTEGER) AS d FROM (SELECT DISTINCT k FROM levels) c LEFT JOIN a USING (k) LEFT JOIN b ON b.k = c.k""",
+        """SELECT k, CAST(coalesce(min(d) FILTER (tau <= -2.86154 - 2.8903 / n - 4.234 / (n * n) - 40.040 / (n * n * n)), 2) AS INTEGER) AS d
+           FROM tests WHERE chosen GROUP BY k""",
         "panel",
         levels="SELECT k, t, sum(value) OVER (PARTITION BY k ORDER BY t ROWS UNBOUNDED PRECEDING) AS value FROM panel",
-        steps="SELECT k, t, value - lag(value) OVER (PARTITION BY k ORDER BY t) AS value FROM levels",
-        a=_adf_sql("levels", "value"),
-        b=_adf_sql("(SELECT * FROM steps WHERE value IS NOT NULL)", "value"),
+        **_sweep_ctes("levels"),
     ),
 )
 def differencing_order(spark: SparkSession, sf: str) -> DataFrame:
-    """Of the running totals of each nation, which grow and must be differenced."""
+    """Of the running totals of each nation, which grow and must be differenced; no or one lagged difference."""
     totals = fill.cumulative(p.nation_panel(spark, sf).select("k", "t", "value"), p.NATION)
     levels = totals.select("k", "t", F.col("value_cumsum").alias("value"))
-    return ar.differencing_order(levels, p.NATION)
+    return ar.differencing_order(levels, p.NATION, max_lags=1)
 
 
 _LB_SUMS = ", ".join(f"sum(r * lag{k}) / nullif(sum(r * r), 0) AS rho{k}" for k in range(1, 11))
@@ -374,12 +406,17 @@ def forest_interval(spark: SparkSession, sf: str) -> DataFrame:
     return dated.select("k", "t", "step", "prediction", "lower", "upper", "level")
 
 
-@query("forest_cross_validation")
+_SETS = " UNION ALL ".join(f"SELECT '{trees.label(g)}' AS model" for g in trees.parameter_grid(**trees.GRID))
+
+
+@query("forest_cross_validation", f"SELECT model, CAST(5 AS BIGINT) AS cv_folds, true AS within FROM ({_SETS})")
 def forest_cross_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """Every parameter set has five scores, and a mean between the least and the largest of them."""
     df, names = _learning_table(spark, sf)
-    grid = trees.parameter_grid(numTrees=(5, 10), minInstancesPerNode=(2, 4))
-    scores = trees.cross_validate(df.drop("part"), p.NATION, names, "value", grid)
-    return trees.cv_table(scores)
+    scores = cut_lineage(trees.cross_validate(df.drop("part"), p.NATION, names, "value", trees.parameter_grid(**trees.GRID)), "cv")
+    ends = scores.groupBy("model").agg(F.min("mae").alias("lo"), F.max("mae").alias("hi"))
+    within = F.col("cv_mae_mean").between(F.col("lo"), F.col("hi")) & (F.col("cv_mae_std") <= F.col("hi") - F.col("lo")) & (F.col("lo") > 0)
+    return trees.cv_table(scores).join(ends, "model").select("model", "cv_folds", within.alias("within"))
 
 
 @query("forest_grid_search")
@@ -387,7 +424,7 @@ def forest_grid_search(spark: SparkSession, sf: str) -> DataFrame:
     """Test scores of the parameter set that did best on expanding windows of the training rows."""
     df, names = _learning_table(spark, sf)
     train = df.where("part = 'train'").drop("part")
-    model, params, _ = trees.tune(train, p.NATION, names, "value", trees.parameter_grid(numTrees=(10,), maxDepth=(3, 6)))
+    model, params, _ = trees.tune(train, p.NATION, names, "value", trees.parameter_grid(**trees.GRID))
     scored = trees.score(model, df.where("part = 'test'")).withColumn("model", F.lit(trees.label(params)))
     return scoring.forecast_metrics(scored, ["k", "model"])
 
@@ -438,6 +475,25 @@ def forest_interval_order(spark: SparkSession, sf: str) -> DataFrame:
     return _held(forest_interval(spark, sf), (F.col("lower") <= F.col("prediction")) & (F.col("prediction") <= F.col("upper")) & (F.col("lower") < F.col("upper")))
 
 
+def _calendar_features(df: DataFrame, t: str) -> DataFrame:
+    return df.transform(fe.calendar_parts, t).transform(fe.cyclical, t).transform(fe.season_flags, t)
+
+
+@query("forest_recursive", with_ctes(_AHEAD, "panel"))
+def forest_recursive(spark: SparkSession, sf: str) -> DataFrame:
+    """Twelve months ahead, each prediction a lag of the next; the first one is the forecast one month ahead."""
+    model, _, _ = _forest(spark, sf)
+    panel = cut_lineage(p.nation_panel(spark, sf).select("k", "t", "value"), "panel")
+    calendar = cut_lineage(future_calendar(panel, p.NATION), "calendar")
+    ahead = trees.recursive_forecast(model, panel, calendar, p.NATION, fe.LAGS, _calendar_features)
+    first = calendar.where("step = 1").select("k", "t", F.lit(None).cast("double").alias("value"), "step")
+    rows = fe.lags(panel.withColumn("step", F.lit(0)).unionByName(first), p.NATION).where("step = 1")
+    once = trees.score(model, _calendar_features(rows.drop("value"), "t")).select("k", "step", F.col("prediction").alias("_once"))
+    x, once_x = F.col("prediction"), F.col("_once")
+    both = ahead.join(once, ["k", "step"], "left")
+    return _held(both, (x > 0) & (F.abs(x) < float("inf")) & ((F.col("step") > 1) | F.coalesce(x == once_x, F.lit(False))))
+
+
 @query("arima_forecast_order", with_ctes(_AHEAD, "panel"))
 def arima_forecast_order(spark: SparkSession, sf: str) -> DataFrame:
     """Every nation has a model; its intervals hold their prediction and never get narrower."""

@@ -85,13 +85,41 @@ def correlation_matrix(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "correlation_by_key",
     with_ctes(
-        "SELECT k, 'monthly_rate' AS a, 'annual_rate' AS b, round(corr(monthly_rate, annual_rate), 6) + 0.0 AS r "
-        "FROM rates GROUP BY k",
+        " UNION ALL ".join(
+            f"SELECT k, '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) + 0.0 AS r FROM rates GROUP BY k"
+            for a, b in (("value", "monthly_rate"), ("value", "annual_rate"), ("monthly_rate", "annual_rate"))
+        ),
         "rates",
     ),
 )
 def correlation_by_key(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(profile.correlations(p.rate_panel(spark, sf), ["monthly_rate", "annual_rate"], ["k"]), r=6)
+    return _rounded(profile.correlations(p.rate_panel(spark, sf), ["value", "monthly_rate", "annual_rate"], ["k"]), r=6)
+
+
+# Three kinds of keys whose values lie around 0, 1e7 and 1e9, three columns of related noise.
+_OFFSETS = """SELECT l_linenumber % 3 AS k, (CASE l_linenumber % 3 WHEN 0 THEN 0.0 WHEN 1 THEN 1e7 ELSE 1e9 END) + l_quantity AS a,
+    (CASE l_linenumber % 3 WHEN 0 THEN 0.0 WHEN 1 THEN 1e7 ELSE 1e9 END) + l_quantity + 0.5 * (l_partkey % 41) AS b,
+    CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE (CASE l_linenumber % 3 WHEN 0 THEN 0.0 WHEN 1 THEN 1e7 ELSE 1e9 END) - 2.0 * l_quantity + (l_suppkey % 53) END AS c
+    FROM lineitem"""
+
+
+@query(
+    "correlation_offsets",
+    with_ctes(
+        " UNION ALL ".join(f"SELECT k, '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) + 0.0 AS r FROM shifted GROUP BY k" for a, b in ("ab", "ac", "bc")),
+        shifted=_OFFSETS.replace("1e7", "CAST(1e7 AS DOUBLE)").replace("1e9", "CAST(1e9 AS DOUBLE)"),
+    ),
+)
+def correlation_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Per key, in one table with keys far from each other; by the way for few and the way for many columns, which agree."""
+    p.table(spark, sf, "lineitem").createOrReplaceTempView("_lineitem_offsets")
+    shifted = spark.sql(_OFFSETS.replace("FROM lineitem", "FROM _lineitem_offsets").replace("1e7", "1e7D").replace("1e9", "1e9D").replace("0.0", "0.0D"))
+    few = profile.correlations(shifted, ["a", "b", "c"], ["k"])
+    more = [F.col(c).alias(f"{c}{i}") for i in range(3) for c in ("a", "b", "c")]
+    many = profile.correlations(shifted.select("k", *more), [f"{c}{i}" for i in range(3) for c in ("a", "b", "c")], ["k"])
+    many = many.where(F.col("a").endswith("0") & F.col("b").endswith("0")).select("k", F.substring("a", 1, 1).alias("a"), F.substring("b", 1, 1).alias("b"), F.col("r").alias("_r"))
+    both = few.join(many, ["k", "a", "b"])
+    return _rounded(both.select("k", "a", "b", F.when(F.abs(F.col("r") - F.col("_r")) < 1e-9, F.col("r")).alias("r")), r=6)
 
 
 @query(

@@ -72,8 +72,9 @@ def test_differencing_and_its_forecast(spark):
     assert ahead[-1]["prediction"] == pytest.approx(3.0 * 309, abs=6)
 
 
-def test_short_series_have_no_model(spark):
-    assert ar.arima_fit(simulated(spark, 0.5, 0.0, n=12, keys=2), DAILY)[0].count() == 0
+def test_short_series_have_a_small_model(spark):
+    models = ar.arima_fit(simulated(spark, 0.5, 0.0, n=12, keys=2), DAILY)[0].collect()
+    assert len(models) == 2 and all(r["p"] <= 1 and r["q"] == 0 and r["n"] <= 12 for r in models)
 
 
 def test_adf_forms_agree(spark):
@@ -83,6 +84,36 @@ def test_adf_forms_agree(spark):
     assert a == pytest.approx(b, rel=1e-6)
 
 
+def test_unit_root_sweep(spark):
+    """Each number of lags gives the single test's value; the criterion sees the second-order term."""
+    df = simulated(spark, 0.5, 0.0, n=300, keys=3)
+    sweep = ar.unit_root_sweep(df, DAILY, max_lags=3, max_d=1)
+    for lags in range(4):
+        got = {r["k"]: (r["tau"], r["n"]) for r in sweep.where(F.col("lags") == lags).collect()}
+        want = {r["k"]: (r["tau"], r["n"]) for r in ar.adf(df, DAILY, lags).collect()}
+        assert {k: n for k, (_, n) in got.items()} == {k: n for k, (_, n) in want.items()}
+        assert {k: t for k, (t, _) in got.items()} == pytest.approx({k: t for k, (t, _) in want.items()}, rel=1e-5)
+    assert sweep.where("chosen").count() == 3
+    rng, y = np.random.default_rng(3), [0.0, 0.0]
+    for _ in range(800):
+        y.append(y[-1] + 0.6 * (y[-1] - y[-2]) + rng.normal())
+    walk = spark.createDataFrame([(1, date(2000, 1, 1) + timedelta(i), v) for i, v in enumerate(y)], "k long, t date, value double")
+    chosen = {r["d"]: r for r in ar.unit_root_sweep(walk, DAILY).where("chosen").collect()}
+    assert chosen[0]["lags"] >= 1 and chosen[0]["tau"] > -2.9 and chosen[1]["tau"] < -5
+    assert ar.differencing_order(walk, DAILY).first()["d"] == 1
+
+
+def test_unit_root_sweep_on_odd_series(spark):
+    """Gaps, a constant, a single row, only NULLs: a result each, and the widest difference where no test is possible."""
+    day = lambda i: date(2000, 1, 1) + timedelta(i)
+    rng = np.random.default_rng(7)
+    rows = [("gaps", day(i), None if i % 11 == 0 else float(rng.normal())) for i in range(200)]
+    rows += [("flat", day(i), 2.0) for i in range(50)] + [("one", day(0), 1.0)] + [("none", day(i), None) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, t date, value double")
+    assert {r["k"]: r["d"] for r in ar.differencing_order(df, DAILY).collect()} == {"gaps": 0, "flat": 2, "one": 2, "none": 2}
+    assert ar.differencing_order(df.where("false"), DAILY).count() == 0
+
+
 def test_unstable_polynomials_are_refused():
     assert ar._stable(np.array([[0.5, 0.2], [1.2, 0.1]])).tolist() == [True, False]
 
@@ -118,14 +149,106 @@ def test_selection(spark):
     assert mi["a"] > 1 and mi["c"] < 0.05
 
 
-def test_wide_correlations_agree(spark):
-    from panelwright.operators.profile import correlations, correlations_wide
+def test_forests_grow(spark):
+    """Sets that differ in the number of trees share their trees; the first size is the forest fitted alone."""
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"a": rng.random(300), "b": rng.random(300)}).assign(value=lambda d: 10 * d.a + d.b)
+    pdf["k"], pdf["t"] = 1, [date(2000, 1, 1) + timedelta(i) for i in range(300)]
+    df = spark.createDataFrame(pdf)
+    grid = trees.parameter_grid(numTrees=(4, 8), maxDepth=(2, 5))
+    assert [(r["maxDepth"], n) for r, n in trees.growing_forests(grid)] == [(2, [4, 8]), (5, [4, 8])]
+    train, test = df.where("a < 0.7"), df.where("a >= 0.7")
+    errors = trees.prefix_errors(train, test, ["a", "b"], "value", [4, 8], maxDepth=5)
+    alone = trees.fit_forest(train, ["a", "b"], "value", numTrees=4, maxDepth=5).transform(test)
+    more = trees.fit_forest(train, ["a", "b"], "value", numTrees=4, maxDepth=5, seed=43).transform(test.drop("features"))
+    assert errors[0] == pytest.approx(alone.agg(F.avg(F.abs(F.col("prediction") - F.col("value")))).first()[0])
+    both = alone.select("t", "value", "prediction").join(more.select("t", F.col("prediction").alias("_p")), "t")
+    assert errors[1] == pytest.approx(both.agg(F.avg(F.abs((F.col("prediction") + F.col("_p")) / 2 - F.col("value")))).first()[0])
+    model, params, table = trees.tune(df, DAILY, ["a", "b"], "value", grid, 3)
+    assert table.count() == 4 and table.where("cv_folds <> 3").count() == 0
+    assert model.stages[-1].getNumTrees == params["numTrees"] and params in grid
+
+
+def test_recursive_forest(spark):
+    """Each step reads the predictions before it."""
+    day = lambda i: date(2000, 1, 1) + timedelta(i)
+    df = spark.createDataFrame([(k, day(i), float(10 * k + (i % 4))) for k in (1, 2) for i in range(60)], "k long, t date, value double")
+    df = df.unionByName(spark.createDataFrame([(9, day(0), 1.0)], df.schema))
+    from panelwright.operators import features as fe
+
+    names = [f"value_lag_{k}" for k in (1, 2, 4)] + ["odd"]
+    parts = lambda d, t: d.withColumn("odd", (F.dayofmonth(t) % 2).cast("double"))
+    model = trees.fit_forest(parts(fe.lags(df, DAILY, (1, 2, 4)), "t").dropna(), names, "value", numTrees=20, maxDepth=6)
+    calendar = future_calendar(df, DAILY, 6)
+    got = {(r["k"], r["step"]): r for r in trees.recursive_forecast(model, df, calendar, DAILY, (1, 2, 4), parts, horizon=6).collect()}
+    assert set(got) == {(k, s) for k in (1, 2) for s in range(1, 7)}
+    for k in (1, 2):
+        values = [float(10 * k + (i % 4)) for i in range(60)]
+        for s in range(1, 7):
+            t = got[k, s]["t"]
+            row = spark.createDataFrame([(*[values[-j] for j in (1, 2, 4)], float(t.day % 2))], ", ".join(f"{n} double" for n in names))
+            assert t == day(59 + s) and model.transform(row).first()["prediction"] == got[k, s]["prediction"]
+            values.append(got[k, s]["prediction"])
+
+
+def test_correlations_keep_their_digits(spark):
+    """Keys around 0, 1e7 and 1e9, short keys, NULLs, constants; few and many columns."""
+    from panelwright.operators import profile
 
     rng = np.random.default_rng(2)
-    df = spark.createDataFrame(pd.DataFrame(rng.normal(size=(300, 3)), columns=list("abc")))
-    a = {(r["a"], r["b"]): r["r"] for r in correlations(df, list("abc")).collect()}
-    b = {(r["a"], r["b"]): r["r"] for r in correlations_wide(df, list("abc")).collect()}
-    assert a == pytest.approx(b)
+    parts = []
+    for k, offset in (("a", 0.0), ("b", 1e7), ("c", 1e9), (None, -1e9)):
+        x = rng.normal(size=1000)
+        pdf = pd.DataFrame({"x": x, "y": 0.8 * x + 0.6 * rng.normal(size=1000), "z": rng.normal(size=1000), "flat": np.zeros(1000)}) + offset
+        pdf.loc[::3, "z"] = np.nan
+        parts.append(pdf.assign(k=k))
+    parts.append(pd.DataFrame({"x": [1.0, 2.0], "y": [3.0, 1.0], "z": [np.nan, 1.0], "flat": [1.0, 1.0], "k": "short"}))
+    pdf = pd.concat(parts)
+    df = spark.createDataFrame(pdf[["k", "x", "y", "z", "flat"]], "k string, x double, y double, z double, flat double").repartition(5)
+    want = {}
+    for k, own in pdf.groupby("k", dropna=False):
+        for i, a in enumerate(["x", "y", "z", "flat"]):
+            for b in ["x", "y", "z", "flat"][i + 1 :]:
+                both = own[[a, b]].dropna()
+                u, v = (both[c] - both[c].mean() for c in (a, b))
+                s = np.sqrt((u * u).sum() * (v * v).sum())
+                want[None if k != k else k, a, b] = None if s == 0 or len(both) < 2 else float((u * v).sum() / s)
+    for narrow in (6, 1):
+        profile.NARROW_COLUMNS, before = narrow, profile.NARROW_COLUMNS
+        try:
+            got = {(r["k"], r["a"], r["b"]): r["r"] for r in profile.correlations(df, ["x", "y", "z", "flat"], ["k"]).collect()}
+            whole = {(r["a"], r["b"]): r["r"] for r in profile.correlations(df.where("k = 'c'"), ["x", "y", "z", "flat"]).collect()}
+        finally:
+            profile.NARROW_COLUMNS = before
+        assert set(got) == set(want)
+        for key, r in want.items():
+            assert got[key] is None if r is None else got[key] == pytest.approx(r, abs=1e-9), key
+        assert whole["x", "y"] == pytest.approx(want["c", "x", "y"], abs=1e-9)
+
+
+@pytest.mark.parametrize(("accuracy", "candidates"), [(10_000, 20_000), (100, 20_000), (100, 30), (50, 3)])
+def test_quantiles(spark, accuracy, candidates):
+    """Ties, NULLs, few values, heavy tails; also where ranges are cut again and again."""
+    from panelwright.operators.quantiles import column_name, quantiles
+
+    rng = np.random.default_rng(9)
+    pdf = pd.concat([
+        pd.DataFrame({"k": "tails", "x": np.exp(rng.normal(size=4000) * 8), "y": rng.integers(0, 3, 4000).astype(float)}),
+        pd.DataFrame({"k": "ties", "x": np.repeat(rng.normal(size=50), 60), "y": np.where(rng.random(3000) < 0.5, np.nan, rng.normal(size=3000))}),
+        pd.DataFrame({"k": None, "x": [1.0, 2.0, 5.0], "y": [np.nan] * 3}),
+    ])
+    df = spark.createDataFrame(pdf, "k string, x double, y double").replace(float("nan"), None).repartition(6)
+    probs = (0.0, 0.25, 0.5, 0.9, 0.999, 1.0)
+    got = {r["k"]: r for r in quantiles(df, ["k"], ["x", "y"], probs, accuracy=accuracy, candidates=candidates).collect()}
+    for k, own in pdf.groupby("k", dropna=False):
+        for c in ("x", "y"):
+            known = own[c].dropna()
+            for i, q in enumerate(probs):
+                value = got[None if k != k else k][column_name(c, i)]
+                assert value is None if known.empty else value == pytest.approx(np.quantile(known, q), rel=1e-12), (k, c, q)
+    one = quantiles(df, [], ["x"], [0.5], accuracy=accuracy, candidates=candidates).first()
+    assert one[0] == pytest.approx(np.quantile(pdf["x"], 0.5), rel=1e-12)
+    assert quantiles(df.where("false"), [], ["x"], [0.5]).first()[0] is None and quantiles(df.where("false"), ["k"], ["x"], [0.5]).count() == 0
 
 
 def test_best_model_ignores_failures_and_breaks_ties_by_name(spark):
