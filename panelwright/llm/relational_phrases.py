@@ -6,14 +6,15 @@ occurs ``least`` times or more in its language. From one length to the next:
 
 * *merge-join*: the relation, sorted by piece and position, is joined with itself at adjacent positions, so both the
   first and the last k words of a new phrase are frequent;
-* *group-count*: Spark adds up the counts of (first group, last group) over all chunks;
-* *semi-join*: only the occurrences of frequent groups are written as the next relation.
+* *group-count*: the counts of (first group, last group) are added up over all chunks;
+* *semi-join*: only the occurrences of frequent groups are written as the next relation. The sums go back to the chunks in
+  the same exchange, by a window over each group's rows, so that counting and thinning shuffle the groups once.
 
 The relation is stored by chunks: the places of about ``CHUNK_WORDS`` words of one language as two sorted arrays, in which
 places of one piece are consecutive numbers and a new piece leaves a gap; both are written compressed, the places as their
 differences. A piece is never cut. Spark joins, shuffles and
 counts one row per chunk and group, so a phrase that is everywhere costs a row a chunk, not a row an occurrence. Groups are
-named by the frequent table's own numbers, not by hashes: two phrases are never confused.
+named by a number in the first chunk that has them, not by hashes: two phrases are never confused.
 
 A phrase of k words has k - 1 cuts; its score is that of the lowest one, floor(1000 * a * n / (l * r)) in exact decimals.
 A phrase goes if a phrase one word longer that contains it occurs ``share`` per cent as often: any still longer one that
@@ -112,7 +113,7 @@ def chunks(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
             own = open_.pop(lang)
             made += 1
             codes = np.concatenate(own.parts)
-            row = [(task << 24) + made], [lang], [int((codes > 0).sum())], [pack(codes)], [b"\n".join(own.codes)]
+            row = [(task << 16) + made], [lang], [int((codes > 0).sum())], [pack(codes)], [b"\n".join(own.codes)]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
@@ -188,8 +189,8 @@ def merge_join(places: np.ndarray, groups: np.ndarray):
 
 
 def pair_counts(relation: DataFrame) -> DataFrame:
-    """(chunk, u, v, n): how often group v follows group u in a chunk, one place later."""
-    schema = pa.schema([("chunk", pa.int64()), ("u", pa.int64()), ("v", pa.int64()), ("n", pa.int64())])
+    """(chunk, u, v, code, n): how often group v follows group u in a chunk, one place later; ``code`` numbers its pairs."""
+    schema = pa.schema([("chunk", pa.int64()), ("u", pa.int64()), ("v", pa.int64()), ("code", pa.int32()), ("n", pa.int64())])
 
     def count(batches):
         for batch in batches:
@@ -197,21 +198,22 @@ def pair_counts(relation: DataFrame) -> DataFrame:
                 _, u, v, which = merge_join(*_occurrences(places, groups))
                 if len(u):
                     n = np.bincount(which, minlength=len(u)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.repeat(chunk, len(u)), pa.array(u), pa.array(v), pa.array(n)], schema=schema)
+                    codes = pa.array(np.arange(len(u)), pa.int32())
+                    yield pa.RecordBatch.from_arrays([pa.repeat(chunk, len(u)), pa.array(u), pa.array(v), codes, pa.array(n)], schema=schema)
 
-    return relation.select("chunk", "places", "groups").mapInArrow(count, "chunk long, u long, v long, n long")
+    return relation.select("chunk", "places", "groups").mapInArrow(count, "chunk long, u long, v long, code int, n long")
 
 
 def longer(relation: DataFrame, frequent: DataFrame) -> DataFrame:
-    """The relation of phrases one word longer; ``frequent``: (chunk, u, v, id)."""
+    """The relation of phrases one word longer; ``frequent``: (chunk, code, id)."""
 
     def keep(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
             return _relation(0, np.zeros(0), np.zeros(0))
         places, groups = _occurrences(left.column("places")[0], left.column("groups")[0])
-        at, u, v, which = merge_join(places, groups)
-        known = {(a, b): c for a, b, c in zip(*(right.column(x).to_pylist() for x in ("u", "v", "id")), strict=True)}
-        name = np.fromiter((known.get(p, -1) for p in zip(u.tolist(), v.tolist(), strict=True)), dtype=np.int64, count=len(u))
+        at, u, _, which = merge_join(places, groups)
+        name = np.full(len(u), -1, dtype=np.int64)
+        name[right.column("code").to_numpy()] = right.column("id").to_numpy()
         found = name[which]
         stay = found >= 0
         return _relation(left.column("chunk")[0].as_py(), places[at][stay], found[stay])
@@ -220,30 +222,31 @@ def longer(relation: DataFrame, frequent: DataFrame) -> DataFrame:
 
 
 def _frequent(counted: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
-    """Groups that occur often enough, with a number each; written, so the numbers stay."""
-    sums = counted.groupBy(*keys).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-    return cut_lineage(sums.withColumn("id", F.monotonically_increasing_id()), name)
+    """(chunk, keys, code, a, id): the rows of groups that occur often enough; written."""
+    group = Window.partitionBy(*keys)
+    own = F.shiftleft("chunk", 24) + F.col("code")
+    sums = counted.select("chunk", *keys, "code", F.sum("n").over(group).alias("a"), F.min(own).over(group).alias("id"))
+    return cut_lineage(sums.where(F.col("a") >= least), name)
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, chunk_words: int = CHUNK_WORDS) -> tuple[DataFrame, DataFrame]:
     """((lang, k, phrase, a) of all phrases up to ``longest`` words that occur ``least`` times, (lang, n) of all languages)."""
     chunked = cut_lineage(chunks(docs, chunk_words), "phrases-chunks")
     totals = cut_lineage(chunked.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
-    counted = cut_lineage(word_counts(chunked), "phrases-words")
-    found = _frequent(counted, ["lang", "word"], least, "phrases-1")
-    relation = cut_lineage(single_words(chunked, counted.join(found, ["lang", "word"]).select("chunk", "code", "id")), "phrases-relation")
-    phrases = found.select("lang", F.col("word").alias("phrase"), "a", "id")
+    found = _frequent(word_counts(chunked), ["lang", "word"], least, "phrases-1")
+    relation = cut_lineage(single_words(chunked, found.select("chunk", "code", "id")), "phrases-relation")
+    phrases = cut_lineage(found.groupBy("id", "lang", F.col("word").alias("phrase"), "a").agg(F.count(F.lit(1)).alias("_")).drop("_"), "phrases-named")
     out = phrases.select("lang", F.lit(1).alias("k"), "phrase", "a")
     for k in range(2, longest + 1):
-        counted = cut_lineage(pair_counts(relation), "phrases-pairs")
-        found = _frequent(counted, ["u", "v"], least, f"phrases-{k}")
+        found = _frequent(pair_counts(relation), ["u", "v"], least, f"phrases-{k}")
         if found.isEmpty():
             break
         if k < longest:
-            relation = cut_lineage(longer(relation, counted.join(found, ["u", "v"]).select("chunk", "u", "v", "id")), "phrases-relation")
+            relation = cut_lineage(longer(relation, found.select("chunk", "code", "id")), "phrases-relation")
         left = phrases.select(F.col("id").alias("u"), "lang", F.substring_index("phrase", " ", 1).alias("_first"))
         right = phrases.select(F.col("id").alias("v"), F.col("phrase").alias("_rest"))
-        named = found.join(left, "u").join(right, "v").select("lang", F.concat_ws(" ", "_first", "_rest").alias("phrase"), "a", "id")
+        groups = found.groupBy("u", "v", "a", "id").agg(F.count(F.lit(1)).alias("_"))
+        named = groups.join(left, "u").join(right, "v").select("lang", F.concat_ws(" ", "_first", "_rest").alias("phrase"), "a", "id")
         phrases = cut_lineage(named, "phrases-named")
         out = out.unionByName(phrases.select("lang", F.lit(k).alias("k"), "phrase", "a"))
     return out, totals
