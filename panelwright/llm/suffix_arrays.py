@@ -8,7 +8,9 @@ shards are made by content: every window of ``length`` bytes is named after the
 strings in it, its anchor. Equal windows have the same anchor at the same place, so they meet in the same shard. The
 consecutive windows of an anchor form a segment. Only segments matter whose anchor occurs more than once; of equal
 segments (same anchor hash, same 64-bit hash of the bytes) one is looked at, and all windows of the later ones are
-repeated. Where all segments of an anchor are equal, nothing is left to compare.
+repeated. Where all segments of an anchor are equal, nothing is left to compare. Equal segments of the texts that are read
+together are one row from the start, with the first place and a list of the others, so a passage that is in every document
+is a row per some megabytes of text.
 
 *Shards.* The remaining segments of a range of anchors are put together to a text of bounded size. Its suffix array comes
 from Larsson-Sadakane refinement in numpy: suffixes are sorted by their first bytes, then groups of equal ones by the
@@ -44,8 +46,7 @@ LENGTH = 100
 GRAM = 32
 SLICE_BYTES = 2_000_000
 SHARD_SEGMENTS = 12_000
-HOT_SHARE = 1000
-HOT_SAMPLE = 16
+ROWS_PER_TASK = 200_000
 LAST = (1 << 63) - 1
 KEY = ["d", "th", "tu"]
 
@@ -140,51 +141,87 @@ def _sources(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), *_text_hashes(text))
 
 
+def _folded(h: np.ndarray, seg: np.ndarray, where: list[np.ndarray]) -> tuple[np.ndarray, list[bytes | None]]:
+    """Equal segments as one: (index of the first place of each, packed places of its others or None)."""
+    order = np.lexsort((*where[::-1], seg, h))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (h[order[1:]] != h[order[:-1]]) | (seg[order[1:]] != seg[order[:-1]])
+    first = np.flatnonzero(new)
+    ends = np.append(first[1:], len(order))
+    others: list[bytes | None] = [None] * len(first)
+    for i in np.flatnonzero(ends - first > 1).tolist():
+        rows = order[first[i] + 1 : ends[i]]
+        others[i] = np.stack([w[rows] for w in where], axis=1).tobytes()
+    return order[first], others
+
+
 def all_segments(sources: DataFrame, length: int, gram: int) -> DataFrame:
-    """(h, seg, d, th, tu, place) of every segment; ``place`` holds its start, its anchor's place and its number of windows."""
-    schema = pa.schema([("h", pa.int64()), ("seg", pa.int64()), ("d", pa.int64()), ("th", pa.int64()), ("tu", pa.int64()), ("place", pa.int64())])
+    """(h, seg, d, th, tu, place, others) of the different segments of some texts at a time.
+
+    ``place`` holds the start of the first one, its anchor's place and its number of windows; ``others`` (d, th, tu, place)
+    of the rest, packed.
+    """
+    names = ["h", "seg", *KEY, "place"]
+    schema = pa.schema([*[(n, pa.int64()) for n in names], ("others", pa.binary())])
 
     def find(batches):
         for batch in batches:
             texts = [t.as_py().encode() for t in batch.column(0)]
             d, th, tu = (c.to_numpy() for c in batch.columns[1:])
             for row, start, count, anchor, h, seg in _segments_of(texts, length, gram):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(seg.view(np.int64)), pa.array(d[row]), pa.array(th[row]), pa.array(tu[row]), pa.array(start << 16 | anchor << 8 | count)], schema=schema
-                )
+                where = [d[row], th[row], tu[row], start << 16 | anchor << 8 | count]
+                own, others = _folded(h, seg, where)
+                columns = [h[own].view(np.int64), seg[own].view(np.int64), *[w[own] for w in where]]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(others, pa.binary())], schema=schema)
+
+    return sources.select("text", *KEY).mapInArrow(find, "h long, seg long, d long, th long, tu long, place long, others binary")
+
+
+def _unfolded(rows: DataFrame) -> DataFrame:
+    """(d, th, tu, place) of all the packed places."""
+
+    def unpack(batches):
+        for batch in batches:
+            for at in range(0, len(batch), 500):
+                packed = b"".join(x for x in batch.column(0).slice(at, 500).to_pylist() if x)
+                places = np.frombuffer(packed, dtype=np.int64).reshape(-1, 4)
+                yield pa.RecordBatch.from_arrays([pa.array(places[:, i].copy()) for i in range(4)], names=[*KEY, "place"])
 
-    return sources.select("text", *KEY).mapInArrow(find, "h long, seg long, d long, th long, tu long, place long")
+    return rows.where("others is not null").select("others").mapInArrow(unpack, "d long, th long, tu long, place long")
 
 
 def _repeating(found: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of segments whose anchor repeats: later ones that equal an earlier one (d, th, tu, place), and the first of each kind
     where there are several kinds (h, seg, d, th, tu, place, kinds).
 
-    The rows of a rare anchor are compared in one pass. Those of frequent ones (``hot``, fewer than a thousand or so) are
-    reduced to the first place of each kind by sums; the later places are all rows but these, told apart by grouping on
-    the whole row, so that no task holds all rows of such an anchor.
+    The rows of a rare anchor are compared in one pass. Those of frequent ones (``hot``) are reduced to the first place of
+    each kind by sums; the later places are all rows but these, told apart by grouping on the whole row, so that no task
+    holds all rows of such an anchor.
     """
     place = F.struct(*KEY, "place")
-    rare = found.join(F.broadcast(hot), "h", "left_anti").repartition("h")  # one exchange for all windows
+    size = 1 + F.coalesce(F.length("others") / 32, F.lit(0)).cast("long")
+    rare = found if hot is None else found.join(F.broadcast(hot), "h", "left_anti")
+    rare = rare.withColumn("_m", size).repartition("h")  # one exchange for all windows
     rare = rare.withColumns(
         {
             "first": F.min(place).over(Window.partitionBy("h", "seg")),
             "_kind": F.dense_rank().over(Window.partitionBy("h").orderBy("seg")),
-            "_n": F.count(F.lit(1)).over(Window.partitionBy("h")),
+            "_n": F.sum("_m").over(Window.partitionBy("h")),
         }
     )
-    rare = rare.withColumn("kinds", F.max("_kind").over(Window.partitionBy("h"))).where("_n > 1").drop("_kind", "_n")
+    rare = rare.withColumn("kinds", F.max("_kind").over(Window.partitionBy("h"))).where("_n > 1").drop("_kind", "_n", "_m")
     rare = cut_lineage(rare.withColumn("is_first", F.col("first") == place).drop("first"), "suffix-repeating")
-    copies = rare.where("not is_first").select(*KEY, "place")
+    copies = rare.where("not is_first").select(*KEY, "place").unionByName(_unfolded(rare))
     contested = rare.where("is_first and kinds > 1").select("h", "seg", *KEY, "place", "kinds")
-    if hot.isEmpty():
+    if hot is None:
         return copies, contested
     often = cut_lineage(found.join(F.broadcast(hot), "h", "left_semi"), "suffix-often")
     first = cut_lineage(often.groupBy("h", "seg").agg(F.min(place).alias("f")).select("h", "seg", "f.*"), "suffix-first")
-    rows = often.withColumn("is_first", F.lit(0)).unionByName(first.withColumn("is_first", F.lit(1)))
+    rows = often.drop("others").withColumn("is_first", F.lit(0)).unionByName(first.withColumn("is_first", F.lit(1)))
     later = rows.groupBy("h", "seg", *KEY, "place").agg(F.max("is_first").alias("is_first")).where("is_first = 0")
     many = first.groupBy("h").agg(F.count(F.lit(1)).cast("int").alias("kinds")).where("kinds > 1")
-    return copies.unionByName(later.select(*KEY, "place")), contested.unionByName(first.join(many, "h").select(contested.columns))
+    copies = copies.unionByName(later.select(*KEY, "place")).unionByName(_unfolded(often))
+    return copies, contested.unionByName(first.join(many, "h").select(contested.columns))
 
 
 # --- suffix arrays of a shard --------------------------------------------------------------------------------------
@@ -382,16 +419,16 @@ def _merge(length: int):
     return work
 
 
-def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
+def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_segments: int = SHARD_SEGMENTS, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """(d, th, tu, start, n): from ``start`` on, ``n`` consecutive windows that also start earlier. ``d`` is ``doc_id``, the
     largest long for NULL; ``th`` and ``tu`` are hashes of the text."""
     sources = _sources(docs)
-    found = all_segments(sources, length, gram)
-    sample = all_segments(sources.where(F.pmod(F.xxhash64(F.lit(11), *KEY), F.lit(HOT_SAMPLE)) == 0), length, gram)
-    counts = cut_lineage(sample.groupBy("h").agg(F.count(F.lit(1)).alias("n")), "suffix-sample")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    # Which way an anchor goes does not change the result; it is decided on a sample of the documents.
-    hot = cut_lineage(counts.where((F.col("n") * HOT_SHARE > total) & (F.col("n") > HOT_SAMPLE)).select("h"), "suffix-frequent")
+    found = cut_lineage(all_segments(sources, length, gram), "suffix-segments")
+    # Which way an anchor goes does not change the result. Partial counts of all rows, kept by task where they are large,
+    # name the anchors of more rows than a task should hold; there are few of them, whatever the size of the table.
+    counts = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows_per_task).select("h")
+    hot = cut_lineage(counts, "suffix-frequent")
+    hot = None if hot.isEmpty() else hot
     later, contested = _repeating(found, hot)
     copies = later.select(*KEY, F.shiftright("place", 16).alias("start"), F.col("place").bitwiseAND(0xFF).alias("n"))
     contested = contested.withColumn("kinds", F.col("kinds").cast("int"))
