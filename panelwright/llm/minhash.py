@@ -7,12 +7,13 @@ of twice the rows out of ``2 * collection * band_rows`` hash functions, where in
 (1 - (1 - s^band_rows)^collection)^2: with 10 bands of two rows, a pair exactly at 0.8 is missed 7 times in 100 000.
 
 Equal sets are one node from the start, so copies cost nothing. Buckets with the same members count once. Candidates are
-confirmed on their whole texts and joined to components in rounds: first every set against the smallest set it shares a
+confirmed on their whole sets and joined to components in rounds: first every set against the smallest set it shares a
 bucket with, then, in buckets that still hold several components, the members in a few random orders, each against the
-next. At last come all pairs of different components that share a bucket, have sizes that allow the similarity and agree
-in most of 256 further minima; each pair once. A bucket whose members are connected needs no further pairs, and the
-members of its largest component are not compared with each other, so a large group of near copies makes about as many
-pairs as it has members, but for those that come close to many and are linked to few.
+next. At last the members of such buckets are brought together, in blocks of bounded size, with their whole shingle sets.
+There all pairs of different components are looked at that have sizes that allow the similarity and agree in most of 256
+further minima, each pair in one bucket; they are confirmed on the spot until a block's components are known, and a block
+tells only which components it joined, fewer rows than it has members. The members of a bucket's largest component are not
+compared with each other. So no pair of a large group of near copies leaves the task that looks at it.
 
 Documents with fewer words than a shingle have one shingle, their words. Documents without words, also NULL texts, have
 none and are linked with nothing. Repeated rows have the same result. A NULL ``doc_id`` is never the smallest of others;
@@ -41,7 +42,10 @@ SPREAD_ROUNDS = 2
 PARTNERS = 4
 CHUNK_MEMBERS = 1000
 BLOCK_MEMBERS = 2000
+BLOCK_SHINGLES = 1_000_000
+KEYS_PER_TASK = 1_000_000
 SKETCH = 256
+ROWS_AT_ONCE = 1000
 
 
 def shingle_set(text: str, words: int) -> np.ndarray:
@@ -116,7 +120,9 @@ def buckets(sets: DataFrame, collection: int) -> tuple[DataFrame, DataFrame]:
 
     Buckets with equal members are one.
     """
-    keyed = sets.select("sid", F.explode(table_keys(collection)).alias("_k")).select("_k.key", "_k.table", "sid")
+    # Adaptive execution leaves few files of the narrow sets, of which each row becomes many.
+    tasks = max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sets.count() * collection**2 // KEYS_PER_TASK))
+    keyed = sets.select("sid", "bands").repartition(tasks, "sid").select("sid", F.explode(table_keys(collection)).alias("_k")).select("_k.key", "_k.table", "sid")
     shared = cut_lineage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "minhash-shared")
     rows = cut_lineage(keyed.join(shared, "key", "left_semi"), "minhash-shared-rows")
     members = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("sid")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(7), "sid")).alias("x2")]
@@ -179,7 +185,12 @@ class Rounds:
         return fits & (equal >= self.collection // 2)
 
     def merge(self, pairs: DataFrame) -> None:
-        links, labels = confirmed(pairs, self.texts, self.words, self.numerator, self.denominator), self.labels
+        """Joins the components of the candidate pairs that are confirmed."""
+        self.join(confirmed(pairs, self.texts, self.words, self.numerator, self.denominator))
+
+    def join(self, links: DataFrame) -> None:
+        """Joins the components of linked sets."""
+        labels = self.labels
         if labels is not None:
             as_u, as_v = labels.toDF("u", "_u"), labels.toDF("v", "_v")
             links = links.join(as_u, "u", "left").join(as_v, "v", "left").select(F.coalesce("_u", "u").alias("u"), F.coalesce("_v", "v").alias("v"))
@@ -223,39 +234,44 @@ class Rounds:
         pairs whose sketches agree as often as those of a similar pair do but once in 100 000 times. Large buckets are
         compared in blocks of bounded size.
         """
-        most = left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max(F.struct("c", "label")).alias("m"), F.sum("c").alias("all"))
-        blocks = lambda c: F.ceil(c / BLOCK_MEMBERS).cast("int")
-        main = most.select("key", F.col("m.label").alias("main"), blocks(F.col("all") - F.col("m.c")).alias("few"), blocks(F.col("all")).alias("many"))
-        marked = left.drop("size").join(self.info, "sid").join(self.sketches(left), "sid").join(main.join(self.chosen, "key"), "key")
+        left = left.drop("size").join(self.info, "sid")
+        sizes = [F.count(F.lit(1)).alias("c"), F.sum("n").alias("w")]
+        most = left.groupBy("key", "label").agg(*sizes).groupBy("key").agg(F.max(F.struct("c", "label", "w")).alias("m"), F.sum("c").alias("all"), F.sum("w").alias("whole"))
+        blocks = lambda c, w: F.greatest(F.ceil(c / BLOCK_MEMBERS), F.ceil(w / BLOCK_SHINGLES)).cast("int")
+        main = most.select("key", F.col("m.label").alias("main"), blocks(F.col("all") - F.col("m.c"), F.col("whole") - F.col("m.w")).alias("few"), blocks(F.col("all"), F.col("whole")).alias("many"))
+        marked = left.join(self.whole_sets(left), "sid").join(main.join(self.chosen, "key"), "key")
         marked = marked.withColumn("is_main", F.col("label") == F.col("main"))
         deal = lambda c: F.pmod(F.xxhash64("sid"), F.col(c).cast("long")).cast("int")
         every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
         small = marked.where("not is_main").withColumns({"side": F.lit(0), "i": deal("few")}).withColumn("j", every("many"))
         other = marked.withColumns({"side": F.lit(1), "j": deal("many")}).withColumn("i", every("few"))
-        columns = ["key", "i", "j", "side", "sid", "label", "is_main", "n", "bands", "sketch", "tables"]
+        columns = ["key", "i", "j", "side", "sid", "label", "is_main", "n", "bands", "sketch", "own", "tables"]
         both = small.select(columns).unionByName(other.withColumn("tables", F.lit(None).cast("array<int>")).select(columns))
         dealt = both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
-        self.merge(dealt.mapInArrow(self.comparison(), "u long, v long"))
+        self.join(cut_lineage(dealt.mapInArrow(self.comparison(), "u long, v long"), "minhash-joined"))
 
-    def sketches(self, left: DataFrame) -> DataFrame:
-        """(sid, sketch): a byte of each of ``SKETCH`` more minima."""
+    def whole_sets(self, left: DataFrame) -> DataFrame:
+        """(sid, sketch, own): a byte of each of ``SKETCH`` more minima, and the sorted shingle hashes."""
         factors, terms = hash_functions(SKETCH)
         words = self.words
 
         def draw(batches):
             for batch in batches:
-                low = [minima(shingle_set(t.as_py(), words), factors, terms) for t in batch.column(1)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([(x & np.uint64(255)).astype(np.uint8).tobytes() for x in low], pa.binary())], names=["sid", "sketch"])
+                for at in range(0, len(batch), ROWS_AT_ONCE):
+                    part = batch.slice(at, ROWS_AT_ONCE)
+                    own = [shingle_set(t.as_py(), words) for t in part.column(1)]
+                    low = [(minima(x, factors, terms) & np.uint64(255)).astype(np.uint8).tobytes() for x in own]
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(low, pa.binary()), pa.array([x.tobytes() for x in own], pa.binary())], names=["sid", "sketch", "own"])
 
         wanted = self.texts.join(left.select("sid").distinct(), "sid", "left_semi")
-        return cut_lineage(wanted.select("sid", "text").mapInArrow(draw, "sid long, sketch binary"), "minhash-sketches")
+        return cut_lineage(wanted.select("sid", "text").mapInArrow(draw, "sid long, sketch binary, own binary"), "minhash-whole-sets")
 
     def comparison(self):
         """Compares the two sides of each block; a block's rows come one after the other, the smaller side first."""
         least = agreements(self.numerator / self.denominator)
         numerator, denominator, width = self.numerator, self.denominator, self.collection
 
-        def pairs_of(at, end, sides, sid, label, main, n, bands, sketch, tables):
+        def candidates(at, end, sides, sid, label, main, n, bands, sketch, tables):
             cut = at + int(np.searchsorted(sides[at:end], 1))
             left, right = slice(at, cut), slice(cut, end)
             if at == cut or cut == end:
@@ -266,12 +282,34 @@ class Rounds:
             i, j = np.nonzero(open_ & (denominator * np.minimum(a, b) >= numerator * np.maximum(a, b)))
             for start in range(0, len(i), 100_000):
                 x, y = i[start : start + 100_000] + at, j[start : start + 100_000] + cut
-                near = (sketch[x] == sketch[y]).sum(axis=1) >= least
+                agree = (sketch[x] == sketch[y]).sum(axis=1)
+                near = np.flatnonzero(agree >= least)
+                near = near[np.argsort(-agree[near], kind="stable")]  # the surest first: they join most
                 x, y = x[near], y[near]
                 same = bands[x] == bands[y]
                 table = same[:, :width].argmax(axis=1) * width + same[:, width:].argmax(axis=1)  # the first that they share
                 mine = np.fromiter((t in known for t in table.tolist()), dtype=bool, count=len(table))
-                yield sid[x[mine]], sid[y[mine]]
+                yield x[mine].tolist(), y[mine].tolist()
+
+        def joined(found, sid, label, sets):
+            """The pairs that join two components, as far as the block knows; all that are linked lie in one then."""
+            parent: dict[int, int] = {}
+
+            def root(x):
+                while (up := parent.get(x, x)) != x:
+                    parent[x] = parent.get(up, up)
+                    x = parent[x]
+                return x
+
+            for left, right in found:
+                for x, y in zip(left, right, strict=True):
+                    a, b = root(label[x]), root(label[y])
+                    if a != b:
+                        one, two = (np.frombuffer(sets[i].as_buffer(), dtype=np.uint64) for i in (x, y))
+                        shared = len(np.intersect1d(one, two, assume_unique=True))
+                        if denominator * shared >= numerator * (len(one) + len(two) - shared):
+                            parent[a] = b
+                            yield sid[x], sid[y]
 
         def compare(batches):
             held = None
@@ -296,10 +334,12 @@ class Rounds:
             if done:
                 bands = column("bands").flatten().to_numpy().reshape(len(key), -1)
                 sketch = np.frombuffer(b"".join(column("sketch").to_pylist()), dtype=np.uint8).reshape(len(key), -1)
-                found = [p for at, end in zip(begins, begins[1:]) if end <= done for p in pairs_of(at, end, sides, sid, label, main, n, bands, sketch, column("tables"))]
-                u = np.concatenate([np.minimum(x, y) for x, y in found]) if found else np.zeros(0, dtype=np.int64)
-                v = np.concatenate([np.maximum(x, y) for x, y in found]) if found else np.zeros(0, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+                tables, sets, names, of = column("tables"), column("own"), sid.tolist(), label.tolist()
+                pairs = []
+                for at, end in zip(begins, begins[1:]):
+                    if end <= done:
+                        pairs += joined(candidates(at, end, sides, sid, label, main, n, bands, sketch, tables), names, of, sets)
+                yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["u", "v"])
             return table.slice(done)
 
         return compare
