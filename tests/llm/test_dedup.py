@@ -140,26 +140,52 @@ def test_components(spark):
         assert got[node] == min(seen)
 
 
-def test_repeated_sentences(spark, docs):
-    data = sorted(enumerate(fixtures.rows()), key=lambda x: (order(x[1][0]), 0))
-    got = {}
-    for r in sentence_spans.repeated_sentences(docs).collect():
-        got.setdefault(r["doc_id"], []).append((r["n_sentences"], r["n_removed"], r["kept_sha256"]))
-    seen, want = set(), {}
-    for _, (doc_id, text, *_rest) in data:
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute_sentences(data, span, least_words):
+    """{doc_id: [(n_sentences, n_removed, hash of what stays)]}"""
+    seen, out = set(), {}
+    for _, (doc_id, text, *_rest) in sorted(enumerate(data), key=lambda x: (order(x[1][0]), 0)):
         pieces = re.findall(sentence_spans.SENTENCE, text or "")
-        plain = [BARE.sub("", p).translate(str.maketrans(sentence_spans.UPPER, sentence_spans.LOWER)) for p in pieces]
+        plain = [BARE.sub("", p).translate(LOWER) for p in pieces]
+        runs = {(i, min(span, len(pieces))) for i in range(max(len(pieces) - span + 1, 1) if pieces else 0)}
+        for i in range(len(pieces)):
+            words = [len(re.findall(r"[^\x20\x09-\x0D]+", p)) for p in pieces[i : i + span - 1]]
+            runs |= {(i, n) for n in range(1, len(words) + 1) if sum(words[:n]) >= least_words > sum(words[: n - 1])}
         gone = [False] * len(pieces)
-        for i in range(max(len(pieces) - 2, 1) if pieces else 0):
-            run = tuple(plain[i : i + 3])
+        for i, n in sorted(runs):
+            run = tuple(plain[i : i + n])
             if run in seen:
-                gone[i : i + 3] = [True] * len(run)
+                gone[i : i + n] = [True] * n
             seen.add(run)
         kept = "".join(p for p, g in zip(pieces, gone) if not g)
-        want.setdefault(doc_id, []).append((len(pieces), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
-    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
-    cut = sentence_spans.without_repeats(docs)
+        out.setdefault(doc_id, []).append((len(pieces), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def passages(seed=3):
+    """Texts that share one, two or three sentences, long and short, whole or joined to what stands around them."""
+    rng = random.Random(seed)
+    long = [fixtures.words(rng, n).capitalize() + ". " for n in (55, 30, 26, 9, 22, 12, 11, 21, 3, 70)]
+    out = []
+    for i in range(60):
+        at, n = rng.randrange(len(long)), rng.randint(1, 4)
+        out.append((i, fixtures.sentences(rng, rng.randint(0, 3)) + rng.choice([" ", "joined "]) + "".join(long[at : at + n]) + rng.choice(["", "and so on "]) + fixtures.sentences(rng, rng.randint(0, 3)), "en", "a", 1))
+    return out
+
+
+@pytest.mark.parametrize(("span", "least_words"), [(3, 20), (3, 8), (2, 25), (4, 40)])
+def test_repeated_sentences(spark, docs, span, least_words):
+    for data, table in ((fixtures.rows(), docs), (passages(), fixtures.documents(spark, passages()))):
+        want = brute_sentences(data, span, least_words)
+        got = {}
+        for r in sentence_spans.repeated_sentences(table, span, least_words).collect():
+            got.setdefault(r["doc_id"], []).append((r["n_sentences"], r["n_removed"], r["kept_sha256"]))
+        assert {k: sorted(v) for k, v in got.items()} == want
+    cut = sentence_spans.without_repeats(docs, span, least_words)
     assert cut.columns == docs.columns
+    want = brute_sentences(fixtures.rows(), span, least_words)
     assert sorted(hashlib.sha256(r["text"].encode()).hexdigest() for r in cut.collect()) == sorted(x[2] for v in want.values() for x in v)
 
 
@@ -190,10 +216,22 @@ def test_repeated_bytes_with_frequent_anchors_and_periods(spark, monkeypatch):
     shared = fixtures.words(rng, 60)
     data = [(i, fixtures.words(rng, 20) + shared[: rng.randint(90, 300)] + fixtures.words(rng, 30), "en", "a", 1) for i in range(120)]
     data += [(200, "ab" * 400, "en", "a", 1), (201, "x" * 350, "en", "a", 1), (202, "abc" * 100 + "ab" * 90, "en", "a", 1)]
-    monkeypatch.setattr(suffix_arrays, "HOT_SAMPLE", 1)
     monkeypatch.setattr(suffix_arrays, "SLICE_BYTES", 3000)
-    got = Counter(map(tuple, suffix_arrays.repeated_bytes(fixtures.documents(spark, data)).collect()))
-    assert got == brute_bytes(data, 100)
+    for rows_per_task in (10, 200_000):
+        got = Counter(map(tuple, suffix_arrays.repeated_bytes(fixtures.documents(spark, data), rows_per_task=rows_per_task).collect()))
+        assert got == brute_bytes(data, 100)
+
+
+def test_a_passage_in_every_document_is_few_rows(spark):
+    """Equal segments are one row for the texts that are read together, and all of their places are still found."""
+    rng = random.Random(4)
+    shared = fixtures.words(rng, 400)
+    data = [(i, f"{fixtures.words(rng, 20)} {shared} {fixtures.words(rng, 20)}", "en", "a", 1) for i in range(300)]
+    docs = fixtures.documents(spark, data).coalesce(3)
+    found = suffix_arrays.all_segments(suffix_arrays._sources(docs), 100, 32)
+    per_anchor = found.groupBy("h", "seg").count().agg({"count": "max"}).first()[0]
+    assert per_anchor <= 3 and found.selectExpr("sum(1 + coalesce(length(others), 0) / 32)").first()[0] > 5 * found.count()
+    assert Counter(map(tuple, suffix_arrays.repeated_bytes(docs).collect())) == brute_bytes(data, 100)
 
 
 @pytest.mark.parametrize("doc_id", [None, 5])
