@@ -173,7 +173,7 @@ def unit_root_sweep(df: DataFrame, spec: SeriesSpec, column: str | None = None,
 
     All of a key's regressions are linear in the same cross products, which one aggregation yields for every d and every
     number of lags. As usual the number of lags goes up to 12 (n / 100)^(1/4), is chosen by Akaike's criterion over the
-    rows that all have, and each test takes all rows it can.
+    rows that all have (at least half of the rows: series with many gaps get fewer lags), and each test takes all rows it can.
     """
     v, keys = column or spec.values[0], list(spec.keys)
     depth = max_lags + max_d
@@ -194,6 +194,8 @@ def unit_root_sweep(df: DataFrame, spec: SeriesSpec, column: str | None = None,
             for d in range(max_d):
                 length = np.maximum(total - d, 0)
                 most = np.minimum(np.ceil(12 * (length / 100) ** 0.25), np.maximum(length // 2 - 2, 0)).clip(0, max_lags).astype(int)
+                enough = 2 * n[:, d + 1 : d + 2 + max_lags] >= n[:, d + 1 : d + 2]
+                most = np.minimum(most, enough.cumprod(axis=1).sum(axis=1) - 1)
                 one = np.eye(1, size)[0]
                 wide = np.stack([_difference_row(d + 1, 1, size), one, _difference_row(d, 2, size), *[_difference_row(d + 1, 1 + k, size) for k in range(1, max_lags + 1)]])
                 aic = np.full((len(pdf), max_lags + 1), np.inf)

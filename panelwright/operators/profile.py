@@ -17,7 +17,7 @@ from panelwright.spec import SeriesSpec
 CORRELATION_BLOCK = 64
 CORRELATION_HELD = 4_000_000
 MOMENTS = ("_n", "_mx", "_my", "_xx", "_yy", "_xy")
-NARROW_COLUMNS = 6
+NARROW_COLUMNS = 4
 
 
 def _tidy(row: DataFrame, structs: Sequence[Column]) -> DataFrame:
@@ -160,18 +160,23 @@ def _wide_correlations(named: DataFrame, by: Sequence[str], columns: Sequence[st
 def correlations(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by, a, b, r) for every pair of columns, over the rows where both have a value; NULL where r is not defined.
 
-    Both ways keep mergeable centred moments (counts, means, squares and products about the means): Spark's own aggregate
-    for a few columns, products of column blocks for many. NaN counts as no value.
+    Both ways keep mergeable centred moments (counts, means, squares and products about the means): Spark's own aggregates
+    for a few columns, products of column blocks for many. Before, each group's least value is taken off, which is exact for
+    values near each other, so groups far from zero keep all their digits. NaN counts as no value.
     """
     by, k = list(by), len(columns)
     named = df.select(*by, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"_x{i}") for i, c in enumerate(columns)])
+    least = named.groupBy(*by).agg(*[F.min(f"_x{i}").alias(f"_l{i}") for i in range(k)])
+    named = join_on(named, settled(least, "least") if by else least, by).select(*by, *[(F.col(f"_x{i}") - F.col(f"_l{i}")).alias(f"_x{i}") for i in range(k)])
     names = F.array(*[F.lit(c) for c in columns])
     pick = lambda i: F.element_at(names, F.col(i) + 1)
     if k <= NARROW_COLUMNS:
         pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
-        row = named.groupBy(*by).agg(*[F.corr(f"_x{i}", f"_x{j}").alias(f"_r{i}_{j}") for i, j in pairs])
-        cells = [F.struct(F.lit(i).alias("_a"), F.lit(j).alias("_b"), F.nanvl(f"_r{i}_{j}", F.lit(None).cast("double")).alias("r")) for i, j in pairs]
-        found = row.select(*by, F.inline(F.array(*cells)))
+        sums = [f(F.col(f"_x{i}"), F.col(f"_x{j}")).alias(f"_{n}{i}_{j}") for i, j in pairs for n, f in (("xx", F.regr_sxx), ("yy", F.regr_syy), ("xy", F.regr_sxy))]
+        spread = lambda i, j: F.sqrt(f"_xx{i}_{j}") * F.sqrt(f"_yy{i}_{j}")
+        r = lambda i, j: F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.try_divide(F.col(f"_xy{i}_{j}"), spread(i, j))))
+        cells = [F.struct(F.lit(i).alias("_a"), F.lit(j).alias("_b"), F.when(spread(i, j) > 0, r(i, j)).alias("r")) for i, j in pairs]
+        found = named.groupBy(*by).agg(*sums).select(*by, F.inline(F.array(*cells)))
     else:
         found = _wide_correlations(named, by, [f"_x{i}" for i in range(k)])
         if by:  # pairs without a row in common too

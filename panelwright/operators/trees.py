@@ -95,7 +95,7 @@ def prefix_errors(train: DataFrame, test: DataFrame, features: Sequence[str], ta
 
 def cross_validate(
     df: DataFrame, spec: SeriesSpec, features: Sequence[str], target: str, grid: Sequence[Mapping], folds: int = 5,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
     """(model, fold, mae) of every parameter set on expanding windows.
 
@@ -128,10 +128,14 @@ def parameter_grid(**choices) -> list[dict]:
 
 
 def tune(
-    df: DataFrame, spec: SeriesSpec, features: Sequence[str], target: str, grid: Sequence[Mapping], folds: int = 5
-) -> tuple[PipelineModel, dict, DataFrame]:
-    """(model, parameters, table): the set with the smallest mean error, fitted again on all rows of ``df``."""
-    table = cv_table(cross_validate(df, spec, features, target, grid, folds))
+    df: DataFrame, spec: SeriesSpec, features: Sequence[str], target: str, grid: Sequence[Mapping], folds: int = 5,
+    scores: DataFrame | None = None,
+) -> tuple[PipelineModel, dict, DataFrame]:
+    """(model, parameters, table): the set with the smallest mean error, fitted again on all rows of ``df``.
+
+    ``scores``: what ``cross_validate`` found for these rows, if it is known already.
+    """
+    table = cv_table(cross_validate(df, spec, features, target, grid, folds) if scores is None else scores)
     best = table.orderBy("cv_mae_mean", "model").first()["model"]  # one row per parameter set
     params = next(dict(g) for g in grid if label({"numTrees": FOREST["numTrees"], **g}) == best)
     return fit_forest(df, features, target, **params), params, table

@@ -409,11 +409,23 @@ def forest_interval(spark: SparkSession, sf: str) -> DataFrame:
 _SETS = " UNION ALL ".join(f"SELECT '{trees.label(g)}' AS model" for g in trees.parameter_grid(**trees.GRID))
 
 
+_CV_SCORES: dict[tuple[str, str], DataFrame] = {}
+
+
+def _cv_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Five scores of every set of the whole grid on the training rows; minutes of fits, so written once a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _CV_SCORES:
+        df, names = _learning_table(spark, sf)
+        scores = trees.cross_validate(df.where("part = 'train'").drop("part"), p.NATION, names, "value", trees.parameter_grid(**trees.GRID))
+        _CV_SCORES[key] = cut_lineage(scores, "cv")
+    return _CV_SCORES[key]
+
+
 @query("forest_cross_validation", f"SELECT model, CAST(5 AS BIGINT) AS cv_folds, true AS within FROM ({_SETS})")
 def forest_cross_validation(spark: SparkSession, sf: str) -> DataFrame:
     """Every parameter set has five scores, and a mean between the least and the largest of them."""
-    df, names = _learning_table(spark, sf)
-    scores = cut_lineage(trees.cross_validate(df.drop("part"), p.NATION, names, "value", trees.parameter_grid(**trees.GRID)), "cv")
+    scores = _cv_scores(spark, sf)
     ends = scores.groupBy("model").agg(F.min("mae").alias("lo"), F.max("mae").alias("hi"))
     within = F.col("cv_mae_mean").between(F.col("lo"), F.col("hi")) & (F.col("cv_mae_std") <= F.col("hi") - F.col("lo")) & (F.col("lo") > 0)
     return trees.cv_table(scores).join(ends, "model").select("model", "cv_folds", within.alias("within"))
@@ -424,7 +436,7 @@ def forest_grid_search(spark: SparkSession, sf: str) -> DataFrame:
     """Test scores of the parameter set that did best on expanding windows of the training rows."""
     df, names = _learning_table(spark, sf)
     train = df.where("part = 'train'").drop("part")
-    model, params, _ = trees.tune(train, p.NATION, names, "value", trees.parameter_grid(**trees.GRID))
+    model, params, _ = trees.tune(train, p.NATION, names, "value", trees.parameter_grid(**trees.GRID), scores=_cv_scores(spark, sf))
     scored = trees.score(model, df.where("part = 'test'")).withColumn("model", F.lit(trees.label(params)))
     return scoring.forecast_metrics(scored, ["k", "model"])
 

@@ -171,22 +171,22 @@ def test_forests_grow(spark):
 
 def test_recursive_forest(spark):
     """Each step reads the predictions before it."""
-    day = lambda i: date(2000, 1, 1) + timedelta(i)
+    monthly, day = SeriesSpec("k", "t", "value", "month"), lambda i: date(2000 + i // 12, i % 12 + 1, 1)
     df = spark.createDataFrame([(k, day(i), float(10 * k + (i % 4))) for k in (1, 2) for i in range(60)], "k long, t date, value double")
     df = df.unionByName(spark.createDataFrame([(9, day(0), 1.0)], df.schema))
     from panelwright.operators import features as fe
 
     names = [f"value_lag_{k}" for k in (1, 2, 4)] + ["odd"]
-    parts = lambda d, t: d.withColumn("odd", (F.dayofmonth(t) % 2).cast("double"))
-    model = trees.fit_forest(parts(fe.lags(df, DAILY, (1, 2, 4)), "t").dropna(), names, "value", numTrees=20, maxDepth=6)
-    calendar = future_calendar(df, DAILY, 6)
-    got = {(r["k"], r["step"]): r for r in trees.recursive_forecast(model, df, calendar, DAILY, (1, 2, 4), parts, horizon=6).collect()}
+    parts = lambda d, t: d.withColumn("odd", (F.month(t) % 2).cast("double"))
+    model = trees.fit_forest(parts(fe.lags(df, monthly, (1, 2, 4)), "t").dropna(), names, "value", numTrees=20, maxDepth=6)
+    calendar = future_calendar(df, monthly, 6)
+    got = {(r["k"], r["step"]): r for r in trees.recursive_forecast(model, df, calendar, monthly, (1, 2, 4), parts, horizon=6).collect()}
     assert set(got) == {(k, s) for k in (1, 2) for s in range(1, 7)}
     for k in (1, 2):
         values = [float(10 * k + (i % 4)) for i in range(60)]
         for s in range(1, 7):
             t = got[k, s]["t"]
-            row = spark.createDataFrame([(*[values[-j] for j in (1, 2, 4)], float(t.day % 2))], ", ".join(f"{n} double" for n in names))
+            row = spark.createDataFrame([(*[values[-j] for j in (1, 2, 4)], float(t.month % 2))], ", ".join(f"{n} double" for n in names))
             assert t == day(59 + s) and model.transform(row).first()["prediction"] == got[k, s]["prediction"]
             values.append(got[k, s]["prediction"])
 
@@ -213,7 +213,7 @@ def test_correlations_keep_their_digits(spark):
                 u, v = (both[c] - both[c].mean() for c in (a, b))
                 s = np.sqrt((u * u).sum() * (v * v).sum())
                 want[None if k != k else k, a, b] = None if s == 0 or len(both) < 2 else float((u * v).sum() / s)
-    for narrow in (6, 1):
+    for narrow in (4, 1):
         profile.NARROW_COLUMNS, before = narrow, profile.NARROW_COLUMNS
         try:
             got = {(r["k"], r["a"], r["b"]): r["r"] for r in profile.correlations(df, ["x", "y", "z", "flat"], ["k"]).collect()}
