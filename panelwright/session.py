@@ -56,4 +56,15 @@ def cut_lineage(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*written) -> None:
+    """Delete tables of ``cut_lineage`` from the shared folder once all that reads them has been written itself."""
+    for df in written:
+        path, spark = getattr(df, "_scratch_path", None), df.sparkSession
+        if path and path.startswith(f"{shared_dir(spark)}/panelwright/"):
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
