@@ -256,7 +256,7 @@ def _innovations(df: DataFrame, spec: SeriesSpec, orders: DataFrame, long_ar: in
     """
     keys = list(spec.keys)
     (v,) = spec.values
-    laid = join_on(_differences(df, spec, v), orders, keys)
+    laid = join_on(_differences(df, spec, v), orders if spec.bounded else settled(orders, "orders"), keys)
     u = F.when(F.col("d") == 0, F.col("u0")).when(F.col("d") == 1, F.col("u1")).otherwise(F.col("u2"))
     laid = laid.withColumn("u", u).drop("u1", "u2")
     scale = laid.groupBy(*keys).agg(F.avg("u").alias("_m"), F.stddev_pop("u").alias("_sd"))
@@ -278,6 +278,7 @@ def _innovations(df: DataFrame, spec: SeriesSpec, orders: DataFrame, long_ar: in
             yield pdf[keys].assign(_a=list(coef))
 
     fits = sums.where(F.col("n") > 2 * (long_ar + 1)).mapInPandas(solve, _schema(df, keys, "_a array<double>"))
+    fits = fits if spec.bounded else settled(fits, "long-fits")
     rows = join_on(lagged_w, fits, keys, "left")  # a series too short for it has no innovations
     fitted = F.col("_a")[0] + sum(F.col("_a")[k + 1] * F.col(n) for k, n in enumerate(names))
     return rows.withColumn("e", F.col("w") - fitted).drop("_a")
@@ -425,23 +426,25 @@ def chi2_tail(x: Column, dof: int) -> Column:
 
 def ljung_box(df: DataFrame, spec: SeriesSpec, column: str = "residual", lags: int = 10, **layout) -> DataFrame:
     """(keys, n, residual_mean, residual_std, ljung_box, p_value, autocorrelated)."""
-    keys = list(spec.keys)
-    mean = df.groupBy(*keys).agg(F.avg(column).alias("_mean"))
-    mean = mean if spec.bounded else settled(mean, "means")
-    centred = join_on(df, mean, keys).withColumn("_r", F.col(column) - F.col("_mean"))
-    r = F.col("_r")
-    laid = over_series(
-        centred, spec, lambda f: {f"r{k}": lagged(r, k, f) for k in range(1, lags + 1)}, before=lags, **layout
-    )
-    out = laid.groupBy(*keys).agg(
-        F.count(column).alias("n"),
-        F.avg(column).alias("residual_mean"),
-        F.stddev_samp(column).alias("residual_std"),
-        F.sum(r * r).alias("_ss"),
-        *[F.sum(r * F.col(f"r{k}")).alias(f"_s{k}") for k in range(1, lags + 1)],
-    )
-    n = F.col("n")
-    rho = [F.try_divide(F.col(f"_s{k}"), F.col("_ss")) for k in range(1, lags + 1)]
+    names = [f"_r{k}" for k in range(1, lags + 1)]
+    laid = over_series(df, spec, lambda f: {n[1:]: lagged(F.col(column), k, f) for k, n in enumerate(names, 1)}, before=lags, **layout)
+    return ljung_box_of(laid, list(spec.keys), F.col(column), [F.col(n[1:]) for n in names])
+
+
+def ljung_box_of(laid: DataFrame, keys: Sequence[str], residual: Column, lagged_residuals: Sequence[Column]) -> DataFrame:
+    """The same from rows that hold their residual and its lags: one aggregate, the means taken off the sums of products."""
+    lags = len(lagged_residuals)
+    rows = laid.select(*keys, residual.alias("_r0"), *[c.alias(f"_r{k}") for k, c in enumerate(lagged_residuals, 1)])
+    r = F.col("_r0")
+    sums = [F.count(r).alias("n"), F.avg(r).alias("residual_mean"), F.stddev_samp(r).alias("residual_std"), F.var_pop(r).alias("_v")]
+    for k in range(1, lags + 1):
+        both = F.when(r.isNotNull() & F.col(f"_r{k}").isNotNull(), F.lit(1.0))
+        sums += [F.sum(both).alias(f"_n{k}"), F.covar_pop(r, f"_r{k}").alias(f"_c{k}"), F.avg(both * r).alias(f"_a{k}"), F.avg(both * F.col(f"_r{k}")).alias(f"_b{k}")]
+    out = rows.groupBy(*keys).agg(*sums)
+    n, mean = F.col("n"), F.col("residual_mean")
+    # The sum of (r - mean)(lag - mean) over the pairs, from their own covariance and means.
+    products = [F.col(f"_n{k}") * (F.col(f"_c{k}") + (F.col(f"_a{k}") - mean) * (F.col(f"_b{k}") - mean)) for k in range(1, lags + 1)]
+    rho = [F.try_divide(F.coalesce(c, F.lit(0.0)), n * F.col("_v")) for c in products]
     q = n * (n + 2) * sum(F.try_divide(p * p, n - k) for k, p in enumerate(rho, 1))
     out = out.withColumn("ljung_box", q).withColumn("p_value", chi2_tail(F.col("ljung_box"), lags))
     return out.withColumn("autocorrelated", F.col("p_value") < 0.05).select(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.functions import windowed as w
-from panelwright.operators.layout import Frame, join_on, number_rows, over_series, POS
+from panelwright.operators.layout import Frame, over_series
 from panelwright.spec import SeriesSpec
 
 # Default lags, windows and periods of the feature set.
@@ -70,21 +70,16 @@ def check_lags(df: DataFrame, spec: SeriesSpec, steps: Sequence[int] = LAGS) ->
     ``early_values`` counts rows that have no predecessor yet a value,
     ``mismatches`` rows whose lag differs from the value ``k`` positions back.
     """
-    keys = list(spec.keys)
-    numbered = number_rows(df, spec)
-    out = None
-    for v in spec.values:
-        for k in steps:
-            name = f"{v}_lag_{k}"
-            back = numbered.select(*keys, (F.col(POS) + k).alias(POS), F.col(v).alias("_expected"))
-            pairs = join_on(numbered.select(*keys, POS, F.col(name).alias("_got")), back, [*keys, POS], "left")
-            row = pairs.agg(
-                F.lit(name).alias("feature"),
-                F.count_if((F.col(POS) <= k) & F.col("_got").isNotNull()).alias("early_values"),
-                F.count_if((F.col(POS) > k) & ~F.col("_got").eqNullSafe(F.col("_expected"))).alias("mismatches"),
-            )
-            out = row if out is None else out.unionByName(row)
-    return out
+    checks = [(i, v, k) for i, (v, k) in enumerate((v, k) for v in spec.values for k in steps)]
+    laid = over_series(df, spec, lambda f: {f"expected{i}": w.lagged(F.col(v), k, f) for i, v, k in checks}, before=max(steps), pos_as="series_pos")
+    pos = F.col("series_pos")
+    counts = []
+    for i, v, k in checks:
+        got = F.col(f"{v}_lag_{k}")
+        counts.append(F.count_if((pos <= k) & got.isNotNull()).alias(f"_e{i}"))
+        counts.append(F.count_if((pos > k) & ~got.eqNullSafe(F.col(f"expected{i}"))).alias(f"_m{i}"))
+    rows = [F.struct(F.lit(f"{v}_lag_{k}").alias("feature"), F.col(f"_e{i}").alias("early_values"), F.col(f"_m{i}").alias("mismatches")) for i, v, k in checks]
+    return laid.agg(*counts).select(F.inline(F.array(*rows)))
 
 
 _ROLLING = {"ma": w.rolling_mean, "std": w.rolling_std, "min": w.rolling_min, "max": w.rolling_max}

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.operators.dataset import scale_statistics, standardise
-from panelwright.operators.layout import join_on
+from panelwright.operators.layout import join_on, settled
 from panelwright.operators.seasonal import sequences, tail
 from panelwright.session import cut_lineage
 from panelwright.spec import SeriesSpec
@@ -24,6 +24,7 @@ def training_sequences(df: DataFrame, spec: SeriesSpec, length: int = LENGTH) ->
     (v,) = spec.values
     known = df.where(F.col(v).isNotNull())
     stats = scale_statistics(known.where(F.col("part") == "train"), [v], spec.keys)
+    stats = stats if spec.bounded else settled(stats, "scales")
     scaled = standardise(known, stats, [v], spec.keys)
     rows = sequences(scaled, spec, length).withColumn("features", array_to_vector("sequence"))
     return rows, stats

@@ -10,6 +10,7 @@ from panelwright.plans import panels as p
 from panelwright.plans import pipeline
 from panelwright.plans.catalog import query
 from panelwright.plans.catalog.cleaning import _LINEAR, _points
+from panelwright.plans.catalog.windowing import matrix_cells, matrix_sql
 from panelwright.plans.panels import Z95, rounded, with_ctes
 from panelwright.session import cut_lineage, scratch_path
 from panelwright.sources import sinks
@@ -384,32 +385,16 @@ def clean_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return _out(df, "k", "t", value=6, value_monthly_rate=6, value_annual_rate=6)
 
 
-_N = "OVER (PARTITION BY k ORDER BY t)"
-
-
-@query(
-    "feature_pipeline",
-    with_ctes(
-        f"""SELECT {_K}, round(lag(value, 3) {_N}, 2) + 0.0 AS value_lag_3,
-              round(avg(value) OVER (PARTITION BY k ORDER BY t ROWS 5 PRECEDING), 6) + 0.0 AS value_ma_6,
-              CAST(month(t) AS INTEGER) AS month, CAST(month(t) IN (7, 8) AS INTEGER) AS is_summer,
-              round((value - lag(value, 6) {_N}) / nullif(lag(value, 6) {_N}, 0) * 100, 6) + 0.0 AS value_roc_6,
-              CAST(quarter(t) = 2 AS INTEGER) AS quarter_2 FROM panel""",
-        "panel",
-    ),
-)
+@query("feature_pipeline", with_ctes(matrix_sql("panel"), "panel"))
 def feature_pipeline(spark: SparkSession, sf: str) -> DataFrame:
-    df = pipeline.build_features(p.nation_panel(spark, sf).select("k", "t", "value"), p.NATION)
-    return _out(df, "k", "t", "month", "is_summer", "quarter_2", value_lag_3=2, value_ma_6=6, value_roc_6=6)
-
-
-_SMALL_FOREST = {"numTrees": 10, "maxDepth": 5}
+    """Every feature column of every nation and month."""
+    return matrix_cells(pipeline.build_features(p.nation_panel(spark, sf).select("k", "t", "value"), p.NATION))
 
 
 @query("train_pipeline")
 def train_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """Scores of six models per series; those that cannot be fitted are listed as failed."""
-    return pipeline.train(p.price_panel(spark, sf), p.RATE, _SMALL_FOREST).metrics
+    return pipeline.train(p.price_panel(spark, sf), p.RATE).metrics
 
 
 @query(
@@ -453,4 +438,4 @@ def forecast_winners(spark: SparkSession, sf: str) -> DataFrame:
 @query("end_to_end")
 def end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     """Clean, train, forecast and analyse the yearly rate of the order value of every nation."""
-    return pipeline.run(p.gap_panel(spark, sf), p.NATION, _SMALL_FOREST)["analysis"]
+    return pipeline.run(p.gap_panel(spark, sf), p.NATION)["analysis"]

@@ -368,25 +368,19 @@ def rename_harmonised(spark: SparkSession, sf: str) -> DataFrame:
     return quality.standard_names(df, quality.HARMONISED_NAMES)
 
 
-_AS_SECTOR = {
-    "AUTOMOBILE": "Transporte", "BUILDING": "Vivienda", "FURNITURE": "Menaje", "HOUSEHOLD": "Otros",
-    "MACHINERY": "Comunicaciones",
-}
-
-
 @query(
     "sector_panel",
     with_ctes(
         " UNION ALL ".join(
-            f"SELECT CAST(t AS VARCHAR) AS fecha, '{quality.SECTOR_NAMES[s]}' AS sector, round({c}, 2) + 0.0 AS value FROM segments"
-            for c, s in _AS_SECTOR.items()
+            f"SELECT CAST(t AS VARCHAR) AS fecha, '{quality.SECTOR_NAMES[s]}' AS sector, round(s{i}, 2) + 0.0 AS value FROM sectors"
+            for i, s in enumerate(p.SECTORS)
         ),
-        "segments",
+        "sectors",
     ),
 )
 def sector_panel(spark: SparkSession, sf: str) -> DataFrame:
-    wide = p.segment_panel(spark, sf).withColumnsRenamed({**_AS_SECTOR, "t": "Fecha"})
-    df = quality.sectors_to_panel(wide)
+    """All twelve sectors under their standard names."""
+    df = quality.sectors_to_panel(p.sector_table(spark, sf).withColumnRenamed("t", "Fecha"))
     return df.select(F.col("fecha").cast("string").alias("fecha"), "sector", rounded(F.col("value"), 2).alias("value"))
 
 

@@ -316,13 +316,13 @@ _LB_Q = " + ".join(f"rho{k} * rho{k} / (n - {k})" for k in range(1, 11))
 )
 def ljung_box(spark: SparkSession, sf: str) -> DataFrame:
     """Autocorrelation left in the residuals of a first-order autoregression."""
-    ticks = p.ticks(spark, sf)
-    spec = with_slices(ticks, p.TICKS)
-    lag = over_series(ticks, spec, lambda f: {"y1": lagged(F.col("value"), 1, f)}, before=1)
-    resid = join_on(lag, ar1_fit(ticks, spec), ["event_type"]).where("y1 IS NOT NULL").select(
-        "event_type", "ts", "event_id", (F.col("value") - F.col("intercept") - F.col("phi") * F.col("y1")).alias("residual")
-    )
-    df = ar.ljung_box(resid, spec)
+    lags = 10
+    laid = over_series(p.ticks(spark, sf), p.TICKS, lambda f: {f"y{k}": lagged(F.col("value"), k, f) for k in range(1, lags + 2)}, before=lags + 1)
+    laid = cut_lineage(laid.withColumn("y0", F.col("value").cast("double")), "lags")
+    fits = laid.groupBy("event_type").agg(F.regr_slope("y0", "y1").alias("phi"), F.regr_intercept("y0", "y1").alias("c"))
+    rows = join_on(laid, settled(fits, "fits"), ["event_type"])
+    residual = lambda k: F.col(f"y{k}") - F.col("c") - F.col("phi") * F.col(f"y{k + 1}")
+    df = ar.ljung_box_of(rows, ["event_type"], residual(0), [residual(k) for k in range(1, lags + 1)])
     return _text_t(
         df.select("event_type", "n", "ljung_box", "p_value", "residual_std"), ljung_box=6, p_value=8, residual_std=6
     )

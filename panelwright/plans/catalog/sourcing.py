@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelwright.operators import features as fe
 from panelwright.operators.checks import forecast_checks
+from panelwright.operators.quality import SECTOR_NAMES
 from panelwright.plans import panels as p
 from panelwright.plans.catalog import query
 from panelwright.plans.panels import rounded, with_ctes
@@ -88,32 +89,30 @@ def json_best_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mixed(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents of every shape, and one in six cut off in the middle."""
+    """Documents of every shape, one in six cut off in the middle; in one in six every event is an object of its own."""
     shape = F.pmod(F.col("doc"), F.lit(6))
     both = _lists(spark, sf).join(_arrays(spark, sf), "doc")
     broken = F.substring("list", 1, 20)
-    single = F.concat(F.lit('{"note":{"size":1},"text":"x","doc":'), F.col("doc").cast("string"), F.lit("}"))
     text = (
         F.when(shape == 0, F.col("json"))
         .when(shape == 1, F.col("list"))
         .when(shape == 2, F.concat(F.lit(_KNOWN[0]), "list", F.lit(_KNOWN[1])))
         .when(shape == 3, F.concat(F.lit(_BEST[0]), "list", F.lit(_BEST[1])))
-        .when(shape == 4, single)
         .otherwise(broken)
     )
-    return both.select("doc", text.alias("json"))
+    single = F.to_json(F.col("record").withField("note", F.struct(F.col("event_type").alias("kind"))))
+    singles = _records(spark, sf).where(shape == 4).select("doc", single.alias("json"))
+    return both.where(shape != 4).select("doc", text.alias("json")).unionByName(singles)
 
 
-_SHAPES = "CASE event_id // 16 % 6 WHEN 0 THEN 'array_of_objects' WHEN 1 THEN 'direct_list' WHEN 2 THEN 'known_key' WHEN 3 THEN 'best_list' END"
+_SHAPES = "CASE event_id // 16 % 6 WHEN 0 THEN 'array_of_objects' WHEN 1 THEN 'direct_list' WHEN 2 THEN 'known_key' WHEN 3 THEN 'best_list' WHEN 4 THEN 'normalise' END"
 
 
 @query(
     "json_cascade",
     f"""SELECT event_id, event_id // {DOC_SIZE} AS doc, {_SHAPES} AS strategy,
           CASE WHEN event_id // 16 % 6 = 0 THEN event_type END AS series, {_LOCAL} AS t, value
-        FROM events WHERE event_id // 16 % 6 < 4
-        UNION ALL SELECT NULL, event_id // {DOC_SIZE}, 'normalise', NULL, NULL, NULL FROM events WHERE event_id // 16 % 6 = 4
-        GROUP BY event_id // {DOC_SIZE}""",
+        FROM events WHERE event_id // 16 % 6 < 5""",
 )
 def json_cascade(spark: SparkSession, sf: str) -> DataFrame:
     """Each document is read by the first strategy that fits it."""
@@ -138,6 +137,20 @@ def json_flatten(spark: SparkSession, sf: str) -> DataFrame:
     return flat.withColumnsRenamed({"info.k": "info_k", "info.kind": "info_kind"})
 
 
+@query(
+    "json_leaves",
+    """SELECT event_id, 'info.k' AS path, json_extract_string(props, '$.k') AS value FROM events
+       UNION ALL SELECT event_id, 'info.kind', event_type FROM events
+       UNION ALL SELECT event_id, 'digits[' || i || ']', CAST((event_id + i) % 10 AS VARCHAR) FROM events, range(2) r(i)""",
+)
+def json_leaves(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested properties as rows of path and value, without a common schema."""
+    info = F.struct(F.get_json_object("props", "$.k").cast("int").alias("k"), F.col("event_type").alias("kind"))
+    digits = F.array(*[F.pmod(F.col("event_id") + i, F.lit(10)) for i in range(2)])
+    nested = F.to_json(F.struct(info.alias("info"), digits.alias("digits")))
+    return documents.json_leaves(p.table(spark, sf, "events").select("event_id", nested.alias("json")), "json")
+
+
 # --- CSV ----------------------------------------------------------------------------------------
 
 _ORDER_SCHEMA = "o_orderkey bigint, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
@@ -160,17 +173,17 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 _LANDING_SCHEMAS = {
     "general": "Fecha date, Valor double",
-    "groups": "Fecha date, Transporte double, Vivienda double",
+    "groups": "Fecha date, " + ", ".join(f"`{s}` double" for s in p.SECTORS),
     "ipca": "Fecha date, IPCA double",
 }
 
 
 def _land(spark: SparkSession, sf: str) -> str:
     root = scratch_path(spark, "landing")
-    total, wide = p.total_series(spark, sf), p.segment_panel(spark, sf)
+    total, wide = p.total_series(spark, sf), p.sector_table(spark, sf)
     parts = {
         "general": total.select(F.col("t").alias("Fecha"), F.col("value").alias("Valor")),
-        "groups": wide.select(F.col("t").alias("Fecha"), F.col("AUTOMOBILE").alias("Transporte"), F.col("BUILDING").alias("Vivienda")),
+        "groups": wide.withColumnRenamed("t", "Fecha"),
         "ipca": total.where(F.month("t").isin(1, 4, 7, 10)).select(F.col("t").alias("Fecha"), F.col("value").alias("IPCA")),
     }
     for name, df in parts.items():
@@ -178,22 +191,25 @@ def _land(spark: SparkSession, sf: str) -> str:
     return root
 
 
+_SECTOR_COLUMNS = [SECTOR_NAMES[s] for s in p.SECTORS]
+_NO_SECTOR = ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in _SECTOR_COLUMNS)
+
+
 @query(
     "landing_ingest",
     with_ctes(
-        """SELECT 'general' AS data_type, CAST(t AS VARCHAR) AS fecha, round(value, 2) AS ipc_general,
-                  CAST(NULL AS DOUBLE) AS ipc_transporte, CAST(NULL AS DOUBLE) AS ipc_vivienda, CAST(NULL AS DOUBLE) AS ipca FROM total
-           UNION ALL SELECT 'groups', CAST(t AS VARCHAR), NULL, round(AUTOMOBILE, 2), round(BUILDING, 2), NULL FROM segments
-           UNION ALL SELECT 'ipca', CAST(t AS VARCHAR), NULL, NULL, NULL, round(value, 2) FROM total
+        f"""SELECT 'general' AS data_type, CAST(t AS VARCHAR) AS fecha, round(value, 2) AS ipc_general, {_NO_SECTOR}, CAST(NULL AS DOUBLE) AS ipca FROM total
+           UNION ALL SELECT 'groups', CAST(t AS VARCHAR), NULL, {', '.join(f"round(s{i}, 2)" for i in range(len(p.SECTORS)))}, NULL FROM sectors
+           UNION ALL SELECT 'ipca', CAST(t AS VARCHAR), NULL, {', '.join('NULL' for _ in p.SECTORS)}, round(value, 2) FROM total
              WHERE month(t) IN (1, 4, 7, 10)""",
         "total",
-        "segments",
+        "sectors",
     ),
 )
 def landing_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Three data sets of a landing folder in one table, named by their folder."""
+    """Three data sets of a landing folder in one table, named by their folder; twelve sectors in one of them."""
     df = tables.read_landing(spark, _land(spark, sf), _LANDING_SCHEMAS)
-    numbers = {c: F.round(c, 2) for c in ("ipc_general", "ipc_transporte", "ipc_vivienda", "ipca")}
+    numbers = {c: F.round(c, 2) for c in ("ipc_general", *_SECTOR_COLUMNS, "ipca")}
     return df.withColumns({"fecha": F.col("fecha").cast("string"), **numbers})
 
 

@@ -463,33 +463,47 @@ def lag_rolling_ticks(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("event_id", *[rounded(F.col(c), n).alias(c) for c, (n, _) in _TICK_CELLS.items()])
 
 
-@query(
-    "customer_features",
-    with_ctes(
-        "SELECT k, CAST(t AS VARCHAR) AS t, "
-        + ", ".join(f"round(lag(value, {k}) OVER {W}, 2) + 0.0 AS value_lag_{k}" for k in fe.LAGS)
-        + ", "
-        + ", ".join(f"round({pct('value', k)}, 4) + 0.0 AS value_roc_{k}" for k in fe.ROC_PERIODS)
-        + ", "
-        + ", ".join(f"round({_position(n)}, 6) + 0.0 AS value_position_{n}" for n in fe.POSITION_WINDOWS)
-        + ", "
-        + ", ".join(f"round(avg(value) OVER {trailing(n)}, 6) + 0.0 AS value_ma_{n}" for n in fe.WINDOWS)
-        + " FROM customers",
-        "customers",
-    ),
+# Every column of the feature matrix of a value over (k, t): name -> (places, SQL); slopes and whole numbers apart.
+_MATRIX: dict[str, tuple[int, str]] = (
+    {f"value_lag_{k}": (2, f"lag(value, {k}) OVER {W}") for k in fe.LAGS}
+    | {f"value_{s}_{n}": (_AGG[s][0] if s != "std" else 3, f"{_AGG[s][1]}(value) OVER {trailing(n)}") for n in fe.WINDOWS for s in _AGG}
+    | {f"value_roc_{k}": (4, pct("value", k)) for k in fe.ROC_PERIODS}
+    | {"value_acceleration": (2, f"value - 2 * lag(value, 1) OVER {W} + lag(value, 2) OVER {W}")}
+    | {f"value_volatility_{n}": (3, f"stddev_samp(value) OVER {trailing(n)}") for n in fe.VOLATILITY_WINDOWS}
+    | {f"value_cv_{n}": (6, f"stddev_samp(value) OVER {trailing(n)} / nullif(avg(value) OVER {trailing(n)}, 0)") for n in fe.CV_WINDOWS}
+    | {f"value_position_{n}": (6, _position(n)) for n in fe.POSITION_WINDOWS}
+    | {f"value_ma_deviation_{n}": (5, f"value - avg(value) OVER {trailing(n)}") for n in fe.DEVIATION_WINDOWS}
+    | {f"value_zscore_{n}": (6, _zscore(n)) for n in fe.DEVIATION_WINDOWS}
+    | {"month_sin": (9, "sin(2 * pi() * month(t) / 12)"), "month_cos": (9, "cos(2 * pi() * month(t) / 12)")}
+    | {"quarter_sin": (9, "sin(2 * pi() * quarter(t) / 4)"), "quarter_cos": (9, "cos(2 * pi() * quarter(t) / 4)")}
 )
-def customer_features(spark: SparkSession, sf: str) -> DataFrame:
-    """The feature set of one monthly series per customer: many short series."""
-    df = fe.feature_matrix(p.customer_panel(spark, sf), p.CUSTOMER)
-    cells = (
-        [rounded(F.col(f"value_lag_{k}"), 2).alias(f"value_lag_{k}") for k in fe.LAGS]
-        + [rounded(F.col(f"value_roc_{k}"), 4).alias(f"value_roc_{k}") for k in fe.ROC_PERIODS]
-        + [rounded(F.col(f"value_position_{n}"), 6).alias(f"value_position_{n}") for n in fe.POSITION_WINDOWS]
-        + [rounded(F.col(f"value_ma_{n}"), 6).alias(f"value_ma_{n}") for n in fe.WINDOWS]
-    )
+_MATRIX_WHOLE: dict[str, str] = (
+    {"month": "month(t)", "quarter": "quarter(t)", "year": "year(t)", "day_of_year": "dayofyear(t)"}
+    | {f"month_{m}": f"month(t) = {m}" for m in range(1, 13)}
+    | {f"quarter_{q}": f"quarter(t) = {q}" for q in range(1, 5)}
+    | {n: f"month(t) IN ({', '.join(map(str, ms))})" for n, ms in fe.SEASON_MONTHS.items()}
+)
+
+
+def matrix_sql(source: str) -> str:
+    cells = ", ".join(f"round({e}, {n}) + 0.0 AS {c}" for c, (n, e) in _MATRIX.items())
+    whole = ", ".join(f"CAST({e} AS INTEGER) AS {c}" for c, e in _MATRIX_WHOLE.items())
+    slopes = _slopes("value", "k", "t", fe.TREND_WINDOWS, 4)
+    return f"SELECT k, CAST(t AS VARCHAR) AS t, {cells}, {whole}, {slopes} FROM {_counted('value', source, 'k', 't')}"
+
+
+def matrix_cells(df: DataFrame) -> DataFrame:
+    cells = [rounded(F.col(c), n).alias(c) for c, (n, _) in _MATRIX.items()] + [F.col(c).cast("int").alias(c) for c in _MATRIX_WHOLE]
+    cells += [rounded(F.col(f"value_trend_{n}"), 4).alias(f"value_trend_{n}") for n in fe.TREND_WINDOWS]
     return df.select("k", F.col("t").cast("string").alias("t"), *cells)
 
 
+@query("customer_features", with_ctes(matrix_sql("customers"), "customers"))
+def customer_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Every feature column of one monthly series per customer: many short series."""
+    return matrix_cells(fe.feature_matrix(p.customer_panel(spark, sf), p.CUSTOMER))
+
+
 @query(
     "feature_cascade",
     with_ctes(

@@ -11,6 +11,7 @@ from panelwright.operators import fill, intervals, scoring
 from panelwright.operators.dataset import chrono_split
 from panelwright.operators.forecast import baseline_forecasts, future_calendar, test_grid
 from panelwright.operators.layout import join_on
+from panelwright.operators.quality import SECTOR_NAMES
 from panelwright.session import cut_lineage
 from panelwright.spec import SeriesSpec
 
@@ -74,6 +75,18 @@ def segment_panel(spark: SparkSession, sf: str) -> DataFrame:
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
+# The nations dealt out to the twelve sectors.
+SECTORS = [c for c in SECTOR_NAMES if SECTOR_NAMES[c] != "fecha"]
+
+
+def sector_table(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per month, one column per sector under its source name."""
+    customers = table(spark, sf, "customer").select("c_custkey", F.pmod("c_nationkey", F.lit(len(SECTORS))).alias("s"))
+    joined = customer_months(spark, sf).join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    wide = joined.groupBy("t").pivot("s", list(range(len(SECTORS)))).agg(F.sum("total").cast("double"))
+    return wide.select("t", *[F.col(f"`{i}`").alias(s) for i, s in enumerate(SECTORS)])
+
+
 def total_series(spark: SparkSession, sf: str) -> DataFrame:
     """(t, value): one monthly series of all orders."""
     months = customer_months(spark, sf)
@@ -106,7 +119,7 @@ def price_panel(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy(F.concat("l_returnflag", "l_linestatus").alias("k"), month_of("l_shipdate").alias("t"))
         .agg(
             F.sum(F.col("l_extendedprice").cast(MONEY)).cast("double").alias("_money"),
-            F.sum(F.col("l_quantity").cast("long")).cast("double").alias("_items"),
+            F.sum(F.col("l_quantity").cast(MONEY)).cast("double").alias("_items"),
         )
         .select("k", "t", (F.col("_money") / F.col("_items")).alias("value"))
     )
@@ -179,6 +192,11 @@ CTES = {
         for s in SEGMENTS
     ) + """ FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS t, c_mktsegment, o_totalprice
         FROM orders JOIN customer ON o_custkey = c_custkey) GROUP BY t""",
+    "sectors": "SELECT t, " + ", ".join(
+        f"CAST(sum(CASE WHEN c_nationkey % {len(SECTORS)} = {i} THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE) AS s{i}"
+        for i in range(len(SECTORS))
+    ) + """ FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS t, c_nationkey, o_totalprice
+        FROM orders JOIN customer ON o_custkey = c_custkey) GROUP BY t""",
     "gaps": """
         SELECT g.k, g.t, CASE WHEN p.n >= 4 THEN p.value END AS value
         FROM (SELECT k, CAST(unnest(generate_series(min(t), max(t), INTERVAL 1 MONTH)) AS DATE) AS t
@@ -194,7 +212,7 @@ CTES = {
           SELECT k, t, (value - lag(value, 12) OVER w) / nullif(lag(value, 12) OVER w, 0) * 100 AS rate
           FROM (SELECT l_returnflag || l_linestatus AS k, CAST(date_trunc('month', l_shipdate) AS DATE) AS t,
                        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE)
-                         / CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) AS value
+                         / CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS value
                 FROM lineitem GROUP BY 1, 2)
           WINDOW w AS (PARTITION BY k ORDER BY t))
         WHERE rate IS NOT NULL""",

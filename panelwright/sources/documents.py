@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.functions.times import any_to_ntz
+from panelwright.session import cut_lineage
 
 # The properties a document may keep its records under.
 ARRAY_KEY = "Data"
@@ -131,3 +132,36 @@ def flatten_json(df: DataFrame, json: str) -> DataFrame:
 
     walk(typed.schema["_s"].dataType.fields, [])
     return typed.select(*[c for c in typed.columns if c != "_s"], *leaves)
+
+
+DEEPEST = 64
+
+
+def json_leaves(df: DataFrame, json: str, deepest: int = DEEPEST) -> DataFrame:
+    """(other columns, path, value): one row per leaf of the documents in a string column, whatever their keys.
+
+    ``flatten_json`` makes a column per leaf, so its schema grows with the keys that occur; here keys are data and the
+    driver sees none. Each round opens one level of all objects and lists that are left; names are joined by dots, list
+    places stand in brackets. Values are texts; NULLs, empty objects and empty lists are leaves without a value. Texts that
+    are no JSON have no leaves. A document nested deeper than ``deepest`` is an error.
+    """
+    ids = [c for c in df.columns if c != json]
+    own = F.struct(*ids).alias("_ids") if ids else F.lit(0).alias("_ids")
+    level = df.select(own, F.lit("").alias("path"), F.try_parse_json(json).alias("_v")).where(F.col("_v").isNotNull())
+    out = None
+    for depth in range(deepest + 1):
+        kind = F.schema_of_variant("_v")
+        level = cut_lineage(level.withColumn("_kind", F.when(kind.startswith("OBJECT<"), "object").when(kind.startswith("ARRAY<"), "list").otherwise("leaf")), "json-level")
+        members = F.map_entries(F.expr("try_variant_get(_v, '$', 'map<string,variant>')"))
+        items = F.expr("try_variant_get(_v, '$', 'array<variant>')")
+        empty = F.coalesce(F.when(F.col("_kind") == "object", F.size(members)).when(F.col("_kind") == "list", F.size(items)), F.lit(0)) == 0
+        leaves = level.where(empty).select("_ids", "path", F.when(F.col("_kind") == "leaf", F.try_variant_get("_v", "$", "string")).alias("value"))
+        out = leaves if out is None else out.unionByName(leaves)
+        dot = F.when(F.col("path") == "", "").otherwise(F.concat("path", F.lit(".")))
+        inner = F.when(F.col("_kind") == "object", F.transform(members, lambda e: F.struct(F.concat(dot, e["key"]).alias("path"), e["value"].alias("v")))).otherwise(
+            F.transform(items, lambda x, i: F.struct(F.concat("path", F.lit("["), i.cast("string"), F.lit("]")).alias("path"), x.alias("v")))
+        )
+        level = level.where(~empty).select("_ids", F.explode(inner).alias("_m")).select("_ids", F.col("_m.path").alias("path"), F.col("_m.v").alias("_v"))
+        if level.isEmpty():
+            return out.select(*([F.col("_ids.*")] if ids else []), "path", "value")
+    raise ValueError(f"documents are nested deeper than {deepest}")
