@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.llm.common import text_or_empty
-from panelwright.session import cut_lineage
+from panelwright.session import cut_lineage, discard
 
 LEAST, LONGEST, SHARE, TOP = 100, 5, 100, 2000
 CHUNK_WORDS = 1_000_000
@@ -235,19 +235,23 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     totals = cut_lineage(chunked.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
     found = _frequent(word_counts(chunked), ["lang", "word"], least, "phrases-1")
     relation = cut_lineage(single_words(chunked, found.select("chunk", "code", "id")), "phrases-relation")
+    discard(chunked)
     phrases = cut_lineage(found.groupBy("id", "lang", F.col("word").alias("phrase"), "a").agg(F.count(F.lit(1)).alias("_")).drop("_"), "phrases-named")
+    discard(found)
     out = phrases.select("lang", F.lit(1).alias("k"), "phrase", "a")
     for k in range(2, longest + 1):
         found = _frequent(pair_counts(relation), ["u", "v"], least, f"phrases-{k}")
         if found.isEmpty():
             break
         if k < longest:
-            relation = cut_lineage(longer(relation, found.select("chunk", "code", "id")), "phrases-relation")
+            shorter, relation = relation, cut_lineage(longer(relation, found.select("chunk", "code", "id")), "phrases-relation")
+            discard(shorter)
         left = phrases.select(F.col("id").alias("u"), "lang", F.substring_index("phrase", " ", 1).alias("_first"))
         right = phrases.select(F.col("id").alias("v"), F.col("phrase").alias("_rest"))
         groups = found.groupBy("u", "v", "a", "id").agg(F.count(F.lit(1)).alias("_"))
         named = groups.join(left, "u").join(right, "v").select("lang", F.concat_ws(" ", "_first", "_rest").alias("phrase"), "a", "id")
         phrases = cut_lineage(named, "phrases-named")
+        discard(found)
         out = out.unionByName(phrases.select("lang", F.lit(k).alias("k"), "phrase", "a"))
     return out, totals
 
