@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.session import cut_lineage
+from panelwright.session import cut_lineage, discard
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -18,12 +18,15 @@ def components(edges: DataFrame) -> DataFrame:
     labels = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("label", F.col("node"))
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        parent = cut_lineage(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("p")), "cc-parents")
-        above = parent.select(F.col("u").alias("p"), F.col("p").alias("q"))
-        parent = cut_lineage(parent.join(above, "p").select("u", F.col("q").alias("p")), "cc-parents")
+        first = cut_lineage(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("p")), "cc-parents")
+        above = first.select(F.col("u").alias("p"), F.col("p").alias("q"))
+        parent = cut_lineage(first.join(above, "p").select("u", F.col("q").alias("p")), "cc-parents")
+        discard(first)
         to = lambda name: parent.select(F.col("u").alias(name), F.col("p").alias(f"_{name}"))
-        labels = labels.join(to("label"), "label", "left").select("node", F.coalesce("_label", "label").alias("label"))
+        before, labels = labels, labels.join(to("label"), "label", "left").select("node", F.coalesce("_label", "label").alias("label"))
         labels = cut_lineage(labels, "cc-labels")
+        discard(before)
         moved = edges.join(to("u"), "u").join(to("v"), "v").where("_u <> _v")
-        edges = cut_lineage(moved.select(F.least("_u", "_v").alias("u"), F.greatest("_u", "_v").alias("v")).distinct(), "cc-edges")
+        larger, edges = edges, cut_lineage(moved.select(F.least("_u", "_v").alias("u"), F.greatest("_u", "_v").alias("v")).distinct(), "cc-edges")
+        discard(larger, parent)
     return labels

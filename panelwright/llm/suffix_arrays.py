@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.llm.common import mix64, text_or_empty
-from panelwright.session import cut_lineage
+from panelwright.session import cut_lineage, discard
 
 LENGTH = 100
 GRAM = 32
@@ -430,6 +430,7 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
     hot = cut_lineage(counts, "suffix-frequent")
     hot = None if hot.isEmpty() else hot
     later, contested = _repeating(found, hot)
+    discard(found)
     copies = later.select(*KEY, F.shiftright("place", 16).alias("start"), F.col("place").bitwiseAND(0xFF).alias("n"))
     contested = contested.withColumn("kinds", F.col("kinds").cast("int"))
     shards = max(1, -(-contested.count() // shard_segments))
