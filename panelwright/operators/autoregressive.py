@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions.stats import z_value
 from panelwright.functions.windowed import lagged
+from panelwright.operators.fill import cumulative
 from panelwright.operators.layout import join_on, over_series, settled, with_slices
 from panelwright.session import cut_lineage
 from panelwright.spec import SeriesSpec
@@ -25,9 +26,12 @@ from panelwright.spec import SeriesSpec
 MAX_P, MAX_D, MAX_Q = 5, 2, 5
 LONG_AR = 8
 MAX_LAGS = 8
+MAX_KPSS_LAGS = 24
 # 5 % critical value of the unit-root test with a constant, as a
 # polynomial in 1/n.
 ADF_CRITICAL = (-2.86154, -2.8903, -4.234, -40.040)
+# Fixed value: 5 % critical value of the test of stationarity around a level.
+KPSS_CRITICAL = 0.463
 
 
 def _schema(df: DataFrame, keys: Sequence[str], rest: str) -> str:
@@ -235,6 +239,30 @@ def differencing_order(df: DataFrame, spec: SeriesSpec, max_d: int = MAX_D, max_
     return join_on(df.select(*keys).distinct(), found, keys, "left").withColumn("d", F.coalesce("d", F.lit(max_d)))
 
 
+def kpss(df: DataFrame, spec: SeriesSpec, column: str | None = None, max_lags: int = MAX_KPSS_LAGS, **layout) -> DataFrame:
+    """(keys, n, lags, statistic, stationary): test of stationarity around a level.
+
+    The squared partial sums of the centred series over its long-run variance, that with Bartlett weights over
+    12 (n / 100)^(1/4) lags, ``max_lags`` at most. Partial sums are carried from block to block, so any length will do.
+    NULLs are left out before.
+    """
+    v, keys = column or spec.values[0], list(spec.keys)
+    known = df.select(*keys, *spec.order, F.col(v).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    spec = with_slices(known, spec).with_values("r")
+    mean = known.groupBy(*keys).agg(F.avg("_v").alias("_m"))
+    centred = join_on(known, mean if spec.bounded else settled(mean, "means"), keys).withColumn("r", F.col("_v") - F.col("_m"))
+    summed = cumulative(centred.select(*keys, *spec.order, "r"), spec, **layout)
+    laid = over_series(summed, spec, lambda f: {f"r{k}": lagged(F.col("r"), k, f) for k in range(1, max_lags + 1)}, before=max_lags, **layout)
+    sums = [F.count("r").alias("n"), F.sum(F.col("r_cumsum") ** 2).alias("_s"), F.sum(F.col("r") ** 2).alias("_g0")]
+    out = laid.groupBy(*keys).agg(*sums, *[F.coalesce(F.sum(F.col("r") * F.col(f"r{k}")), F.lit(0.0)).alias(f"_g{k}") for k in range(1, max_lags + 1)])
+    n = F.col("n")
+    out = out.withColumn("lags", F.least(F.floor(12 * F.pow(n / 100, F.lit(0.25))), n - 1, F.lit(max_lags)).cast("int"))
+    weight = lambda k: F.greatest(1 - F.lit(k) / (F.col("lags") + 1), F.lit(0.0))
+    spread = (F.col("_g0") + 2 * sum(weight(k) * F.col(f"_g{k}") for k in range(1, max_lags + 1))) / n
+    out = out.withColumn("statistic", F.when(F.col("_g0") > 0, F.try_divide(F.col("_s") / (n * n), spread)))
+    return out.select(*keys, "n", "lags", "statistic", F.coalesce(F.col("statistic") < KPSS_CRITICAL, F.lit(True)).alias("stationary"))
+
+
 def _differences(df: DataFrame, spec: SeriesSpec, v: str) -> DataFrame:
     """Adds the value and its first and second difference as u0, u1, u2."""
 

@@ -369,6 +369,22 @@ def analyse(spark: SparkSession, sf: str) -> DataFrame:
 # --- pipelines --------------------------------------------------------------------------------------------
 
 
+@query(
+    "bootstrap_scores",
+    with_ctes(
+        """SELECT k, model, metric, round(score, 8) + 0.0 AS value, true AS ordered FROM (FROM (
+             SELECT k, model, mae, rmse, bias FROM metrics JOIN (SELECT k, model, avg(rate - prediction) AS bias FROM tested GROUP BY k, model) USING (k, model))
+             UNPIVOT (score FOR metric IN (mae, rmse, bias)))""",
+        "metrics",
+    ),
+)
+def bootstrap_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Every model's scores in the backtest with their bootstrap intervals, which hold the score of the rows themselves."""
+    tested = p.backtest(p.written_prices(spark, sf))[0].withColumn("error", F.col("rate") - F.col("prediction"))
+    df = intervals.bootstrap_scores(tested, ["k", "model"], ["t"], "error", level=0.999)
+    return _out(df.withColumn("ordered", (F.col("lower") <= F.col("value")) & (F.col("value") <= F.col("upper"))), "k", "model", "metric", "ordered", value=8)
+
+
 @query(
     "clean_pipeline",
     with_ctes(

@@ -237,6 +237,26 @@ def adf_lag0(spark: SparkSession, sf: str) -> DataFrame:
     return _text_t(ar.adf_lag0(p.nation_panel(spark, sf), p.NATION), tau=6, critical=6)
 
 
+_KPSS_LAGS = ", ".join(f"lag(r, {k}) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS r{k}" for k in range(1, 25))
+_KPSS_SUM = " + ".join(f"greatest(1 - {k} / (l + 1.0), 0) * coalesce(sum(r * r{k}), 0)" for k in range(1, 25))
+
+
+@query(
+    "kpss",
+    with_ctes(
+        """SELECT event_type, n, CAST(l AS INTEGER) AS lags, round(s / (CAST(n AS DOUBLE) * n) / (g / n), 6) + 0.0 AS statistic,
+             s / (CAST(n AS DOUBLE) * n) / (g / n) < 0.463 AS stationary FROM found""",
+        centred="SELECT *, value - avg(value) OVER (PARTITION BY event_type) AS r, count(*) OVER (PARTITION BY event_type) AS n FROM events",
+        rows_=f"""SELECT event_type, r, n, least(floor(12 * pow(n / 100.0, 0.25)), n - 1, 24) AS l, {_KPSS_LAGS},
+             sum(r) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS total FROM centred""",
+        found=f"SELECT event_type, n, l, sum(total * total) AS s, sum(r * r) + 2 * ({_KPSS_SUM}) AS g FROM rows_ GROUP BY event_type, n, l",
+    ),
+)
+def kpss(spark: SparkSession, sf: str) -> DataFrame:
+    """Stationarity of every event type's readings around their level, with partial sums carried over blocks."""
+    return _text_t(ar.kpss(p.ticks(spark, sf), p.TICKS), statistic=6)
+
+
 @query("adf_lagged")
 def adf_lagged(spark: SparkSession, sf: str) -> DataFrame:
     return ar.adf(p.ticks(spark, sf), p.TICKS, lags=4)

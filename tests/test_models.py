@@ -114,6 +114,47 @@ def test_unit_root_sweep_on_odd_series(spark):
     assert ar.differencing_order(df.where("false"), DAILY).count() == 0
 
 
+def test_kpss(spark):
+    """Against the formula; tiny blocks change nothing; a walk is not stationary, noise is."""
+    noise, walk = simulated(spark, 0.3, 0.0, n=300, keys=3), simulated(spark, 1.0, 0.0, n=300, keys=3, seed=2)
+
+    def plain(y):
+        r, n = y - y.mean(), len(y)
+        lags = min(int(12 * (n / 100) ** 0.25), ar.MAX_KPSS_LAGS)
+        spread = (r @ r + 2 * sum((1 - k / (lags + 1)) * (r[k:] @ r[:-k]) for k in range(1, lags + 1))) / n
+        return (np.cumsum(r) ** 2).sum() / n**2 / spread
+
+    ticks = SeriesSpec("k", "t", "value", None)
+    for df, stationary in ((noise, True), (walk, False)):
+        want = {k: plain(own.sort_values("t")["value"].to_numpy()) for k, own in df.toPandas().groupby("k")}
+        for spec, layout in ((DAILY, {}), (ticks, {}), (ticks, {"block_rows": 40, "slice_rows": 100})):
+            got = {r["k"]: r for r in ar.kpss(df, spec, **layout).collect()}
+            assert {k: r["statistic"] for k, r in got.items()} == pytest.approx(want)
+        assert sum(r["stationary"] == stationary for r in got.values()) >= 2
+    flat = spark.createDataFrame([("a", date(2000, 1, 1), 1.0), ("a", date(2000, 1, 2), 1.0), ("b", date(2000, 1, 1), None)], "k string, t date, value double")
+    assert [(r["k"], r["statistic"], r["stationary"]) for r in ar.kpss(flat, DAILY).collect()] == [("a", None, True)]
+
+
+def test_bootstrap_scores(spark):
+    """Reruns and other partitions agree; intervals hold the truth about as often as they say."""
+    from panelwright.operators.intervals import bootstrap_scores
+
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"k": np.repeat(np.arange(200), 60), "i": np.tile(np.arange(60), 200), "error": rng.normal(size=12000)})
+    df = spark.createDataFrame(pdf)
+    found = {(r["k"], r["metric"]): r for r in bootstrap_scores(df, ["k"], ["i"], "error").collect()}
+    again = {(r["k"], r["metric"]): r for r in bootstrap_scores(df.repartition(7), ["k"], ["i"], "error").collect()}
+    assert len(found) == 600
+    for key, r in found.items():
+        assert (again[key]["lower"], again[key]["upper"]) == pytest.approx((r["lower"], r["upper"]))
+    for metric, truth in (("bias", 0.0), ("mae", np.sqrt(2 / np.pi)), ("rmse", 1.0)):
+        assert 0.85 < np.mean([found[k, metric]["lower"] <= truth <= found[k, metric]["upper"] for k in range(200)]) < 0.99
+    own = pdf.groupby("k")["error"]
+    assert {k: found[k, "rmse"]["value"] for k in range(200)} == pytest.approx(np.sqrt(own.apply(lambda e: (e**2).mean())).to_dict())
+    whole = bootstrap_scores(df.withColumn("error", F.when(F.col("i") > 0, F.col("error"))), [], ["k", "i"], "error", replicates=60).collect()
+    assert len(whole) == 3 and all(r["lower"] < r["value"] < r["upper"] for r in whole)
+
+
 def test_unstable_polynomials_are_refused():
     assert ar._stable(np.array([[0.5, 0.2], [1.2, 0.1]])).tolist() == [True, False]
 

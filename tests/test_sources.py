@@ -136,3 +136,26 @@ def test_new_files_are_read_once(spark, tmp_path):
             spark, str(tmp_path / "in"), schema, str(tmp_path / "state"), lambda d, b: seen.extend(r[0] for r in d.collect())
         )
     assert seen == [0, 1]
+
+
+def test_json_leaves(spark):
+    """Ten thousand different keys, all kinds of values, and texts that are none."""
+    import json
+
+    from panelwright.sources.documents import json_leaves
+
+    docs = [
+        (1, json.dumps({f"key{i}": {"n": i} for i in range(10_000)})),
+        (2, '{"a": {"b": [1, {"c": "x"}, [], null]}, "d": true, "e": 2.5, "f": {}}'),
+        (3, "[[1, 2], 3]"), (4, "7"), (5, "no json"), (6, None), (7, '{"": {"a.b": "t"}}'),
+    ]
+    got = {}
+    for r in json_leaves(spark.createDataFrame(docs, "id int, json string"), "json").collect():
+        got.setdefault(r["id"], {})[r["path"]] = r["value"]
+    assert got[1] == {f"key{i}.n": str(i) for i in range(10_000)}
+    assert got[2] == {"a.b[0]": "1", "a.b[1].c": "x", "a.b[2]": None, "a.b[3]": None, "d": "true", "e": "2.5", "f": None}
+    assert got[3] == {"[0][0]": "1", "[0][1]": "2", "[1]": "3"} and got[4] == {"": "7"}
+    assert set(got) == {1, 2, 3, 4, 7} and list(got[7].values()) == ["t"]
+    with pytest.raises(ValueError):
+        json_leaves(spark.createDataFrame([(1, "[[[1]]]")], "id int, json string"), "json", deepest=2)
+    assert json_leaves(spark.createDataFrame([], "json string"), "json").count() == 0
