@@ -2,8 +2,10 @@
 
 A tree hashes every vector to a string of ``bits`` signs of random projections (around the median of the index rows) and
 keeps the strings sorted. A query descends to the longest prefix it shares with any string by binary search; then all
-trees ascend together, one bit at a time, and the rows that share the shorter prefix in any tree become candidates, until
-there are ``candidates`` of them for each index shard. Candidates are compared by their exact cosine in double precision.
+trees ascend together, one bit at a time, until the ranges of rows with the shorter prefix are wide enough. A row counts
+once for every bit it shares beyond that prefix, in every tree: near rows share long prefixes in many trees. The rows with
+the highest counts are the candidates, a quarter of the shard unless ``candidates`` says how many (all rows of a shard of
+250 or fewer; rows of equal count stay together). They are compared by their exact cosine in double precision.
 
 The index is cut into shards of about ``shard_rows`` rows by a hash of the row, each a forest of its own; the stated
 query set is cut into groups, and every group meets every shard once. What a task holds is one shard and one group of
@@ -27,7 +29,9 @@ TREES = 32
 BITS = 32
 SHARD_ROWS = 8192
 GROUP_ROWS = 4096
-CANDIDATES = 3072
+CANDIDATE_SHARE = 4
+LEAST_CANDIDATES = 50
+ASCENT = 32
 NEAREST = 5
 EXACT_ROWS = 1024
 
@@ -84,22 +88,29 @@ class Forest:
             for t in range(self.trees):
                 low[length, t] = np.searchsorted(self.sorted[t], strings[:, t] & ~tail, side="left")
                 high[length, t] = np.searchsorted(self.sorted[t], strings[:, t] | tail, side="right")
-        enough = np.minimum(wanted, n)
+        enough = min(wanted, n)
         for i in range(len(queries)):
             sizes = (high[:, :, i] - low[:, :, i]).sum(axis=1)
             level = self.bits
-            while True:
-                # Ascend in all trees together; rows found twice count once.
-                while level and sizes[level] < enough:
-                    level -= 1
-                found = np.unique(np.concatenate([self.order[t, low[level, t, i] : high[level, t, i]] for t in range(self.trees)]))
-                if len(found) >= enough or level == 0:
-                    break
+            while level and sizes[level] < min(ASCENT * enough, self.trees * n):  # all trees ascend together
                 level -= 1
+            count = np.zeros(n, dtype=np.int32)
+            for t in range(self.trees):
+                begin, end = low[level, t, i], high[level, t, i]
+                shared = np.ones(end - begin, dtype=np.int32)
+                for longer in range(level + 1, self.bits + 1):
+                    if low[longer, t, i] == high[longer, t, i]:
+                        break
+                    shared[low[longer, t, i] - begin : high[longer, t, i] - begin] += 1
+                count[self.order[t, begin:end]] += shared
+            found = np.flatnonzero(count)
+            if len(found) > enough:
+                found = found[count[found] >= np.partition(count[found], -enough)[-enough]]
             yield i, found
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, nearest: int, wanted: int):
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, nearest: int, wanted: int | None):
         """(query_id, vec_id, score) of the best candidates of each query in this shard."""
+        wanted = max(LEAST_CANDIDATES * nearest, len(self.ids) // CANDIDATE_SHARE) if wanted is None else wanted
         norms = np.sqrt((queries**2).sum(axis=1))
         own = np.sqrt((self.vectors**2).sum(axis=1))
         for start in range(0, len(queries), 512):
@@ -126,7 +137,7 @@ def nearest_neighbours(
     trees: int = TREES,
     bits: int = BITS,
     shard_rows: int = SHARD_ROWS,
-    candidates: int = CANDIDATES,
+    candidates: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) for ``index`` and ``queries``, both (vec_id, embedding)."""
     clean = lambda df: df.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
