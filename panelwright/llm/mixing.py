@@ -170,26 +170,23 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_blocks: int = SHA
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of the mix with all columns of ``docs``: a document as often as it is taken whole, and the first words
-    of it where the end of a source's quota falls inside it.
+    """The rows of the mix with all columns of ``docs``, shard by shard and in each shard's shuffled order.
+
+    A document comes as often as its source's stream passes it before the source's target is reached, each time into the
+    shard that drew the block it starts in, at the place of its first word there. Texts stay whole: the last document of
+    each source ends behind the target.
     """
     key = ["doc_id", "source", "_size"]
-    taken = mix(docs).withColumnRenamed("size", "_size").groupBy(*key).agg(F.sort_array(F.collect_list("taken")).alias("_taken"))
-    own = docs.select(whole_row(docs), "doc_id", "source", "text", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("_size"))
-    same = Window.partitionBy(*key).orderBy(text_or_empty())
-    rows = matched(own.withColumn("_at", F.row_number().over(same)), taken, key)
-    rows = rows.withColumn("_words", F.element_at("_taken", F.col("_at"))).where("_words > 0")
-    rest = F.col("_words") % F.col("_size")
-    copies = F.concat(
-        F.array_repeat(F.lit(-1).cast("long"), (F.col("_words") / F.col("_size")).cast("int")), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>"))
-    )
-    rows = rows.withColumn("_part", F.explode(copies))
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    first_words = F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("_part"), F.lit(1)).cast("int")), " ")
-    short = F.col("_row").withField("text", first_words)
-    if "n_chars" in docs.columns:
-        short = short.withField("n_chars", F.length(first_words).cast(docs.schema["n_chars"].dataType))
-    return rows.select(F.when(F.col("_part") < 0, F.col("_row")).otherwise(short).alias("_row")).select("_row.*")
+    placed = cut_lineage(placed_documents(docs), "mix-placed")
+    row = ["_rank", "_range", "_row"]
+    starts = draws(placed).where("from_word = 0").groupBy(*row).agg(F.sort_array(F.collect_list(F.struct("shard", "position"))).alias("_places"))  # a few passes
+    taken = placed.join(starts, row, "left").withColumnRenamed("size", "_size").withColumn("_places", F.coalesce("_places", F.array().cast(starts.schema["_places"].dataType)))
+    taken = taken.groupBy(*key).agg(F.sort_array(F.collect_list("_places")).alias("_taken"))
+    own = docs.select(whole_row(docs), "doc_id", "source", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("_size"), text_or_empty().alias("_text"))
+    same = Window.partitionBy(*key).orderBy("_text")
+    rows = matched(own.withColumn("_at", F.row_number().over(same)).drop("_text"), taken, key)
+    rows = rows.select("_row", F.explode(F.element_at("_taken", F.col("_at"))).alias("_place"))
+    return rows.repartitionByRange(F.col("_place.shard"), F.col("_place.position")).sortWithinPartitions("_place.shard", "_place.position").select("_row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -232,16 +232,25 @@ def test_shards_take_disjoint_blocks(spark, docs):
     assert all(sorted(p) == list(range(1, len(p) + 1)) for p in places.values())
 
 
-def test_mixed_documents(spark, docs):
+def test_mixed_documents(spark, docs, monkeypatch):
+    """Whole documents as often as the mix starts them, in the order of the shards that draw their first blocks."""
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns
-    words = Counter()
-    for r in mixed.collect():
-        words[r["source"]] += len(r["text"].split())
+    rows, texts = mixed.collect(), Counter((r[0], r[1], r[3]) for r in fixtures.rows())
+    words, longest, times = Counter(), Counter(), Counter()
+    for r in rows:
+        words[r["source"]] += len(r["text"].encode().split())
+        times[r["doc_id"], r["text"], r["source"]] += 1
+    assert all(n <= mixing.MOST_PASSES * texts[k] for k, n in times.items())
+    for _, text, _, source, _ in fixtures.rows():
+        longest[source] = max(longest[source], len((text or "").encode().split()))
     taken = Counter()
     for r in mixing.mix(docs).collect():
         taken[r["source"]] += r["taken"]
-    assert all(words[s] == taken[s] for s in taken)
+    assert all(taken[s] <= words[s] < taken[s] + max(longest[s], 1) for s in taken)
+    placed = mixing.cut_lineage(mixing.placed_documents(docs), "test-placed")
+    first = mixing.draws(placed).where("from_word = 0").orderBy("shard", "position").select("doc_id", "size").collect()
+    assert [(r["doc_id"], len(r["text"].encode().split())) for r in rows] == [tuple(r) for r in first]
 
 
 def test_classifier(spark):
@@ -339,6 +348,21 @@ def test_ties_among_hundreds_of_equal_vectors(spark):
     assert [i for i, _ in got[1100]] == [1000, 1001, 1002, 1003, 1004]
 
 
+def test_counted_collisions_find_neighbours_among_a_quarter_of_the_rows():
+    """Isotropic vectors, the hardest: a shard much larger than what is scored; without the counts recall is lost."""
+    rng = np.random.default_rng(12)
+    vectors = rng.standard_normal((4000, 64))
+    forest = prefix_forest.Forest(np.arange(4000), vectors, prefix_forest.TREES, prefix_forest.BITS)
+    unit = vectors / np.sqrt((vectors**2).sum(axis=1, keepdims=True))
+    queries, hits, scored, chance = vectors[:60], 0, 0, 0
+    for i, rows in forest.candidates(queries, 1000):
+        exact = np.argsort(-(unit @ unit[i]), kind="stable")[1:6]
+        hits += len(set(rows.tolist()) & set(exact.tolist()))
+        scored += len(rows)
+        chance += len(set(range(0, 4000, 4)) & set(exact.tolist()))
+    assert hits >= 0.9 * 300 and scored <= 60 * 1000 * 1.1 and chance < 0.5 * 300
+
+
 def test_neighbours_among_few(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (50, [1.0, 1.0]), (7, [0.0, 1.0])], "vec_id long, embedding array<float>")
     got = [tuple(r)[:3] for r in prefix_forest.nearest_neighbours(df, df.where("vec_id % 50 = 0")).orderBy("query_id", "rank").collect()]
