@@ -9,11 +9,12 @@ of twice the rows out of ``2 * collection * band_rows`` hash functions, where in
 Equal sets are one node from the start, so copies cost nothing. Buckets with the same members count once. Candidates are
 confirmed on their whole sets and joined to components in rounds: first every set against the smallest set it shares a
 bucket with, then, in buckets that still hold several components, the members in a few random orders, each against the
-next. At last the members of such buckets are brought together, in blocks of bounded size, with their whole shingle sets.
-There all pairs of different components are looked at that have sizes that allow the similarity and agree in most of 256
-further minima, each pair in one bucket; they are confirmed on the spot until a block's components are known, and a block
-tells only which components it joined, fewer rows than it has members. The members of a bucket's largest component are not
-compared with each other. So no pair of a large group of near copies leaves the task that looks at it.
+next. At last the members of such buckets are brought together in blocks of bounded size. There all pairs of different
+components are looked at that have sizes that allow the similarity and agree in most of 256 further minima, each pair in
+one bucket. The members of such pairs come together once more, with their whole shingle sets; pairs are confirmed on the
+spot until a block's components are known, and a block tells only which components it joined, fewer rows than it has
+members. The members of a bucket's largest component are not compared with each other. So no pair of a large group of near
+copies leaves the task that looks at it.
 
 Documents with fewer words than a shingle have one shingle, their words. Documents without words, also NULL texts, have
 none and are linked with nothing. Repeated rows have the same result. A NULL ``doc_id`` is never the smallest of others;
@@ -169,6 +170,10 @@ def _texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return found.mapInArrow(same, "sid long, text string").dropDuplicates(["sid"])
 
 
+def in_blocks(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
+
+
 class Rounds:
     """Finds the links among the members of buckets until every bucket's components are settled."""
 
@@ -239,35 +244,48 @@ class Rounds:
         most = left.groupBy("key", "label").agg(*sizes).groupBy("key").agg(F.max(F.struct("c", "label", "w")).alias("m"), F.sum("c").alias("all"), F.sum("w").alias("whole"))
         blocks = lambda c, w: F.greatest(F.ceil(c / BLOCK_MEMBERS), F.ceil(w / BLOCK_SHINGLES)).cast("int")
         main = most.select("key", F.col("m.label").alias("main"), blocks(F.col("all") - F.col("m.c"), F.col("whole") - F.col("m.w")).alias("few"), blocks(F.col("all"), F.col("whole")).alias("many"))
-        marked = left.join(self.whole_sets(left), "sid").join(main.join(self.chosen, "key"), "key")
+        marked = left.join(self.sketches(left), "sid").join(main.join(self.chosen, "key"), "key")
         marked = marked.withColumn("is_main", F.col("label") == F.col("main"))
         deal = lambda c: F.pmod(F.xxhash64("sid"), F.col(c).cast("long")).cast("int")
         every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
         small = marked.where("not is_main").withColumns({"side": F.lit(0), "i": deal("few")}).withColumn("j", every("many"))
         other = marked.withColumns({"side": F.lit(1), "j": deal("many")}).withColumn("i", every("few"))
-        columns = ["key", "i", "j", "side", "sid", "label", "is_main", "n", "bands", "sketch", "own", "tables"]
+        columns = ["key", "i", "j", "side", "sid", "label", "is_main", "n", "bands", "sketch", "tables"]
         both = small.select(columns).unionByName(other.withColumn("tables", F.lit(None).cast("array<int>")).select(columns))
-        dealt = both.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
-        self.join(cut_lineage(dealt.mapInArrow(self.comparison(), "u long, v long"), "minhash-joined"))
+        likely = cut_lineage(in_blocks(both).mapInArrow(self.comparison(False), both.schema), "minhash-likely")
+        if likely.isEmpty():
+            return
+        whole = in_blocks(likely.join(self.whole_sets(likely), "sid").select(*columns, "own"))
+        self.join(cut_lineage(whole.mapInArrow(self.comparison(True), "u long, v long"), "minhash-joined"))
+
+    def sketches(self, left: DataFrame) -> DataFrame:
+        """(sid, sketch): a byte of each of ``SKETCH`` more minima."""
+        factors, terms = hash_functions(SKETCH)
+        words = self.words
+        return self.drawn(left, "sketch", lambda text: (minima(shingle_set(text, words), factors, terms) & np.uint64(255)).astype(np.uint8).tobytes())
 
     def whole_sets(self, left: DataFrame) -> DataFrame:
-        """(sid, sketch, own): a byte of each of ``SKETCH`` more minima, and the sorted shingle hashes."""
-        factors, terms = hash_functions(SKETCH)
+        """(sid, own): the sorted shingle hashes."""
         words = self.words
+        return self.drawn(left, "own", lambda text: shingle_set(text, words).tobytes())
+
+    def drawn(self, left: DataFrame, name: str, make) -> DataFrame:
+        """(sid, name): what ``make`` makes of the texts of the sets in ``left``."""
 
         def draw(batches):
             for batch in batches:
                 for at in range(0, len(batch), ROWS_AT_ONCE):
                     part = batch.slice(at, ROWS_AT_ONCE)
-                    own = [shingle_set(t.as_py(), words) for t in part.column(1)]
-                    low = [(minima(x, factors, terms) & np.uint64(255)).astype(np.uint8).tobytes() for x in own]
-                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(low, pa.binary()), pa.array([x.tobytes() for x in own], pa.binary())], names=["sid", "sketch", "own"])
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([make(t.as_py()) for t in part.column(1)], pa.binary())], names=["sid", name])
 
         wanted = self.texts.join(left.select("sid").distinct(), "sid", "left_semi")
-        return cut_lineage(wanted.select("sid", "text").mapInArrow(draw, "sid long, sketch binary, own binary"), "minhash-whole-sets")
+        return cut_lineage(wanted.select("sid", "text").mapInArrow(draw, f"sid long, {name} binary"), f"minhash-{name}")
 
-    def comparison(self):
-        """Compares the two sides of each block; a block's rows come one after the other, the smaller side first."""
+    def comparison(self, whole: bool):
+        """Compares the two sides of each block; a block's rows come one after the other, the smaller side first.
+
+        Without the ``whole`` sets it keeps the rows that are part of a likely pair, with them it joins their components.
+        """
         least = agreements(self.numerator / self.denominator)
         numerator, denominator, width = self.numerator, self.denominator, self.collection
 
@@ -334,12 +352,16 @@ class Rounds:
             if done:
                 bands = column("bands").flatten().to_numpy().reshape(len(key), -1)
                 sketch = np.frombuffer(b"".join(column("sketch").to_pylist()), dtype=np.uint8).reshape(len(key), -1)
-                tables, sets, names, of = column("tables"), column("own"), sid.tolist(), label.tolist()
-                pairs = []
-                for at, end in zip(begins, begins[1:]):
-                    if end <= done:
-                        pairs += joined(candidates(at, end, sides, sid, label, main, n, bands, sketch, tables), names, of, sets)
-                yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["u", "v"])
+                tables = column("tables")
+                found = lambda at, end: candidates(at, end, sides, sid, label, main, n, bands, sketch, tables)
+                whole_blocks = [(at, end) for at, end in zip(begins, begins[1:]) if end <= done]
+                if whole:
+                    names, labels, sets = sid.tolist(), label.tolist(), column("own")
+                    pairs = [p for at, end in whole_blocks for p in joined(found(at, end), names, labels, sets)]
+                    yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["u", "v"])
+                else:
+                    rows = np.unique(np.array([r for at, end in whole_blocks for x, y in found(at, end) for r in (*x, *y)], dtype=np.int64))
+                    yield from table.take(pa.array(rows)).to_batches()
             return table.slice(done)
 
         return compare
