@@ -182,9 +182,9 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     starts = draws(placed).where("from_word = 0").groupBy(*row).agg(F.sort_array(F.collect_list(F.struct("shard", "position"))).alias("_places"))  # a few passes
     taken = placed.join(starts, row, "left").withColumnRenamed("size", "_size").withColumn("_places", F.coalesce("_places", F.array().cast(starts.schema["_places"].dataType)))
     taken = taken.groupBy(*key).agg(F.sort_array(F.collect_list("_places")).alias("_taken"))
-    own = docs.select(whole_row(docs), "doc_id", "source", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("_size"), text_or_empty().alias("_text"))
-    same = Window.partitionBy(*key).orderBy("_text")
-    rows = matched(own.withColumn("_at", F.row_number().over(same)).drop("_text"), taken, key)
+    own = docs.select(whole_row(docs), "doc_id", "source", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("_size"), *[F.xxhash64(F.lit(i), text_or_empty()).alias(f"_h{i}") for i in (1, 2)])
+    same = Window.partitionBy(*key).orderBy("_h1", "_h2")
+    rows = matched(own.withColumn("_at", F.row_number().over(same)).drop("_h1", "_h2"), taken, key)
     rows = rows.select("_row", F.explode(F.element_at("_taken", F.col("_at"))).alias("_place"))
     return rows.repartitionByRange(F.col("_place.shard"), F.col("_place.position")).sortWithinPartitions("_place.shard", "_place.position").select("_row.*")
 
