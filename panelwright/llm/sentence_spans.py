@@ -9,7 +9,7 @@ also starts earlier: in a document with a smaller ``doc_id``, or further ahead i
 
 The runs are found in one pass and written. The first place of each run is an aggregate with partial sums; all runs are
 then joined to the runs that repeat, a join that Spark splits where one run is very frequent. Positions come together per
-document only.
+document only. Runs, and what was shuffled to compare them, are deleted before the texts are shuffled, which happens once.
 
 NULL texts count as empty and have no sentences. A NULL ``doc_id`` comes after all others. Of rows with the same
 ``doc_id`` those with other texts are ordered by a hash of the text; of equal rows one counts as the first, and the
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwright.llm.common import WHITE, matched, text_or_empty, whole_row
-from panelwright.session import cut_lineage
+from panelwright.session import cut_lineage, discard
 
 SPAN = 3
 LEAST_WORDS = 20
@@ -84,21 +84,26 @@ def spans(docs: DataFrame, span: int = SPAN, least_words: int = LEAST_WORDS) ->
 
 
 def repeated_starts(docs: DataFrame, span: int = SPAN, least_words: int = LEAST_WORDS) -> DataFrame:
-    """(doc_id, _text_hash, starts): where in a document runs start (and their sentences) that also start earlier elsewhere or further ahead."""
+    """(doc_id, _text_hash, starts): where in a document runs start (and their sentences) that also start earlier elsewhere or further ahead; a written table."""
     found = cut_lineage(spans(docs, span, least_words), "spans-runs")
     place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "_text_hash", "pos")
-    first = found.groupBy("h1", "h2").agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
-    first = cut_lineage(first.where("_first <> _last").select("h1", "h2", "_first"), "spans-repeated")
+    first = found.groupBy("h1", "h2").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    first = cut_lineage(first.where("_n > 1").select("h1", "h2", "_first"), "spans-repeated", release=True)
     later = found.join(first, ["h1", "h2"]).where(~F.col("_first").eqNullSafe(place))
-    return later.groupBy(*KEY).agg(F.collect_set(F.struct("pos", "n")).alias("starts"))
+    starts = cut_lineage(later.groupBy(*KEY).agg(F.collect_set(F.struct("pos", "n")).alias("starts")), "spans-starts", release=True)
+    discard(found, first)
+    return starts
 
 
 def _marked(docs: DataFrame, span: int, least_words: int) -> DataFrame:
     """``docs`` with ``_text``, the ``starts`` of repeated runs and whether the row repeats one of the same ``doc_id``."""
-    starts = cut_lineage(repeated_starts(docs, span, least_words), "spans-starts")
-    same = Window.partitionBy(*KEY).orderBy("_text_hash")
-    rows = _keyed(docs).withColumn("_again", F.row_number().over(same) > 1)
-    return matched(rows, starts, KEY, "left")
+    # Without NULLs, so that window and join deal out the texts alike, and only once.
+    whole = ["_id", "_none", "_text_hash"]
+    key = {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_none": F.col("doc_id").isNull()}
+    starts = repeated_starts(docs, span, least_words).withColumns(key).drop("doc_id")
+    same = Window.partitionBy(*whole).orderBy("_text_hash")
+    rows = _keyed(docs).withColumns(key).withColumn("_again", F.row_number().over(same) > 1)
+    return rows.join(starts, whole, "left")
 
 
 def _kept(text: str, starts, again: bool) -> tuple[list[str], int]:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+RELEASE_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cpus: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -47,15 +49,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/panelwright/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df, name: str):
+@contextmanager
+def released_shuffles(spark: SparkSession):
+    """What runs meanwhile deletes its shuffle files as it ends, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(RELEASE_CONF, None)
+    spark.conf.set(RELEASE_CONF, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(RELEASE_CONF) if before is None else spark.conf.set(RELEASE_CONF, before)
+
+
+def cut_lineage(df, name: str, release: bool = False):
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Used before iterative work, so that a lost executor costs a re-read and
-    not a replay of everything before.
+    not a replay of everything before. ``release``: its shuffle files go once it is written.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    if release:
+        with released_shuffles(spark):
+            df.write.parquet(path)
+    else:
+        df.write.parquet(path)
     out = spark.read.parquet(path)
     out._scratch_path = path
     return out

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from panelwright import session
 from panelwright.llm import block_naming, components, minhash, sentence_spans, suffix_arrays
 from tests.llm import fixtures
 
@@ -189,6 +190,23 @@ def test_repeated_sentences(spark, docs, span, least_words):
     assert sorted(hashlib.sha256(r["text"].encode()).hexdigest() for r in cut.collect()) == sorted(x[2] for v in want.values() for x in v)
 
 
+def test_repeated_sentences_leave_little_on_disk(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    settings = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = sentence_spans._marked(docs, 3, 20)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2, plan  # texts once, places once
+        assert [p.name.rsplit("-", 1)[0] for p in (tmp_path / "panelwright").iterdir()] == ["spans-starts"]
+        assert all(spark.conf.get(k) == v for k, v in settings.items())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def brute_bytes(data, length):
     seen, out = set(), Counter()
     for doc_id, text, *_ in sorted(data, key=lambda r: order(r[0])):
