@@ -2,16 +2,17 @@
 
 Both tokenizers used here treat a text as a row of pieces that do not influence each other: the word tokenizer ends every
 piece at white space; the byte tokenizer attaches a single blank to the word that follows and takes a single line feed
-between words by itself. Words repeat, so a text is cut at those places and its words are looked up. A word of letters,
-also with plain punctuation behind it, goes straight to the tokenizer's model; any other word, and any text with other
-white space (several blanks, blanks at the ends of lines, empty lines, tabs), is encoded by the whole tokenizer.
+between words by itself. Words repeat, so a text is cut at those places and its words are looked up. A word of letters
+goes straight to the tokenizer's model, and with plain marks behind it is that word's ids and those of the marks; any other
+word, and any text with other white space (several blanks, blanks at the ends of lines, empty lines, tabs), is encoded by
+the whole tokenizer. Beyond a number of words those seen last are forgotten.
 """
 
 from __future__ import annotations
 
 import os
-import unicodedata
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
@@ -20,7 +21,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 MOST_REMEMBERED = 400_000
 # Unicode white space other than blank and line feed, and the separators that Python counts as white space.
 OTHER_WHITE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0 " + "".join(map(chr, range(0x2000, 0x200B))) + "    　"
-PLAIN_MARKS = ".,;:!?"
+PLAIN_MARKS = ".,;:!?#$%&*|"
 
 
 def default_path(name: str) -> str:
@@ -40,35 +41,42 @@ class Words(dict):
     """The ids of a word as little-endian unsigned 32-bit numbers; words not seen before are encoded."""
 
     def __init__(self, tokenizer, before: str, lower: bool):
-        self.tokenizer, self.model, self.before, self.lower = tokenizer, tokenizer.model, before, lower
+        self.tokenizer, self.tokenize, self.before, self.lower = tokenizer, tokenizer.model.tokenize, before, lower
         self.symbols = byte_symbols()
+        self.start = "".join([self.symbols[b] for b in before.encode()])
+        self.raw = [i.to_bytes(4, "little") for i in range(max(tokenizer.get_vocab().values(), default=-1) + 1)]
+        self.marks: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _letters(self, word: str) -> bytes | None:
-        """The ids of Latin letters that no normalisation changes but lower case; None for other words."""
-        if not word.isalpha() or ord(max(word)) > 0xFF or not unicodedata.is_normalized("NFC", word):
-            return None
-        raw = (self.before + (word.lower() if self.lower else word)).encode()
-        tokens = self.model.tokenize("".join([self.symbols[b] for b in raw]))
-        return np.fromiter((t.id for t in tokens), dtype="<u4", count=len(tokens)).tobytes()
+    def _letters(self, word: str) -> bytes:
+        """The ids of Latin letters, which no normalisation changes but lower case (below U+0100 every text is in NFC)."""
+        shown = word.lower() if self.lower else word
+        if not word.isascii():  # ASCII letters are their own symbols
+            shown = "".join([self.symbols[b] for b in shown.encode()])
+        return b"".join([self.raw[t.id] for t in self.tokenize(self.start + shown)])
 
     def __missing__(self, key):
         word = key.decode() if isinstance(key, bytes) else key
         core = word.rstrip(PLAIN_MARKS)
-        if core and core is not word and len(core) < len(word):
-            ids = self._letters(core)
-            if ids is not None:
-                marks = word[len(core) :]
-                ids = ids + (self.get(("marks", marks)) or self.setdefault(("marks", marks), self._ids(marks)))
-        else:
-            ids = self._letters(word) if word else self._ids(self.before)
-        if ids is None:
+        if not core.isalpha() or not core.isascii() and max(core) > "\xff":
             ids = self._ids(self.before + word)
+        elif core == word:
+            ids = self._letters(word)
+        else:
+            marks = word[len(core) :]  # ASCII: as many bytes as characters
+            ids = self[key[: -len(marks)]] + (self.marks.get(marks) or self.marks.setdefault(marks, self._ids(marks)))
         self[key] = ids
         return ids
 
+    def forget(self) -> None:
+        """Keeps the words seen first, among which the frequent ones are."""
+        first = list(islice(self.items(), MOST_REMEMBERED // 2))
+        self.clear()
+        self.marks.clear()
+        self.update(first)
+
 
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids. ``words_end_pieces``: every piece ends at white space."""
@@ -91,7 +99,7 @@ class Encoder:
             return b""
         for known in (self.first, self.later):
             if len(known) > MOST_REMEMBERED:
-                known.clear()
+                known.forget()
         if self.words_end_pieces:
             return b"".join(map(self.first.__getitem__, text.encode().split()))  # bytes are split at ASCII white space only
         runs = "  " in text or "\n\n" in text or " \n" in text or "\n " in text

@@ -12,7 +12,7 @@ import pytest
 from pyarrow import fs
 from tokenizers import Tokenizer
 
-from panelwright.llm import cotraining, mixing, packing, prefix_forest, subword_lattice, token_files
+from panelwright.llm import cotraining, encoding, mixing, packing, prefix_forest, subword_lattice, token_files
 from panelwright.llm.encoding import Encoder, default_path
 from panelwright.session import scratch_path
 from tests.llm import fixtures
@@ -33,6 +33,37 @@ def test_remembered_words_change_nothing(name, ends):
         assert encode.encode(text) == encode.whole(text), text
 
 
+@pytest.mark.parametrize(("name", "ends"), [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_marks_behind_words_change_nothing(name, ends, monkeypatch):
+    monkeypatch.setattr(encoding, "MOST_REMEMBERED", 40)
+    encode, rng = Encoder(default_path(name), ends), random.Random(4)
+    cores = ["a", "Été", "straße", "ÀÇÑ", "日本", "x1", "don't", "7", "e\u0301", "ªº", "µ", "ÿ", "Ā", "<", "it's", "", "|endoftext", "<|endoftext|>"]
+    for _ in range(300):
+        text = " ".join((rng.choice(cores) + "".join(rng.choices(".,;:!?#$%&*|", k=rng.randint(0, 4)))) or "b" for _ in range(rng.randint(1, 9)))
+        assert encode.encode(text) == encode.whole(text), text
+
+
+@pytest.mark.parametrize(("name", "ends"), [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_words_with_marks_are_not_encoded_again(name, ends):
+    encode = Encoder(default_path(name), ends)
+    known, calls = encode.first if ends else encode.later, []
+    whole = known._ids
+    known._ids = lambda text: calls.append(text) or whole(text)
+    encode.encode("x house, house tree** house** tree| tree, house&")
+    assert calls == [",", "**", "|", "&"]
+    for kept in ("house", "tree"):
+        assert (kept.encode() if ends else kept) in known
+
+
+def test_frequent_words_are_not_forgotten(monkeypatch):
+    monkeypatch.setattr(encoding, "MOST_REMEMBERED", 40)
+    encode = Encoder(default_path("word_bpe_49k.json"), True)
+    encode.encode("first words")
+    for i in range(20):
+        encode.encode(" ".join(f"w{i}x{j}" for j in range(10)))
+        assert b"first" in encode.first and len(encode.first) <= 50
+
+
 def test_subword_lattice(spark, docs):
     data = fixtures.rows()
     held = [zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 10 == 0 for r in data]
