@@ -12,7 +12,7 @@ occurs ``least`` times or more in its language. From one length to the next:
 
 The relation is stored by chunks: the places of about ``CHUNK_WORDS`` words of one language as two sorted arrays, in which
 places of one piece are consecutive numbers and a new piece leaves a gap; both are written compressed, the places as their
-differences. A piece is never cut. Spark joins, shuffles and
+differences. A piece is never cut. What was shuffled for a length is deleted once its relation is written. Spark joins, shuffles and
 counts one row per chunk and group, so a phrase that is everywhere costs a row a chunk, not a row an occurrence. Groups are
 named by a number in the first chunk that has them, not by hashes: two phrases are never confused.
 
@@ -226,17 +226,18 @@ def _frequent(counted: DataFrame, keys: list[str], least: int, name: str) -> Dat
     group = Window.partitionBy(*keys)
     own = F.shiftleft("chunk", 24) + F.col("code")
     sums = counted.select("chunk", *keys, "code", F.sum("n").over(group).alias("a"), F.min(own).over(group).alias("id"))
-    return cut_lineage(sums.where(F.col("a") >= least), name)
+    return cut_lineage(sums.where(F.col("a") >= least), name, release=True)
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, chunk_words: int = CHUNK_WORDS) -> tuple[DataFrame, DataFrame]:
     """((lang, k, phrase, a) of all phrases up to ``longest`` words that occur ``least`` times, (lang, n) of all languages)."""
     chunked = cut_lineage(chunks(docs, chunk_words), "phrases-chunks")
-    totals = cut_lineage(chunked.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
+    totals = cut_lineage(chunked.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals", release=True)
     found = _frequent(word_counts(chunked), ["lang", "word"], least, "phrases-1")
-    relation = cut_lineage(single_words(chunked, found.select("chunk", "code", "id")), "phrases-relation")
+    relation = cut_lineage(single_words(chunked, found.select("chunk", "code", "id")), "phrases-relation", release=True)
     discard(chunked)
-    phrases = cut_lineage(found.groupBy("id", "lang", F.col("word").alias("phrase"), "a").agg(F.count(F.lit(1)).alias("_")).drop("_"), "phrases-named")
+    named = found.groupBy("id", "lang", F.col("word").alias("phrase"), "a").agg(F.count(F.lit(1)).alias("_")).drop("_")
+    phrases = cut_lineage(named, "phrases-named", release=True)
     discard(found)
     out = phrases.select("lang", F.lit(1).alias("k"), "phrase", "a")
     for k in range(2, longest + 1):
@@ -244,15 +245,16 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         if found.isEmpty():
             break
         if k < longest:
-            shorter, relation = relation, cut_lineage(longer(relation, found.select("chunk", "code", "id")), "phrases-relation")
+            shorter, relation = relation, cut_lineage(longer(relation, found.select("chunk", "code", "id")), "phrases-relation", release=True)
             discard(shorter)
         left = phrases.select(F.col("id").alias("u"), "lang", F.substring_index("phrase", " ", 1).alias("_first"))
         right = phrases.select(F.col("id").alias("v"), F.col("phrase").alias("_rest"))
         groups = found.groupBy("u", "v", "a", "id").agg(F.count(F.lit(1)).alias("_"))
         named = groups.join(left, "u").join(right, "v").select("lang", F.concat_ws(" ", "_first", "_rest").alias("phrase"), "a", "id")
-        phrases = cut_lineage(named, "phrases-named")
+        phrases = cut_lineage(named, "phrases-named", release=True)
         discard(found)
         out = out.unionByName(phrases.select("lang", F.lit(k).alias("k"), "phrase", "a"))
+    discard(relation)
     return out, totals
 
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
 
+from panelwright import session
 from panelwright.llm import relational_phrases as rp
 from tests.llm import fixtures
 
@@ -61,6 +63,20 @@ def test_no_phrases(spark):
     assert rp.collocations(fixtures.documents(spark), 10**6).count() == 0
 
 
+def test_little_is_left_on_disk(spark, tmp_path, monkeypatch):
+    """No shuffle files of counting and thinning, and of the written tables only the named phrases and the totals."""
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    shuffled = lambda: set(re.findall(r"shuffle_\w+\.data", spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")))
+    before = shuffled()
+    out, _ = rp.frequent_phrases(fixtures.documents(spark), 3)
+    until = time.monotonic() + 20
+    while (left := shuffled() - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not left
+    assert {p.name.rsplit("-", 1)[0] for p in (tmp_path / "panelwright").iterdir()} == {"phrases-named", "phrases-totals"}
+    assert {r["k"] for r in out.select("k").distinct().collect()} == {1, 2, 3, 4, 5}
+
+
 def test_merge_join():
     """Places of one piece follow each other; a gap ends it."""
     import numpy as np
