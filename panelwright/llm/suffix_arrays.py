@@ -12,7 +12,9 @@ repeated. Where all segments of an anchor are equal, nothing is left to compare.
 together are one row from the start, with the first place and a list of the others, so a passage that is in every document
 is a row per some megabytes of text.
 
-*Shards.* The remaining segments of a range of anchors are put together to a text of bounded size. Its suffix array comes
+*Shards.* The remaining segments of a range of anchors are put together. An equal window holds the anchor at the same place,
+so each segment is cut to the bytes around its anchor that any other one with the same anchor has too; where these are fewer
+than ``length``, it goes. What stays is laid end to end to a text of bounded size. Its suffix array comes
 from Larsson-Sadakane refinement in numpy: suffixes are sorted by their first bytes, then groups of equal ones by the
 rank of the suffix that follows, the compared length doubling each time, until it exceeds the string length. Kasai's
 recursion gives the common prefixes, for all segments in step. Neighbours with a common prefix of at least ``length``
@@ -238,7 +240,7 @@ def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     key = np.zeros(n, dtype=np.uint64)
     for i in range(first):
         key = (key << np.uint64(9)) | wide[i : i + n]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key = key[order]
     head = np.ones(n, dtype=bool)
     head[1:] = key[1:] != key[:-1]
@@ -253,7 +255,7 @@ def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             break
         own = order[at]
         follow = rank[np.minimum(own + h, n)]
-        inside = np.lexsort((follow, group[at]))
+        inside = np.argsort(group[at] * (n + 1) + follow + 1)
         order[at] = own[inside]
         follow, lead = follow[inside], group[at][inside]
         new = np.ones(len(at), dtype=bool)
@@ -318,6 +320,46 @@ def repeated_windows(bodies: list[bytes], places: np.ndarray, length: int) -> tu
     return segment, offset, label, where, where > first[label]
 
 
+def _shared(bodies: list[bytes], h: np.ndarray, anchor: np.ndarray, span: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many bytes before and behind its anchor each segment has in common with any other of the same anchor, up to ``span``.
+
+    Sorted by anchor and by what lies on that side of it, a segment has most in common with a neighbour.
+    """
+    sizes = np.array([len(b) for b in bodies], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    raw = np.frombuffer(b"".join(bodies), dtype=np.uint8)
+    names = np.ascontiguousarray(np.unique(h, return_inverse=True)[1].astype(">i8")).view(np.uint8).reshape(-1, 8)
+    out = []
+    for room, first, step in ((anchor, starts + anchor - 1, -1), (sizes - anchor - gram, starts + anchor + gram, 1)):
+        at = first[:, None] + step * np.arange(span)
+        # Zeros behind an end may count as common: too much is kept then, never too little.
+        side = np.where(np.arange(span) < room[:, None], raw[at.clip(0, len(raw) - 1)], 0).astype(np.uint8)
+        keys = np.concatenate([names, side], axis=1)
+        order = np.argsort(keys.view(f"S{8 + span}").ravel())
+        same = keys[order[1:]] == keys[order[:-1]]
+        common = np.where(same.all(axis=1), span, same.argmin(axis=1) - 8)
+        most = np.zeros(len(bodies), dtype=np.int64)
+        most[order[1:]] = common.clip(0)
+        most[order[:-1]] = np.maximum(most[order[:-1]], common.clip(0))
+        out.append(np.minimum(most, room))
+    return out[0], out[1]
+
+
+def _trimmed(rows: pd.DataFrame, length: int, gram: int) -> pd.DataFrame:
+    """``rows`` (all segments of some anchors) without the bytes, and the segments, that can have no window in common with others."""
+    if length == gram:
+        return rows
+    place = rows["place"].to_numpy()
+    anchor = (place >> 8) & 0xFF
+    before, behind = _shared(rows["body"].tolist(), rows["h"].to_numpy(), anchor, length - gram, gram)
+    stay = before + gram + behind >= length
+    first, end = (anchor - before)[stay], (anchor + gram + behind)[stay]
+    rows = rows[stay]
+    bodies = [b[x:y] for b, x, y in zip(rows["body"], first.tolist(), end.tolist(), strict=True)]
+    place = (place[stay] >> 16) + first << 16 | before[stay] << 8 | end - first - length + 1
+    return rows.assign(body=bodies, place=place).reset_index(drop=True)
+
+
 # --- the job -------------------------------------------------------------------------------------------------------
 
 RESULT = "d long, th long, tu long, start long, n long, h long, o int, r int, keys binary, docs binary, starts binary"
@@ -357,11 +399,14 @@ def _runs(owner: np.ndarray, start: np.ndarray):
     return first, np.diff(np.append(first, len(start)))
 
 
-def _shard(length: int):
+def _shard(length: int, gram: int = GRAM):
     """Suffix array, common prefixes and repeated windows of one shard."""
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop_duplicates(["h", "seg", *KEY, "place"]).sort_values([*KEY, "place"], kind="stable").reset_index(drop=True)
+        part, parts = int(rows["part"].iat[0]), int(rows["parts"].iat[0])
+        if part < 0:
+            rows = _trimmed(rows, length, gram)
         d, th, tu, place = (rows[c].to_numpy() for c in (*KEY, "place"))
         start = place >> 16
         doc = np.cumsum(np.append(False, (d[1:] != d[:-1]) | (th[1:] != th[:-1]) | (tu[1:] != tu[:-1])))
@@ -370,10 +415,10 @@ def _shard(length: int):
         s, at = segment[again][by], (start[segment] + offset)[again][by]
         first, n = _runs(s, at)
         out = [pd.DataFrame({"d": d[s[first]], "th": th[s[first]], "tu": tu[s[first]], "start": at[first], "n": n})]
-        if rows["part"].iat[0] >= 0:  # an anchor spread over several shards: runs of its windows, in sorted order
+        if part >= 0:  # an anchor spread over several shards: runs of its windows, in sorted order
             keep = np.flatnonzero(~again)
             keep = keep[np.unique(label[keep], return_index=True)[1]]
-            bodies, h, parts = rows["body"].tolist(), rows["h"].iat[0], int(rows["parts"].iat[0])
+            bodies, h = rows["body"].tolist(), rows["h"].iat[0]
             keys = [bodies[a][b : b + length] for a, b in zip(segment[keep].tolist(), offset[keep].tolist(), strict=True)]
             o = ((place[segment[keep]] >> 8) & 0xFF) - offset[keep]
             r = np.array([xxhash.xxh3_64_intdigest(k) % parts for k in keys], dtype=np.int64)
@@ -443,7 +488,7 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
             "shard": F.when(large, F.col("h")).otherwise(F.pmod(F.xxhash64("h"), F.lit(shards))),
         }
     )
-    inside = cut_lineage(bodies.groupBy("shard", "part").applyInPandas(_shard(length), RESULT), "suffix-shards")
+    inside = cut_lineage(bodies.groupBy("shard", "part").applyInPandas(_shard(length, gram), RESULT), "suffix-shards")
     across = inside.where("keys is not null").groupBy("h", "o", "r").applyInPandas(_merge(length), "d long, th long, tu long, start long, n long")
     return copies.unionByName(inside.where("keys is null").select(*KEY, "start", "n")).unionByName(across)
 

@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from panelwright import session
@@ -261,6 +262,51 @@ def test_repeated_bytes_of_texts_with_equal_short_hashes(spark, doc_id):
     assert Counter(map(tuple, suffix_arrays.repeated_bytes(df).collect())) == brute_bytes(data, 100)
 
 
+def texts_around_a_passage(lengths):
+    """Texts that hold parts of one passage, zero bytes and letters of two bytes among them, each between bytes of its own."""
+    rng = random.Random(6)
+    own = lambda n: "".join(rng.choice("abc d\0ü") for _ in range(n))
+    shared = own(400)
+    return [(i, own(rng.randint(0, 90)) + shared[(x := rng.randint(0, 200)) : x + n] + own(rng.randint(0, 90)), "en", "a", 1) for i, n in enumerate(lengths)]
+
+
+def shard_of(data):
+    """The segments of the texts as a shard gets them."""
+    texts = [text.encode() for _, text, *_ in data]
+    rows = []
+    for at in suffix_arrays._segments_of(texts, 100, 32):
+        for row, start, n, anchor, h, seg in zip(*(x.tolist() for x in at), strict=True):
+            rows.append((h % (1 << 63), seg % (1 << 63), row, 0, 0, start << 16 | anchor << 8 | n, 2, texts[row][start : start + n + 99], 1, -1))
+    names = ["h", "seg", "d", "th", "tu", "place", "kinds", "body", "parts", "part"]
+    return pd.DataFrame(rows, columns=names).drop_duplicates(["h", "seg"])
+
+
+def test_suffix_arrays_hold_what_segments_can_share(monkeypatch):
+    """Segments that have an anchor but no whole window in common are not sorted, nor are the bytes around the common ones."""
+    sorted_bytes, find = [], suffix_arrays.repeated_windows
+    monkeypatch.setattr(suffix_arrays, "repeated_windows", lambda bodies, *a: (sorted_bytes.append(sum(map(len, bodies))), find(bodies, *a))[1])
+    rows = shard_of(texts_around_a_passage([70] * 60))
+    assert len(suffix_arrays._shard(100)(rows)) == 0 and sorted_bytes.pop() < 0.2 * rows["body"].str.len().sum()
+    rows = shard_of(data := texts_around_a_passage([50, 85, 90, 100, 130, 180] * 10))
+    got = {(d, start + i) for d, start, n in suffix_arrays._shard(100)(rows)[["d", "start", "n"]].astype(int).itertuples(index=False) for i in range(n)}
+    assert sorted_bytes.pop() < 0.7 * rows["body"].str.len().sum()
+    seen, want, texts = set(), set(), [text.encode() for _, text, *_ in data]
+    windows = {(d, (p >> 16) + i) for d, p in zip(rows["d"], rows["place"], strict=True) for i in range(p & 0xFF)}
+    for d, i in sorted(windows):
+        part = texts[d][i : i + 100]
+        want |= {(d, i)} if part in seen else set()
+        seen.add(part)
+    assert got == want and got
+
+
+@pytest.mark.parametrize("options", [{}, {"shard_segments": 3}])
+def test_repeated_bytes_of_passages_of_about_a_window(spark, options):
+    for lengths in ([70] * 30, [50, 85, 90, 100, 130, 180] * 8):
+        data = texts_around_a_passage(lengths)
+        got = Counter(map(tuple, suffix_arrays.repeated_bytes(fixtures.documents(spark, data), **options).collect()))
+        assert got == brute_bytes(data, 100)
+
+
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(1)
     parts = [rng.integers(0, 2, n).astype(np.int16) for n in (1, 40, 200, 7, 200)]
